@@ -78,3 +78,39 @@ QUERIES: dict[str, Query] = {
     "t12_treasury_summary": _model("treasury_summary"),
     "t13_fixed_income_summary": _model("fixed_income_summary"),
 }
+
+
+# ------------------------------------------------------------ quality ----
+from ..operators import quality as Q  # noqa: E402
+
+
+def _generic(kind: str) -> Query:
+    return lambda spark, d: Q.generic_checks(marts(spark, d).tables(), kind)
+
+
+def _singular(fn_name: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        t = marts(spark, d).tables()
+        return {
+            "q6": lambda: Q.no_odd_lot_suffix(t["stg_trades"]),
+            "q7": lambda: Q.no_negative_quantity(t["int_all_equity_positions"]),
+            "q8": lambda: Q.portfolio_value_not_negative(t["fct_monthly_wallet"]),
+            "q9": lambda: Q.period_format(t),
+            "q10": lambda: Q.weighted_price_consistent(t["int_weighted_avg_price"]),
+        }[fn_name]()
+    return run
+
+
+QUERIES.update({
+    "q1_not_null": _generic("not_null"),
+    "q2_unique": _generic("unique"),
+    "q3_unique_combination": _generic("unique_combination"),
+    "q4_accepted_values": _generic("accepted_values"),
+    "q5_accepted_range": _generic("accepted_range"),
+    "q6_no_f_suffix": _singular("q6"),
+    "q7_no_negative_quantity": _singular("q7"),
+    "q8_portfolio_value_positive": _singular("q8"),
+    "q9_period_format": _singular("q9"),
+    "q10_price_consistent": _singular("q10"),
+    "q11_quality_gate": lambda spark, d: Q.run_checks(marts(spark, d).tables()),
+})

@@ -370,3 +370,80 @@ ORACLE: dict[str, str] = {
     "t13_fixed_income_summary": table("fct_fixed_income_summary", ["total_quantity",
                                                                    "total_curva_value"]),
 }
+
+
+# ----------------------------------------------------------------- quality --
+from ledgerframe.operators.quality import GENERIC_CHECKS  # noqa: E402  (spec list only)
+
+
+def _check_sql(check) -> list[str]:
+    t = check.table
+
+    def row(name: str, col: str, expr: str, source: str) -> str:
+        return (f"SELECT '{name}' AS check_name, '{t}' AS table_name, '{col}' AS column_name, "
+                f"CAST({expr} AS BIGINT) AS failures FROM {source}")
+
+    if check.kind == "not_null":
+        return [row("not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)", t)
+                for c in check.columns]
+    cols = ", ".join(check.columns)
+    if check.kind == "unique":
+        c = check.columns[0]
+        return [row("unique", c, "count(*)",
+                    f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} "
+                    f"HAVING count(*) > 1) AS d")]
+    if check.kind == "unique_combination":
+        return [row("unique_combination_of_columns", ",".join(check.columns), "count(*)",
+                    f"(SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) AS d")]
+    if check.kind == "accepted_values":
+        c = check.columns[0]
+        vals = ", ".join(f"'{v}'" for v in check.values)
+        return [row("accepted_values", c, f"count(DISTINCT {c})",
+                    f"(SELECT {c} FROM {t} WHERE {c} NOT IN ({vals})) AS d")]
+    if check.kind == "accepted_range":
+        c = check.columns[0]
+        op = ">=" if check.inclusive else ">"
+        return [row("accepted_range", c, f"count(*) FILTER (WHERE NOT ({c} {op} {check.min_value}))",
+                    t)]
+    raise ValueError(check.kind)
+
+
+def _generic_sql(kind: str | None) -> str:
+    parts = [s for c in GENERIC_CHECKS if kind in (None, c.kind) for s in _check_sql(c)]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _count_sql(name: str, table: str, col: str, source_where: str) -> str:
+    return (f"SELECT '{name}' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM {source_where}")
+
+
+SINGULAR_SQL = {
+    "q6_no_f_suffix": _count_sql("no_f_suffix_in_trades", "stg_trades", "ticker",
+                                 "stg_trades WHERE ticker LIKE '%F' AND length(ticker) > 1"),
+    "q7_no_negative_quantity": _count_sql("no_negative_quantities", "int_all_equity_positions",
+                                          "total_quantity",
+                                          "int_all_equity_positions WHERE total_quantity < 0"),
+    "q8_portfolio_value_positive": _count_sql("portfolio_value_positive", "fct_monthly_wallet",
+                                              "total_portfolio_value",
+                                              "fct_monthly_wallet WHERE total_portfolio_value < 0"),
+    "q9_period_format": "\nUNION ALL\n".join(
+        _count_sql("reference_period_format", t, "_reference_period",
+                   f"{t} WHERE NOT regexp_full_match(_reference_period, '\\d{{4}}-\\d{{2}}')")
+        for t in ("fct_monthly_wallet", "fct_stock_detail", "fct_dividend_summary")),
+    "q10_price_consistent": _count_sql(
+        "weighted_avg_price_consistent", "int_weighted_avg_price", "weighted_avg_price",
+        "int_weighted_avg_price WHERE total_shares_bought > 0 AND "
+        "abs(weighted_avg_price - total_invested / total_shares_bought) > 0.01"),
+}
+
+ORACLE.update({
+    "q1_not_null": with_base(_generic_sql("not_null")),
+    "q2_unique": with_base(_generic_sql("unique")),
+    "q3_unique_combination": with_base(_generic_sql("unique_combination")),
+    "q4_accepted_values": with_base(_generic_sql("accepted_values")),
+    "q5_accepted_range": with_base(_generic_sql("accepted_range")),
+    **{k: with_base(v) for k, v in SINGULAR_SQL.items()},
+    "q11_quality_gate": with_base(_generic_sql(None) + "\nUNION ALL\n"
+                                  + "\nUNION ALL\n".join(SINGULAR_SQL.values())),
+})
