@@ -114,3 +114,73 @@ QUERIES.update({
     "q10_price_consistent": _singular("q10"),
     "q11_quality_gate": lambda spark, d: Q.run_checks(marts(spark, d).tables()),
 })
+
+
+# --------------------------------------------------------- benchmarks ----
+from ..operators import benchmarks as B  # noqa: E402
+from ..sources import series as SR  # noqa: E402
+
+P = "_reference_period"
+
+
+def periods_of(m: Marts) -> DataFrame:
+    """Portfolio periods: the months of the monthly portfolio value."""
+    return m.monthly_value.select(P).distinct()
+
+
+def _rates(spark: SparkSession, d: str) -> DataFrame:
+    return SR.conform_rates(A.landed_rates(spark, d))
+
+
+def _prices(spark: SparkSession, d: str) -> DataFrame:
+    return SR.conform_prices(A.landed_prices(spark, d))
+
+
+def b1_monthly_rate(spark: SparkSession, d: str) -> DataFrame:
+    periods = periods_of(marts(spark, d))
+    monthly = B.monthly_rate_returns(SR.rate_window(_rates(spark, d), periods))
+    return round_doubles(monthly.select(P, "cdi_monthly_return"))
+
+
+def _cdi(spark: SparkSession, d: str, m: Marts) -> DataFrame:
+    return B.cumulative_rate(B.monthly_rate_returns(_rates(spark, d)), periods_of(m))
+
+
+def b2_cumulative_rate(spark: SparkSession, d: str) -> DataFrame:
+    return round_doubles(_cdi(spark, d, marts(spark, d)))
+
+
+def _month_close(spark: SparkSession, d: str, m: Marts) -> DataFrame:
+    return B.month_end_close(SR.price_window(_prices(spark, d), periods_of(m)))
+
+
+def b3_month_end_close(spark: SparkSession, d: str) -> DataFrame:
+    return round_doubles(_month_close(spark, d, marts(spark, d)))
+
+
+def b4_index_returns(spark: SparkSession, d: str) -> DataFrame:
+    return round_doubles(B.index_returns(_month_close(spark, d, marts(spark, d))))
+
+
+def _indices(spark: SparkSession, d: str, m: Marts) -> DataFrame:
+    return B.align_index_returns(B.index_returns(_month_close(spark, d, m)), periods_of(m))
+
+
+def b5_index_returns(spark: SparkSession, d: str) -> DataFrame:
+    return round_doubles(_indices(spark, d, marts(spark, d)))
+
+
+def b7_performance(spark: SparkSession, d: str) -> DataFrame:
+    m = marts(spark, d)
+    return round_doubles(B.performance_vs_benchmarks(m.monthly_wallet, _cdi(spark, d, m),
+                                                     _indices(spark, d, m)))
+
+
+QUERIES.update({
+    "b1_monthly_rate": b1_monthly_rate,
+    "b2_cumulative_rate": b2_cumulative_rate,
+    "b3_month_end_close": b3_month_end_close,
+    "b4_index_returns": b4_index_returns,
+    "b5_index_returns": b5_index_returns,
+    "b7_performance": b7_performance,
+})

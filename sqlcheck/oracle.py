@@ -447,3 +447,96 @@ ORACLE.update({
     "q11_quality_gate": with_base(_generic_sql(None) + "\nUNION ALL\n"
                                   + "\nUNION ALL\n".join(SINGULAR_SQL.values())),
 })
+
+
+# -------------------------------------------------------------- benchmarks --
+BENCH = """
+periods AS (SELECT DISTINCT _reference_period FROM int_monthly_portfolio_value),
+bounds AS (
+  SELECT make_date(CAST(substr(min(_reference_period), 1, 4) AS INTEGER),
+                   CAST(substr(min(_reference_period), 6, 2) AS INTEGER), 1) AS lo,
+         make_date(CAST(substr(max(_reference_period), 1, 4) AS INTEGER),
+                   CAST(substr(max(_reference_period), 6, 2) AS INTEGER), 28) AS hi
+  FROM periods
+),
+landed_rates AS (
+  SELECT strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') AS data,
+         CAST(count(*) % 10 AS DOUBLE) / 100 AS valor
+  FROM orders GROUP BY CAST(o_orderdate AS DATE)
+),
+rates AS (
+  SELECT CAST(strptime(data, '%d/%m/%Y') AS DATE) AS date, valor AS rate_pct FROM landed_rates
+),
+rates_in_window AS (
+  SELECT r.* FROM rates r, bounds b WHERE r.date >= b.lo AND r.date <= b.hi
+),
+cdi_monthly AS (
+  SELECT strftime(date, '%Y-%m') AS _reference_period,
+         (product(1 + rate_pct / 100) - 1) * 100 AS cdi_monthly_return
+  FROM rates_in_window GROUP BY 1
+),
+cdi AS (
+  SELECT p._reference_period, coalesce(m.cdi_monthly_return, 0) AS cdi_monthly_return,
+         (product(1 + coalesce(m.cdi_monthly_return, 0) / 100)
+            OVER (ORDER BY p._reference_period
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1) * 100 AS cdi_cumulative
+  FROM periods p LEFT JOIN cdi_monthly m ON p._reference_period = m._reference_period
+),
+daily_prices AS (
+  SELECT CASE o_orderpriority WHEN '1-URGENT' THEN '^BVSP' ELSE 'DIVO11.SA' END AS symbol,
+         CAST(o_orderdate AS DATE) AS date,
+         max(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END) AS close
+  FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+  GROUP BY 1, 2
+),
+prices AS (
+  SELECT * FROM daily_prices
+  WHERE NOT (symbol = 'DIVO11.SA' AND date < DATE '1996-01-01')
+),
+prices_in_window AS (
+  SELECT p.* FROM prices p, bounds b WHERE p.date >= b.lo AND p.date < b.hi + 5
+),
+month_close AS (
+  SELECT symbol, strftime(date, '%Y-%m') AS _reference_period,
+         arg_max(close, date) FILTER (WHERE close IS NOT NULL) AS close
+  FROM prices_in_window GROUP BY 1, 2
+),
+index_returns AS (
+  SELECT symbol, _reference_period, close,
+         (close / first_value(close) OVER (PARTITION BY symbol ORDER BY _reference_period
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) - 1) * 100 AS return_pct
+  FROM month_close
+),
+index_wide AS (
+  SELECT _reference_period,
+         max(CASE WHEN symbol = '^BVSP' THEN return_pct END) AS ibov,
+         max(CASE WHEN symbol = 'DIVO11.SA' THEN return_pct END) AS divo11
+  FROM index_returns GROUP BY 1
+),
+indices AS (
+  SELECT p._reference_period,
+         coalesce(last_value(w.ibov IGNORE NULLS) OVER run, 0) AS ibov_return,
+         coalesce(last_value(w.divo11 IGNORE NULLS) OVER run, 0) AS divo11_return
+  FROM periods p LEFT JOIN index_wide w ON p._reference_period = w._reference_period
+  WINDOW run AS (ORDER BY p._reference_period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+performance AS (
+  SELECT w._reference_period, w.pct_return,
+         coalesce(c.cdi_cumulative, 0) AS cdi_cumulative,
+         coalesce(i.ibov_return, 0) AS ibov_return,
+         coalesce(i.divo11_return, 0) AS divo11_return
+  FROM fct_monthly_wallet w
+  LEFT JOIN cdi c ON w._reference_period = c._reference_period
+  LEFT JOIN indices i ON w._reference_period = i._reference_period
+)"""
+
+ORACLE.update({
+    "b1_monthly_rate": rounded("SELECT * FROM cdi_monthly", ["cdi_monthly_return"], BENCH),
+    "b2_cumulative_rate": rounded("SELECT * FROM cdi", ["cdi_monthly_return", "cdi_cumulative"],
+                                  BENCH),
+    "b3_month_end_close": rounded("SELECT * FROM month_close", ["close"], BENCH),
+    "b4_index_returns": rounded("SELECT * FROM index_returns", ["close", "return_pct"], BENCH),
+    "b5_index_returns": rounded("SELECT * FROM indices", ["ibov_return", "divo11_return"], BENCH),
+    "b7_performance": rounded("SELECT * FROM performance", [
+        "pct_return", "cdi_cumulative", "ibov_return", "divo11_return"], BENCH),
+})
