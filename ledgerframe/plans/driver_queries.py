@@ -184,3 +184,38 @@ QUERIES.update({
     "b5_index_returns": b5_index_returns,
     "b7_performance": b7_performance,
 })
+
+
+# ------------------------------------------------------------- report ----
+from ..operators import report as R  # noqa: E402
+
+# The driver's monthly sales run from ~0.4 to ~6.7 million, so the statutory
+# 20,000 limit is never the boundary there; the registered query uses a limit
+# inside that range so both answers occur.  The library default stays 20,000.
+DRIVER_SALES_THRESHOLD = 5_000_000.0
+
+
+def _section(fn: Callable[[Marts], DataFrame]) -> Query:
+    return lambda spark, d: round_doubles(fn(marts(spark, d)))
+
+
+QUERIES.update({
+    "r1_latest_kpis": _section(lambda m: R.latest_kpis(m.monthly_wallet)),
+    "r2_allocation": _section(lambda m: R.allocation_by_class(m.monthly_wallet)),
+    "r4_wallet_evolution": _section(lambda m: R.wallet_evolution(m.monthly_wallet)),
+    "r5_equity_detail": _section(lambda m: R.latest_equity_detail(m.stock_detail)),
+    "r6_dividends_by_type": _section(lambda m: R.dividends_by_type(m.dividend_summary)),
+    "r7_dividends_by_ticker": _section(lambda m: R.dividends_by_ticker(m.dividend_summary)),
+    "r8_dividend_detail": _section(lambda m: R.dividend_detail(m.dividend_summary)),
+    "r9_trades_listing": _section(lambda m: R.trades_listing(m.staging["stg_trades"])),
+    "r10_trade_volume": _section(lambda m: R.monthly_trade_volume(m.staging["stg_trades"])),
+    "r11_treasury_latest": _section(lambda m: R.latest_treasury(m.treasury_summary)),
+    "r12_treasury_evolution": _section(lambda m: R.treasury_evolution(m.treasury_summary)),
+    "r13_fixed_income_latest": _section(lambda m: R.latest_fixed_income(m.fixed_income_summary)),
+    "r14_tax_assets": _section(lambda m: R.tax_assets(m.stock_detail)),
+    "r15_tax_exempt": _section(lambda m: R.tax_exempt_income(m.dividend_summary)),
+    "r16_tax_taxable": _section(lambda m: R.tax_taxable_income(m.dividend_summary)),
+    "r17_monthly_sales_flag": _section(
+        lambda m: R.monthly_sales_flag(m.staging["stg_trades"], DRIVER_SALES_THRESHOLD)),
+    "r18_periods": _section(lambda m: R.report_periods(m.monthly_wallet)),
+})

@@ -540,3 +540,152 @@ ORACLE.update({
     "b7_performance": rounded("SELECT * FROM performance", [
         "pct_return", "cdi_cumulative", "ibov_return", "divo11_return"], BENCH),
 })
+
+
+# ------------------------------------------------------------------ report --
+_LABELS = (("01", "Jan"), ("02", "Fev"), ("03", "Mar"), ("04", "Abr"), ("05", "Mai"),
+           ("06", "Jun"), ("07", "Jul"), ("08", "Ago"), ("09", "Set"), ("10", "Out"),
+           ("11", "Nov"), ("12", "Dez"))
+
+
+def label_sql(p: str) -> str:
+    parts = f"string_split({p}, '-')"
+    cases = " ".join(f"WHEN '{m}' THEN '{lab}'" for m, lab in _LABELS)
+    return (f"(CASE WHEN len({parts}) = 2 THEN coalesce(CASE {parts}[2] {cases} END, {parts}[2])"
+            f" || '/' || substr({parts}[1], 3) ELSE {p} END)")
+
+
+def latest(table: str) -> str:
+    return (f"(SELECT * FROM {table} WHERE _reference_period = "
+            f"(SELECT max(_reference_period) FROM {table}))")
+
+
+def totalled(detail_sql: str, body_cols: list[str], sum_cols: list[str]) -> str:
+    """detail rows + a total row summing ``sum_cols`` (other columns NULL)."""
+    total_cols = ", ".join(f"sum({c}) AS {c}" if c in sum_cols else f"NULL AS {c}"
+                           for c in body_cols)
+    cols = ", ".join(body_cols)
+    return (f"SELECT {cols}, false AS is_total FROM ({detail_sql}) AS d "
+            f"UNION ALL SELECT {total_cols}, true AS is_total FROM ({detail_sql}) AS d "
+            f"HAVING count(*) > 0")
+
+
+_ASSET_LABEL = "CASE WHEN asset_type = 'etf' THEN 'ETF' ELSE 'Ação' END"
+
+REPORT = {
+    "r1_latest_kpis": rounded(
+        f"SELECT _reference_period, total_portfolio_value, total_invested, absolute_gain_loss, "
+        f"pct_return / 100 AS pct_return FROM {latest('fct_monthly_wallet')} AS l",
+        ["total_portfolio_value", "total_invested", "absolute_gain_loss", "pct_return"]),
+    "r2_allocation": rounded(
+        "SELECT _reference_period, asset_class, value, "
+        "CASE WHEN t > 0 THEN value / t ELSE 0 END AS share FROM ("
+        "SELECT _reference_period, 'Ações & ETFs' AS asset_class, equity_value AS value, "
+        "equity_value + treasury_value + fixed_income_value AS t FROM l "
+        "UNION ALL SELECT _reference_period, 'Tesouro Direto', treasury_value, "
+        "equity_value + treasury_value + fixed_income_value FROM l "
+        "UNION ALL SELECT _reference_period, 'Renda Fixa', fixed_income_value, "
+        "equity_value + treasury_value + fixed_income_value FROM l) AS s",
+        ["value", "share"], f"l AS {latest('fct_monthly_wallet')}"),
+    "r4_wallet_evolution": rounded(
+        f"SELECT _reference_period, {label_sql('_reference_period')} AS period_label, "
+        "total_portfolio_value, equity_value, treasury_value, fixed_income_value, total_invested, "
+        "absolute_gain_loss, pct_return / 100 AS pct_return FROM fct_monthly_wallet",
+        ["total_portfolio_value", "equity_value", "treasury_value", "fixed_income_value",
+         "total_invested", "absolute_gain_loss", "pct_return"]),
+    "r5_equity_detail": rounded(
+        totalled(f"SELECT ticker, {_ASSET_LABEL} AS asset_type, total_quantity, "
+                 "mean_purchase_price, current_closing_price, total_invested, total_current_value, "
+                 "unrealized_gain_loss, pct_price_change / 100 AS pct_price_change "
+                 f"FROM {latest('fct_stock_detail')} AS l",
+                 ["ticker", "asset_type", "total_quantity", "mean_purchase_price",
+                  "current_closing_price", "total_invested", "total_current_value",
+                  "unrealized_gain_loss", "pct_price_change"],
+                 ["total_quantity", "total_invested", "total_current_value",
+                  "unrealized_gain_loss"]),
+        ["mean_purchase_price", "current_closing_price", "total_invested", "total_current_value",
+         "unrealized_gain_loss", "pct_price_change"]).replace(
+             "sum(total_quantity) AS total_quantity",
+             "CAST(sum(total_quantity) AS BIGINT) AS total_quantity"),
+    "r6_dividends_by_type": rounded(
+        "SELECT event_type, coalesce(sum(total_income), 0) AS total, "
+        "CAST(sum(num_payments) AS BIGINT) AS payments, false AS is_total "
+        "FROM fct_dividend_summary WHERE event_type IS NOT NULL GROUP BY event_type "
+        "UNION ALL SELECT NULL, coalesce(sum(total_income), 0), "
+        "CAST(sum(num_payments) AS BIGINT), true FROM fct_dividend_summary HAVING count(*) > 0",
+        ["total"]),
+    "r7_dividends_by_ticker": rounded(
+        "SELECT ticker, coalesce(sum(total_income), 0) AS total, "
+        "CAST(sum(num_payments) AS BIGINT) AS payments "
+        "FROM fct_dividend_summary WHERE ticker IS NOT NULL GROUP BY ticker", ["total"]),
+    "r8_dividend_detail": rounded(
+        f"SELECT ticker, _reference_period, {label_sql('_reference_period')} AS period_label, "
+        "event_type, total_income, total_shares, num_payments FROM fct_dividend_summary",
+        ["total_income", "total_shares"]),
+    "r9_trades_listing": rounded(
+        totalled("SELECT ticker, _reference_period, "
+                 f"{label_sql('_reference_period')} AS period_label, institution, "
+                 "CASE WHEN buy_quantity > 0 THEN buy_quantity END AS buy_quantity, "
+                 "CASE WHEN avg_buy_price > 0 THEN avg_buy_price END AS avg_buy_price, "
+                 "CASE WHEN buy_quantity * avg_buy_price > 0 THEN buy_quantity * avg_buy_price END "
+                 "AS total_buy_cost, "
+                 "CASE WHEN sell_quantity > 0 THEN sell_quantity END AS sell_quantity, "
+                 "CASE WHEN avg_sell_price > 0 THEN avg_sell_price END AS avg_sell_price, "
+                 "CASE WHEN sell_quantity * avg_sell_price > 0 THEN sell_quantity * avg_sell_price "
+                 "END AS total_sell_value FROM stg_trades",
+                 ["ticker", "_reference_period", "period_label", "institution", "buy_quantity",
+                  "avg_buy_price", "total_buy_cost", "sell_quantity", "avg_sell_price",
+                  "total_sell_value"],
+                 ["buy_quantity", "total_buy_cost", "sell_quantity", "total_sell_value"]),
+        ["buy_quantity", "avg_buy_price", "total_buy_cost", "sell_quantity", "avg_sell_price",
+         "total_sell_value"]),
+    "r10_trade_volume": rounded(
+        "SELECT _reference_period, coalesce(sum(buy_quantity * avg_buy_price), 0) AS total_compras, "
+        "coalesce(sum(sell_quantity * avg_sell_price), 0) AS total_vendas FROM stg_trades "
+        "WHERE _reference_period IS NOT NULL GROUP BY _reference_period",
+        ["total_compras", "total_vendas"]),
+    "r11_treasury_latest": rounded(
+        totalled(f"SELECT * FROM {latest('fct_treasury_summary')} AS l",
+                 ["product_name", "index_type", "maturity_date", "_reference_period",
+                  "total_quantity", "total_invested", "total_gross", "total_net",
+                  "total_current_value", "gain_loss"],
+                 ["total_invested", "total_gross", "total_net", "total_current_value",
+                  "gain_loss"]),
+        ["total_quantity", "total_invested", "total_gross", "total_net", "total_current_value",
+         "gain_loss"]),
+    "r12_treasury_evolution": rounded(
+        "SELECT _reference_period, coalesce(sum(total_invested), 0) AS investido, "
+        "coalesce(sum(total_current_value), 0) AS atual FROM fct_treasury_summary "
+        "WHERE _reference_period IS NOT NULL GROUP BY _reference_period", ["investido", "atual"]),
+    "r13_fixed_income_latest": rounded(
+        totalled(f"SELECT * FROM {latest('fct_fixed_income_summary')} AS l",
+                 ["product_name", "issuer", "code", "index_type", "regime_type", "issue_date",
+                  "maturity_date", "_reference_period", "total_quantity", "total_curva_value"],
+                 ["total_curva_value"]),
+        ["total_quantity", "total_curva_value"]),
+    "r14_tax_assets": rounded(
+        totalled(f"SELECT ticker, {_ASSET_LABEL} AS asset_type, total_quantity, "
+                 f"mean_purchase_price, total_invested FROM {latest('fct_stock_detail')} AS l",
+                 ["ticker", "asset_type", "total_quantity", "mean_purchase_price",
+                  "total_invested"], ["total_invested"]),
+        ["mean_purchase_price", "total_invested"]),
+    "r15_tax_exempt": rounded(
+        totalled("SELECT ticker, coalesce(sum(total_income), 0) AS total_income "
+                 "FROM fct_dividend_summary WHERE regexp_matches(event_type, 'Dividendo', 'i') "
+                 "AND ticker IS NOT NULL GROUP BY ticker",
+                 ["ticker", "total_income"], ["total_income"]), ["total_income"]),
+    "r16_tax_taxable": rounded(
+        totalled("SELECT ticker, coalesce(sum(total_income), 0) AS total_income "
+                 "FROM fct_dividend_summary WHERE regexp_matches(event_type, 'JCP|Juros', 'i') "
+                 "AND ticker IS NOT NULL GROUP BY ticker",
+                 ["ticker", "total_income"], ["total_income"]), ["total_income"]),
+    "r17_monthly_sales_flag": rounded(
+        "SELECT _reference_period, s AS total_sell_value, "
+        "CASE WHEN s > 5000000.0 THEN 'SIM' ELSE 'NÃO' END AS above_threshold FROM ("
+        "SELECT _reference_period, coalesce(sum(sell_quantity * avg_sell_price), 0) AS s "
+        "FROM stg_trades WHERE sell_quantity > 0 AND _reference_period IS NOT NULL "
+        "GROUP BY _reference_period) AS m", ["total_sell_value"]),
+    "r18_periods": rounded("SELECT DISTINCT _reference_period FROM fct_monthly_wallet "
+                           "WHERE _reference_period IS NOT NULL", []),
+}
+ORACLE.update(REPORT)
