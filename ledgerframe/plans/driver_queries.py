@@ -219,3 +219,84 @@ QUERIES.update({
         lambda m: R.monthly_sales_flag(m.staging["stg_trades"], DRIVER_SALES_THRESHOLD)),
     "r18_periods": _section(lambda m: R.report_periods(m.monthly_wallet)),
 })
+
+
+# ----------------------------------------------------------- ingestion ----
+from ..functions.periods import period_from_filename  # noqa: E402
+from ..functions.text import sanitize_header  # noqa: E402
+from ..sources import workbook as WB  # noqa: E402
+
+# Month words as they appear in statement file names (March with its cedilla,
+# which the period rule maps to month 00).
+FILE_MONTH_WORDS = ("janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho",
+                    "agosto", "setembro", "outubro", "novembro", "dezembro")
+
+
+def i2_period_from_name(spark: SparkSession, d: str) -> DataFrame:
+    """Statement file names derived from order dates (lower-case month word
+    for status F, capitalised for O, a name without the pattern for P) and
+    the period each one yields."""
+    o = A.read_table(spark, d, "orders")
+    word = F.element_at(F.array(*[F.lit(w) for w in FILE_MONTH_WORDS]), F.month("o_orderdate"))
+    word = F.when(F.col("o_orderstatus") == "O",
+                  F.concat(F.upper(F.left(word, F.lit(1))), F.substring(word, 2, 100)))\
+        .otherwise(word)
+    year = F.year("o_orderdate").cast("string")
+    name = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("extrato-"), year, F.lit(".xlsx")))\
+        .otherwise(F.concat(F.lit("relatorio-consolidado-mensal-"), year, F.lit("-"), word,
+                            F.lit(".xlsx")))
+    names = o.select(name.alias("file_name")).distinct()
+    return names.select("file_name", period_from_filename("file_name").alias("_reference_period"))
+
+
+def i8_column_coercion(spark: SparkSession, d: str) -> DataFrame:
+    """All-or-nothing numeric coercion per (file, sheet, column) over text
+    cells built from orders: a decimal-comma amount (always numeric), a
+    client column with a dash for pending orders, a status text."""
+    o = A.read_table(spark, d, "orders")
+    cells = F.array(
+        F.struct(F.lit("Valor").alias("column_name"),
+                 F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(","))
+                 .alias("value")),
+        F.struct(F.lit("Cliente").alias("column_name"),
+                 F.when(F.col("o_orderstatus") == "P", F.lit("-"))
+                 .otherwise(F.col("o_custkey").cast("string")).alias("value")),
+        F.struct(F.lit("Status").alias("column_name"), F.col("o_orderstatus").alias("value")))
+    long = o.select(F.concat(F.lit("orders-"), F.date_format("o_orderdate", "yyyy-MM"))
+                    .alias("source_file"), F.col("o_orderpriority").alias("sheet_name"),
+                    F.inline(cells))
+    return WB.column_coercion(long, ["source_file", "sheet_name", "column_name"])
+
+
+def i9_sparse_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Sheet rows built from lineitem with four optional cells; rows with
+    fewer than two filled cells are dropped."""
+    li = A.read_table(spark, d, "lineitem")
+    cells = F.map_filter(F.create_map(
+        F.lit("flag"), F.nullif(F.col("l_returnflag"), F.lit("N")),
+        F.lit("status"), F.nullif(F.col("l_linestatus"), F.lit("O")),
+        F.lit("discount"), F.when(F.col("l_discount") > 0.05, F.col("l_discount").cast("string")),
+        F.lit("tax"), F.when(F.col("l_tax") > 0.04, F.col("l_tax").cast("string"))),
+        lambda k, v: v.isNotNull())
+    rows = li.select("l_orderkey", "l_linenumber", cells.alias("cells"))
+    kept = rows.filter(WB.sparse_row_kept(F.col("cells"), F.lit(4)))
+    return kept.select("l_orderkey", "l_linenumber", F.size("cells").alias("filled_cells"))
+
+
+def i10_header_sanitise(spark: SparkSession, d: str) -> DataFrame:
+    """Header cleaning applied to whole document texts (accented prose)."""
+    docs = A.read_table(spark, d, "documents")
+    return docs.select("doc_id", "lang", sanitize_header("text").alias("header"))
+
+
+def i14_load_summary(spark: SparkSession, d: str) -> DataFrame:
+    return WB.load_summary(A.raw_tables(spark, d))
+
+
+QUERIES.update({
+    "i2_period_from_name": i2_period_from_name,
+    "i8_column_coercion": i8_column_coercion,
+    "i9_sparse_rows": i9_sparse_rows,
+    "i10_header_sanitise": i10_header_sanitise,
+    "i14_load_summary": i14_load_summary,
+})

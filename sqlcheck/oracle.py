@@ -689,3 +689,61 @@ REPORT = {
                            "WHERE _reference_period IS NOT NULL", []),
 }
 ORACLE.update(REPORT)
+
+
+# --------------------------------------------------------------- ingestion --
+_MONTH_WORDS = ("janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto",
+                "setembro", "outubro", "novembro", "dezembro")
+_MONTH_KEYS = (("janeiro", "01"), ("fevereiro", "02"), ("marco", "03"), ("abril", "04"),
+               ("maio", "05"), ("junho", "06"), ("julho", "07"), ("agosto", "08"),
+               ("setembro", "09"), ("outubro", "10"), ("novembro", "11"), ("dezembro", "12"))
+_NAME_RE = r"(\p{Nd}{4})-([\p{L}\p{N}_]+)\.xlsx$"
+
+
+def _period_from_name_sql(n: str) -> str:
+    word = f"regexp_extract({n}, '{_NAME_RE}', 2)"
+    cases = " ".join(f"WHEN '{w}' THEN '{m}'" for w, m in _MONTH_KEYS)
+    return (f"CASE WHEN regexp_matches({n}, '{_NAME_RE}') THEN "
+            f"regexp_extract({n}, '{_NAME_RE}', 1) || '-' || (CASE {word} {cases} ELSE '00' END) "
+            f"ELSE {n} END")
+
+
+_WORD_LIST = "[" + ", ".join(f"'{w}'" for w in _MONTH_WORDS) + "]"
+
+INGEST = {
+    "i2_period_from_name": (
+        "SELECT file_name, " + _period_from_name_sql("file_name") + " AS _reference_period FROM ("
+        "SELECT DISTINCT CASE WHEN o_orderstatus = 'P' "
+        "THEN 'extrato-' || CAST(year(o_orderdate) AS VARCHAR) || '.xlsx' "
+        "ELSE 'relatorio-consolidado-mensal-' || CAST(year(o_orderdate) AS VARCHAR) || '-' || "
+        "(CASE WHEN o_orderstatus = 'O' THEN upper(left(w, 1)) || substr(w, 2) ELSE w END) "
+        "|| '.xlsx' END AS file_name "
+        f"FROM (SELECT *, {_WORD_LIST}[month(o_orderdate)] AS w FROM orders) AS o) AS n"),
+    "i8_column_coercion": (
+        "SELECT source_file, sheet_name, column_name, count(value) AS n_values, "
+        "count(TRY_CAST(replace(value, ',', '.') AS DOUBLE)) AS n_numeric, "
+        "CASE WHEN count(value) > 0 AND count(TRY_CAST(replace(value, ',', '.') AS DOUBLE)) "
+        "= count(value) THEN 'numeric' ELSE 'text' END AS decision FROM ("
+        "SELECT 'orders-' || strftime(o_orderdate, '%Y-%m') AS source_file, "
+        "o_orderpriority AS sheet_name, c.column_name, c.value FROM orders, "
+        "LATERAL (VALUES ('Valor', replace(CAST(o_totalprice AS VARCHAR), '.', ',')), "
+        "('Cliente', CASE WHEN o_orderstatus = 'P' THEN '-' ELSE CAST(o_custkey AS VARCHAR) END), "
+        "('Status', o_orderstatus)) AS c(column_name, value)) AS cells "
+        "GROUP BY source_file, sheet_name, column_name"),
+    "i9_sparse_rows": (
+        "SELECT l_orderkey, l_linenumber, filled_cells FROM ("
+        "SELECT l_orderkey, l_linenumber, "
+        "CAST((CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END) + "
+        "(CASE WHEN l_linestatus <> 'O' THEN 1 ELSE 0 END) + "
+        "(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END) + "
+        "(CASE WHEN l_tax > 0.04 THEN 1 ELSE 0 END) AS INTEGER) AS filled_cells "
+        "FROM lineitem) AS r WHERE filled_cells >= 2"),
+    "i10_header_sanitise": (
+        "SELECT doc_id, lang, translate(text, ' /ãçéíóúÃÇÉÍÓÚâêôá()', '__aceiouACEIOUaeoa') "
+        "AS header FROM documents"),
+}
+ORACLE.update(INGEST)
+ORACLE["i14_load_summary"] = with_base(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+    for t in ("raw_stock_positions", "raw_etf_positions", "raw_fixed_income",
+              "raw_treasury_bonds", "raw_dividends", "raw_trades", "raw_stock_lending")))
