@@ -1,0 +1,5 @@
+"""Incremental landing of statement files with Structured Streaming."""
+
+from .landing import start_statement_stream
+
+__all__ = ["start_statement_stream"]

@@ -1,0 +1,47 @@
+"""Statement files arriving over time, landed incrementally.
+
+The batch loader rebuilds every raw table from all files on each run.  For
+a folder that keeps receiving monthly workbooks, this stream reads each new
+file once (``binaryFile`` file source, exactly-once through the checkpoint),
+parses it with the same ``mapInPandas`` body, and in ``foreachBatch``
+overwrites only the ``_reference_period`` partitions present in the batch
+(dynamic partition overwrite): a corrected statement for a month replaces
+that month, other months stay untouched.  Marts are then rebuilt from the
+raw tables by :func:`ledgerframe.plans.pipeline.run` or per month.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..sinks import write_table
+from ..sources import workbook as WB
+
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def _land_batch(out_dir: str):
+    def land(batch: DataFrame, batch_id: int) -> None:
+        landed = WB.land_workbooks(batch).persist()
+        try:
+            for table, df in WB.land_raw_tables(landed).items():
+                write_table(df, f"{out_dir}/{table}", full_refresh=False)
+        finally:
+            landed.unpersist()
+    return land
+
+
+def start_statement_stream(spark: SparkSession, folder: str, out_dir: str,
+                           checkpoint: str, once: bool = False,
+                           max_files_per_trigger: int = 50) -> StreamingQuery:
+    """Start landing ``*.xlsx`` files of ``folder`` into ``out_dir``.
+    ``checkpoint`` must be on shared storage (it holds the file log)."""
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("pathGlobFilter", "*.xlsx")
+             .option("maxFilesPerTrigger", max_files_per_trigger)
+             .load(folder))
+    writer = (files.writeStream.foreachBatch(_land_batch(out_dir))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
+    return writer.start()
