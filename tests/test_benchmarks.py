@@ -1,0 +1,65 @@
+"""B1-B7, I15-I17 on the benchmark edge cases of FIXTURES.md section 4."""
+
+import datetime as dt
+
+import pytest
+
+from ledgerframe.operators import benchmarks as B
+from ledgerframe.sources import series as SR
+
+
+def periods_df(spark, *ps):
+    return spark.createDataFrame([(p,) for p in ps], "_reference_period string")
+
+
+def by_period(df):
+    return {r._reference_period: r for r in df.collect()}
+
+
+def test_rates_compound_cumulate_and_day28_cut(spark):
+    landed = spark.createDataFrame(
+        [("02/01/2024", "1.0"), ("03/01/2024", "1,0x"), ("03/01/2024", "1.0"),
+         ("29/02/2024", "5.0"), ("15/12/2023", "9.0")], "data string, valor string")
+    rates = SR.conform_rates(landed)
+    periods = periods_df(spark, "2024-01", "2024-02")
+    cdi = by_period(B.cumulative_rate(B.monthly_rate_returns(rates), periods))
+    assert cdi["2024-01"].cdi_monthly_return == pytest.approx(2.01)
+    assert cdi["2024-02"].cdi_monthly_return == 0.0          # day 29 of the last period is cut
+    assert cdi["2024-02"].cdi_cumulative == pytest.approx(2.01)
+    windowed = by_period(B.monthly_rate_returns(SR.rate_window(rates, periods)))
+    assert set(windowed) == {"2024-01"}
+
+
+def test_index_gaps_forward_fill_and_late_series(spark):
+    d = dt.date
+    prices = spark.createDataFrame(
+        [("^BVSP", d(2024, 1, 10), 100.0), ("^BVSP", d(2024, 3, 5), 110.0),
+         ("^BVSP", d(2024, 3, 20), None),
+         ("DIVO11.SA", d(2024, 2, 1), 50.0), ("DIVO11.SA", d(2024, 3, 1), 55.0)],
+        "symbol string, date date, close double")
+    periods = periods_df(spark, "2024-01", "2024-02", "2024-03")
+    closes = B.month_end_close(SR.price_window(prices, periods))
+    ret = by_period(B.align_index_returns(B.index_returns(closes), periods))
+    assert [ret[p].ibov_return for p in ("2024-01", "2024-02", "2024-03")] == \
+        pytest.approx([0.0, 0.0, 10.0])
+    assert [ret[p].divo11_return for p in ("2024-01", "2024-02", "2024-03")] == \
+        pytest.approx([0.0, 0.0, 10.0])                         # base = series' first month
+
+
+def test_close_column_fallback(spark):
+    df = spark.createDataFrame([("X", "2024-01-02", 3.0)], "symbol string, date string, adj_close double")
+    assert SR.conform_prices(df).collect()[0].close == 3.0
+
+
+def test_empty_benchmarks_give_zeros(spark):
+    wallet = spark.createDataFrame([("2024-01", 5.0), ("2024-02", 7.0)],
+                                   "_reference_period string, pct_return double")
+    periods = periods_df(spark, "2024-01", "2024-02")
+    no_rates = spark.createDataFrame([], "date date, rate_pct double")
+    no_prices = spark.createDataFrame([], "symbol string, date date, close double")
+    cdi = B.cumulative_rate(B.monthly_rate_returns(no_rates), periods)
+    idx = B.align_index_returns(B.index_returns(B.month_end_close(no_prices)), periods)
+    perf = by_period(B.performance_vs_benchmarks(wallet, cdi, idx))
+    assert perf["2024-02"].pct_return == 7.0
+    assert (perf["2024-02"].cdi_cumulative, perf["2024-02"].ibov_return,
+            perf["2024-02"].divo11_return) == (0.0, 0.0, 0.0)
