@@ -31,8 +31,9 @@ class RunResult:
     report: dict[str, str]
 
 
-def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {t: read_table(spark, root, t) for t in RAW_SCHEMAS}
+def read_raw(spark: SparkSession, root: str, schemas: dict | None = None) -> dict[str, DataFrame]:
+    schemas = schemas or {}
+    return {t: read_table(spark, root, t, schemas.get(t, RAW_SCHEMAS[t])) for t in RAW_SCHEMAS}
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
@@ -41,7 +42,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     """Run everything from raw tables already in memory or on storage."""
     raw_root, mart_root = f"{out_dir}/raw", f"{out_dir}/marts"
     write_tables(raw, raw_root)                                        # K1
-    stored_raw = read_raw(spark, raw_root)
+    stored_raw = read_raw(spark, raw_root, {t: df.schema for t, df in raw.items()})
     summary = WB.load_summary(stored_raw)                              # I14
 
     marts = build_marts(stored_raw, keys)
@@ -50,9 +51,10 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     if gate:
         Q.gate(staging_checks)
 
-    mart_paths = write_tables(marts.mart_tables(), mart_root,
+    mart_dfs = marts.mart_tables()
+    mart_paths = write_tables(mart_dfs, mart_root,
                               order={m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()})
-    stored = {m: read_table(spark, mart_root, m) for m in mart_paths}  # K2
+    stored = {m: read_table(spark, mart_root, m, mart_dfs[m].schema) for m in mart_paths}  # K2
     tables = {**marts.tables(), **stored}
     checks = Q.run_checks(tables, keys)
     if gate:

@@ -46,8 +46,12 @@ def write_tables(tables: dict[str, DataFrame], root: str, order: dict | None = N
             for name, df in tables.items()}
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
+    """Read a written table; pass the schema it was written with so that an
+    empty table (no data files under its partition directories) reads back
+    typed instead of failing schema inference."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{root}/{name}")
 
 
 def write_report(sections: dict[str, DataFrame], root: str, csv: bool = False) -> dict[str, str]:
