@@ -23,9 +23,14 @@ UNKNOWN_MONTH = "00"
 # word class is Unicode letters/digits/underscore, so "março" is one word (it
 # then maps to "00", because the table key is spelled without the cedilla).
 FILENAME_PERIOD_PATTERN = r"(\p{Nd}{4})-([\p{L}\p{N}_]+)\.xlsx$"
+
 # ---------------------------------------------------------------------------
 
 
+def _filename_pattern(extension: str) -> str:
+    return FILENAME_PERIOD_PATTERN.replace(r"\.xlsx$", r"\." + extension + "$")
+
+
 def _literal_map(mapping: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
 
@@ -35,16 +40,18 @@ def period_of(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def period_from_filename(name: Column | str) -> Column:
+def period_from_filename(name: Column | str, extension: str = "xlsx") -> Column:
     """Reference period from a statement file name.
 
     ``relatorio-2024-junho.xlsx`` -> ``2024-06``; an unknown month word gives
-    month ``00``; a name without the pattern is returned unchanged.
+    month ``00``; a name without the pattern is returned unchanged.  Other
+    landings (``csv``) use the same rule with their own extension.
     """
     name = F.col(name) if isinstance(name, str) else name
-    matched = F.regexp_like(name, F.lit(FILENAME_PERIOD_PATTERN))
-    year = F.regexp_extract(name, FILENAME_PERIOD_PATTERN, 1)
-    word = F.regexp_extract(name, FILENAME_PERIOD_PATTERN, 2)
+    pattern = _filename_pattern(extension)
+    matched = F.regexp_like(name, F.lit(pattern))
+    year = F.regexp_extract(name, pattern, 1)
+    word = F.regexp_extract(name, pattern, 2)
     month = F.coalesce(F.try_element_at(_literal_map(MONTH_NUMBERS), word),
                        F.lit(UNKNOWN_MONTH))
     return F.when(matched, F.concat(year, F.lit("-"), month)).otherwise(name)

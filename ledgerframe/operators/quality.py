@@ -11,9 +11,10 @@ failures BIGINT)``; ``failures`` counts what a failing test would return:
                           NULL passes;
 * singular checks         rows breaking a business invariant.
 
-All not-null tests of one table run as a single aggregate pass (one
-``count_if`` per column) that is then unpivoted; nothing is collected until
-:func:`gate` reads the small result.
+All row-level checks of one table (not-null, ranges, accepted values and the
+singular invariants) run as a single aggregate pass over that table, and
+each uniqueness key set as one grouped pass; nothing is collected until
+:func:`gate` reads the small result (one row per check).
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 P = "_reference_period"
 RESULT_COLUMNS = ("check_name", "table_name", "column_name", "failures")
@@ -182,6 +183,7 @@ GENERIC_CHECKS: tuple[Check, ...] = (
 
 
 def run_check(tables: dict[str, DataFrame], check: Check, keys: Sequence[str] = ()) -> DataFrame:
+    """One declared check on its own (one pass over its table)."""
     df = tables[check.table]
     cols = [*keys, *check.columns] if check.kind in ("unique", "unique_combination") else None
     if check.kind == "not_null":
@@ -200,13 +202,81 @@ def run_check(tables: dict[str, DataFrame], check: Check, keys: Sequence[str] =
     raise ValueError(f"unknown check kind {check.kind}")
 
 
+# A row-level metric: (check name, column name, aggregate counting failures).
+Metric = tuple[str, str, Column]
+
+
+def _row_metrics(check: Check) -> list[Metric]:
+    if check.kind == "not_null":
+        return [("not_null", c, F.count_if(F.col(c).isNull())) for c in check.columns]
+    c = check.columns[0]
+    if check.kind == "accepted_range":
+        ok = (F.col(c) >= F.lit(check.min_value)) if check.inclusive else \
+            (F.col(c) > F.lit(check.min_value))
+        return [("accepted_range", c, F.count_if(~ok))]
+    if check.kind == "accepted_values":
+        return [("accepted_values", c,
+                 F.count_distinct(F.when(~F.col(c).isin(*check.values), F.col(c))))]
+    return []
+
+
+def _singular_metrics(table: str) -> list[Metric]:
+    t = F.col("ticker")
+    return {
+        "stg_trades": [("no_f_suffix_in_trades", "ticker",
+                        F.count_if(t.like("%F") & (F.length(t) > 1)))],
+        "int_all_equity_positions": [("no_negative_quantities", "total_quantity",
+                                      F.count_if(F.col("total_quantity") < 0))],
+        "fct_monthly_wallet": [("portfolio_value_positive", "total_portfolio_value",
+                                F.count_if(F.col("total_portfolio_value") < 0)),
+                               ("reference_period_format", P, F.count_if(~F.col(P).rlike(PERIOD_FORMAT)))],
+        "fct_stock_detail": [("reference_period_format", P, F.count_if(~F.col(P).rlike(PERIOD_FORMAT)))],
+        "fct_dividend_summary": [("reference_period_format", P,
+                                  F.count_if(~F.col(P).rlike(PERIOD_FORMAT)))],
+        "int_weighted_avg_price": [(
+            "weighted_avg_price_consistent", "weighted_avg_price",
+            F.count_if((F.col("total_shares_bought") > 0) & (F.abs(
+                F.col("weighted_avg_price") -
+                F.try_divide(F.col("total_invested"), F.col("total_shares_bought"))) > 0.01)))],
+    }.get(table, [])
+
+
+def _one_pass(df: DataFrame, table: str, metrics: list[Metric]) -> DataFrame:
+    """All row-level metrics of one table in a single aggregate, returned as
+    one result row per metric."""
+    agg = df.agg(*[m.alias(f"_m{i}") for i, (_, _, m) in enumerate(metrics)])
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+                              F.lit(col).alias("column_name"),
+                              F.col(f"_m{i}").cast("bigint").alias("failures"))
+                     for i, (name, col, _) in enumerate(metrics)])
+    return agg.select(F.inline(rows))
+
+
+def batched_checks(tables: dict[str, DataFrame], kinds: Sequence[str] | None = None,
+                   singular: bool = True, keys: Sequence[str] = ()) -> DataFrame:
+    """Declared checks (and the singular ones) with one scan per table for
+    every row-level check, plus one grouped pass per uniqueness key set."""
+    parts: list[DataFrame] = []
+    for table, df in tables.items():
+        checks = [c for c in GENERIC_CHECKS if c.table == table and (kinds is None or c.kind in kinds)]
+        metrics = [m for c in checks for m in _row_metrics(c)]
+        if singular:
+            metrics += _singular_metrics(table)
+        if metrics:
+            parts.append(_one_pass(df, table, metrics))
+        parts += [run_check(tables, c, keys) for c in checks
+                  if c.kind in ("unique", "unique_combination")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def generic_checks(tables: dict[str, DataFrame], kind: str | None = None,
                    keys: Sequence[str] = ()) -> DataFrame:
     """The declared checks of the given kind over the tables provided (checks
     of tables not in ``tables`` are skipped, so a stage can be gated alone)."""
-    parts = [run_check(tables, c, keys) for c in GENERIC_CHECKS
-             if kind in (None, c.kind) and c.table in tables]
-    return reduce(DataFrame.unionByName, parts)
+    kinds = [kind] if kind else None
+    return batched_checks({t: df for t, df in tables.items()
+                           if any(c.table == t for c in GENERIC_CHECKS)}, kinds,
+                          singular=False, keys=keys)
 
 
 def singular_checks(tables: dict[str, DataFrame]) -> DataFrame:
@@ -220,8 +290,9 @@ def singular_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
-    """Q11 input: every generic and singular check over the given models."""
-    return generic_checks(tables, keys=keys).unionByName(singular_checks(tables))
+    """Q11 input: every generic and singular check over the given models,
+    batched per table."""
+    return batched_checks(tables, keys=keys)
 
 
 class QualityGateError(RuntimeError):
