@@ -12,7 +12,7 @@ Dependency graph (each arrow a DataFrame function)::
 
 Nothing here triggers a job.  When several marts are written in one run the
 caller may ``persist`` the shared intermediates (T2, T3); see
-:mod:`ledgerframe.plans.pipeline`.
+:mod:`ledgerframe.plans.statement_run`.
 """
 
 from __future__ import annotations

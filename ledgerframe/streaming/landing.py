@@ -7,7 +7,7 @@ parses it with the same ``mapInPandas`` body, and in ``foreachBatch``
 overwrites only the ``_reference_period`` partitions present in the batch
 (dynamic partition overwrite): a corrected statement for a month replaces
 that month, other months stay untouched.  Marts are then rebuilt from the
-raw tables by :func:`ledgerframe.plans.pipeline.run` or per month.
+raw tables by :func:`ledgerframe.plans.statement_run.run` or per month.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from ledgerframe.plans import pipeline
+from ledgerframe.plans import statement_run
 from ledgerframe.sinks import read_table
 from ledgerframe.streaming import start_statement_stream
 from test_workbook_landing import _june, _march, _plain
@@ -15,7 +15,7 @@ def test_full_run_writes_marts_and_report(spark, tmp_dir):
     os.makedirs(src)
     _june(src), _march(src), _plain(src)
     out = os.path.join(tmp_dir, "out")
-    res = pipeline.run_workbooks(spark, src, out, gate=False)
+    res = statement_run.run_workbooks(spark, src, out, gate=False)
     wallet = read_table(spark, f"{out}/marts", "fct_monthly_wallet")
     assert {r._reference_period for r in wallet.collect()} == {"2024-06", "2024-00", "extrato.xlsx"}
     kpis = spark.read.parquet(res.report["latest_kpis"]).collect()
