@@ -257,13 +257,13 @@ def batched_checks(tables: dict[str, DataFrame], kinds: Sequence[str] | None = N
     """Declared checks (and the singular ones) with one scan per table for
     every row-level check, plus one grouped pass per uniqueness key set."""
     parts: list[DataFrame] = []
-    for table, df in tables.items():
+    for table in tables:
         checks = [c for c in GENERIC_CHECKS if c.table == table and (kinds is None or c.kind in kinds)]
         metrics = [m for c in checks for m in _row_metrics(c)]
         if singular:
             metrics += _singular_metrics(table)
-        if metrics:
-            parts.append(_one_pass(df, table, metrics))
+        if metrics:                      # tables without checks are never built
+            parts.append(_one_pass(tables[table], table, metrics))
         parts += [run_check(tables, c, keys) for c in checks
                   if c.kind in ("unique", "unique_combination")]
     return reduce(DataFrame.unionByName, parts)
@@ -274,9 +274,7 @@ def generic_checks(tables: dict[str, DataFrame], kind: str | None = None,
     """The declared checks of the given kind over the tables provided (checks
     of tables not in ``tables`` are skipped, so a stage can be gated alone)."""
     kinds = [kind] if kind else None
-    return batched_checks({t: df for t, df in tables.items()
-                           if any(c.table == t for c in GENERIC_CHECKS)}, kinds,
-                          singular=False, keys=keys)
+    return batched_checks(tables, kinds, singular=False, keys=keys)
 
 
 def singular_checks(tables: dict[str, DataFrame]) -> DataFrame:

@@ -144,6 +144,9 @@ STAGING = {
 }
 
 
-def stage_all(raw: dict[str, DataFrame], keys: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Apply S1-S7 to a dict of raw tables; returns ``{stg_name: DataFrame}``."""
-    return {name: fn(raw[table], keys) for table, (name, fn) in STAGING.items()}
+def stage_all(raw, keys: Sequence[str] = ()):
+    """Apply S1-S7 to a mapping of raw tables; returns a mapping
+    ``{stg_name: DataFrame}`` whose entries are built when first used."""
+    from ..plans.lazy import LazyTables
+    return LazyTables({name: (lambda fn=fn, table=table: fn(raw[table], keys))
+                       for table, (name, fn) in STAGING.items()})

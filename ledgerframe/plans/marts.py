@@ -18,64 +18,116 @@ caller may ``persist`` the shared intermediates (T2, T3); see
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from ..operators import staging as S
 from ..operators import transforms as T
+from .lazy import LazyTables
 
 
-@dataclass
 class Marts:
-    staging: dict[str, DataFrame]
-    trades_clean: DataFrame
-    weighted_avg_price: DataFrame
-    equity_positions: DataFrame
-    monthly_value: DataFrame
-    monthly_wallet: DataFrame
-    stock_detail: DataFrame
-    dividend_summary: DataFrame
-    treasury_summary: DataFrame
-    fixed_income_summary: DataFrame
-    keys: tuple[str, ...] = field(default_factory=tuple)
-
-    def tables(self) -> dict[str, DataFrame]:
-        """Every model by its relation name (staging, intermediate, marts)."""
-        return {
-            **self.staging,
-            "int_trades_clean": self.trades_clean,
-            "int_weighted_avg_price": self.weighted_avg_price,
-            "int_all_equity_positions": self.equity_positions,
-            "int_monthly_portfolio_value": self.monthly_value,
-            "fct_monthly_wallet": self.monthly_wallet,
-            "fct_stock_detail": self.stock_detail,
-            "fct_dividend_summary": self.dividend_summary,
-            "fct_treasury_summary": self.treasury_summary,
-            "fct_fixed_income_summary": self.fixed_income_summary,
-        }
-
-    def mart_tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.tables().items() if k.startswith("fct_")}
-
-
-def build_marts(raw: dict[str, DataFrame], keys: Sequence[str] = ()) -> Marts:
-    keys = tuple(keys)
-    stg = S.stage_all(raw, keys)
-    trades_clean = T.int_trades_clean(stg["stg_trades"], keys)
-    wap = T.int_weighted_avg_price(trades_clean, keys)
-    equity = T.int_all_equity_positions(stg["stg_stock_positions"], stg["stg_etf_positions"], keys)
-    treasury, fixed = stg["stg_treasury_bonds"], stg["stg_fixed_income"]
-    return Marts(
-        staging=stg,
-        trades_clean=trades_clean,
-        weighted_avg_price=wap,
-        equity_positions=equity,
-        monthly_value=T.int_monthly_portfolio_value(equity, treasury, fixed, keys),
-        monthly_wallet=T.fct_monthly_wallet(equity, wap, treasury, fixed, keys),
-        stock_detail=T.fct_stock_detail(equity, wap, keys),
-        dividend_summary=T.fct_dividend_summary(stg["stg_dividends"], keys),
-        treasury_summary=T.fct_treasury_summary(treasury, keys),
-        fixed_income_summary=T.fct_fixed_income_summary(fixed, keys),
-        keys=keys,
-    )
+    """Every staging, intermediate and mart DataFrame of one set of raw
+    tables.  Each model is built on first access; accessing one model builds
+    only the models it depends on."""
+
+    def __init__(self, raw, keys: Sequence[str] = (), **overrides: DataFrame):
+        self.keys = tuple(keys)
+        self.staging = S.stage_all(raw, self.keys)
+        self._overrides = overrides
+
+    def _get(self, name: str, build):
+        if name in self._overrides:
+            return self._overrides[name]
+        cache = self.__dict__.setdefault("_cache", {})
+        if name not in cache:
+            cache[name] = build()
+        return cache[name]
+
+    @property
+    def trades_clean(self) -> DataFrame:
+        return self._get("trades_clean",
+                         lambda: T.int_trades_clean(self.staging["stg_trades"], self.keys))
+
+    @property
+    def weighted_avg_price(self) -> DataFrame:
+        return self._get("weighted_avg_price",
+                         lambda: T.int_weighted_avg_price(self.trades_clean, self.keys))
+
+    @property
+    def equity_positions(self) -> DataFrame:
+        return self._get("equity_positions", lambda: T.int_all_equity_positions(
+            self.staging["stg_stock_positions"], self.staging["stg_etf_positions"], self.keys))
+
+    @property
+    def monthly_value(self) -> DataFrame:
+        return self._get("monthly_value", lambda: T.int_monthly_portfolio_value(
+            self.equity_positions, self.staging["stg_treasury_bonds"],
+            self.staging["stg_fixed_income"], self.keys))
+
+    @property
+    def monthly_wallet(self) -> DataFrame:
+        return self._get("monthly_wallet", lambda: T.fct_monthly_wallet(
+            self.equity_positions, self.weighted_avg_price, self.staging["stg_treasury_bonds"],
+            self.staging["stg_fixed_income"], self.keys))
+
+    @property
+    def stock_detail(self) -> DataFrame:
+        return self._get("stock_detail", lambda: T.fct_stock_detail(
+            self.equity_positions, self.weighted_avg_price, self.keys))
+
+    @property
+    def dividend_summary(self) -> DataFrame:
+        return self._get("dividend_summary", lambda: T.fct_dividend_summary(
+            self.staging["stg_dividends"], self.keys))
+
+    @property
+    def treasury_summary(self) -> DataFrame:
+        return self._get("treasury_summary", lambda: T.fct_treasury_summary(
+            self.staging["stg_treasury_bonds"], self.keys))
+
+    @property
+    def fixed_income_summary(self) -> DataFrame:
+        return self._get("fixed_income_summary", lambda: T.fct_fixed_income_summary(
+            self.staging["stg_fixed_income"], self.keys))
+
+    _MODELS = {
+        "int_trades_clean": "trades_clean",
+        "int_weighted_avg_price": "weighted_avg_price",
+        "int_all_equity_positions": "equity_positions",
+        "int_monthly_portfolio_value": "monthly_value",
+        "fct_monthly_wallet": "monthly_wallet",
+        "fct_stock_detail": "stock_detail",
+        "fct_dividend_summary": "dividend_summary",
+        "fct_treasury_summary": "treasury_summary",
+        "fct_fixed_income_summary": "fixed_income_summary",
+    }
+
+    def tables(self) -> LazyTables:
+        """Every model by its relation name (staging, intermediate, marts),
+        built on access."""
+        builders = {name: (lambda name=name: self.staging[name]) for name in self.staging}
+        builders.update({rel: (lambda attr=attr: getattr(self, attr))
+                         for rel, attr in self._MODELS.items()})
+        return LazyTables(builders)
+
+    def mart_tables(self) -> LazyTables:
+        return LazyTables({rel: (lambda attr=attr: getattr(self, attr))
+                           for rel, attr in self._MODELS.items() if rel.startswith("fct_")})
+
+    def with_stored(self, stored: dict[str, DataFrame]) -> "Marts":
+        """The same models with some marts replaced by stored tables (read
+        back after writing), keyed by relation name."""
+        m = Marts.__new__(Marts)
+        m.keys, m.staging = self.keys, self.staging
+        m._overrides = {**self._overrides,
+                        **{self._MODELS[k]: v for k, v in stored.items()}}
+        m.__dict__["_cache"] = dict(self.__dict__.get("_cache", {}))
+        for attr in m._overrides:
+            m.__dict__["_cache"].pop(attr, None)
+        return m
+
+
+def build_marts(raw, keys: Sequence[str] = ()) -> Marts:
+    """All models over a mapping of raw tables (lazy; see :class:`Marts`)."""
+    return Marts(raw, keys)

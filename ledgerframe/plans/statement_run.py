@@ -20,7 +20,7 @@ from ..operators import transforms as T
 from ..schemas import RAW_SCHEMAS
 from ..sinks import read_table, write_report, write_tables
 from ..sources import workbook as WB
-from .marts import Marts, build_marts
+from .marts import build_marts
 
 
 @dataclass
@@ -46,8 +46,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     summary = WB.load_summary(stored_raw)                              # I14
 
     marts = build_marts(stored_raw, keys)
-    staging_checks = Q.generic_checks({k: v for k, v in marts.tables().items()
-                                       if k.startswith("stg_")}, keys=keys)
+    staging_checks = Q.generic_checks(marts.staging, keys=keys)
     if gate:
         Q.gate(staging_checks)
 
@@ -55,18 +54,12 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     mart_paths = write_tables(mart_dfs, mart_root,
                               order={m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()})
     stored = {m: read_table(spark, mart_root, m, mart_dfs[m].schema) for m in mart_paths}  # K2
-    tables = {**marts.tables(), **stored}
+    tables = marts.with_stored(stored).tables()
     checks = Q.run_checks(tables, keys)
     if gate:
         Q.gate(checks)
 
-    stored_marts = Marts(
-        staging=marts.staging, trades_clean=marts.trades_clean,
-        weighted_avg_price=marts.weighted_avg_price, equity_positions=marts.equity_positions,
-        monthly_value=marts.monthly_value, monthly_wallet=stored["fct_monthly_wallet"],
-        stock_detail=stored["fct_stock_detail"], dividend_summary=stored["fct_dividend_summary"],
-        treasury_summary=stored["fct_treasury_summary"],
-        fixed_income_summary=stored["fct_fixed_income_summary"], keys=tuple(keys))
+    stored_marts = marts.with_stored(stored)
     sections = R.build_sections(stored_marts, keys=keys, sales_threshold=sales_threshold)
     report_paths = write_report(sections, f"{out_dir}/report", csv=csv_report)   # K3
     return RunResult(summary, checks, mart_paths, report_paths)

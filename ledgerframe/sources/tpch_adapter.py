@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.periods import period_of
+from ..plans.lazy import LazyTables
 
 # --- fixed values of the adapter -------------------------------------------
 NEVER_TRADED_BRAND = "Brand#3"
@@ -38,8 +39,19 @@ DIVIDEND_TICKERS = 50
 # ---------------------------------------------------------------------------
 
 
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per (session, table): every further use of the table
+    reuses the resolved relation instead of listing the file and inferring
+    its Parquet schema again (a small Spark job each time)."""
+    key = (id(spark), sf_dir, name)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _READS[key] = df
+    return df
 
 
 def _source_file(period: Column) -> Column:
@@ -189,9 +201,9 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All seven raw tables (lazy)."""
-    return {name: fn(spark, sf_dir) for name, fn in RAW_BUILDERS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """All seven raw tables, each built when first used."""
+    return LazyTables({name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in RAW_BUILDERS.items()})
 
 
 def landed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
