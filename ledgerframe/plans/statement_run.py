@@ -66,6 +66,13 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
 
 
 def run_workbooks(spark: SparkSession, folder: str, out_dir: str, **kw) -> RunResult:
-    """Entry point A: a folder of monthly statement workbooks."""
+    """Entry point A: a folder of monthly statement workbooks.
+
+    Every workbook is decoded once: the landed sheet rows are written (by
+    raw table) and the seven raw tables are conformed from that copy, which
+    also cuts the lineage back to the files."""
     landed = WB.land_workbooks(WB.list_workbooks(spark, folder))
-    return run(spark, WB.land_raw_tables(landed), out_dir, **kw)
+    landed_path = f"{out_dir}/landed_rows"
+    landed.write.mode("overwrite").partitionBy("table_name").parquet(landed_path)
+    stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(landed_path)
+    return run(spark, WB.land_raw_tables(stored), out_dir, **kw)

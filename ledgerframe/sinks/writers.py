@@ -22,12 +22,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (P,),
                 sort_within: Sequence[str] = (), full_refresh: bool = True) -> str:
     """Write one table; ``full_refresh`` replaces it, otherwise only the
     partitions present in ``df`` are overwritten."""
+    # (rows are only clustered inside each written partition; no global sort)
     parts = [c for c in partition_by if c in df.columns]
     out = df
     if parts:
-        # one writer task per period partition and shuffle partition; no
-        # global sort - rows are only clustered inside each partition
-        out = out.repartition(*parts)
+        # cluster rows by period so each task writes few files, but through a
+        # rebalance: AQE splits a period holding a large share of the rows
+        # over several tasks instead of sending it to one
+        out = out.hint("rebalance", *parts)
     if sort_within:
         out = out.sortWithinPartitions(*[c for c in sort_within if c in df.columns])
     writer = out.write.mode("overwrite")
