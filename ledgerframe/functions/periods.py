@@ -68,12 +68,13 @@ def period_label(period: Column | str) -> Column:
 
 
 def period_first_day(period: Column | str) -> Column:
+    """First day of a ``YYYY-MM`` period; NULL when the period is not a real
+    month (``2024-00``, a file name)."""
     period = F.col(period) if isinstance(period, str) else period
-    return F.to_date(F.concat(period, F.lit("-01")), "yyyy-MM-dd")
+    return F.try_to_timestamp(F.concat(period, F.lit("-01")), F.lit("yyyy-MM-dd")).cast("date")
 
 
 def period_day(period: Column | str, day: int) -> Column:
-    """Date of the given day inside a period (the rate window ends on day 28)."""
-    period = F.col(period) if isinstance(period, str) else period
-    return F.make_date(F.substring(period, 1, 4).cast("int"),
-                       F.substring(period, 6, 2).cast("int"), F.lit(day))
+    """Date of the given day (1-28) inside a period (the rate window ends on
+    day 28); NULL for an invalid period."""
+    return F.date_add(period_first_day(period), day - 1)

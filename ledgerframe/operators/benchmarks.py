@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.periods import period_of
+from ..functions.periods import period_first_day, period_of
 
 P = "_reference_period"
 RATE_WINDOW_LAST_DAY = 28
@@ -50,11 +50,17 @@ def cumulative_rate(monthly: DataFrame, periods: DataFrame,
                     keys: Sequence[str] = ()) -> DataFrame:
     """B2: align the monthly returns to the portfolio periods (missing -> 0)
     and compound them over the sorted periods."""
-    last = F.max(P).over(Window.partitionBy(*keys))
-    aligned = (periods.select(*keys, P).withColumn("_is_last", F.col(P) == last)
+    whole = Window.partitionBy(*keys)
+    # a period that is not a real month makes the whole series unavailable
+    # (zeros), as a failed fetch does
+    valid = F.min(period_first_day(P).isNotNull().cast("int")).over(whole) == 1
+    aligned = (periods.select(*keys, P)
+               .withColumn("_is_last", F.col(P) == F.max(P).over(whole))
+               .withColumn("_valid", valid)
                .join(monthly, on=P, how="left"))
-    r = F.coalesce(F.when(F.col("_is_last"), F.col("_return_to_day28"))
-                   .otherwise(F.col("cdi_monthly_return")), F.lit(0.0))
+    r = F.when(~F.col("_valid"), F.lit(0.0)).otherwise(F.coalesce(
+        F.when(F.col("_is_last"), F.col("_return_to_day28"))
+        .otherwise(F.col("cdi_monthly_return")), F.lit(0.0)))
     return (aligned.select(*keys, P, r.alias("cdi_monthly_return"))
             .withColumn("cdi_cumulative",
                         (F.product(F.lit(1.0) + F.col("cdi_monthly_return") / 100)

@@ -142,16 +142,19 @@ def b1_monthly_rate(spark: SparkSession, d: str) -> DataFrame:
     return round_doubles(monthly.select(P, "cdi_monthly_return"))
 
 
-def _cdi(spark: SparkSession, d: str, m: Marts) -> DataFrame:
-    return B.cumulative_rate(B.monthly_rate_returns(_rates(spark, d)), periods_of(m))
+def _cdi(spark: SparkSession, d: str, m: Marts, periods: DataFrame | None = None) -> DataFrame:
+    periods = periods if periods is not None else periods_of(m)
+    return B.cumulative_rate(B.monthly_rate_returns(_rates(spark, d)), periods)
 
 
 def b2_cumulative_rate(spark: SparkSession, d: str) -> DataFrame:
     return round_doubles(_cdi(spark, d, marts(spark, d)))
 
 
-def _month_close(spark: SparkSession, d: str, m: Marts) -> DataFrame:
-    return B.month_end_close(SR.price_window(_prices(spark, d), periods_of(m)))
+def _month_close(spark: SparkSession, d: str, m: Marts,
+                 periods: DataFrame | None = None) -> DataFrame:
+    periods = periods if periods is not None else periods_of(m)
+    return B.month_end_close(SR.price_window(_prices(spark, d), periods))
 
 
 def b3_month_end_close(spark: SparkSession, d: str) -> DataFrame:
@@ -162,8 +165,9 @@ def b4_index_returns(spark: SparkSession, d: str) -> DataFrame:
     return round_doubles(B.index_returns(_month_close(spark, d, marts(spark, d))))
 
 
-def _indices(spark: SparkSession, d: str, m: Marts) -> DataFrame:
-    return B.align_index_returns(B.index_returns(_month_close(spark, d, m)), periods_of(m))
+def _indices(spark: SparkSession, d: str, m: Marts, periods: DataFrame | None = None) -> DataFrame:
+    periods = periods if periods is not None else periods_of(m)
+    return B.align_index_returns(B.index_returns(_month_close(spark, d, m, periods)), periods)
 
 
 def b5_index_returns(spark: SparkSession, d: str) -> DataFrame:
@@ -172,8 +176,9 @@ def b5_index_returns(spark: SparkSession, d: str) -> DataFrame:
 
 def b7_performance(spark: SparkSession, d: str) -> DataFrame:
     m = marts(spark, d)
-    return round_doubles(B.performance_vs_benchmarks(m.monthly_wallet, _cdi(spark, d, m),
-                                                     _indices(spark, d, m)))
+    periods = periods_of(m)
+    return round_doubles(B.performance_vs_benchmarks(m.monthly_wallet, _cdi(spark, d, m, periods),
+                                                     _indices(spark, d, m, periods)))
 
 
 QUERIES.update({

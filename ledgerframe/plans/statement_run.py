@@ -14,11 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import benchmarks as B
 from ..operators import quality as Q
 from ..operators import report as R
 from ..operators import transforms as T
 from ..schemas import RAW_SCHEMAS
 from ..sinks import read_table, write_report, write_tables
+from ..sources import series as SR
 from ..sources import workbook as WB
 from .marts import build_marts
 
@@ -36,10 +38,30 @@ def read_raw(spark: SparkSession, root: str, schemas: dict | None = None) -> dic
     return {t: read_table(spark, root, t, schemas.get(t, RAW_SCHEMAS[t])) for t in RAW_SCHEMAS}
 
 
+def benchmark_sections(wallet: DataFrame, rates: DataFrame | None, prices: DataFrame | None,
+                       keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """B1-B7 on the stored wallet: the periods are its (few) rows, so the
+    fetch windows and alignments never touch position data.  A missing
+    series gives zeros (B6)."""
+    spark = wallet.sparkSession
+    periods = wallet.select(*keys, "_reference_period")
+    rates = rates if rates is not None else spark.createDataFrame([], "date date, rate_pct double")
+    prices = prices if prices is not None else spark.createDataFrame(
+        [], "symbol string, date date, close double")
+    cdi = B.cumulative_rate(B.monthly_rate_returns(rates), periods, keys)
+    month_close = B.month_end_close(SR.price_window(prices, wallet.select("_reference_period")))
+    idx = B.align_index_returns(B.index_returns(month_close), periods, keys)
+    return {"cdi_cumulative": cdi, "index_returns": idx,
+            "performance_vs_benchmarks": B.performance_vs_benchmarks(wallet, cdi, idx, keys)}
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
         keys: Sequence[str] = (), gate: bool = True, csv_report: bool = False,
-        sales_threshold: float = R.SALES_EXEMPTION_LIMIT) -> RunResult:
-    """Run everything from raw tables already in memory or on storage."""
+        sales_threshold: float = R.SALES_EXEMPTION_LIMIT,
+        rates: DataFrame | None = None, prices: DataFrame | None = None) -> RunResult:
+    """Run everything from raw tables already in memory or on storage.
+    ``rates`` ``(date, rate_pct)`` and ``prices`` ``(symbol, date, close)``
+    are the landed benchmark series (see :mod:`ledgerframe.sources.series`)."""
     raw_root, mart_root = f"{out_dir}/raw", f"{out_dir}/marts"
     write_tables(raw, raw_root)                                        # K1
     stored_raw = read_raw(spark, raw_root, {t: df.schema for t, df in raw.items()})
@@ -61,6 +83,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
 
     stored_marts = marts.with_stored(stored)
     sections = R.build_sections(stored_marts, keys=keys, sales_threshold=sales_threshold)
+    sections.update(benchmark_sections(stored["fct_monthly_wallet"], rates, prices, keys))
     report_paths = write_report(sections, f"{out_dir}/report", csv=csv_report)   # K3
     return RunResult(summary, checks, mart_paths, report_paths)
 

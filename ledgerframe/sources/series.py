@@ -50,11 +50,17 @@ def conform_prices(prices: DataFrame) -> DataFrame:
 
 
 def _bounds(periods: DataFrame) -> tuple[Column, Column]:
-    """First day of the first period and day 28 of the last one, as scalar
-    subqueries over the (small, one row per month) period table."""
-    lo = periods.select(F.min(period_first_day(P))).scalar()
-    hi = periods.select(F.max(period_day(P, RATE_WINDOW_LAST_DAY))).scalar()
-    return lo, hi
+    """First day of the first period and day 28 of the last one: one scalar
+    subquery (a struct) over the period table, read twice.  If any period is
+    not a real month the window is empty (NULL bounds), as a failed
+    benchmark fetch gives no benchmark data at all."""
+    first = period_first_day(P)
+    any_invalid = F.count_if(first.isNull()) > 0
+    b = periods.select(F.struct(
+        F.when(any_invalid, F.lit(None)).otherwise(F.min(first)).alias("lo"),
+        F.when(any_invalid, F.lit(None)).otherwise(
+            F.max(period_day(P, RATE_WINDOW_LAST_DAY))).alias("hi"))).scalar()
+    return b.getField("lo"), b.getField("hi")
 
 
 def rate_window(rates: DataFrame, periods: DataFrame) -> DataFrame:

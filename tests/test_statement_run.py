@@ -20,6 +20,8 @@ def test_full_run_writes_marts_and_report(spark, tmp_dir):
     assert {r._reference_period for r in wallet.collect()} == {"2024-06", "2024-00", "extrato.xlsx"}
     kpis = spark.read.parquet(res.report["latest_kpis"]).collect()
     assert len(kpis) == 1
+    perf = spark.read.parquet(res.report["performance_vs_benchmarks"]).collect()
+    assert len(perf) == 3 and {r.cdi_cumulative for r in perf} == {0.0}   # no series: zeros
     # partition pruning: the mart is stored by period
     assert os.path.isdir(f"{out}/marts/fct_stock_detail/_reference_period=2024-06")
     failing = {r.check_name for r in res.checks.filter(F.col("failures") > 0).collect()}
