@@ -122,9 +122,7 @@ class Marts:
         m.keys, m.staging = self.keys, self.staging
         m._overrides = {**self._overrides,
                         **{self._MODELS[k]: v for k, v in stored.items()}}
-        m.__dict__["_cache"] = dict(self.__dict__.get("_cache", {}))
-        for attr in m._overrides:
-            m.__dict__["_cache"].pop(attr, None)
+        m.__dict__["_cache"] = {}   # models derived from replaced ones are rebuilt on access
         return m
 
 

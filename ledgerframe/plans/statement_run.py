@@ -72,7 +72,17 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     if gate:
         Q.gate(staging_checks)
 
-    mart_dfs = marts.mart_tables()
+    # The weighted price (ticker grain) and the equity positions (ticker x
+    # month grain) feed several marts and checks: write them once and let
+    # every consumer read the small stored aggregate instead of re-scanning
+    # the position and trade tables.
+    shared = {"int_weighted_avg_price": marts.weighted_avg_price,
+              "int_all_equity_positions": marts.equity_positions}
+    write_tables(shared, f"{out_dir}/intermediate", partition_by=())
+    marts = marts.with_stored({n: read_table(spark, f"{out_dir}/intermediate", n, df.schema)
+                               for n, df in shared.items()})
+
+    mart_dfs = dict(marts.mart_tables())
     mart_paths = write_tables(mart_dfs, mart_root,
                               order={m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()})
     stored = {m: read_table(spark, mart_root, m, mart_dfs[m].schema) for m in mart_paths}  # K2

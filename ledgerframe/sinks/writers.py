@@ -40,12 +40,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (P,),
     return path
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, order: dict | None = None,
-                 full_refresh: bool = True) -> dict[str, str]:
+def write_tables(tables, root: str, order: dict | None = None,
+                 full_refresh: bool = True, partition_by: Sequence[str] = (P,)) -> dict[str, str]:
     order = order or {}
-    return {name: write_table(df, f"{root}/{name}", sort_within=order.get(name, ()),
-                              full_refresh=full_refresh)
-            for name, df in tables.items()}
+    return {name: write_table(tables[name], f"{root}/{name}", partition_by=partition_by,
+                              sort_within=order.get(name, ()), full_refresh=full_refresh)
+            for name in tables}
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
