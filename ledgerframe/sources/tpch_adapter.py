@@ -59,13 +59,20 @@ def _source_file(period: Column) -> Column:
 
 
 def _lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem x part.  Text that depends only on the part (the ticker, its
+    odd-lot variant, the lending product) is built on the part side, once
+    per part, before the join - not once per line item."""
     li = read_table(spark, sf_dir, "lineitem")
     pt = read_table(spark, sf_dir, "part")
+    ticker = F.concat(F.col("p_brand"), F.lit("-"), F.col("p_type"))
+    pt = pt.select("*", ticker.alias("_ticker"),
+                   F.concat(ticker, F.lit("F")).alias("_ticker_odd_lot"),
+                   F.concat(ticker, F.lit(" - "), F.col("p_name")).alias("_lending_product"))
     return li.join(pt, li["l_partkey"] == pt["p_partkey"])
 
 
 def _ticker() -> Column:
-    return F.concat(F.col("p_brand"), F.lit("-"), F.col("p_type"))
+    return F.col("_ticker")
 
 
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +81,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     sell_q = F.when(sell, F.col("l_quantity")).otherwise(F.lit(0.0))
     period = period_of("l_shipdate")
     return (_lots(spark, sf_dir).filter(F.col("p_brand") != NEVER_TRADED_BRAND).select(
-        F.concat(_ticker(), F.when(F.col("l_linestatus") == "F", F.lit("F")).otherwise(F.lit("")))
+        F.when(F.col("l_linestatus") == "F", F.col("_ticker_odd_lot")).otherwise(_ticker())
         .alias("Codigo_de_Negociacao"),
         F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("Periodo_Inicial"),
         F.last_day(F.col("l_shipdate").cast("date")).alias("Periodo_Final"),
@@ -175,7 +182,7 @@ def raw_stock_lending(spark: SparkSession, sf_dir: str) -> DataFrame:
     period = period_of("l_shipdate")
     ship = F.col("l_shipdate").cast("date")
     return (_lots(spark, sf_dir).filter(F.col("l_returnflag") == "R").select(
-        F.concat(_ticker(), F.lit(" - "), F.col("p_name")).alias("Produto"),
+        F.col("_lending_product").alias("Produto"),
         F.col("l_suppkey").cast("string").alias("Instituicao"),
         F.col("l_linestatus").alias("Natureza"),
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
