@@ -56,15 +56,22 @@ def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFr
     return reader.parquet(f"{root}/{name}")
 
 
+# Report sections that list source rows (one row per trade lot or per
+# dividend group) grow with the data; every other section is an aggregate
+# per month / ticker / event type.
+LISTING_SECTIONS = frozenset({"trades_listing", "dividend_detail"})
+
+
 def write_report(sections: dict[str, DataFrame], root: str, csv: bool = False) -> dict[str, str]:
-    """K3: one dataset per report section.  Sections are small by
-    construction (per month / ticker / event type), so the optional CSV copy
-    is a single file per section."""
+    """K3: one dataset per report section.  The optional CSV copy of an
+    aggregated section is a single file; listing sections keep their
+    partitioning (one file per task), so no single task writes a whole table."""
     paths = {}
     for name, df in sections.items():
         path = f"{root}/{name}"
         df.write.mode("overwrite").parquet(path)
         if csv:
-            df.coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{path}_csv")
+            out = df if name in LISTING_SECTIONS else df.coalesce(1)
+            out.write.mode("overwrite").option("header", "true").csv(f"{path}_csv")
         paths[name] = path
     return paths

@@ -15,7 +15,7 @@ def test_full_run_writes_marts_and_report(spark, tmp_dir):
     os.makedirs(src)
     _june(src), _march(src), _plain(src)
     out = os.path.join(tmp_dir, "out")
-    res = statement_run.run_workbooks(spark, src, out, gate=False)
+    res = statement_run.run_workbooks(spark, src, out, gate=False, csv_report=True)
     wallet = read_table(spark, f"{out}/marts", "fct_monthly_wallet")
     assert {r._reference_period for r in wallet.collect()} == {"2024-06", "2024-00", "extrato.xlsx"}
     kpis = spark.read.parquet(res.report["latest_kpis"]).collect()
@@ -24,6 +24,7 @@ def test_full_run_writes_marts_and_report(spark, tmp_dir):
     assert len(perf) == 3 and {r.cdi_cumulative for r in perf} == {0.0}   # no series: zeros
     # partition pruning: the mart is stored by period
     assert os.path.isdir(f"{out}/marts/fct_stock_detail/_reference_period=2024-06")
+    assert os.path.isdir(f"{out}/report/latest_kpis_csv")
     failing = {r.check_name for r in res.checks.filter(F.col("failures") > 0).collect()}
     assert "reference_period_format" in failing          # "extrato.xlsx" is not YYYY-MM
 
