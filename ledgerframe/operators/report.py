@@ -63,6 +63,25 @@ def with_total_row(detail: DataFrame, sum_cols: Sequence[str],
                             allowMissingColumns=True).select(*body.columns)
 
 
+def grouped_with_total(df: DataFrame, group_cols: Sequence[str], sums: Sequence[str],
+                       firsts: Sequence[str] = (), keys: Sequence[str] = (),
+                       sum_exprs: dict[str, Column] | None = None) -> DataFrame:
+    """Groups of ``group_cols`` (per ``keys``) and one total row per ``keys``
+    in a single aggregation (GROUPING SETS): ``sums`` are summed in both,
+    ``firsts`` are carried for the groups and NULL on the total row.  Used
+    where ``group_cols`` identify the rows (a latest-position section) or the
+    section is itself an aggregate; one pass over the input instead of two."""
+    sum_exprs = sum_exprs or {}
+    agg = (df.groupingSets([[*keys, *group_cols], list(keys)], *keys, *group_cols)
+           .agg(*[sum_exprs.get(c, F.sum(c)).alias(c) for c in sums],
+                *[F.first(c).alias(c) for c in firsts],
+                F.grouping_id().alias("_gid")))
+    total = F.col("_gid") != 0
+    return agg.select(*keys, *group_cols, *sums,
+                      *[F.when(total, F.lit(None)).otherwise(F.col(c)).alias(c) for c in firsts],
+                      total.alias("is_total"))
+
+
 def asset_type_label(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.when(c == "etf", F.lit(ASSET_TYPE_LABELS["etf"])).otherwise(
@@ -120,13 +139,18 @@ def wallet_evolution(wallet: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def latest_equity_detail(stock_detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Positions of the latest month and a total row (quantity,
     invested, value, gain)."""
-    detail = latest_rows(stock_detail, keys).select(
-        *keys, "ticker", asset_type_label("asset_type").alias("asset_type"),
+    latest = latest_rows(stock_detail, keys).withColumn(
+        "pct_price_change", F.col("pct_price_change") / 100)
+    out = grouped_with_total(
+        latest, ["ticker", "asset_type"],
+        ["total_quantity", "total_invested", "total_current_value", "unrealized_gain_loss"],
+        ["mean_purchase_price", "current_closing_price", "pct_price_change"], keys)
+    return out.select(
+        *keys, "ticker",
+        F.when(F.col("is_total"), F.lit(None)).otherwise(asset_type_label("asset_type"))
+        .alias("asset_type"),
         "total_quantity", "mean_purchase_price", "current_closing_price", "total_invested",
-        "total_current_value", "unrealized_gain_loss",
-        (F.col("pct_price_change") / 100).alias("pct_price_change"))
-    return with_total_row(detail, ["total_quantity", "total_invested", "total_current_value",
-                                   "unrealized_gain_loss"], keys)
+        "total_current_value", "unrealized_gain_loss", "pct_price_change", "is_total")
 
 
 # ------------------------------------------------------------- income ------
@@ -185,10 +209,14 @@ def monthly_sales_flag(stg_trades: DataFrame, threshold: float = SALES_EXEMPTION
 
 # ---------------------------------------------------- treasury / fixed -----
 def latest_treasury(treasury_summary: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """R11."""
-    return with_total_row(latest_rows(treasury_summary, keys),
-                          ["total_invested", "total_gross", "total_net", "total_current_value",
-                           "gain_loss"], keys)
+    """Latest positions (one per product, indexer, maturity) and totals."""
+    out = grouped_with_total(
+        latest_rows(treasury_summary, keys), ["product_name", "index_type", "maturity_date", P],
+        ["total_invested", "total_gross", "total_net", "total_current_value", "gain_loss"],
+        ["total_quantity"], keys)
+    return out.select(*keys, "product_name", "index_type", "maturity_date", P, "total_quantity",
+                      "total_invested", "total_gross", "total_net", "total_current_value",
+                      "gain_loss", "is_total")
 
 
 def treasury_evolution(treasury_summary: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -200,8 +228,12 @@ def treasury_evolution(treasury_summary: DataFrame, keys: Sequence[str] = ()) ->
 
 def latest_fixed_income(fixed_income_summary: DataFrame,
                         keys: Sequence[str] = ()) -> DataFrame:
-    """R13."""
-    return with_total_row(latest_rows(fixed_income_summary, keys), ["total_curva_value"], keys)
+    """Latest positions (one per the eight keys) and the curve-value total."""
+    group = ["product_name", "issuer", "code", "index_type", "regime_type", "issue_date",
+             "maturity_date", P]
+    out = grouped_with_total(latest_rows(fixed_income_summary, keys), group,
+                             ["total_curva_value"], ["total_quantity"], keys)
+    return out.select(*keys, *group, "total_quantity", "total_curva_value", "is_total")
 
 
 # ----------------------------------------------------------------- tax -----
@@ -209,17 +241,20 @@ def tax_assets(stock_detail: DataFrame, keys: Sequence[str] = (),
                year: str | None = None) -> DataFrame:
     """Holdings at the latest period (or the last period of ``year``)
     at their mean cost, with the total cost."""
-    detail = latest_rows(stock_detail, keys, year).select(
-        *keys, "ticker", asset_type_label("asset_type").alias("asset_type"), "total_quantity",
-        "mean_purchase_price", "total_invested")
-    return with_total_row(detail, ["total_invested"], keys)
+    out = grouped_with_total(latest_rows(stock_detail, keys, year), ["ticker", "asset_type"],
+                             ["total_invested"], ["total_quantity", "mean_purchase_price"], keys)
+    return out.select(
+        *keys, "ticker",
+        F.when(F.col("is_total"), F.lit(None)).otherwise(asset_type_label("asset_type"))
+        .alias("asset_type"),
+        "total_quantity", "mean_purchase_price", "total_invested", "is_total")
 
 
 def _income_matching(dividends: DataFrame, pattern: str, keys: Sequence[str]) -> DataFrame:
     match = F.coalesce(F.col("event_type").rlike(pattern), F.lit(False))
-    per_ticker = (dividends.filter(match & F.col("ticker").isNotNull())
-                  .groupBy(*keys, "ticker").agg(_sum0("total_income").alias("total_income")))
-    return with_total_row(per_ticker, ["total_income"], keys)
+    return grouped_with_total(dividends.filter(match & F.col("ticker").isNotNull()), ["ticker"],
+                              ["total_income"], keys=keys,
+                              sum_exprs={"total_income": _sum0("total_income")})
 
 
 def tax_exempt_income(dividends: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
