@@ -84,17 +84,53 @@ def index_returns(month_close: DataFrame) -> DataFrame:
                                   (F.try_divide(F.col("close"), base) - 1) * 100)
 
 
-def align_index_returns(returns: DataFrame, periods: DataFrame,
-                        keys: Sequence[str] = (),
-                        symbols: dict[str, str] | None = None) -> DataFrame:
-    """One column per symbol, aligned to the periods, carried forward
-    over gaps, leading gaps and absent symbols -> 0 (B6)."""
+def index_returns_for_periods(month_close: DataFrame, periods: DataFrame,
+                              keys: Sequence[str] = (),
+                              symbols: dict[str, str] | None = None) -> DataFrame:
+    """B4 with the price window of each portfolio, one column per symbol:
+    the base of a symbol's returns is its close in the first price month at
+    or after the portfolio's first period, so a portfolio (``keys``) that
+    starts later gets its own base.  Returns ``(keys, period, <symbol
+    columns>)`` on the portfolio's periods, NULL where there is no price;
+    any period that is not a real month gives NULL throughout (no window).
+
+    For each (fixed) symbol, the distinct start months are placed into that
+    symbol's month series as probe rows and a forward-looking window finds
+    the first price month at or after each; portfolios then join their base
+    on the start month.  Only month-grain rows are involved."""
     symbols = symbols or SYMBOL_COLUMNS
-    wide = returns.groupBy(P).agg(*[
-        F.max(F.when(F.col("symbol") == s, F.col("return_pct"))).alias(c)
-        for s, c in symbols.items()])
-    aligned = periods.select(*keys, P).join(wide, on=P, how="left")
-    return aligned.select(*keys, P, *[
+    whole = Window.partitionBy(*keys)
+    per = (periods.select(*keys, P)
+           .withColumn("_start", F.min(P).over(whole))
+           .withColumn("_valid",
+                       F.min(period_first_day(P).isNotNull().cast("int")).over(whole) == 1))
+    starts = per.select(F.col("_start").alias(P)).distinct()
+    out = per
+    for symbol, col in symbols.items():
+        closes = month_close.filter(F.col("symbol") == symbol).select(P, "close")
+        series = (closes.withColumn("_is_price", F.lit(1))
+                  .unionByName(starts.select(P, F.lit(None).cast("double").alias("close"),
+                                             F.lit(0).alias("_is_price"))))
+        ahead = (Window.orderBy(P, "_is_price")
+                 .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        base = F.first(F.when(F.col("_is_price") == 1, F.struct(F.col("close").alias("c"))),
+                       ignorenulls=True).over(ahead)
+        bases = (series.withColumn("_b", base).filter(F.col("_is_price") == 0)
+                 .select(F.col(P).alias("_start"), F.col("_b.c").alias(f"_base_{col}")))
+        out = (out.join(closes.withColumnRenamed("close", f"_close_{col}"), on=P, how="left")
+               .join(bases, on="_start", how="left"))
+    return out.select(*keys, P, *[
+        F.when(F.col("_valid"),
+               (F.try_divide(F.col(f"_close_{c}"), F.col(f"_base_{c}")) - 1) * 100).alias(c)
+        for c in symbols.values()])
+
+
+def forward_fill_returns(wide: DataFrame, keys: Sequence[str] = (),
+                         symbols: dict[str, str] | None = None) -> DataFrame:
+    """B5 on per-portfolio returns: carry the last known value forward over
+    the sorted periods; leading gaps and absent symbols -> 0 (B6)."""
+    symbols = symbols or SYMBOL_COLUMNS
+    return wide.select(*keys, P, *[
         F.coalesce(F.last(c, ignorenulls=True).over(_running(keys)), F.lit(0.0)).alias(c)
         for c in symbols.values()])
 

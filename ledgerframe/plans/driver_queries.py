@@ -167,7 +167,8 @@ def b4_index_returns(spark: SparkSession, d: str) -> DataFrame:
 
 def _indices(spark: SparkSession, d: str, m: Marts, periods: DataFrame | None = None) -> DataFrame:
     periods = periods if periods is not None else periods_of(m)
-    return B.align_index_returns(B.index_returns(_month_close(spark, d, m, periods)), periods)
+    closes = B.month_end_close(_prices(spark, d))
+    return B.forward_fill_returns(B.index_returns_for_periods(closes, periods))
 
 
 def b5_index_returns(spark: SparkSession, d: str) -> DataFrame:

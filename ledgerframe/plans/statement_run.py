@@ -20,7 +20,6 @@ from ..operators import report as R
 from ..operators import transforms as T
 from ..schemas import RAW_SCHEMAS
 from ..sinks import read_table, write_report, write_tables
-from ..sources import series as SR
 from ..sources import workbook as WB
 from .marts import build_marts
 
@@ -49,8 +48,8 @@ def benchmark_sections(wallet: DataFrame, rates: DataFrame | None, prices: DataF
     prices = prices if prices is not None else spark.createDataFrame(
         [], "symbol string, date date, close double")
     cdi = B.cumulative_rate(B.monthly_rate_returns(rates), periods, keys)
-    month_close = B.month_end_close(SR.price_window(prices, wallet.select("_reference_period")))
-    idx = B.align_index_returns(B.index_returns(month_close), periods, keys)
+    idx = B.forward_fill_returns(
+        B.index_returns_for_periods(B.month_end_close(prices), periods, keys), keys)
     return {"cdi_cumulative": cdi, "index_returns": idx,
             "performance_vs_benchmarks": B.performance_vs_benchmarks(wallet, cdi, idx, keys)}
 

@@ -37,7 +37,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 

@@ -38,8 +38,8 @@ def test_index_gaps_forward_fill_and_late_series(spark):
          ("DIVO11.SA", d(2024, 2, 1), 50.0), ("DIVO11.SA", d(2024, 3, 1), 55.0)],
         "symbol string, date date, close double")
     periods = periods_df(spark, "2024-01", "2024-02", "2024-03")
-    closes = B.month_end_close(SR.price_window(prices, periods))
-    ret = by_period(B.align_index_returns(B.index_returns(closes), periods))
+    closes = B.month_end_close(prices)
+    ret = by_period(B.forward_fill_returns(B.index_returns_for_periods(closes, periods)))
     assert [ret[p].ibov_return for p in ("2024-01", "2024-02", "2024-03")] == \
         pytest.approx([0.0, 0.0, 10.0])
     assert [ret[p].divo11_return for p in ("2024-01", "2024-02", "2024-03")] == \
@@ -58,8 +58,30 @@ def test_empty_benchmarks_give_zeros(spark):
     no_rates = spark.createDataFrame([], "date date, rate_pct double")
     no_prices = spark.createDataFrame([], "symbol string, date date, close double")
     cdi = B.cumulative_rate(B.monthly_rate_returns(no_rates), periods)
-    idx = B.align_index_returns(B.index_returns(B.month_end_close(no_prices)), periods)
+    idx = B.forward_fill_returns(B.index_returns_for_periods(B.month_end_close(no_prices), periods))
     perf = by_period(B.performance_vs_benchmarks(wallet, cdi, idx))
     assert perf["2024-02"].pct_return == 7.0
     assert (perf["2024-02"].cdi_cumulative, perf["2024-02"].ibov_return,
             perf["2024-02"].divo11_return) == (0.0, 0.0, 0.0)
+
+
+def test_series_window_matches_per_portfolio_base(spark):
+    d = dt.date
+    prices = spark.createDataFrame(
+        [("^BVSP", d(2023, 12, 5), 50.0), ("^BVSP", d(2024, 1, 10), 100.0),
+         ("^BVSP", d(2024, 2, 10), 120.0)], "symbol string, date date, close double")
+    periods = periods_df(spark, "2024-01", "2024-02")
+    windowed = B.index_returns(B.month_end_close(SR.price_window(prices, periods)))
+    got = {r._reference_period: r.return_pct for r in windowed.collect()}
+    assert got == {"2024-01": 0.0, "2024-02": pytest.approx(20.0)}   # Dec 2023 outside
+    per = by_period(B.index_returns_for_periods(B.month_end_close(prices), periods))
+    assert per["2024-02"].ibov_return == pytest.approx(20.0)
+
+
+def test_invalid_period_gives_zero_index_returns(spark):
+    prices = spark.createDataFrame([("^BVSP", dt.date(2024, 1, 10), 100.0)],
+                                   "symbol string, date date, close double")
+    periods = periods_df(spark, "2024-00", "2024-01")
+    ret = by_period(B.forward_fill_returns(
+        B.index_returns_for_periods(B.month_end_close(prices), periods)))
+    assert ret["2024-01"].ibov_return == 0.0

@@ -72,3 +72,28 @@ def test_cumulative_rate_per_owner(spark, runs):
     for owner, single in (("A", a), ("B", b)):
         solo = B.cumulative_rate(monthly, single.monthly_wallet.select("_reference_period"))
         assert _rows(keyed.filter(F.col("owner") == owner).drop("owner")) == _rows(solo)
+
+
+def test_index_returns_per_owner(spark, runs):
+    a, b, both = runs
+    import datetime as dt
+    prices = spark.createDataFrame(
+        [("^BVSP", dt.date(2024, 1, 5), 100.0), ("^BVSP", dt.date(2024, 2, 5), 110.0),
+         ("^BVSP", dt.date(2024, 3, 5), 121.0), ("DIVO11.SA", dt.date(2024, 3, 5), 10.0)],
+        "symbol string, date date, close double")
+    closes = B.month_end_close(prices)
+    keyed = B.forward_fill_returns(B.index_returns_for_periods(
+        closes, both.monthly_wallet.select("owner", "_reference_period"), ["owner"]), ["owner"])
+    for owner, single in (("A", a), ("B", b)):
+        solo = B.forward_fill_returns(B.index_returns_for_periods(
+            closes, single.monthly_wallet.select("_reference_period")))
+        assert _rows(keyed.filter(F.col("owner") == owner).drop("owner")) == _rows(solo)
+    # an owner starting a month later gets that month's close as the base
+    periods = spark.createDataFrame([("X", "2024-01"), ("X", "2024-02"), ("X", "2024-03"),
+                                     ("Y", "2024-02"), ("Y", "2024-03")],
+                                    "owner string, _reference_period string")
+    late = B.forward_fill_returns(B.index_returns_for_periods(closes, periods, ["owner"]), ["owner"])
+    got = {(r.owner, r._reference_period): r.ibov_return for r in late.collect()}
+    assert got[("X", "2024-03")] == pytest.approx(21.0)
+    assert got[("Y", "2024-02")] == pytest.approx(0.0)
+    assert got[("Y", "2024-03")] == pytest.approx(10.0)
