@@ -115,6 +115,17 @@ class Marts:
         return LazyTables({rel: (lambda attr=attr: getattr(self, attr))
                            for rel, attr in self._MODELS.items() if rel.startswith("fct_")})
 
+    def register_views(self, names: Sequence[str] | None = None) -> list[str]:
+        """Expose the models as temporary views under their relation names
+        (``stg_trades``, ``int_weighted_avg_price``, ``fct_monthly_wallet``,
+        ...) so they can be queried with ``spark.sql``.  Views stay lazy:
+        only the models a statement reads are computed."""
+        tables = self.tables()
+        chosen = list(names) if names is not None else list(tables)
+        for name in chosen:
+            tables[name].createOrReplaceTempView(name)
+        return chosen
+
     def with_stored(self, stored: dict[str, DataFrame]) -> "Marts":
         """The same models with some marts replaced by stored tables (read
         back after writing), keyed by relation name."""
