@@ -60,11 +60,12 @@ def period_from_filename(name: Column | str, extension: str = "xlsx") -> Column:
 def period_label(period: Column | str) -> Column:
     """``2024-06`` -> ``Jun/24``; input without exactly one dash is returned as is."""
     period = F.col(period) if isinstance(period, str) else period
-    parts = F.split(period, "-")
-    month = parts.getItem(1)
+    # "exactly one dash" without splitting into an array per row
+    one_dash = (F.length(period) - F.length(F.replace(period, F.lit("-"), F.lit("")))) == 1
+    month = F.substring_index(period, "-", -1)
     label = F.coalesce(F.try_element_at(_literal_map(MONTH_LABELS), month), month)
-    year = F.substring(parts.getItem(0), 3, 2147483647)
-    return F.when(F.size(parts) == 2, F.concat(label, F.lit("/"), year)).otherwise(period)
+    year = F.substring(F.substring_index(period, "-", 1), 3, 2147483647)
+    return F.when(one_dash, F.concat(label, F.lit("/"), year)).otherwise(period)
 
 
 def period_first_day(period: Column | str) -> Column:
