@@ -55,15 +55,22 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
                        "column_name", F.col("failures").cast("bigint").alias("failures"))
 
 
-def _duplicated_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _duplicated_groups(df: DataFrame, columns: Sequence[str],
+                       non_null: str | None = None) -> DataFrame:
+    """Groups of ``columns`` occurring more than once; with ``non_null``, the
+    group whose ``non_null`` key is NULL is not counted.  Both variants share
+    the same grouped sub-plan, so ``unique(c)`` and
+    ``unique_combination([c])`` on one table reuse one shuffle."""
+    dup = F.col("n") > 1
+    if non_null is not None:
+        dup = dup & F.col(non_null).isNotNull()
     return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("failures")))
+            .agg(F.count_if(dup).alias("failures")))
 
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Q2."""
-    return _result(_duplicated_groups(df.filter(F.col(column).isNotNull()), [column]),
-                   "unique", table, column)
+    """Q2: non-NULL values occurring more than once."""
+    return _result(_duplicated_groups(df, [column], non_null=column), "unique", table, column)
 
 
 def unique_combination(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
