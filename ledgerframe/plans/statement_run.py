@@ -97,14 +97,24 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     return RunResult(summary, checks, mart_paths, report_paths)
 
 
-def run_workbooks(spark: SparkSession, folder: str, out_dir: str, **kw) -> RunResult:
+def run_workbooks(spark: SparkSession, folder: str, out_dir: str, strict: bool = False,
+                  **kw) -> RunResult:
     """Entry point A: a folder of monthly statement workbooks.
 
     Every workbook is decoded once: the landed sheet rows are written (by
     raw table) and the seven raw tables are conformed from that copy, which
-    also cuts the lineage back to the files."""
+    also cuts the lineage back to the files.  Files that cannot be decoded
+    are listed in ``<out_dir>/unreadable_workbooks``; with ``strict=True``
+    any of them stops the run."""
     landed = WB.land_workbooks(WB.list_workbooks(spark, folder))
     landed_path = f"{out_dir}/landed_rows"
     landed.write.mode("overwrite").partitionBy("table_name").parquet(landed_path)
     stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(landed_path)
+    bad = WB.unreadable_workbooks(stored)
+    bad.write.mode("overwrite").parquet(f"{out_dir}/unreadable_workbooks")
+    if strict:
+        first = spark.read.parquet(f"{out_dir}/unreadable_workbooks").limit(5).collect()
+        if first:
+            raise ValueError("unreadable workbooks: " + "; ".join(
+                f"{r.source_file} ({r.error})" for r in first))
     return run(spark, WB.land_raw_tables(stored), out_dir, **kw)

@@ -47,6 +47,8 @@ SHEET_TABLES = {
 }
 UNNAMED_PREFIX = "Unnamed"
 EXCEL_EPOCH = "1899-12-30"
+EXCEL_MAX_SERIAL = 2958465          # 9999-12-31
+UNREADABLE = "_unreadable"          # table_name of a row reporting a file that failed to parse
 # ---------------------------------------------------------------------------
 
 LANDED_SCHEMA = T.StructType([
@@ -180,12 +182,18 @@ def parse_workbook(name: str, content: bytes) -> Iterator[tuple]:
 
 
 def parse_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``mapInPandas`` body: ``(path, content)`` batches -> landed rows."""
+    """``mapInPandas`` body: ``(path, content)`` batches -> landed rows.  A
+    file that cannot be decoded yields one ``_unreadable`` row with the error
+    instead of failing the task (see :func:`unreadable_workbooks`)."""
     cols = [f.name for f in LANDED_SCHEMA.fields]
     for batch in batches:
         # one output frame per workbook keeps memory at one file's rows
         for path, content in zip(batch["path"], batch["content"]):
-            rows = list(parse_workbook(file_name_of(path), bytes(content)))
+            name = file_name_of(path)
+            try:
+                rows = list(parse_workbook(name, bytes(content)))
+            except (zipfile.BadZipFile, ET.ParseError, KeyError, IndexError, ValueError) as e:
+                rows = [(name, UNREADABLE, None, 0, 0, {"error": f"{type(e).__name__}: {e}"})]
             if rows:
                 yield pd.DataFrame(rows, columns=cols)
 
@@ -205,11 +213,18 @@ def land_workbooks(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(parse_workbooks, LANDED_SCHEMA)
 
 
+def unreadable_workbooks(landed: DataFrame) -> DataFrame:
+    """Files that could not be decoded, with the error."""
+    return (landed.filter(F.col("table_name") == UNREADABLE)
+            .select("source_file", F.col("cells").getItem("error").alias("error")))
+
+
 def _date_cell(text: Column) -> Column:
     """A date cell: an Excel serial number, ``dd/MM/yyyy`` or ISO text."""
     serial = text.try_cast("double")
+    in_range = (serial >= 1) & (serial <= EXCEL_MAX_SERIAL)
     return F.coalesce(
-        F.date_add(F.lit(EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int")),
+        F.when(in_range, F.date_add(F.lit(EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int"))),
         F.try_to_timestamp(text, F.lit("dd/MM/yyyy")).cast("date"),
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date"),
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast("date"))

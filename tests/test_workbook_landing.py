@@ -151,3 +151,21 @@ def test_column_coercion_all_or_nothing(spark):
     got = {r.column_name: (r.n_values, r.n_numeric, r.decision)
            for r in WB.column_coercion(cells, ["source_file", "column_name"]).collect()}
     assert got == {"a": (2, 2, "numeric"), "b": (2, 1, "text"), "c": (0, 0, "text")}
+
+
+def test_corrupt_workbook_is_reported_not_fatal(spark, tmp_dir):
+    _june(tmp_dir)
+    with open(os.path.join(tmp_dir, "broken-2024-julho.xlsx"), "wb") as f:
+        f.write(b"not a zip archive")
+    landed = WB.land_workbooks(WB.list_workbooks(spark, tmp_dir))
+    bad = WB.unreadable_workbooks(landed).collect()
+    assert [r.source_file for r in bad] == ["broken-2024-julho.xlsx"]
+    assert "BadZipFile" in bad[0].error
+    assert WB.land_raw_tables(landed)["raw_stock_positions"].count() == 2
+
+
+def test_date_cells(spark):
+    df = spark.createDataFrame([("45474",), ("15/06/2024",), ("2024-06-15",), ("1e12",), ("x",)],
+                               "v string")
+    got = [str(r[0]) for r in df.select(WB._date_cell(F.col("v"))).collect()]
+    assert got == ["2024-07-01", "2024-06-15", "2024-06-15", "None", "None"]
