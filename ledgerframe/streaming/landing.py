@@ -4,9 +4,11 @@ The batch loader rebuilds every raw table from all files on each run.  For
 a folder that keeps receiving monthly workbooks, this stream reads each new
 file once (``binaryFile`` file source, exactly-once through the checkpoint),
 parses it with the same ``mapInPandas`` body, and in ``foreachBatch``
-overwrites only the ``_reference_period`` partitions present in the batch
-(dynamic partition overwrite): a corrected statement for a month replaces
-that month, other months stay untouched.  Marts are then rebuilt from the
+overwrites only the (period, source file) partitions present in the batch
+(dynamic partition overwrite): a corrected statement sent again under the
+same name replaces its own rows, while other statements of the same month,
+landed in earlier batches, stay untouched - the same rows a full reload of
+all files would give.  Marts are then rebuilt from the
 raw tables by :func:`ledgerframe.plans.statement_run.run` or per month.
 """
 
@@ -26,7 +28,8 @@ def _land_batch(out_dir: str):
         landed = WB.land_workbooks(batch).persist()
         try:
             for table, df in WB.land_raw_tables(landed).items():
-                write_table(df, f"{out_dir}/{table}", full_refresh=False)
+                write_table(df, f"{out_dir}/{table}", full_refresh=False,
+                            partition_by=("_reference_period", "_source_file"))
         finally:
             landed.unpersist()
     return land

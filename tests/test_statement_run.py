@@ -8,6 +8,7 @@ from ledgerframe.plans import statement_run
 from ledgerframe.sinks import read_table
 from ledgerframe.streaming import start_statement_stream
 from test_workbook_landing import _june, _march, _plain
+from xlsx_writer import write_xlsx
 
 
 def test_full_run_writes_marts_and_report(spark, tmp_dir):
@@ -43,3 +44,10 @@ def test_stream_lands_new_files_once(spark, tmp_dir):
     got = spark.read.parquet(f"{out}/raw_stock_positions")
     assert {r._reference_period for r in got.collect()} == {"2024-06", "2024-00"}
     assert got.count() == 4
+    # a second statement for June (another file) keeps the first one's rows
+    write_xlsx(os.path.join(src, "outra-corretora-2024-junho.xlsx"), {
+        "Posição - Ações": [["Código de Negociação", "Quantidade"], ["WEGE3", 1]]})
+    q = start_statement_stream(spark, src, out, ckpt, once=True)
+    q.awaitTermination(120)
+    june = spark.read.parquet(f"{out}/raw_stock_positions").filter("_reference_period = '2024-06'")
+    assert sorted(r.Codigo_de_Negociacao for r in june.collect()) == ["PETR4", "VALE3", "WEGE3"]
