@@ -36,8 +36,11 @@ def _literal_map(mapping: dict[str, str]) -> Column:
 
 
 def period_of(ts: Column | str) -> Column:
-    """``YYYY-MM`` of a date or timestamp."""
-    return F.date_format(ts, "yyyy-MM")
+    """``YYYY-MM`` of a date or timestamp.  The value is taken as a date
+    first, so a timestamp without time zone never passes through the session
+    time zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.date_format(ts.cast("date"), "yyyy-MM")
 
 
 def period_from_filename(name: Column | str, extension: str = "xlsx") -> Column:
