@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import benchmarks as B
 from ..operators import quality as Q
@@ -104,17 +104,26 @@ def run_workbooks(spark: SparkSession, folder: str, out_dir: str, strict: bool =
     Every workbook is decoded once: the landed sheet rows are written (by
     raw table) and the seven raw tables are conformed from that copy, which
     also cuts the lineage back to the files.  Files that cannot be decoded
-    are listed in ``<out_dir>/unreadable_workbooks``; with ``strict=True``
-    any of them stops the run."""
+    are listed in ``<out_dir>/unreadable_workbooks`` and declared numeric or
+    date columns with values that do not parse in ``<out_dir>/coercion_rejects``
+    (those values are NULL in the raw tables); with ``strict=True`` either
+    stops the run, as the statement loader would."""
     landed = WB.land_workbooks(WB.list_workbooks(spark, folder))
     landed_path = f"{out_dir}/landed_rows"
     landed.write.mode("overwrite").partitionBy("table_name").parquet(landed_path)
     stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(landed_path)
     bad = WB.unreadable_workbooks(stored)
     bad.write.mode("overwrite").parquet(f"{out_dir}/unreadable_workbooks")
+    rejects = WB.coercion_rejects(stored).filter(~F.col("all_parse"))
+    rejects.write.mode("overwrite").parquet(f"{out_dir}/coercion_rejects")
     if strict:
         first = spark.read.parquet(f"{out_dir}/unreadable_workbooks").limit(5).collect()
         if first:
             raise ValueError("unreadable workbooks: " + "; ".join(
                 f"{r.source_file} ({r.error})" for r in first))
+        first = spark.read.parquet(f"{out_dir}/coercion_rejects").limit(5).collect()
+        if first:
+            raise ValueError("values that do not parse: " + "; ".join(
+                f"{r.source_file} {r.table_name}.{r.column_name} "
+                f"({r.n_values - r.n_parsed} of {r.n_values})" for r in first))
     return run(spark, WB.land_raw_tables(stored), out_dir, **kw)

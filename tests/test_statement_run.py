@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerframe.plans import statement_run
@@ -26,6 +28,11 @@ def test_full_run_writes_marts_and_report(spark, tmp_dir):
     # partition pruning: the mart is stored by period
     assert os.path.isdir(f"{out}/marts/fct_stock_detail/_reference_period=2024-06")
     assert os.path.isdir(f"{out}/report/latest_kpis_csv")
+    rejects = spark.read.parquet(f"{out}/coercion_rejects").collect()
+    assert [(r.table_name, r.column_name) for r in rejects] == [("raw_stock_positions",
+                                                                 "Valor_Atualizado")]
+    with pytest.raises(ValueError, match="do not parse"):
+        statement_run.run_workbooks(spark, src, os.path.join(tmp_dir, "strict"), strict=True)
     failing = {r.check_name for r in res.checks.filter(F.col("failures") > 0).collect()}
     assert "reference_period_format" in failing          # "extrato.xlsx" is not YYYY-MM
 
