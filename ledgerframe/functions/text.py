@@ -7,15 +7,26 @@ from pyspark.sql import Column, functions as F
 # --- fixed values (header sanitising of statement sheets) -------------------
 # Space and slash become underscores, parentheses are dropped, and these
 # sixteen accented letters become plain ASCII; every other character is kept.
-HEADER_REPLACE_FROM = " /ãçéíóúÃÇÉÍÓÚâêôá"
-HEADER_REPLACE_TO = "__aceiouACEIOUaeoa"
-HEADER_DELETE = "()"
+HEADER_REPLACEMENTS = {
+    " ": "_", "/": "_", "(": "", ")": "",
+    "ã": "a", "ç": "c", "é": "e", "í": "i", "ó": "o", "ú": "u",
+    "Ã": "A", "Ç": "C", "É": "E", "Í": "I", "Ó": "O", "Ú": "U",
+    "â": "a", "ê": "e", "ô": "o", "á": "a",
+}
 # Separator between ticker and company name in product descriptions.
 PRODUCT_SEPARATOR = " - "
 # Odd-lot market suffix on trade codes.
 ODD_LOT_SUFFIX = "F"
 # ---------------------------------------------------------------------------
 
+# ``translate`` arguments: characters with a replacement first, then the
+# characters to delete (``translate`` drops source characters that have no
+# counterpart in the replacement string).
+_REPLACED = [(a, b) for a, b in HEADER_REPLACEMENTS.items() if b]
+_DELETED = [a for a, b in HEADER_REPLACEMENTS.items() if not b]
+TRANSLATE_FROM = "".join(a for a, _ in _REPLACED) + "".join(_DELETED)
+TRANSLATE_TO = "".join(b for _, b in _REPLACED)
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -24,14 +35,12 @@ def _col(c: Column | str) -> Column:
 def sanitize_header(header: Column | str) -> Column:
     """Header cleaning (I10). ``translate`` deletes source characters that have
     no counterpart, which is how the parentheses are removed."""
-    return F.translate(_col(header), HEADER_REPLACE_FROM + HEADER_DELETE, HEADER_REPLACE_TO)
+    return F.translate(_col(header), TRANSLATE_FROM, TRANSLATE_TO)
 
 
 def sanitize_header_py(header: str) -> str:
     """Driver-side twin of :func:`sanitize_header` for fixed header lists."""
-    table = {ord(a): b for a, b in zip(HEADER_REPLACE_FROM, HEADER_REPLACE_TO)}
-    table.update({ord(c): None for c in HEADER_DELETE})
-    return header.translate(table)
+    return header.translate({ord(a): (b or None) for a, b in HEADER_REPLACEMENTS.items()})
 
 
 def blank_key(key: Column | str) -> Column:
