@@ -21,6 +21,9 @@ RATE_WINDOW_LAST_DAY = 28
 # --- fixed values: index symbols and their report columns -------------------
 SYMBOL_COLUMNS = {"^BVSP": "ibov_return", "DIVO11.SA": "divo11_return"}
 # ---------------------------------------------------------------------------
+# Earliest portfolio month the index bases cover (the month spine of a price
+# series runs from here to the series' last month: ~12 rows a year).
+SPINE_START = "1900-01"
 
 
 def _running(keys: Sequence[str]) -> Window:
@@ -84,6 +87,57 @@ def index_returns(month_close: DataFrame) -> DataFrame:
                                   (F.try_divide(F.col("close"), base) - 1) * 100)
 
 
+def index_bases(month_close: DataFrame, symbol: str) -> DataFrame:
+    """For one symbol: ``(_start, _base)`` for every calendar month from
+    :data:`SPINE_START` to the series' last month - the close of the first
+    price month at or after ``_start`` (so a portfolio starting before the
+    series gets the series' first month as its base).
+
+    The calendar spine is generated from the one-row bound of the series
+    (``sequence`` + ``explode``), merged with the price months, and a
+    forward-looking window picks the next price month; everything is month
+    grain."""
+    closes = month_close.filter(F.col("symbol") == symbol).select(P, "close")
+    bounds = closes.agg(F.max(P).alias("hi"))
+    spine = bounds.select(F.explode(F.sequence(
+        period_first_day(F.lit(SPINE_START)), period_first_day("hi"),
+        F.expr("interval 1 month"))).alias("d"))
+    series = (closes.withColumn("_is_price", F.lit(1))
+              .unionByName(spine.select(F.date_format("d", "yyyy-MM").alias(P),
+                                        F.lit(None).cast("double").alias("close"),
+                                        F.lit(0).alias("_is_price"))))
+    ahead = Window.orderBy(P, "_is_price").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    nxt = F.first(F.when(F.col("_is_price") == 1, F.struct(F.col("close").alias("c"))),
+                  ignorenulls=True).over(ahead)
+    return (series.withColumn("_b", nxt).filter(F.col("_is_price") == 0)
+            .select(F.col(P).alias("_start"), F.col("_b.c").alias("_base")))
+
+
+def _with_index_returns(rows: DataFrame, month_close: DataFrame, keys: Sequence[str],
+                        symbols: dict[str, str]) -> DataFrame:
+    """Adds one raw return column per symbol to month rows that carry
+    ``_start`` (the portfolio's first period) and ``_valid``."""
+    for symbol, col in symbols.items():
+        bases = index_bases(month_close, symbol).withColumnRenamed("_base", f"_base_{col}")
+        closes = (month_close.filter(F.col("symbol") == symbol)
+                  .select(P, F.col("close").alias(f"_close_{col}")))
+        rows = (rows.join(closes, on=P, how="left")
+                .join(bases, on="_start", how="left"))
+        rows = rows.withColumn(col, F.when(
+            F.col("_valid"),
+            (F.try_divide(F.col(f"_close_{col}"), F.col(f"_base_{col}")) - 1) * 100))
+    return rows
+
+
+def _portfolio_months(periods: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:
+    whole = Window.partitionBy(*keys)
+    return (periods.select(*keys, P, *extra)
+            .withColumn("_start", F.min(P).over(whole))
+            .withColumn("_is_last", F.col(P) == F.max(P).over(whole))
+            .withColumn("_valid",
+                        F.min(period_first_day(P).isNotNull().cast("int")).over(whole) == 1))
+
+
 def index_returns_for_periods(month_close: DataFrame, periods: DataFrame,
                               keys: Sequence[str] = (),
                               symbols: dict[str, str] | None = None) -> DataFrame:
@@ -92,37 +146,10 @@ def index_returns_for_periods(month_close: DataFrame, periods: DataFrame,
     or after the portfolio's first period, so a portfolio (``keys``) that
     starts later gets its own base.  Returns ``(keys, period, <symbol
     columns>)`` on the portfolio's periods, NULL where there is no price;
-    any period that is not a real month gives NULL throughout (no window).
-
-    For each (fixed) symbol, the distinct start months are placed into that
-    symbol's month series as probe rows and a forward-looking window finds
-    the first price month at or after each; portfolios then join their base
-    on the start month.  Only month-grain rows are involved."""
+    any period that is not a real month gives NULL throughout (no window)."""
     symbols = symbols or SYMBOL_COLUMNS
-    whole = Window.partitionBy(*keys)
-    per = (periods.select(*keys, P)
-           .withColumn("_start", F.min(P).over(whole))
-           .withColumn("_valid",
-                       F.min(period_first_day(P).isNotNull().cast("int")).over(whole) == 1))
-    starts = per.select(F.col("_start").alias(P)).distinct()
-    out = per
-    for symbol, col in symbols.items():
-        closes = month_close.filter(F.col("symbol") == symbol).select(P, "close")
-        series = (closes.withColumn("_is_price", F.lit(1))
-                  .unionByName(starts.select(P, F.lit(None).cast("double").alias("close"),
-                                             F.lit(0).alias("_is_price"))))
-        ahead = (Window.orderBy(P, "_is_price")
-                 .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-        base = F.first(F.when(F.col("_is_price") == 1, F.struct(F.col("close").alias("c"))),
-                       ignorenulls=True).over(ahead)
-        bases = (series.withColumn("_b", base).filter(F.col("_is_price") == 0)
-                 .select(F.col(P).alias("_start"), F.col("_b.c").alias(f"_base_{col}")))
-        out = (out.join(closes.withColumnRenamed("close", f"_close_{col}"), on=P, how="left")
-               .join(bases, on="_start", how="left"))
-    return out.select(*keys, P, *[
-        F.when(F.col("_valid"),
-               (F.try_divide(F.col(f"_close_{c}"), F.col(f"_base_{c}")) - 1) * 100).alias(c)
-        for c in symbols.values()])
+    rows = _with_index_returns(_portfolio_months(periods, keys), month_close, keys, symbols)
+    return rows.select(*keys, P, *symbols.values())
 
 
 def forward_fill_returns(wide: DataFrame, keys: Sequence[str] = (),
@@ -135,6 +162,29 @@ def forward_fill_returns(wide: DataFrame, keys: Sequence[str] = (),
         for c in symbols.values()])
 
 
+def benchmark_comparison(wallet: DataFrame, rates: DataFrame, month_close: DataFrame,
+                         keys: Sequence[str] = (),
+                         symbols: dict[str, str] | None = None) -> DataFrame:
+    """B2 + B4-B7 in one chain over the wallet's own month rows: the wallet
+    is read once and is its own period table; the rate and price series join
+    it at month grain.  Same result as composing :func:`cumulative_rate`,
+    :func:`index_returns_for_periods`, :func:`forward_fill_returns` and
+    :func:`performance_vs_benchmarks`."""
+    symbols = symbols or SYMBOL_COLUMNS
+    rows = _portfolio_months(wallet, keys, "pct_return").join(
+        monthly_rate_returns(rates), on=P, how="left")
+    r = F.when(~F.col("_valid"), F.lit(0.0)).otherwise(F.coalesce(
+        F.when(F.col("_is_last"), F.col("_return_to_day28"))
+        .otherwise(F.col("cdi_monthly_return")), F.lit(0.0)))
+    rows = _with_index_returns(rows.withColumn("_r", r), month_close, keys, symbols)
+    run = _running(keys)
+    return rows.select(
+        *keys, P, "pct_return",
+        ((F.product(F.lit(1.0) + F.col("_r") / 100).over(run) - 1) * 100).alias("cdi_cumulative"),
+        *[F.coalesce(F.last(c, ignorenulls=True).over(run), F.lit(0.0)).alias(c)
+          for c in symbols.values()])
+
+
 def performance_vs_benchmarks(wallet: DataFrame, cdi: DataFrame, indices: DataFrame,
                               keys: Sequence[str] = ()) -> DataFrame:
     """B7 (+B6): the portfolio's simple return per month next to the

@@ -177,9 +177,8 @@ def b5_index_returns(spark: SparkSession, d: str) -> DataFrame:
 
 def b7_performance(spark: SparkSession, d: str) -> DataFrame:
     m = marts(spark, d)
-    periods = periods_of(m)
-    return round_doubles(B.performance_vs_benchmarks(m.monthly_wallet, _cdi(spark, d, m, periods),
-                                                     _indices(spark, d, m, periods)))
+    return round_doubles(B.benchmark_comparison(
+        m.monthly_wallet, _rates(spark, d), B.month_end_close(_prices(spark, d))))
 
 
 QUERIES.update({

@@ -47,11 +47,11 @@ def benchmark_sections(wallet: DataFrame, rates: DataFrame | None, prices: DataF
     rates = rates if rates is not None else spark.createDataFrame([], "date date, rate_pct double")
     prices = prices if prices is not None else spark.createDataFrame(
         [], "symbol string, date date, close double")
+    closes = B.month_end_close(prices)
     cdi = B.cumulative_rate(B.monthly_rate_returns(rates), periods, keys)
-    idx = B.forward_fill_returns(
-        B.index_returns_for_periods(B.month_end_close(prices), periods, keys), keys)
+    idx = B.forward_fill_returns(B.index_returns_for_periods(closes, periods, keys), keys)
     return {"cdi_cumulative": cdi, "index_returns": idx,
-            "performance_vs_benchmarks": B.performance_vs_benchmarks(wallet, cdi, idx, keys)}
+            "performance_vs_benchmarks": B.benchmark_comparison(wallet, rates, closes, keys)}
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,

@@ -85,3 +85,33 @@ def test_invalid_period_gives_zero_index_returns(spark):
     ret = by_period(B.forward_fill_returns(
         B.index_returns_for_periods(B.month_end_close(prices), periods)))
     assert ret["2024-01"].ibov_return == 0.0
+
+
+def test_single_chain_comparison_equals_composition(spark):
+    d = dt.date
+    wallet = spark.createDataFrame(
+        [("X", "2024-01", 1.0), ("X", "2024-02", 2.0), ("X", "2024-03", 3.0),
+         ("Y", "2024-02", 5.0), ("Y", "2024-03", 6.0), ("Z", "2024-00", 7.0), ("Z", "2024-01", 8.0)],
+        "owner string, _reference_period string, pct_return double")
+    rates = spark.createDataFrame([(d(2024, 1, 2), 1.0), (d(2024, 2, 29), 3.0), (d(2024, 3, 5), 2.0)],
+                                  "date date, rate_pct double")
+    prices = spark.createDataFrame(
+        [("^BVSP", d(2023, 12, 5), 90.0), ("^BVSP", d(2024, 1, 5), 100.0),
+         ("^BVSP", d(2024, 3, 5), 130.0), ("DIVO11.SA", d(2024, 2, 5), 10.0)],
+        "symbol string, date date, close double")
+    closes = B.month_end_close(prices)
+    keys = ["owner"]
+    periods = wallet.select("owner", "_reference_period")
+    cdi = B.cumulative_rate(B.monthly_rate_returns(rates), periods, keys)
+    idx = B.forward_fill_returns(B.index_returns_for_periods(closes, periods, keys), keys)
+    composed = B.performance_vs_benchmarks(wallet, cdi, idx, keys)
+    chained = B.benchmark_comparison(wallet, rates, closes, keys)
+
+    def rows(df):
+        return sorted((r.owner, r._reference_period, r.pct_return, round(r.cdi_cumulative, 9),
+                       round(r.ibov_return, 9), round(r.divo11_return, 9)) for r in df.collect())
+    assert rows(chained) == rows(composed)
+    got = {(r[0], r[1]): r for r in rows(chained)}
+    assert got[("X", "2024-03")][4] == pytest.approx(30.0)   # X's base: January
+    assert got[("Y", "2024-03")][4] == pytest.approx(0.0)    # Y's base: March, first >= Feb
+    assert got[("Z", "2024-01")][3:] == (0.0, 0.0, 0.0)       # invalid period: no benchmarks
