@@ -259,18 +259,16 @@ def i8_column_coercion(spark: SparkSession, d: str) -> DataFrame:
     cells built from orders: a decimal-comma amount (always numeric), a
     client column with a dash for pending orders, a status text."""
     o = A.read_table(spark, d, "orders")
-    cells = F.array(
-        F.struct(F.lit("Valor").alias("column_name"),
-                 F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(","))
-                 .alias("value")),
-        F.struct(F.lit("Cliente").alias("column_name"),
-                 F.when(F.col("o_orderstatus") == "P", F.lit("-"))
-                 .otherwise(F.col("o_custkey").cast("string")).alias("value")),
-        F.struct(F.lit("Status").alias("column_name"), F.col("o_orderstatus").alias("value")))
-    long = o.select(F.concat(F.lit("orders-"), F.date_format("o_orderdate", "yyyy-MM"))
-                    .alias("source_file"), F.col("o_orderpriority").alias("sheet_name"),
-                    F.inline(cells))
-    return WB.column_coercion(long, ["source_file", "sheet_name", "column_name"])
+    cells = o.select(
+        F.concat(F.lit("orders-"), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM"))
+        .alias("source_file"),
+        F.col("o_orderpriority").alias("sheet_name"),
+        F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")).alias("Valor"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("-"))
+        .otherwise(F.col("o_custkey").cast("string")).alias("Cliente"),
+        F.col("o_orderstatus").alias("Status"))
+    return WB.column_coercion_wide(cells, ["source_file", "sheet_name"],
+                                   ["Valor", "Cliente", "Status"])
 
 
 def i9_sparse_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -310,6 +310,23 @@ def column_coercion(cells: DataFrame, group: list[str], value: str = "value") ->
                         .otherwise(F.lit("text"))))
 
 
+def column_coercion_wide(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """:func:`column_coercion` for text columns side by side: one aggregate
+    per group for all columns, unpivoted afterwards, so only aggregated rows
+    are multiplied by the number of columns."""
+    agg = df.groupBy(*group).agg(*[
+        x for c in columns for x in (F.count(F.col(c)).alias(f"_n_{c}"),
+                                     F.count(parse_decimal_comma(F.col(c))).alias(f"_p_{c}"))])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                              F.col(f"_n_{c}").alias("n_values"),
+                              F.col(f"_p_{c}").alias("n_numeric")) for c in columns])
+    return (agg.select(*group, F.inline(rows))
+            .withColumn("decision",
+                        F.when((F.col("n_values") > 0) &
+                               (F.col("n_numeric") == F.col("n_values")), F.lit("numeric"))
+                        .otherwise(F.lit("text"))))
+
+
 def load_summary(raw: dict[str, DataFrame]) -> DataFrame:
     """Row count per raw table (one aggregate per table, unioned)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(t))

@@ -169,3 +169,16 @@ def test_date_cells(spark):
                                "v string")
     got = [str(r[0]) for r in df.select(WB._date_cell(F.col("v"))).collect()]
     assert got == ["2024-07-01", "2024-06-15", "2024-06-15", "None", "None"]
+
+
+def test_column_coercion_wide_equals_long(spark):
+    wide = spark.createDataFrame([("f", "1,5", "-"), ("f", "2", "3"), ("g", None, "x")],
+                                 "source_file string, a string, b string")
+    long = wide.selectExpr("source_file", "stack(2, 'a', a, 'b', b) as (column_name, value)")
+    w = WB.column_coercion_wide(wide, ["source_file"], ["a", "b"])
+    lng = WB.column_coercion(long, ["source_file", "column_name"])
+    key = lambda r: (r.source_file, r.column_name)
+    assert sorted(map(tuple, w.select(*lng.columns).collect())) == \
+        sorted(map(tuple, lng.collect()))
+    assert {key(r): r.decision for r in w.collect()} == {
+        ("f", "a"): "numeric", ("f", "b"): "text", ("g", "a"): "text", ("g", "b"): "text"}
