@@ -113,7 +113,7 @@ def index_bases(month_close: DataFrame, symbol: str) -> DataFrame:
             .select(F.col(P).alias("_start"), F.col("_b.c").alias("_base")))
 
 
-def _with_index_returns(rows: DataFrame, month_close: DataFrame, keys: Sequence[str],
+def _with_index_returns(rows: DataFrame, month_close: DataFrame,
                         symbols: dict[str, str]) -> DataFrame:
     """Adds one raw return column per symbol to month rows that carry
     ``_start`` (the portfolio's first period) and ``_valid``."""
@@ -148,7 +148,7 @@ def index_returns_for_periods(month_close: DataFrame, periods: DataFrame,
     columns>)`` on the portfolio's periods, NULL where there is no price;
     any period that is not a real month gives NULL throughout (no window)."""
     symbols = symbols or SYMBOL_COLUMNS
-    rows = _with_index_returns(_portfolio_months(periods, keys), month_close, keys, symbols)
+    rows = _with_index_returns(_portfolio_months(periods, keys), month_close, symbols)
     return rows.select(*keys, P, *symbols.values())
 
 
@@ -176,7 +176,7 @@ def benchmark_comparison(wallet: DataFrame, rates: DataFrame, month_close: DataF
     r = F.when(~F.col("_valid"), F.lit(0.0)).otherwise(F.coalesce(
         F.when(F.col("_is_last"), F.col("_return_to_day28"))
         .otherwise(F.col("cdi_monthly_return")), F.lit(0.0)))
-    rows = _with_index_returns(rows.withColumn("_r", r), month_close, keys, symbols)
+    rows = _with_index_returns(rows.withColumn("_r", r), month_close, symbols)
     run = _running(keys)
     return rows.select(
         *keys, P, "pct_return",
