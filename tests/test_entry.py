@@ -56,3 +56,16 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert _canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == _canon(dcols, cur.fetchall())
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    sdf = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    duck = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    for f in sdf.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck[f.name], (name, f.name)
