@@ -144,8 +144,8 @@ def _headers(header_cells: dict[int, str], width: int) -> list[str]:
     ``.2``; then sanitised (I10)."""
     names, seen = [], {}
     for i in range(width):
-        h = header_cells.get(i)
-        h = f"{UNNAMED_PREFIX}: {i}" if h is None or h.strip() == "" else h
+        h = header_cells.get(i)             # empty cells are not stored: None
+        h = f"{UNNAMED_PREFIX}: {i}" if h is None else h
         if h in seen:
             seen[h] += 1
             h = f"{h}.{seen[h]}"
