@@ -182,3 +182,16 @@ def test_column_coercion_wide_equals_long(spark):
         sorted(map(tuple, lng.collect()))
     assert {key(r): r.decision for r in w.collect()} == {
         ("f", "a"): "numeric", ("f", "b"): "text", ("g", "a"): "text", ("g", "b"): "text"}
+
+
+def test_missing_value_markers(spark, tmp_dir):
+    write_xlsx(os.path.join(tmp_dir, "rel-2024-maio.xlsx"), {
+        "Posição - Ações": [POS_HEADER[:9],
+                            ["PETR4", "N/A", "XP", "1", "PN", 1, 1, "NA", 10.0],
+                            ["NA", "NA", "NA", "NA", "NA", "NA", None, None, None],
+                            ["VALE3", "VALE", "XP", "2", "ON", 2, 2, 5.0, 10.0]]})
+    landed = WB.land_workbooks(WB.list_workbooks(spark, tmp_dir))
+    rows = {r.Codigo_de_Negociacao: r for r in WB.land_raw_tables(landed)["raw_stock_positions"].collect()}
+    assert set(rows) == {"PETR4", "VALE3"}              # the all-"NA" row is sparse: dropped
+    assert rows["PETR4"].Produto is None and rows["PETR4"].Preco_de_Fechamento is None
+    assert WB.coercion_rejects(landed).filter(~F.col("all_parse")).count() == 0
