@@ -273,7 +273,8 @@ def batched_checks(tables: dict[str, DataFrame], kinds: Sequence[str] | None = N
             parts.append(_one_pass(tables[table], table, metrics))
         parts += [run_check(tables, c, keys) for c in checks
                   if c.kind in ("unique", "unique_combination")]
-    return reduce(DataFrame.unionByName, parts)
+    # every part has RESULT_COLUMNS in order: a positional union is enough
+    return reduce(DataFrame.union, [p.select(*RESULT_COLUMNS) for p in parts])
 
 
 def generic_checks(tables: dict[str, DataFrame], kind: str | None = None,
