@@ -15,8 +15,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.periods import period_from_filename
+from ..functions.text import sanitize_header
+from ..operators import benchmarks as B
+from ..operators import quality as Q
+from ..operators import report as R
 from ..operators import transforms as TR
+from ..sources import series as SR
 from ..sources import tpch_adapter as A
+from ..sources import workbook as WB
 from .marts import Marts, build_marts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,7 +88,6 @@ QUERIES: dict[str, Query] = {
 
 
 # ------------------------------------------------------------ quality ----
-from ..operators import quality as Q  # noqa: E402
 
 
 def _generic(kind: str) -> Query:
@@ -117,8 +123,6 @@ QUERIES.update({
 
 
 # --------------------------------------------------------- benchmarks ----
-from ..operators import benchmarks as B  # noqa: E402
-from ..sources import series as SR  # noqa: E402
 
 P = "_reference_period"
 
@@ -192,7 +196,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------- report ----
-from ..operators import report as R  # noqa: E402
 
 # The driver's monthly sales run from ~0.4 to ~6.7 million, so the statutory
 # 20,000 limit is never the boundary there; the registered query uses a limit
@@ -227,9 +230,6 @@ QUERIES.update({
 
 
 # ----------------------------------------------------------- ingestion ----
-from ..functions.periods import period_from_filename  # noqa: E402
-from ..functions.text import sanitize_header  # noqa: E402
-from ..sources import workbook as WB  # noqa: E402
 
 # Month words as they appear in statement file names (March with its cedilla,
 # which the period rule maps to month 00).
