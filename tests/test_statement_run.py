@@ -58,3 +58,27 @@ def test_stream_lands_new_files_once(spark, tmp_dir):
     q.awaitTermination(120)
     june = spark.read.parquet(f"{out}/raw_stock_positions").filter("_reference_period = '2024-06'")
     assert sorted(r.Codigo_de_Negociacao for r in june.collect()) == ["PETR4", "VALE3", "WEGE3"]
+
+
+def test_full_run_with_owner_keys(spark, tmp_dir):
+    import datetime as dt
+
+    from fixtures import pos, raw_set, trade
+    a = raw_set(spark, raw_stock_positions=[pos("ITUB4", 10, 25.0, 250.0, "2024-01")],
+                raw_trades=[trade("ITUB4", 10.0, 20.0, 0.0, 0.0, "2024-01")])
+    b = raw_set(spark, raw_stock_positions=[pos("ITUB4", 1, 30.0, 30.0, "2024-02")],
+                raw_trades=[trade("ITUB4", 1.0, 10.0, 0.0, 0.0, "2024-02")])
+    raw = {t: a[t].withColumn("owner", F.lit("A")).unionByName(b[t].withColumn("owner", F.lit("B")))
+           for t in a}
+    prices = spark.createDataFrame([("^BVSP", dt.date(2024, 1, 5), 100.0),
+                                    ("^BVSP", dt.date(2024, 2, 5), 110.0)],
+                                   "symbol string, date date, close double")
+    out = os.path.join(tmp_dir, "keyed")
+    res = statement_run.run(spark, raw, out, keys=["owner"], gate=False, prices=prices)
+    wallet = {r.owner: r for r in read_table(spark, f"{out}/marts", "fct_monthly_wallet").collect()}
+    assert wallet["A"].total_invested == 200.0 and wallet["B"].total_invested == 10.0
+    perf = {(r.owner, r._reference_period): r.ibov_return
+            for r in spark.read.parquet(res.report["performance_vs_benchmarks"]).collect()}
+    assert perf == {("A", "2024-01"): 0.0, ("B", "2024-02"): 0.0}   # each owner's own base
+    kpis = spark.read.parquet(res.report["latest_kpis"]).collect()
+    assert {(r.owner, r._reference_period) for r in kpis} == {("A", "2024-01"), ("B", "2024-02")}
