@@ -82,3 +82,19 @@ def test_full_run_with_owner_keys(spark, tmp_dir):
     assert perf == {("A", "2024-01"): 0.0, ("B", "2024-02"): 0.0}   # each owner's own base
     kpis = spark.read.parquet(res.report["latest_kpis"]).collect()
     assert {(r.owner, r._reference_period) for r in kpis} == {("A", "2024-01"), ("B", "2024-02")}
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    import json
+
+    from ledgerframe.__main__ import main
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _june(src)
+    with open(os.path.join(tmp_dir, "cdi.json"), "w") as f:
+        json.dump([{"data": "03/06/2024", "valor": "0.04"}], f)
+    assert main(["run", "--workbooks", src, "--out", os.path.join(tmp_dir, "out"), "--no-gate",
+                 "--rates", os.path.join(tmp_dir, "cdi.json")]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["raw_rows"]["raw_stock_positions"] == 2
+    assert "performance_vs_benchmarks" in out["report"]
