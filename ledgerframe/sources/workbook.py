@@ -100,7 +100,14 @@ def _col_index(letters: str) -> int:
 
 
 def _text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t"))
+    """Text of a shared or inline string: its own ``<t>``, or the ``<t>`` of
+    each rich-text run; phonetic guides (``<rPh>``) are not cell text."""
+    if node is None:
+        return ""
+    t = node.find("m:t", _NS)
+    if t is not None:
+        return t.text or ""
+    return "".join(r.findtext("m:t", default="", namespaces=_NS) for r in node.findall("m:r", _NS))
 
 
 def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str]) -> list[dict[int, str]]:
@@ -115,7 +122,7 @@ def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str]) -> list[dic
             col = _col_index(m.group(1)) if m else pos
             kind = c.get("t")
             if kind == "inlineStr":
-                value = _text(c)
+                value = _text(c.find("m:is", _NS))
             else:
                 v = c.find("m:v", _NS)
                 if v is None or v.text is None:
