@@ -18,6 +18,7 @@ file is read.
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 import re
 import unicodedata
@@ -52,6 +53,8 @@ MISSING_TEXT = frozenset({
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 })
 UNNAMED_PREFIX = "Unnamed"
+# Built-in number formats that display a date or time (ECMA-376, 18.8.30).
+BUILTIN_DATE_FORMATS = frozenset(range(14, 23)) | frozenset({45, 46, 47})
 EXCEL_EPOCH = "1899-12-30"
 EXCEL_MAX_SERIAL = 2958465          # 9999-12-31
 UNREADABLE = "_unreadable"          # table_name of a row reporting a file that failed to parse
@@ -110,8 +113,45 @@ def _text(node) -> str:
     return "".join(r.findtext("m:t", default="", namespaces=_NS) for r in node.findall("m:r", _NS))
 
 
-def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str]) -> list[dict[int, str]]:
-    """Rows of a worksheet as ``{column index: text}``, in sheet order."""
+_QUOTED = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.')
+
+
+def _is_date_format(code: str) -> bool:
+    """A custom number format shows a date when, outside quoted text,
+    brackets and escapes, it has day/month/year/hour/second tokens."""
+    return bool(re.search(r"[dmyhs]", _QUOTED.sub("", code.lower())))
+
+
+def _date_styles(zf: zipfile.ZipFile) -> set[int]:
+    """Indexes of the cell formats (``s`` attribute) that display dates."""
+    try:
+        root = ET.fromstring(zf.read("xl/styles.xml"))
+    except KeyError:
+        return set()
+    custom = {int(f.get("numFmtId")): f.get("formatCode", "")
+              for f in root.iter(f"{{{_NS['m']}}}numFmt")}
+    xfs = root.find("m:cellXfs", _NS)
+    out = set()
+    for i, xf in enumerate(xfs.findall("m:xf", _NS) if xfs is not None else []):
+        fmt = int(xf.get("numFmtId", "0"))
+        if fmt in BUILTIN_DATE_FORMATS or (fmt in custom and _is_date_format(custom[fmt])):
+            out.add(i)
+    return out
+
+
+def _serial_to_iso(value: str, epoch: dt.datetime) -> str:
+    """An Excel date serial as ISO text (date, or date and time)."""
+    stamp = epoch + dt.timedelta(days=float(value))
+    if stamp.hour or stamp.minute or stamp.second:
+        return stamp.strftime("%Y-%m-%d %H:%M:%S")
+    return stamp.strftime("%Y-%m-%d")
+
+
+def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str],
+                date_styles: frozenset[int] | set[int] = frozenset(),
+                epoch: dt.datetime = dt.datetime(1899, 12, 30)) -> list[dict[int, str]]:
+    """Rows of a worksheet as ``{column index: text}``, in sheet order;
+    numbers in a date format become ISO dates."""
     rows: list[tuple[int, dict[int, str]]] = []
     root = ET.fromstring(zf.read(target))
     for row in root.iter(f"{{{_NS['m']}}}row"):
@@ -132,6 +172,8 @@ def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str]) -> list[dic
                     value = shared[int(value)]
                 elif kind == "b":
                     value = "true" if value == "1" else "false"
+                elif kind in (None, "n") and c.get("s") and int(c.get("s")) in date_styles:
+                    value = _serial_to_iso(value, epoch)
             is_text = kind in ("s", "inlineStr", "str", "e")
             if value != "" and not (is_text and value in MISSING_TEXT):
                 cells[col] = value
@@ -141,8 +183,12 @@ def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str]) -> list[dic
     return [c for _, c in rows]
 
 
-def _workbook_sheets(zf: zipfile.ZipFile) -> list[tuple[str, str]]:
+def _workbook_sheets(zf: zipfile.ZipFile) -> tuple[list[tuple[str, str]], bool]:
+    """Sheet names with their part paths, in workbook order, and whether the
+    workbook counts dates from 1904."""
     wb = ET.fromstring(zf.read("xl/workbook.xml"))
+    pr = wb.find("m:workbookPr", _NS)
+    date1904 = pr is not None and pr.get("date1904", "0").lower() in ("1", "true")
     rels = ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))
     targets = {r.get("Id"): r.get("Target") for r in rels.iter(_PKG_REL)}
     out = []
@@ -150,7 +196,7 @@ def _workbook_sheets(zf: zipfile.ZipFile) -> list[tuple[str, str]]:
         target = targets[s.get(_REL_NS)]
         target = target.lstrip("/") if target.startswith("/") else posixpath.join("xl", target)
         out.append((unicodedata.normalize("NFC", s.get("name")), target))
-    return out
+    return out, date1904
 
 
 def _headers(header_cells: dict[int, str], width: int) -> list[str]:
@@ -177,10 +223,12 @@ def parse_workbook(name: str, content: bytes) -> Iterator[tuple]:
             shared = [_text(si) for si in sst.iter(f"{{{_NS['m']}}}si")]
         except KeyError:
             shared = []
-        sheets = _workbook_sheets(zf)
+        sheets, date1904 = _workbook_sheets(zf)
+        epoch = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
+        date_styles = _date_styles(zf)
         targets = dict(sheets)
         for table, sheet in match_sheets([s for s, _ in sheets]).items():
-            rows = _read_sheet(zf, targets[sheet], shared)
+            rows = _read_sheet(zf, targets[sheet], shared, date_styles, epoch)
             if len(rows) < 2:
                 continue                               # header only: empty sheet
             width = max((max(r) + 1 for r in rows if r), default=0)

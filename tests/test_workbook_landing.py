@@ -195,3 +195,16 @@ def test_missing_value_markers(spark, tmp_dir):
     assert set(rows) == {"PETR4", "VALE3"}              # the all-"NA" row is sparse: dropped
     assert rows["PETR4"].Produto is None and rows["PETR4"].Preco_de_Fechamento is None
     assert WB.coercion_rejects(landed).filter(~F.col("all_parse")).count() == 0
+
+
+def test_date_styled_cells_and_1904_workbooks(spark, tmp_dir):
+    from xlsx_writer import ExcelDate
+    hdr = ["Produto", "Pagamento", "Tipo de Evento", "Valor líquido"]
+    write_xlsx(os.path.join(tmp_dir, "a-2024-julho.xlsx"), {
+        "Proventos Recebidos": [hdr, ["ITSA4", ExcelDate(45474), "Dividendo", 1.0]]})
+    write_xlsx(os.path.join(tmp_dir, "b-2024-julho.xlsx"), {
+        "Proventos Recebidos": [hdr, ["BBAS3", ExcelDate(44012), "Dividendo", 2.0]]},
+        date1904=True)
+    raw = WB.land_raw_tables(WB.land_workbooks(WB.list_workbooks(spark, tmp_dir)))
+    got = {r.Produto: str(r.Pagamento) for r in raw["raw_dividends"].collect()}
+    assert got == {"ITSA4": "2024-07-01", "BBAS3": "2024-07-01"}

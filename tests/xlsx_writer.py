@@ -15,9 +15,15 @@ def _col(i: int) -> str:
     return s
 
 
+class ExcelDate(float):
+    """A number written with a date format (cell style 1: built-in format 14)."""
+
+
 def _cell(ref: str, v) -> str:
     if v is None:
         return ""
+    if isinstance(v, ExcelDate):
+        return f'<c r="{ref}" s="1"><v>{float(v)!r}</v></c>'
     if isinstance(v, bool):
         return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
     if isinstance(v, (int, float)):
@@ -35,7 +41,13 @@ def _sheet(rows: list[list]) -> str:
             f'<sheetData>{"".join(body)}</sheetData></worksheet>')
 
 
-def write_xlsx(path: str, sheets: dict[str, list[list]]) -> str:
+STYLES = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+          '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+          '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14" applyNumberFormat="1"/></cellXfs>'
+          '</styleSheet>')
+
+
+def write_xlsx(path: str, sheets: dict[str, list[list]], date1904: bool = False) -> str:
     names = list(sheets)
     ct = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
           '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
@@ -51,7 +63,8 @@ def write_xlsx(path: str, sheets: dict[str, list[list]]) -> str:
             '</Relationships>')
     wb = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
           '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-          'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>'
+          'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+          + ('<workbookPr date1904="1"/>' if date1904 else '') + '<sheets>'
           + "".join(f'<sheet name="{escape(n)}" sheetId="{i + 1}" r:id="rId{i + 1}"/>'
                     for i, n in enumerate(names))
           + '</sheets></workbook>')
@@ -65,6 +78,7 @@ def write_xlsx(path: str, sheets: dict[str, list[list]]) -> str:
         z.writestr("_rels/.rels", rels)
         z.writestr("xl/workbook.xml", wb)
         z.writestr("xl/_rels/workbook.xml.rels", wb_rels)
+        z.writestr("xl/styles.xml", STYLES)
         for i, n in enumerate(names):
             z.writestr(f"xl/worksheets/sheet{i + 1}.xml", _sheet(sheets[n]))
     return path
