@@ -43,11 +43,11 @@ def int_weighted_avg_price(trades_clean: DataFrame, keys: Sequence[str] = ()) ->
     """Whole-history weighted average purchase price per ticker (sells
     never reduce it)."""
     bought = trades_clean.filter((F.col("buy_quantity") > 0) & (F.col("avg_buy_price") > 0))
-    agg = bought.groupBy(*_k(keys), "ticker").agg(
-        F.sum("buy_quantity").alias("total_shares_bought"),
-        F.sum("total_buy_cost").alias("total_invested"))
-    return agg.withColumn("weighted_avg_price",
-                          safe_ratio(F.col("total_invested"), F.col("total_shares_bought")))
+    return (bought.groupBy(*_k(keys), "ticker")
+            .agg(F.sum("buy_quantity").alias("total_shares_bought"),
+                 F.sum("total_buy_cost").alias("total_invested"))
+            .select("*", safe_ratio(F.col("total_invested"), F.col("total_shares_bought"))
+                    .alias("weighted_avg_price")))
 
 
 # ------------------------------------------------------------- positions ----
@@ -55,12 +55,14 @@ def int_all_equity_positions(stg_stock: DataFrame, stg_etf: DataFrame,
                              keys: Sequence[str] = ()) -> DataFrame:
     """Stocks and ETFs stacked, then per ticker x type x month: quantity,
     quantity-weighted close, current value."""
-    cols = [*_k(keys), "ticker", "product_name", "institution", "asset_subtype", "asset_type",
-            "quantity", "closing_price", "current_value", P]
-    stocks = (stg_stock.withColumnRenamed("stock_type", "asset_subtype")
-              .withColumn("asset_type", F.lit("stock")).select(*cols))
-    etfs = (stg_etf.withColumnRenamed("etf_type", "asset_subtype")
-            .withColumn("asset_type", F.lit("etf")).select(*cols))
+    def tagged(df: DataFrame, subtype: str, asset_type: str) -> DataFrame:
+        return df.select(*_k(keys), "ticker", "product_name", "institution",
+                         F.col(subtype).alias("asset_subtype"),
+                         F.lit(asset_type).alias("asset_type"),
+                         "quantity", "closing_price", "current_value", P)
+
+    stocks = tagged(stg_stock, "stock_type", "stock")
+    etfs = tagged(stg_etf, "etf_type", "etf")
     return (stocks.unionByName(etfs)
             .groupBy(*_k(keys), "ticker", "asset_type", P)
             .agg(F.sum("quantity").alias("total_quantity"),
@@ -174,10 +176,10 @@ def fct_monthly_wallet(equity_positions: DataFrame, avg_price: DataFrame,
         *[F.when(null_month, F.lit(None).cast("double")).otherwise(F.col(f"_{c}_value"))
           .alias(f"{c}_value") for c in ASSET_CLASSES],
         invested.alias("total_invested"))
-        .withColumn("absolute_gain_loss", gain)
-        .withColumn("pct_return",
-                    F.when(F.col("total_invested") > 0,
-                           gain / F.col("total_invested") * 100).otherwise(F.lit(0.0))))
+        .withColumns({"absolute_gain_loss": gain,
+                      "pct_return": F.when(F.col("total_invested") > 0,
+                                           gain / F.col("total_invested") * 100)
+                      .otherwise(F.lit(0.0))}))
 
 
 def fct_stock_detail(equity_positions: DataFrame, avg_price: DataFrame,

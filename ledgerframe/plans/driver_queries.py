@@ -37,8 +37,20 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
                        for f in df.schema.fields])
 
 
+_MARTS: dict[tuple[int, str], tuple[SparkSession, Marts]] = {}
+
+
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
-    return build_marts(A.raw_tables(spark, sf_dir))
+    """The model graph over one data directory, shared by the queries of a
+    session: DataFrames are immutable lazy plans, so building (and analysing)
+    them once saves driver time; every query still plans and executes its
+    own jobs (nothing is cached or reused between executions)."""
+    key = (id(spark), sf_dir)
+    hit = _MARTS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build_marts(A.raw_tables(spark, sf_dir)))
+        _MARTS[key] = hit
+    return hit[1]
 
 
 def _stg(name: str) -> Query:
