@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # the partition columns written here (period, source file) are text: read
+    # them back as text, never as numbers or dates guessed from their values
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

@@ -98,3 +98,13 @@ def test_command_line_run(spark, tmp_dir, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["raw_rows"]["raw_stock_positions"] == 2
     assert "performance_vs_benchmarks" in out["report"]
+
+
+def test_partition_values_stay_text(spark, tmp_dir):
+    from ledgerframe.sinks import write_table
+    df = spark.createDataFrame([("a", "202406"), ("b", "2024-06")], "v string, _reference_period string")
+    path = os.path.join(tmp_dir, "t")
+    write_table(df, path)
+    back = spark.read.parquet(path)
+    assert dict(back.dtypes)["_reference_period"] == "string"
+    assert {r._reference_period for r in back.collect()} == {"202406", "2024-06"}
