@@ -1,5 +1,6 @@
-"""A full run: land -> raw tables -> staging checks -> marts -> checks ->
-report sections, each stage read back from what the previous one wrote.
+"""A full run: land -> raw tables -> staging checks -> shared intermediates
+-> marts -> checks -> report sections, each stage read back from what the
+previous one wrote.
 
 Writing the raw tables and marts and reading them back is also the lineage
 cut: a lost executor recomputes from the last written table, never from the
@@ -85,12 +86,11 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     mart_paths = write_tables(mart_dfs, mart_root,
                               order={m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()})
     stored = {m: read_table(spark, mart_root, m, mart_dfs[m].schema) for m in mart_paths}  # K2
-    tables = marts.with_stored(stored).tables()
-    checks = Q.run_checks(tables, keys)
+    stored_marts = marts.with_stored(stored)
+    checks = Q.run_checks(stored_marts.tables(), keys)
     if gate:
         Q.gate(checks)
 
-    stored_marts = marts.with_stored(stored)
     sections = R.build_sections(stored_marts, keys=keys, sales_threshold=sales_threshold)
     sections.update(benchmark_sections(stored["fct_monthly_wallet"], rates, prices, keys))
     report_paths = write_report(sections, f"{out_dir}/report", csv=csv_report)   # K3
