@@ -167,10 +167,7 @@ stg_dividends AS (
   WHERE Produto IS NOT NULL AND trim(CAST(Produto AS VARCHAR)) <> ''
 ),
 stg_trades AS (
-  SELECT CASE WHEN trim(CAST(Codigo_de_Negociacao AS VARCHAR)) LIKE '%F'
-              THEN left(trim(CAST(Codigo_de_Negociacao AS VARCHAR)),
-                        length(trim(CAST(Codigo_de_Negociacao AS VARCHAR))) - 1)
-              ELSE trim(CAST(Codigo_de_Negociacao AS VARCHAR)) END AS ticker,
+  SELECT regexp_replace(trim(CAST(Codigo_de_Negociacao AS VARCHAR)), 'F$', '') AS ticker,
          Periodo_Inicial AS period_start, Periodo_Final AS period_end,
          trim(Instituicao) AS institution,
          CAST(Quantidade_Compra AS DOUBLE) AS buy_quantity,
