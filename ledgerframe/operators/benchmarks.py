@@ -87,46 +87,56 @@ def index_returns(month_close: DataFrame) -> DataFrame:
                                   (F.try_divide(F.col("close"), base) - 1) * 100)
 
 
-def index_bases(month_close: DataFrame, symbol: str) -> DataFrame:
-    """For one symbol: ``(_start, _base)`` for every calendar month from
-    :data:`SPINE_START` to the series' last month - the close of the first
-    price month at or after ``_start`` (so a portfolio starting before the
-    series gets the series' first month as its base).
+def _closes_by_symbol(month_close: DataFrame, symbols: dict[str, str]) -> DataFrame:
+    """One row per month: each symbol's close and whether the symbol has a
+    row that month (a month whose closes were all NULL still counts)."""
+    return month_close.groupBy(P).agg(*[
+        x for s, c in symbols.items()
+        for x in (F.max(F.when(F.col("symbol") == s, F.col("close"))).alias(f"_close_{c}"),
+                  F.max(F.when(F.col("symbol") == s, F.lit(1))).alias(f"_has_{c}"))])
+
+
+def index_bases(month_close: DataFrame, symbols: dict[str, str] | None = None) -> DataFrame:
+    """``(_start, _base_<symbol>...)`` for every calendar month from
+    :data:`SPINE_START` to the series' last month: for each symbol, the close
+    of its first price month at or after ``_start`` (so a portfolio starting
+    before a series gets the series' first month as its base).
 
     The calendar spine is generated from the one-row bound of the series
-    (``sequence`` + ``explode``), merged with the price months, and a
-    forward-looking window picks the next price month; everything is month
-    grain."""
-    closes = month_close.filter(F.col("symbol") == symbol).select(P, "close")
-    bounds = closes.agg(F.max(P).alias("hi"))
-    spine = bounds.select(F.explode(F.sequence(
+    (``sequence`` + ``explode``), merged with the price months, and one
+    forward-looking window picks, per symbol, the next month the symbol has
+    a price; everything is month grain."""
+    symbols = symbols or SYMBOL_COLUMNS
+    closes = _closes_by_symbol(month_close, symbols)
+    spine = closes.agg(F.max(P).alias("hi")).select(F.explode(F.sequence(
         period_first_day(F.lit(SPINE_START)), period_first_day("hi"),
         F.expr("interval 1 month"))).alias("d"))
     series = (closes.withColumn("_is_price", F.lit(1))
               .unionByName(spine.select(F.date_format("d", "yyyy-MM").alias(P),
-                                        F.lit(None).cast("double").alias("close"),
-                                        F.lit(0).alias("_is_price"))))
+                                        F.lit(0).alias("_is_price")),
+                           allowMissingColumns=True))
     ahead = Window.orderBy(P, "_is_price").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    nxt = F.first(F.when(F.col("_is_price") == 1, F.struct(F.col("close").alias("c"))),
-                  ignorenulls=True).over(ahead)
-    return (series.withColumn("_b", nxt).filter(F.col("_is_price") == 0)
-            .select(F.col(P).alias("_start"), F.col("_b.c").alias("_base")))
+    # the window runs over price and spine rows; only spine rows are kept
+    with_bases = series.select(P, "_is_price", *[
+        F.first(F.when(F.col(f"_has_{c}") == 1, F.struct(F.col(f"_close_{c}").alias("v"))),
+                ignorenulls=True).over(ahead).getField("v").alias(f"_base_{c}")
+        for c in symbols.values()])
+    return (with_bases.filter(F.col("_is_price") == 0)
+            .select(F.col(P).alias("_start"), *[f"_base_{c}" for c in symbols.values()]))
 
 
 def _with_index_returns(rows: DataFrame, month_close: DataFrame,
                         symbols: dict[str, str]) -> DataFrame:
     """Adds one raw return column per symbol to month rows that carry
     ``_start`` (the portfolio's first period) and ``_valid``."""
-    for symbol, col in symbols.items():
-        bases = index_bases(month_close, symbol).withColumnRenamed("_base", f"_base_{col}")
-        closes = (month_close.filter(F.col("symbol") == symbol)
-                  .select(P, F.col("close").alias(f"_close_{col}")))
-        rows = (rows.join(closes, on=P, how="left")
-                .join(bases, on="_start", how="left"))
-        rows = rows.withColumn(col, F.when(
-            F.col("_valid"),
-            (F.try_divide(F.col(f"_close_{col}"), F.col(f"_base_{col}")) - 1) * 100))
-    return rows
+    closes = _closes_by_symbol(month_close, symbols).select(
+        P, *[f"_close_{c}" for c in symbols.values()])
+    rows = (rows.join(closes, on=P, how="left")
+            .join(index_bases(month_close, symbols), on="_start", how="left"))
+    return rows.withColumns({c: F.when(
+        F.col("_valid"),
+        (F.try_divide(F.col(f"_close_{c}"), F.col(f"_base_{c}")) - 1) * 100)
+        for c in symbols.values()})
 
 
 def _portfolio_months(periods: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:

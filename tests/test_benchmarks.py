@@ -115,3 +115,18 @@ def test_single_chain_comparison_equals_composition(spark):
     assert got[("X", "2024-03")][4] == pytest.approx(30.0)   # X's base: January
     assert got[("Y", "2024-03")][4] == pytest.approx(0.0)    # Y's base: March, first >= Feb
     assert got[("Z", "2024-01")][3:] == (0.0, 0.0, 0.0)       # invalid period: no benchmarks
+
+
+def test_first_month_with_only_null_closes_is_still_the_base(spark):
+    d = dt.date
+    prices = spark.createDataFrame(
+        [("^BVSP", d(2024, 1, 5), None), ("^BVSP", d(2024, 2, 5), 100.0),
+         ("^BVSP", d(2024, 3, 5), 110.0), ("DIVO11.SA", d(2024, 2, 5), 10.0),
+         ("DIVO11.SA", d(2024, 3, 5), 11.0)], "symbol string, date date, close double")
+    periods = periods_df(spark, "2024-01", "2024-02", "2024-03")
+    got = by_period(B.forward_fill_returns(
+        B.index_returns_for_periods(B.month_end_close(prices), periods)))
+    # the series' first month has no close: no base, so no returns (zeros)
+    assert [got[p].ibov_return for p in ("2024-01", "2024-02", "2024-03")] == [0.0, 0.0, 0.0]
+    # the other symbol starts later and has its own base
+    assert got["2024-03"].divo11_return == pytest.approx(10.0)
