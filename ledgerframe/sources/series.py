@@ -18,10 +18,14 @@ RATE_WINDOW_LAST_DAY = 28      # the rate window ends on day 28 of the last peri
 PRICE_WINDOW_EXTRA_DAYS = 5    # the price window ends 5 days after that (exclusive)
 
 
-def read_landed_rates(spark: SparkSession, path: str) -> DataFrame:
-    """JSON records ``{"data": "dd/MM/yyyy", "valor": "0.04"}``."""
-    return conform_rates(spark.read.schema(RATES_LANDED_SCHEMA)
-                         .option("multiLine", "true").json(path))
+def read_landed_rates(spark: SparkSession, path: str, json_array: bool = True) -> DataFrame:
+    """Records ``{"data": "dd/MM/yyyy", "valor": "0.04"}`` - one JSON
+    array per file as the rate API answers (``json_array=True``), or one
+    record per line."""
+    reader = spark.read.schema(RATES_LANDED_SCHEMA)
+    if json_array:
+        reader = reader.option("multiLine", "true")
+    return conform_rates(reader.json(path))
 
 
 def conform_rates(landed: DataFrame) -> DataFrame:

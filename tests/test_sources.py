@@ -34,3 +34,11 @@ def test_price_csv_landing(spark, tmp_dir):
         f.write("symbol,date,adj_close\n^BVSP,2024-01-31,127000.5\n")
     r = series.read_prices(spark, p, "csv").collect()[0]
     assert r.symbol == "^BVSP" and str(r.date) == "2024-01-31" and r.close == 127000.5
+
+
+def test_rate_json_lines_landing(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "cdi.jsonl")
+    with open(p, "w") as f:
+        f.write('{"data": "02/01/2024", "valor": "0.04"}\n{"data": "03/01/2024", "valor": "0.05"}\n')
+    rows = series.read_landed_rates(spark, p, json_array=False).collect()
+    assert [r.rate_pct for r in rows] == [0.04, 0.05]
