@@ -14,7 +14,7 @@ raw tables by :func:`ledgerframe.plans.statement_run.run` or per month.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks import write_table
@@ -30,6 +30,9 @@ def _land_batch(out_dir: str):
             for table, df in WB.land_raw_tables(landed).items():
                 write_table(df, f"{out_dir}/{table}", full_refresh=False,
                             partition_by=("_reference_period", "_source_file"))
+            # files that could not be decoded, kept with the batch that saw them
+            (WB.unreadable_workbooks(landed).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("append").parquet(f"{out_dir}/_unreadable_workbooks"))
         finally:
             landed.unpersist()
     return land

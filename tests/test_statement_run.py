@@ -58,6 +58,13 @@ def test_stream_lands_new_files_once(spark, tmp_dir):
     q.awaitTermination(120)
     june = spark.read.parquet(f"{out}/raw_stock_positions").filter("_reference_period = '2024-06'")
     assert sorted(r.Codigo_de_Negociacao for r in june.collect()) == ["PETR4", "VALE3", "WEGE3"]
+    # a corrupt file is reported, the stream goes on
+    with open(os.path.join(src, "quebrado-2024-agosto.xlsx"), "wb") as f:
+        f.write(b"not a zip")
+    q = start_statement_stream(spark, src, out, ckpt, once=True)
+    q.awaitTermination(120)
+    bad = spark.read.parquet(f"{out}/_unreadable_workbooks").collect()
+    assert [r.source_file for r in bad] == ["quebrado-2024-agosto.xlsx"]
 
 
 def test_full_run_with_owner_keys(spark, tmp_dir):
