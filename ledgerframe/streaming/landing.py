@@ -30,9 +30,11 @@ def _land_batch(out_dir: str):
             for table, df in WB.land_raw_tables(landed).items():
                 write_table(df, f"{out_dir}/{table}", full_refresh=False,
                             partition_by=("_reference_period", "_source_file"))
-            # files that could not be decoded, kept with the batch that saw them
+            # files that could not be decoded, by the batch that saw them (a
+            # retried batch rewrites its own partition: no duplicates)
             (WB.unreadable_workbooks(landed).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("append").parquet(f"{out_dir}/_unreadable_workbooks"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(f"{out_dir}/_unreadable_workbooks"))
         finally:
             landed.unpersist()
     return land
