@@ -710,6 +710,13 @@ def _period_from_name_sql(n: str) -> str:
 
 _WORD_LIST = "[" + ", ".join(f"'{w}'" for w in _MONTH_WORDS) + "]"
 
+# a number as the statement loader's parser accepts it (decimal comma first)
+_T = "replace(value, ',', '.')"
+_NUMBER_SQL = (f"CASE WHEN regexp_matches({_T}, "
+               r"'^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$') "
+               f"AND (isfinite(TRY_CAST({_T} AS DOUBLE)) OR regexp_matches({_T}, '(?i)inf')) "
+               f"THEN TRY_CAST({_T} AS DOUBLE) END")
+
 INGEST = {
     "i2_period_from_name": (
         "SELECT file_name, " + _period_from_name_sql("file_name") + " AS _reference_period FROM ("
@@ -721,8 +728,8 @@ INGEST = {
         f"FROM (SELECT *, {_WORD_LIST}[month(o_orderdate)] AS w FROM orders) AS o) AS n"),
     "i8_column_coercion": (
         "SELECT source_file, sheet_name, column_name, count(value) AS n_values, "
-        "count(TRY_CAST(replace(value, ',', '.') AS DOUBLE)) AS n_numeric, "
-        "CASE WHEN count(value) > 0 AND count(TRY_CAST(replace(value, ',', '.') AS DOUBLE)) "
+        f"count({_NUMBER_SQL}) AS n_numeric, "
+        f"CASE WHEN count(value) > 0 AND count({_NUMBER_SQL}) "
         "= count(value) THEN 'numeric' ELSE 'text' END AS decision FROM ("
         "SELECT 'orders-' || strftime(o_orderdate, '%Y-%m') AS source_file, "
         "o_orderpriority AS sheet_name, c.column_name, c.value FROM orders, "

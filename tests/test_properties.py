@@ -94,3 +94,23 @@ def test_decimal_comma(spark, values):
         except ValueError:
             return None
     assert _eval(spark, values, parse_decimal_comma) == [py(v) for v in values]
+
+
+NUMBERISH = st.text(alphabet=st.sampled_from(list("0123456789.,eE+- dfinatyINF")), max_size=8)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(NUMBERISH, min_size=1, max_size=30))
+def test_decimal_comma_matches_pandas_parser(spark, values):
+    import math
+
+    import pandas as pd
+
+    def pandas_value(v):
+        x = pd.to_numeric(pd.Series([v.replace(",", ".")], dtype=object), errors="coerce").iloc[0]
+        return None if pd.isna(x) else float(x)
+    got = _eval(spark, values, parse_decimal_comma)
+    want = [pandas_value(v) for v in values]
+    for v, a, b in zip(values, got, want):
+        assert (a is None and b is None) or (a is not None and b is not None and
+                                             (a == b or (math.isinf(a) and a == b))), (v, a, b)
