@@ -61,10 +61,10 @@ def _duplicated_groups(df: DataFrame, columns: Sequence[str],
     group whose ``non_null`` key is NULL is not counted.  Both variants share
     the same grouped sub-plan, so ``unique(c)`` and
     ``unique_combination([c])`` on one table reuse one shuffle."""
-    dup = F.col("n") > 1
+    dup = F.col("_group_rows") > 1
     if non_null is not None:
         dup = dup & F.col(non_null).isNotNull()
-    return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_group_rows"))
             .agg(F.count_if(dup).alias("failures")))
 
 

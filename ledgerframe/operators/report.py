@@ -113,18 +113,14 @@ def allocation_by_class(wallet: DataFrame, keys: Sequence[str] = ()) -> DataFram
 def dividends_by_type(dividends: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Income and payments per event type (NULL types left out of
     the groups) and a total over all rows (NULL types included)."""
-    groups = (dividends.filter(F.col("event_type").isNotNull())
-              .groupBy(*keys, "event_type")
-              .agg(_sum0("total_income").alias("total"),
-                   F.sum("num_payments").alias("payments")))
-    totals = (dividends.groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("_n"), _sum0("total_income").alias("total"),
-                   F.sum("num_payments").alias("payments"))
-              .filter(F.col("_n") > 0).drop("_n"))
-    return (groups.withColumn("is_total", F.lit(False))
-            .unionByName(totals.withColumn("event_type", F.lit(None).cast("string"))
-                          .withColumn("is_total", F.lit(True)))
-            .select(*keys, "event_type", "total", "payments", "is_total"))
+    out = grouped_with_total(
+        dividends.select(*keys, "event_type", F.col("total_income").alias("total"),
+                         F.col("num_payments").alias("payments")),
+        ["event_type"], ["total", "payments"], keys=keys,
+        sum_exprs={"total": _sum0("total")})
+    # the NULL event type is a group of its own in SQL; here it only counts
+    # in the total
+    return out.filter(F.col("is_total") | F.col("event_type").isNotNull())
 
 
 def wallet_evolution(wallet: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
