@@ -285,16 +285,6 @@ def generic_checks(tables: dict[str, DataFrame], kind: str | None = None,
     return batched_checks(tables, kinds, singular=False, keys=keys)
 
 
-def singular_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [
-        no_odd_lot_suffix(tables["stg_trades"]),
-        no_negative_quantity(tables["int_all_equity_positions"]),
-        portfolio_value_not_negative(tables["fct_monthly_wallet"]),
-        period_format(tables),
-        weighted_price_consistent(tables["int_weighted_avg_price"]),
-    ])
-
-
 def run_checks(tables: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
     """Q11 input: every generic and singular check over the given models,
     batched per table."""
