@@ -123,3 +123,15 @@ def test_mart_order(spark):
     got = [(r._reference_period, r.ticker)
            for r in T.ordered(build_marts(raw).stock_detail, "fct_stock_detail").collect()]
     assert got == [("2024-01", "C"), ("2024-02", "A"), ("2024-02", "B")]
+
+
+def test_with_stored_rebuilds_dependents(spark):
+    from pyspark.sql import functions as F
+    raw = raw_set(spark, raw_stock_positions=[pos("ITUB4", 10, 25.0, 250.0, "2024-01")],
+                  raw_trades=[trade("ITUB4", 10.0, 20.0, 0.0, 0.0, "2024-01")])
+    m = build_marts(raw)
+    assert m.stock_detail.first().total_invested == 200.0          # built and cached
+    stored_price = m.weighted_avg_price.withColumn("weighted_avg_price", F.lit(30.0))
+    m2 = m.with_stored({"int_weighted_avg_price": stored_price})
+    assert m2.stock_detail.first().total_invested == 300.0          # rebuilt on the override
+    assert m.stock_detail.first().total_invested == 200.0           # original untouched
