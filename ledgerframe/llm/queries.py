@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, sharding, url_filter
+from . import bpe, chat, exact_dedup, pii, sharding, url_filter
 from .common import table
 
 #: The rules that every URL is judged by.
@@ -15,6 +15,13 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def tokenizer_path() -> str:
+    """The installed vocabulary file that the queries use."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +34,14 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(chat.format_chat(turns.unionByName(extra)))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
@@ -36,7 +51,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_chat_format, op8_sharding, op9_url_filter)}
+    f.__name__: f for f in (op1_exact_dedup, op3_chat_format, op5_bpe, op7_pii, op8_sharding,
+                           op9_url_filter)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
