@@ -34,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import col, text_or_empty
+from .common import col, map_arrow, text_or_empty
 
 #: Fixed value: the pre-token pattern of byte-level BPE (use_regex).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -405,7 +405,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                 [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))],
                 names=["doc_id", "ids"])
 
-    return _slim(docs, text_col, id_col).mapInArrow(run, f"doc_id {_type(docs, id_col)}, ids array<int>")
+    return map_arrow(_slim(docs, text_col, id_col), run, f"doc_id {_type(docs, id_col)}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids",
@@ -420,8 +420,8 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids",
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
                                              names=["doc_id", "text"])
 
-    return encoded.select(col(id_col).alias("doc_id"), col(ids_col).alias("ids")) \
-        .mapInArrow(run, f"doc_id {_type(encoded, id_col)}, text string")
+    rows = encoded.select(col(id_col).alias("doc_id"), col(ids_col).alias("ids"))
+    return map_arrow(rows, run, f"doc_id {_type(encoded, id_col)}, text string")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
@@ -445,8 +445,8 @@ def round_trip(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
                  pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _slim(docs, text_col, id_col).mapInArrow(
-        run, f"doc_id {_type(docs, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(
+        _slim(docs, text_col, id_col), run, f"doc_id {_type(docs, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _slim(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:

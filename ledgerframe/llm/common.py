@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -55,3 +56,18 @@ def unpack(df: DataFrame, struct_name: str, columns: list[str]) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.  A
+    cluster installs it on its executors or gets it with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    importable(df.sparkSession)
+    return df.mapInArrow(run, schema)

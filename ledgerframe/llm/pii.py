@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import col, text_or_empty
+from .common import col, map_arrow, text_or_empty
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn")
@@ -142,7 +142,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
                                              names=["doc_id", "spans"])
 
     rows, id_type = _slim(docs, text_col, id_col)
-    return rows.mapInArrow(run, f"doc_id {id_type}, spans array<struct<kind:string,start:int,end:int,"
+    return map_arrow(rows, run, f"doc_id {id_type}, spans array<struct<kind:string,start:int,end:int,"
                                 "score:double>>")
 
 
@@ -166,5 +166,5 @@ def pii_report(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
                 names=["doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans"])
 
     rows, id_type = _slim(docs, text_col, id_col)
-    return rows.mapInArrow(run, f"doc_id {id_type}, " + ", ".join(f"n_{k} long" for k in BASE)
+    return map_arrow(rows, run, f"doc_id {id_type}, " + ", ".join(f"n_{k} long" for k in BASE)
                            + ", base_sha256 string, spans string")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, stored, text_or_empty
+from .common import col, importable, stored, text_or_empty
 
 OVERHEAD = 16
 RANGES_PER_SHARD = 8
@@ -114,6 +114,7 @@ def shard(docs: DataFrame, shards: int = 40, text_col: str = "text", id_col: str
     """One row per input row: doc_id, size, text_crc32, law, shard, slot,
     grown_shard (NULL: only the law ``key`` has one)."""
     spark = docs.sparkSession
+    importable(spark)
     rows = stored(slim_rows(docs, text_col, id_col), "shard-rows")
     total = int(rows.agg(F.sum("size")).first()[0] or 0)
     if not total:
