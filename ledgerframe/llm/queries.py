@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, pii, sharding, url_filter
+from . import bpe, chat, decontaminate, exact_dedup, pii, quality, sharding, url_filter
 from .common import table
 
 #: The rules that every URL is judged by.
@@ -26,14 +26,24 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = r"\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(says).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_report(chat.format_chat(turns.unionByName(extra)))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -51,8 +61,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_chat_format, op5_bpe, op7_pii, op8_sharding,
-                           op9_url_filter)}
+    f.__name__: f for f in (op1_exact_dedup, op2_decontaminate, op3_chat_format, op4_quality,
+                           op5_bpe, op7_pii, op8_sharding, op9_url_filter)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
