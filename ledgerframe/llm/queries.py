@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, pii, quality, sharding, url_filter
+from . import bpe, chat, decontaminate, exact_dedup, pii, quality, sharding, suffix_dedup, \
+    url_filter
 from .common import table
 
 #: The rules that every URL is judged by.
@@ -60,9 +61,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_dedup, op2_decontaminate, op3_chat_format, op4_quality,
-                           op5_bpe, op7_pii, op8_sharding, op9_url_filter)}
+                           op5_bpe, op7_pii, op8_sharding, op9_url_filter,
+                           op10_suffix_dedup)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
