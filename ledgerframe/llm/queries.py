@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, pii, quality, sharding, suffix_dedup, \
+from . import bpe, chat, decontaminate, exact_dedup, jaccard, pii, quality, sharding, suffix_dedup, \
     url_filter
 from .common import table
 
@@ -49,6 +49,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_dedup, op2_decontaminate, op3_chat_format, op4_quality,
-                           op5_bpe, op7_pii, op8_sharding, op9_url_filter,
+                           op5_bpe, op6_jaccard, op7_pii, op8_sharding, op9_url_filter,
                            op10_suffix_dedup)}
 
 ORACLE: dict[str, str] = {
