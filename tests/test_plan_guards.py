@@ -14,7 +14,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_plan_has_no_cross_join_or_python(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
