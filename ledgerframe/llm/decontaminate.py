@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words are cut at white space, stripped of ASCII punctuation and folded; numbers,
-names (capitalised words that do not open a sentence) and units become typed
-placeholders, so a question with other numbers, names or units keeps its
+names (capitalised words that do not open a sentence) and units next to a number
+become typed placeholders, so a question with other numbers, names or units keeps its
 template.  Windows of ``WINDOW`` template tokens (shorter items: the whole item),
 at least ``LITERALS`` of them literal, are joined by hash.  Matches on the same
 diagonal of a document and an item form runs; a run that covers ``NEEDED`` tokens
@@ -36,7 +36,8 @@ from .textops import FOLDED, Buffer, RangeHash, mixed, slices
 
 WINDOW, NEEDED, LITERALS, SHORTEST = 8, 13, 4, 6
 MAX_BROADCAST = 2_000_000
-#: Units of measure that a slot can hold.
+#: Units of measure, which count as such next to a number.
+CURRENCY = "$ € £".split()
 UNITS = ("% $ € £ mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec second seconds min minute minutes "
          "h hr hour hours day days week weeks month months year years inch inches foot feet yard yards "
          "mile miles meter meters metre metres kilometer kilometers gram grams kilogram kilograms "
@@ -61,7 +62,7 @@ def hash_of(word: str) -> int:
     return int(RangeHash(raw, FOLDED)(np.array([0]), np.array([len(raw)]))[0])
 
 
-_UNIT_HASHES = np.sort(np.array([hash_of(u) for u in UNITS], np.uint64))
+_UNIT, _CURRENCY = (mixed(np.array([hash_of(u) for u in words], np.uint64)) for words in (UNITS, CURRENCY))
 
 
 @dataclass
@@ -94,17 +95,17 @@ def tokens(texts: list[bytes]) -> Tokens:
     opens[1:] = (of[1:] != of[:-1]) | _STOP[buf[end[:-1] - 1]] | (newline[start[1:]] > newline[end[:-1]])
     lower = np.concatenate([[0], np.cumsum(_LOWER[buf])])
     name = ~opens & _UPPER[buf[first]] & (lower[last] - lower[first] == n - 1) & (n > 1)
-    at = np.minimum(np.searchsorted(_UNIT, value), len(_UNIT) - 1)
-    unit = _UNIT[at] == value
+    after = np.zeros(len(start), bool)
+    after[1:] = number[:-1] & (of[1:] == of[:-1])
+    before = np.zeros(len(start), bool)
+    before[:-1] = number[1:] & (of[1:] == of[:-1])
+    unit = np.isin(value, _UNIT) & after | np.isin(value, _CURRENCY) & before
     token = np.where(number, NUM, np.where(name, NAME, np.where(unit, UNIT, value)))
     counts = np.bincount(of, minlength=len(texts))
     nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
     return Tokens(token, value, number | name | unit, of, nth)
 
 
-_UNIT = np.sort(mixed(_UNIT_HASHES))
-
-
 def windows(t: Tokens, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the windows of ``length`` tokens with enough literals, and the
     token each one starts at."""

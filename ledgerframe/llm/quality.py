@@ -63,6 +63,7 @@ def term_counts(texts: list[bytes]) -> np.ndarray:
     edge[start[again]] += 1
     edge[end[again]] -= 1
     new = np.cumsum(edge[:-1], dtype=np.int8)[:-1] == 0
+    new[b.end[:-1]] = False  # the space between two texts and the next text's first byte
     pair = (b.buf[:-1].astype(np.int64) << 8) | b.buf[1:]
     doc = np.repeat(np.arange(n), b.size + 1)
     counts = np.bincount((doc[:-1] * DIMS + _PAIR[pair])[new], minlength=n * DIMS)

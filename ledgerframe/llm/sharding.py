@@ -105,6 +105,9 @@ def find_ranges(rows: DataFrame, n_ranges: int, total: int) -> tuple[DataFrame,
         added = quantiles(more, int(2 * fat_bytes * n_ranges / total) + 2)
         if not len(added):
             break
+        # only a text that several splitters fall into is cut
+        _, at, times = np.unique(added[:, 0], return_inverse=True, return_counts=True)
+        added[times[at] == 1, 1:] = np.iinfo(np.int64).min
         edges = np.unique(np.concatenate([edges, added]), axis=0)
     return ranged, sizes
 

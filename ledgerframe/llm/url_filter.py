@@ -50,7 +50,7 @@ def path_of(url: Column) -> Column:
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """struct<rule, action> of the longest rule that fits, or NULL.  ``rules`` is a
     short list, kept in the plan as literals."""
-    fits = F.lit(None)
+    fits = F.lit(None).cast("struct<rule:string,action:string>")
     for action, rule in sorted(rules, key=lambda r: len(r[1])):  # the longest is asked first
         rule_host, slash, rest = rule.partition("/")
         hit = ((host == rule_host) | F.endswith(host, F.lit("." + rule_host))) \

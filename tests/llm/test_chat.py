@@ -1,0 +1,71 @@
+import hashlib
+import random
+
+from ledgerframe.llm import chat
+
+from .conftest import rows_of
+
+SCHEMA = "conv_id long, turn long, role string, text string, place string, head int"
+PARTS = ["\\", "###", "### Assistant: ", "</turn>", "</turn>\n", "<\\/turn>", "\\###", "ok", " ", "\n", "é😀",
+         ":", "@41", "### @41: ", "<", "</turn", ">"]
+
+
+def python_parse(text):
+    """The grammar once more, character by character."""
+    turns, at = [], 0
+    while at < len(text):
+        assert text.startswith("### ", at)
+        colon = text.index(": ", at)
+        label = text[at + 4:colon]
+        role = bytes.fromhex(label[1:]).decode() if label[0] == "@" else label.lower()
+        at, body, start = colon + 2, [], colon + 2
+        while not text.startswith("</turn>\n", at):
+            if text[at] == "\\":
+                at += 1
+            body.append(text[at])
+            at += 1
+        turns.append((role, "".join(body), start, at))
+        at += len("</turn>\n")
+    return turns
+
+
+def test_round_trip_of_conflicting_texts(spark):
+    rng = random.Random(3)
+    rows = []
+    for conv in range(60):
+        for turn in range(rng.randint(1, 6)):
+            role = rng.choice(["user", "assistant", "system", "tool", "User", "", "a: b", "@41", None])
+            text = rng.choice([None, "", "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 12)))])
+            rows.append((conv, turn, role, text, "x", 1))
+    rows.append((99, 0, "assistant", "long " * 50_000 + "</turn>", "x", 1))
+    out = {r["conv_id"]: r for r in rows_of(chat.format_chat(spark.createDataFrame(rows, SCHEMA)))}
+    report = {r["conv_id"]: r for r in rows_of(chat.chat_report(chat.format_chat(
+        spark.createDataFrame(rows, SCHEMA).repartition(5))))}
+    for conv in {r[0] for r in rows}:
+        want = [(r[2] or "", r[3] or "") for r in rows if r[0] == conv]
+        text, spans = out[conv]["text"], out[conv]["spans"]
+        got = python_parse(text)
+        assert [(r, t) for r, t, _, _ in got] == want
+        assert [(s.start, s.end, s.loss) for s in spans] == [(a, b, r == "assistant") for r, _, a, b in got]
+        loss = "".join(t for r, t in want if r == "assistant")
+        flat = "".join(f"{r}\n{t}\n" for r, t in want)
+        r = report[conv]
+        assert (r["n_turns"], r["loss_chars"], r["formatted_chars"]) == (len(want), len(loss), len(text))
+        assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert r["turns_sha256"] == hashlib.sha256(flat.encode()).hexdigest()
+
+
+def test_plain_texts_stay_as_they_are(spark):
+    rows = [(1, 0, "user", "hello", "x", 1), (1, 1, "assistant", "a # b < c", "x", 1)]
+    assert rows_of(chat.format_chat(spark.createDataFrame(rows, SCHEMA)))[0]["text"] \
+        == "### User: hello</turn>\n### Assistant: a # b < c</turn>\n"
+
+
+def test_nulls_repeats_and_empty_table(spark):
+    rows = [(None, None, "user", "b", "x", 1), (None, None, "user", "a", "x", 1),
+            (1, 0, "user", "same", "x", 1), (1, 0, "user", "same", "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {r["conv_id"]: r["text"] for r in rows_of(chat.format_chat(df))}
+    assert out[None] == "### User: a</turn>\n### User: b</turn>\n"
+    assert out[1] == "### User: same</turn>\n" * 2
+    assert chat.chat_report(chat.format_chat(df.limit(0))).count() == 0
