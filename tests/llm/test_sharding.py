@@ -8,9 +8,9 @@ from ledgerframe.llm import sharding as S
 from .conftest import rows_of
 
 
-def check(docs, shards):
+def check(docs, shards, **options):
     source = docs.collect()
-    got = rows_of(S.shard(docs, shards))
+    got = rows_of(S.shard(docs, shards, **options))
     size = {}
     for r in source:
         size.setdefault(str(r.doc_id), []).append((len((r.text or "").encode()) + 16,
@@ -40,7 +40,8 @@ def test_sizes_are_near_equal(spark):
 
 def test_hot_group_is_split_and_small_groups_stay_together(spark):
     rows = [(i, "hot text " * 20 if i % 3 == 0 else f"own text {i % 2500} " * 15) for i in range(6000)]
-    got, loads = check(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 40)
+    got, loads = check(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 40,
+                       group_share=0.05)
     mean = sum(loads.values()) / 40
     assert all(abs(v - mean) < 0.05 * mean for v in loads.values())
     places = defaultdict(set)
