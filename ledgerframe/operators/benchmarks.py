@@ -21,9 +21,6 @@ RATE_WINDOW_LAST_DAY = 28
 # --- fixed values: index symbols and their report columns -------------------
 SYMBOL_COLUMNS = {"^BVSP": "ibov_return", "DIVO11.SA": "divo11_return"}
 # ---------------------------------------------------------------------------
-# Earliest portfolio month the index bases cover (the month spine of a price
-# series runs from here to the series' last month: ~12 rows a year).
-SPINE_START = "1900-01"
 
 
 def _running(keys: Sequence[str]) -> Window:
@@ -96,47 +93,30 @@ def _closes_by_symbol(month_close: DataFrame, symbols: dict[str, str]) -> DataFr
                   F.max(F.when(F.col("symbol") == s, F.lit(1))).alias(f"_has_{c}"))])
 
 
-def index_bases(month_close: DataFrame, symbols: dict[str, str] | None = None) -> DataFrame:
-    """``(_start, _base_<symbol>...)`` for every calendar month from
-    :data:`SPINE_START` to the series' last month: for each symbol, the close
-    of its first price month at or after ``_start`` (so a portfolio starting
-    before a series gets the series' first month as its base).
-
-    The calendar spine is generated from the one-row bound of the series
-    (``sequence`` + ``explode``), merged with the price months, and one
-    forward-looking window picks, per symbol, the next month the symbol has
-    a price; everything is month grain."""
-    symbols = symbols or SYMBOL_COLUMNS
+def price_series(month_close: DataFrame, symbols: dict[str, str]) -> Column:
+    """All price months in one sorted array (a scalar subquery): month grain, so
+    some twelve elements a year however many observations there are."""
     closes = _closes_by_symbol(month_close, symbols)
-    spine = closes.agg(F.max(P).alias("hi")).select(F.explode(F.sequence(
-        period_first_day(F.lit(SPINE_START)), period_first_day("hi"),
-        F.expr("interval 1 month"))).alias("d"))
-    series = (closes.withColumn("_is_price", F.lit(1))
-              .unionByName(spine.select(F.date_format("d", "yyyy-MM").alias(P),
-                                        F.lit(0).alias("_is_price")),
-                           allowMissingColumns=True))
-    ahead = Window.orderBy(P, "_is_price").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # the window runs over price and spine rows; only spine rows are kept
-    with_bases = series.select(P, "_is_price", *[
-        F.first(F.when(F.col(f"_has_{c}") == 1, F.struct(F.col(f"_close_{c}").alias("v"))),
-                ignorenulls=True).over(ahead).getField("v").alias(f"_base_{c}")
-        for c in symbols.values()])
-    return (with_bases.filter(F.col("_is_price") == 0)
-            .select(F.col(P).alias("_start"), *[f"_base_{c}" for c in symbols.values()]))
+    return closes.agg(F.sort_array(F.collect_list(F.struct(P, *[
+        F.col(f"{x}_{c}") for c in symbols.values() for x in ("_close", "_has")]))).alias("s")).scalar()
 
 
 def _with_index_returns(rows: DataFrame, month_close: DataFrame,
                         symbols: dict[str, str]) -> DataFrame:
     """Adds one raw return column per symbol to month rows that carry
-    ``_start`` (the portfolio's first period) and ``_valid``."""
-    closes = _closes_by_symbol(month_close, symbols).select(
-        P, *[f"_close_{c}" for c in symbols.values()])
-    rows = (rows.join(closes, on=P, how="left")
-            .join(index_bases(month_close, symbols), on="_start", how="left"))
+    ``_start`` (the portfolio's first period) and ``_valid``.  A symbol's base is
+    its close in its first price month at or after ``_start``; the close of the
+    row's own month and the base both come from the one price series."""
+    rows = rows.withColumn("_series", price_series(month_close, symbols))
+    now = F.get(F.filter("_series", lambda x: x[P] == F.col(P)), F.lit(0))
+
+    def base(c: str) -> Column:
+        return F.get(F.filter("_series", lambda x: (x[P] >= F.col("_start")) & (x[f"_has_{c}"] == 1)),
+                     F.lit(0))[f"_close_{c}"]
+
     return rows.withColumns({c: F.when(
-        F.col("_valid"),
-        (F.try_divide(F.col(f"_close_{c}"), F.col(f"_base_{c}")) - 1) * 100)
-        for c in symbols.values()})
+        F.col("_valid"), (F.try_divide(now[f"_close_{c}"], base(c)) - 1) * 100)
+        for c in symbols.values()}).drop("_series")
 
 
 def _portfolio_months(periods: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:

@@ -89,25 +89,29 @@ def asset_type_label(c: str | Column) -> Column:
 
 
 # ------------------------------------------------------------- summary -----
+def _latest_month(wallet: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The given columns of the latest month: one aggregate over the wallet, which
+    has one row per month (and keys)."""
+    last = wallet.groupBy(*keys).agg(F.max_by(F.struct(P, *columns), P).alias("_last"))
+    return last.filter(F.col("_last").isNotNull()).select(*keys, "_last.*")
+
+
 def latest_kpis(wallet: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Value, invested, gain of the latest month; return as a fraction."""
-    return latest_rows(wallet, keys).select(
-        *keys, P, "total_portfolio_value", "total_invested", "absolute_gain_loss",
-        (F.col("pct_return") / 100).alias("pct_return"))
+    columns = ["total_portfolio_value", "total_invested", "absolute_gain_loss", "pct_return"]
+    return _latest_month(wallet, columns, keys).withColumn("pct_return", F.col("pct_return") / 100)
 
 
 def allocation_by_class(wallet: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """R2: the latest month split in three classes with each class's share
     of the total (0 when the total is not positive)."""
-    latest = latest_rows(wallet, keys).withColumn(
-        "_total", sum((F.col(c) for c, _ in CLASS_LABELS), F.lit(0.0)))
-    stacked = reduce(DataFrame.unionByName, [
-        latest.select(*keys, P, F.lit(label).alias("asset_class"),
-                      F.col(c).alias("value"), "_total")
+    latest = _latest_month(wallet, [c for c, _ in CLASS_LABELS], keys)
+    total = sum((F.col(c) for c, _ in CLASS_LABELS), F.lit(0.0))
+    rows = F.array(*[F.struct(
+        F.lit(label).alias("asset_class"), F.col(c).alias("value"),
+        F.when(total > 0, F.col(c) / total).otherwise(F.lit(0.0)).alias("share"))
         for c, label in CLASS_LABELS])
-    return stacked.select(*keys, P, "asset_class", "value",
-                          F.when(F.col("_total") > 0, F.col("value") / F.col("_total"))
-                          .otherwise(F.lit(0.0)).alias("share"))
+    return latest.select(*keys, P, F.inline(rows))
 
 
 def dividends_by_type(dividends: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

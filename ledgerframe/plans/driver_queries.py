@@ -12,6 +12,7 @@ the oracle rounds the same way.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -31,9 +32,14 @@ DIGITS = 4
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name).try_cast("decimal(38,10)"), digits)
-                       .cast("double").alias(f.name)
-                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+    """Values that a decimal(38,10) cannot hold (NaN, infinity, 1e27 and beyond)
+    stay as they are."""
+    def rounded(name: str):
+        c = F.col(name)
+        exact = F.round(c.try_cast("decimal(38,10)"), digits).cast("double")
+        return F.when(F.abs(c) < 1e27, exact).otherwise(c).alias(name)
+
+    return df.select(*[rounded(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
 
 
@@ -140,8 +146,10 @@ P = "_reference_period"
 
 
 def periods_of(m: Marts) -> DataFrame:
-    """Portfolio periods: the months of the monthly portfolio value."""
-    return m.monthly_value.select(P).distinct()
+    """Portfolio periods: the months with staged positions of any class."""
+    held = [m.staging[t].select(P) for t in ("stg_stock_positions", "stg_etf_positions",
+                                             "stg_treasury_bonds", "stg_fixed_income")]
+    return reduce(DataFrame.union, held).distinct()
 
 
 def _rates(spark: SparkSession, d: str) -> DataFrame:

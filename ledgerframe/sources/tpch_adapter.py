@@ -7,14 +7,15 @@ that every operator runs over whole driver tables and its work grows with
 them.  Mapping (identical in the DuckDB oracle):
 
 * trades     - lineitem x part; code = brand-type (+ ``F`` when linestatus F);
-               returnflag R is a sale, anything else a purchase; brand
-               ``Brand#3`` is never traded (held but never bought).
+               returnflag R and every lot of ``Brand#3`` is a sale (that brand
+               is held but never bought), anything else a purchase.
 * positions  - lineitem x part; types ECONOMY/STANDARD/SMALL are stocks, the
                rest ETFs.
 * treasury   - orders with status P;   fixed income - orders F/O x customer.
-* dividends  - events;                 lending - lineitem x part, returnflag R.
-* rates      - one observation per order date; prices - two symbols from the
-               two highest order priorities.
+* dividends  - events, one ticker per user; lending - lineitem x part, every lot,
+               the returnflag as its nature.
+* rates      - one observation per order date; prices - one symbol per order
+               priority (the two highest are the index symbols).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from ..functions.periods import period_of
 from ..plans.lazy import LazyTables
 
 # --- fixed values of the adapter -------------------------------------------
-NEVER_TRADED_BRAND = "Brand#3"
+NEVER_BOUGHT_BRAND = "Brand#3"
 STOCK_TYPES = ("ECONOMY", "STANDARD", "SMALL")
 EVENT_TYPE_MAP = {  # events.event_type -> statement event type; others NULL
     "purchase": "Dividendo",
@@ -34,8 +35,8 @@ EVENT_TYPE_MAP = {  # events.event_type -> statement event type; others NULL
     "signup": "Rendimento",
 }
 PRICE_SYMBOLS = {"1-URGENT": "^BVSP", "2-HIGH": "DIVO11.SA"}
-LATE_LISTED_SYMBOL, LISTING_DATE = "DIVO11.SA", "1996-01-01"
-DIVIDEND_TICKERS = 50
+# days before its listing belong to a symbol of their own
+LATE_LISTED_SYMBOL, LISTING_DATE, UNLISTED_SYMBOL = "DIVO11.SA", "1996-01-01", "DIVO11.PRE"
 # ---------------------------------------------------------------------------
 
 
@@ -76,11 +77,11 @@ def _ticker() -> Column:
 
 
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sell = F.col("l_returnflag") == "R"
+    sell = (F.col("l_returnflag") == "R") | (F.col("p_brand") == NEVER_BOUGHT_BRAND)
     buy_q = F.when(sell, F.lit(0.0)).otherwise(F.col("l_quantity"))
     sell_q = F.when(sell, F.col("l_quantity")).otherwise(F.lit(0.0))
     period = period_of("l_shipdate")
-    return (_lots(spark, sf_dir).filter(F.col("p_brand") != NEVER_TRADED_BRAND).select(
+    return (_lots(spark, sf_dir).select(
         F.when(F.col("l_linestatus") == "F", F.col("_ticker_odd_lot")).otherwise(_ticker())
         .alias("Codigo_de_Negociacao"),
         F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("Periodo_Inicial"),
@@ -166,7 +167,7 @@ def raw_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
     for src, dst in reversed(list(EVENT_TYPE_MAP.items())):
         event = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(event)
     return ev.select(
-        F.concat(F.lit("U"), (F.col("user_id") % DIVIDEND_TICKERS).cast("string"),
+        F.concat(F.lit("U"), F.col("user_id").cast("string"),
                  F.lit(" - "), F.col("event_type")).alias("Produto"),
         F.col("ts").cast("date").alias("Pagamento"),
         event.alias("Tipo_de_Evento"),
@@ -181,10 +182,10 @@ def raw_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_stock_lending(spark: SparkSession, sf_dir: str) -> DataFrame:
     period = period_of("l_shipdate")
     ship = F.col("l_shipdate").cast("date")
-    return (_lots(spark, sf_dir).filter(F.col("l_returnflag") == "R").select(
+    return (_lots(spark, sf_dir).select(
         F.col("_lending_product").alias("Produto"),
         F.col("l_suppkey").cast("string").alias("Instituicao"),
-        F.col("l_linestatus").alias("Natureza"),
+        F.col("l_returnflag").alias("Natureza"),
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("Numero_de_Contrato"),
         F.col("l_discount").alias("Taxa"),
@@ -224,14 +225,14 @@ def landed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily closes of two index symbols; the close ignores pending orders,
-    so a day with only pending orders has a NULL close.  The second symbol
-    is listed later (a leading gap)."""
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin(*PRICE_SYMBOLS))
-    symbol = F.lit(None).cast("string")
-    for src, dst in reversed(list(PRICE_SYMBOLS.items())):
+    """Daily closes of one symbol per order priority; the close ignores pending
+    orders, so a day with only pending orders has a NULL close.  One index symbol
+    starts late: its days before the listing carry another symbol."""
+    symbol = F.col("o_orderpriority")
+    for src, dst in PRICE_SYMBOLS.items():
         symbol = F.when(F.col("o_orderpriority") == src, F.lit(dst)).otherwise(symbol)
-    daily = (o.groupBy(symbol.alias("symbol"), F.col("o_orderdate").cast("date").alias("date"))
-             .agg(F.max(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))).alias("close")))
-    return daily.filter(~((F.col("symbol") == LATE_LISTED_SYMBOL) &
-                          (F.col("date") < F.lit(LISTING_DATE).cast("date"))))
+    date = F.col("o_orderdate").cast("date")
+    symbol = F.when((symbol == LATE_LISTED_SYMBOL) & (date < F.lit(LISTING_DATE).cast("date")),
+                    F.lit(UNLISTED_SYMBOL)).otherwise(symbol)
+    return (read_table(spark, sf_dir, "orders").groupBy(symbol.alias("symbol"), date.alias("date"))
+            .agg(F.max(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))).alias("close")))

@@ -8,9 +8,47 @@ Double outputs are rounded to 4 decimals, as on the Spark side.
 
 from __future__ import annotations
 
-# shared data only: the declared check list and the header-cleaning fixed values
-from ledgerframe.functions.text import TRANSLATE_FROM, TRANSLATE_TO
-from ledgerframe.operators.quality import GENERIC_CHECKS
+# The letters that header cleaning replaces, then those it drops.
+LETTERS, REPLACED_BY = " /ãçéíóúÃÇÉÍÓÚâêôá()", "__aceiouACEIOUaeoa"
+
+# The declared checks.  Table, then its columns; "+" joins the
+# columns of a combination, ">" and ">=" give the lower bound of a range.
+DECLARED = {
+    "not_null": """
+        stg_stock_positions ticker quantity closing_price current_value _reference_period
+        stg_etf_positions ticker quantity closing_price _reference_period
+        stg_fixed_income product_name _reference_period
+        stg_treasury_bonds product_name invested_value current_value _reference_period
+        stg_dividends product_name event_type net_value _reference_period
+        stg_trades ticker _reference_period
+        stg_stock_lending _reference_period
+        int_trades_clean ticker buy_quantity avg_buy_price total_buy_cost _reference_period
+        int_weighted_avg_price ticker total_shares_bought weighted_avg_price
+        int_all_equity_positions ticker asset_type total_quantity total_current_value _reference_period
+        int_monthly_portfolio_value asset_class total_value _reference_period
+        fct_monthly_wallet _reference_period total_portfolio_value total_invested
+        fct_stock_detail ticker _reference_period total_quantity current_closing_price total_current_value
+        fct_dividend_summary ticker event_type total_income _reference_period
+        fct_treasury_summary product_name _reference_period total_invested total_current_value
+        fct_fixed_income_summary product_name _reference_period total_curva_value""",
+    "unique": """
+        int_weighted_avg_price ticker
+        fct_monthly_wallet _reference_period""",
+    "unique_combination": """
+        int_all_equity_positions ticker+_reference_period
+        fct_monthly_wallet _reference_period
+        fct_stock_detail ticker+_reference_period
+        fct_dividend_summary ticker+_reference_period+event_type""",
+    "accepted_values": """
+        int_all_equity_positions asset_type=stock|etf
+        int_monthly_portfolio_value asset_class=equity|treasury|fixed_income""",
+    "accepted_range": """
+        int_weighted_avg_price total_shares_bought>0 weighted_avg_price>0
+        int_all_equity_positions total_quantity>0
+        fct_monthly_wallet total_portfolio_value>=0
+        fct_stock_detail total_quantity>0 current_closing_price>0
+        fct_dividend_summary total_income>0""",
+}
 
 # ----------------------------------------------------------------- adapter --
 ADAPTER = """
@@ -23,15 +61,14 @@ raw_trades AS (
          CAST(date_trunc('month', l_shipdate) AS DATE) AS Periodo_Inicial,
          last_day(CAST(l_shipdate AS DATE)) AS Periodo_Final,
          CAST(l_suppkey AS VARCHAR) AS Instituicao,
-         CASE WHEN l_returnflag = 'R' THEN 0.0::DOUBLE ELSE l_quantity END AS Quantidade_Compra,
-         CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0::DOUBLE END AS Quantidade_Venda,
-         (CASE WHEN l_returnflag = 'R' THEN 0.0::DOUBLE ELSE l_quantity END)
-           - (CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0::DOUBLE END) AS Quantidade_Liquida,
-         CASE WHEN l_returnflag = 'R' THEN 0.0::DOUBLE ELSE p_retailprice END AS Preco_Medio_Compra,
-         CASE WHEN l_returnflag = 'R' THEN p_retailprice ELSE 0.0::DOUBLE END AS Preco_Medio_Venda,
+         CASE WHEN sold THEN 0.0::DOUBLE ELSE l_quantity END AS Quantidade_Compra,
+         CASE WHEN sold THEN l_quantity ELSE 0.0::DOUBLE END AS Quantidade_Venda,
+         CASE WHEN sold THEN -l_quantity ELSE l_quantity END AS Quantidade_Liquida,
+         CASE WHEN sold THEN 0.0::DOUBLE ELSE p_retailprice END AS Preco_Medio_Compra,
+         CASE WHEN sold THEN p_retailprice ELSE 0.0::DOUBLE END AS Preco_Medio_Venda,
          'statement-' || strftime(l_shipdate, '%Y-%m') || '.xlsx' AS _source_file,
          strftime(l_shipdate, '%Y-%m') AS _reference_period
-  FROM lots WHERE p_brand <> 'Brand#3'
+  FROM (SELECT *, l_returnflag = 'R' OR p_brand = 'Brand#3' AS sold FROM lots) AS l
 ),
 raw_positions AS (
   SELECT p_brand || '-' || p_type AS Codigo_de_Negociacao,
@@ -83,7 +120,7 @@ raw_fixed_income AS (
   WHERE o_orderstatus IN ('F', 'O')
 ),
 raw_dividends AS (
-  SELECT 'U' || CAST(user_id % 50 AS VARCHAR) || ' - ' || event_type AS Produto,
+  SELECT 'U' || CAST(user_id AS VARCHAR) || ' - ' || event_type AS Produto,
          CAST(ts AS DATE) AS Pagamento,
          CASE event_type WHEN 'purchase' THEN 'Dividendo'
                          WHEN 'view' THEN 'Juros Sobre Capital Proprio'
@@ -100,7 +137,7 @@ raw_dividends AS (
 raw_stock_lending AS (
   SELECT p_brand || '-' || p_type || ' - ' || p_name AS Produto,
          CAST(l_suppkey AS VARCHAR) AS Instituicao,
-         l_linestatus AS Natureza,
+         l_returnflag AS Natureza,
          CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS Numero_de_Contrato,
          l_discount AS Taxa,
          l_quantity AS Quantidade,
@@ -110,7 +147,7 @@ raw_stock_lending AS (
          CAST(l_shipdate AS DATE) + 90 AS Data_de_vencimento,
          'statement-' || strftime(l_shipdate, '%Y-%m') || '.xlsx' AS _source_file,
          strftime(l_shipdate, '%Y-%m') AS _reference_period
-  FROM lots WHERE l_returnflag = 'R'
+  FROM lots
 )"""
 
 # ----------------------------------------------------------------- staging --
@@ -208,82 +245,71 @@ int_weighted_avg_price AS (
   FROM int_trades_clean WHERE buy_quantity > 0 AND avg_buy_price > 0
   GROUP BY ticker
 ),
-equity_union AS (
-  SELECT ticker, 'stock' AS asset_type, quantity, closing_price, current_value, _reference_period
-  FROM stg_stock_positions
-  UNION ALL
-  SELECT ticker, 'etf' AS asset_type, quantity, closing_price, current_value, _reference_period
-  FROM stg_etf_positions
+held AS (
+  SELECT 'stock' AS asset_type, * FROM stg_stock_positions
+  UNION ALL BY NAME SELECT 'etf' AS asset_type, * FROM stg_etf_positions
 ),
 int_all_equity_positions AS (
-  SELECT ticker, asset_type, _reference_period,
-         CAST(sum(quantity) AS BIGINT) AS total_quantity,
-         sum(closing_price * quantity) / nullif(sum(quantity), 0) AS avg_closing_price,
+  SELECT ticker, asset_type, _reference_period, sum(quantity)::BIGINT AS total_quantity,
+         CASE WHEN total_quantity <> 0 THEN sum(quantity * closing_price) / total_quantity END
+           AS avg_closing_price,
          sum(current_value) AS total_current_value
-  FROM equity_union GROUP BY ticker, asset_type, _reference_period
+  FROM held GROUP BY ALL
 ),
-int_monthly_portfolio_value AS (
-  SELECT _reference_period, 'equity' AS asset_class, sum(total_current_value) AS total_value
-  FROM int_all_equity_positions GROUP BY _reference_period
+basis AS (
+  -- what a share of a ticker has cost; tickers never bought have no row
+  SELECT map_from_entries(list((ticker, weighted_avg_price))) AS price FROM int_weighted_avg_price
+),
+-- one row for each amount: the month, what it measures, the amount
+amounts AS (
+  SELECT _reference_period, 'equity' AS measure, total_current_value AS amount
+  FROM int_all_equity_positions
+  UNION ALL
+  SELECT _reference_period, 'equity_cost', total_quantity * coalesce(price[ticker], 0)
+  FROM int_all_equity_positions, basis
   UNION ALL
-  SELECT _reference_period, 'treasury', sum(current_value) FROM stg_treasury_bonds
-  GROUP BY _reference_period
+  SELECT _reference_period, unnest(['treasury', 'treasury_cost']),
+         unnest([current_value, invested_value])
+  FROM stg_treasury_bonds
   UNION ALL
-  SELECT _reference_period, 'fixed_income', sum(curva_value) FROM stg_fixed_income
-  GROUP BY _reference_period
+  SELECT _reference_period, unnest(['fixed_income', 'fixed_income_cost']),
+         unnest([curva_value, curva_value])
+  FROM stg_fixed_income
 ),
-by_class AS (
-  SELECT _reference_period, sum(total_value) AS total_portfolio_value,
-         sum(CASE WHEN asset_class = 'equity' THEN total_value ELSE 0 END) AS equity_value,
-         sum(CASE WHEN asset_class = 'treasury' THEN total_value ELSE 0 END) AS treasury_value,
-         sum(CASE WHEN asset_class = 'fixed_income' THEN total_value ELSE 0 END) AS fixed_income_value
-  FROM int_monthly_portfolio_value GROUP BY _reference_period
+monthly AS (
+  SELECT _reference_period, measure, sum(amount) AS amount FROM amounts GROUP BY ALL
 ),
-equity_invested AS (
-  SELECT p._reference_period,
-         sum(p.total_quantity * coalesce(a.weighted_avg_price, 0)) AS total_equity_invested
-  FROM int_all_equity_positions p LEFT JOIN int_weighted_avg_price a ON p.ticker = a.ticker
-  GROUP BY p._reference_period
-),
-treasury_invested AS (
-  SELECT _reference_period, sum(invested_value) AS total_invested
-  FROM stg_treasury_bonds GROUP BY _reference_period
-),
-fixed_income_invested AS (
-  SELECT _reference_period, sum(curva_value) AS total_invested
-  FROM stg_fixed_income GROUP BY _reference_period
-),
-wallet_base AS (
-  SELECT b._reference_period, b.total_portfolio_value, b.equity_value, b.treasury_value,
-         b.fixed_income_value,
-         coalesce(e.total_equity_invested, 0) + coalesce(t.total_invested, 0)
-           + coalesce(f.total_invested, 0) AS total_invested
-  FROM by_class b
-  LEFT JOIN equity_invested e ON b._reference_period = e._reference_period
-  LEFT JOIN treasury_invested t ON b._reference_period = t._reference_period
-  LEFT JOIN fixed_income_invested f ON b._reference_period = f._reference_period
+int_monthly_portfolio_value AS (
+  SELECT _reference_period, measure AS asset_class, amount AS total_value
+  FROM monthly WHERE measure NOT LIKE '%cost'
+),
+sheet AS (
+  SELECT _reference_period, map_from_entries(list((measure, amount))) AS of,
+         sum(amount) FILTER (measure NOT LIKE '%cost') AS total_portfolio_value,
+         coalesce(sum(amount) FILTER (measure LIKE '%cost'), 0) AS total_invested
+  FROM monthly GROUP BY ALL
+),
+by_class AS (
+  SELECT _reference_period, total_portfolio_value, coalesce(of['equity'], 0) AS equity_value,
+         coalesce(of['treasury'], 0) AS treasury_value,
+         coalesce(of['fixed_income'], 0) AS fixed_income_value
+  FROM sheet
 ),
 fct_monthly_wallet AS (
-  SELECT _reference_period, total_portfolio_value, equity_value, treasury_value,
-         fixed_income_value, total_invested,
-         total_portfolio_value - total_invested AS absolute_gain_loss,
-         CASE WHEN total_invested > 0
-              THEN (total_portfolio_value - total_invested) / total_invested * 100
-              ELSE 0 END AS pct_return
-  FROM wallet_base
+  SELECT c.*, total_invested, total_portfolio_value - total_invested AS absolute_gain_loss,
+         if(total_invested > 0, 100 * absolute_gain_loss / total_invested, 0) AS pct_return
+  FROM by_class AS c JOIN (SELECT _reference_period, total_invested FROM sheet) AS i
+    USING (_reference_period)
 ),
 fct_stock_detail AS (
-  SELECT p.ticker, p.asset_type, p._reference_period, p.total_quantity,
-         a.weighted_avg_price AS mean_purchase_price,
-         p.avg_closing_price AS current_closing_price,
-         p.total_current_value,
-         p.total_quantity * coalesce(a.weighted_avg_price, 0) AS total_invested,
-         p.total_current_value - p.total_quantity * coalesce(a.weighted_avg_price, 0)
-           AS unrealized_gain_loss,
-         CASE WHEN coalesce(a.weighted_avg_price, 0) > 0
-              THEN (p.avg_closing_price - a.weighted_avg_price) / a.weighted_avg_price * 100
-              ELSE 0 END AS pct_price_change
-  FROM int_all_equity_positions p LEFT JOIN int_weighted_avg_price a ON p.ticker = a.ticker
+  SELECT ticker, asset_type, _reference_period, total_quantity,
+         price[ticker] AS mean_purchase_price, avg_closing_price AS current_closing_price,
+         total_current_value, total_quantity * coalesce(mean_purchase_price, 0) AS total_invested,
+         total_current_value - total_invested AS unrealized_gain_loss,
+         if(mean_purchase_price > 0,
+            100 * (avg_closing_price - mean_purchase_price) / mean_purchase_price, 0)
+           AS pct_price_change
+  FROM int_all_equity_positions, basis
 ),
 fct_dividend_summary AS (
   SELECT trim(split_part(CAST(product_name AS VARCHAR), ' - ', 1)) AS ticker,
@@ -353,11 +379,13 @@ ORACLE: dict[str, str] = {
     "t4_monthly_value": table("int_monthly_portfolio_value", ["total_value"]),
     "t6_value_by_class": table("by_class", ["total_portfolio_value", "equity_value",
                                             "treasury_value", "fixed_income_value"]),
-    "t7_equity_invested": table("equity_invested", ["total_equity_invested"]),
+    "t7_equity_invested": rounded(
+        "SELECT _reference_period, amount AS total_equity_invested FROM monthly "
+        "WHERE measure = 'equity_cost'", ["total_equity_invested"]),
     "t8_other_invested": rounded(
-        "SELECT _reference_period, 'treasury' AS asset_class, total_invested FROM treasury_invested "
-        "UNION ALL SELECT _reference_period, 'fixed_income', total_invested "
-        "FROM fixed_income_invested", ["total_invested"]),
+        "SELECT _reference_period, replace(measure, '_cost', '') AS asset_class, "
+        "amount AS total_invested FROM monthly "
+        "WHERE measure IN ('treasury_cost', 'fixed_income_cost')", ["total_invested"]),
     "t9_monthly_wallet": table("fct_monthly_wallet", [
         "total_portfolio_value", "equity_value", "treasury_value", "fixed_income_value",
         "total_invested", "absolute_gain_loss", "pct_return"]),
@@ -376,40 +404,32 @@ ORACLE: dict[str, str] = {
 # ----------------------------------------------------------------- quality --
 
 
-def _check_sql(check) -> list[str]:
-    t = check.table
-
+def _check_sql(kind: str, t: str, column: str) -> str:
     def row(name: str, col: str, expr: str, source: str) -> str:
         return (f"SELECT '{name}' AS check_name, '{t}' AS table_name, '{col}' AS column_name, "
                 f"CAST({expr} AS BIGINT) AS failures FROM {source}")
 
-    if check.kind == "not_null":
-        return [row("not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)", t)
-                for c in check.columns]
-    cols = ", ".join(check.columns)
-    if check.kind == "unique":
-        c = check.columns[0]
-        return [row("unique", c, "count(*)",
-                    f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} "
-                    f"HAVING count(*) > 1) AS d")]
-    if check.kind == "unique_combination":
-        return [row("unique_combination_of_columns", ",".join(check.columns), "count(*)",
-                    f"(SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) AS d")]
-    if check.kind == "accepted_values":
-        c = check.columns[0]
-        vals = ", ".join(f"'{v}'" for v in check.values)
-        return [row("accepted_values", c, f"count(DISTINCT {c})",
-                    f"(SELECT {c} FROM {t} WHERE {c} NOT IN ({vals})) AS d")]
-    if check.kind == "accepted_range":
-        c = check.columns[0]
-        op = ">=" if check.inclusive else ">"
-        return [row("accepted_range", c, f"count(*) FILTER (WHERE NOT ({c} {op} {check.min_value}))",
-                    t)]
-    raise ValueError(check.kind)
+    if kind == "not_null":
+        return row(kind, column, f"count(*) FILTER ({column} IS NULL)", t)
+    if kind.startswith("unique"):
+        cols = column.replace("+", ", ")
+        given = f"WHERE {cols} IS NOT NULL " if kind == "unique" else ""
+        return row(kind if kind == "unique" else "unique_combination_of_columns",
+                   column.replace("+", ","), "count(*)",
+                   f"(SELECT {cols} FROM {t} {given}GROUP BY ALL HAVING count(*) > 1) AS d")
+    if kind == "accepted_values":
+        column, _, allowed = column.partition("=")
+        values = ", ".join(f"'{v}'" for v in allowed.split("|"))
+        return row(kind, column, f"count(DISTINCT {column}) FILTER ({column} NOT IN ({values}))", t)
+    bare = column.split(">")[0]
+    return row("accepted_range", bare, f"count(*) FILTER (NOT ({column}))", t)
 
 
 def _generic_sql(kind: str | None) -> str:
-    parts = [s for c in GENERIC_CHECKS if kind in (None, c.kind) for s in _check_sql(c)]
+    parts = []
+    for name, listed in DECLARED.items():
+        for t, *columns in (line.split() for line in listed.split("\n") if line.strip()):
+            parts += [_check_sql(name, t, c) for c in columns if kind in (None, name)]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -483,16 +503,14 @@ cdi AS (
   FROM periods p LEFT JOIN cdi_monthly m ON p._reference_period = m._reference_period
 ),
 daily_prices AS (
-  SELECT CASE o_orderpriority WHEN '1-URGENT' THEN '^BVSP' ELSE 'DIVO11.SA' END AS symbol,
+  SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN '^BVSP'
+              WHEN o_orderpriority <> '2-HIGH' THEN o_orderpriority
+              WHEN o_orderdate < DATE '1996-01-01' THEN 'DIVO11.PRE' ELSE 'DIVO11.SA' END AS symbol,
          CAST(o_orderdate AS DATE) AS date,
          max(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END) AS close
-  FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
-  GROUP BY 1, 2
-),
-prices AS (
-  SELECT * FROM daily_prices
-  WHERE NOT (symbol = 'DIVO11.SA' AND date < DATE '1996-01-01')
+  FROM orders GROUP BY 1, 2
 ),
+prices AS (SELECT * FROM daily_prices),
 prices_in_window AS (
   SELECT p.* FROM prices p, bounds b WHERE p.date >= b.lo AND p.date < b.hi + 5
 ),
@@ -746,7 +764,7 @@ INGEST = {
         "(CASE WHEN l_tax > 0.04 THEN 1 ELSE 0 END) AS INTEGER) AS filled_cells "
         "FROM lineitem) AS r WHERE filled_cells >= 2"),
     "i10_header_sanitise": (
-        f"SELECT doc_id, lang, translate(text, '{TRANSLATE_FROM}', '{TRANSLATE_TO}') "
+        f"SELECT doc_id, lang, translate(text, '{LETTERS}', '{REPLACED_BY}') "
         "AS header FROM documents"),
 }
 ORACLE.update(INGEST)
