@@ -1,12 +1,13 @@
-"""Command line: run the statement job, or land new files incrementally.
+"""Command line: run the statement job.
 
     python -m ledgerframe run --workbooks DIR --out DIR [--rates FILE.json]
-        [--prices PATH] [--prices-format parquet|csv] [--keys owner] [--strict]
-        [--no-gate] [--csv] [--sales-threshold 20000] [--cluster]
-    python -m ledgerframe stream --workbooks DIR --out DIR --checkpoint DIR [--once]
+        [--prices PATH] [--daily-prices PATH] [--prices-format parquet|csv]
+        [--keys owner] [--incremental] [--no-gate] [--csv]
+        [--sales-threshold 20000] [--cluster]
 
-Both work under ``spark-submit`` as well (the session comes from the
-submitting environment; ``--cluster`` adds the cluster sizing profile).
+Works under ``spark-submit`` as well: the session comes from the submitting
+environment, and executors get the package as a wheel installed on them or with
+``--py-files``.  ``--cluster`` adds the cluster sizing profile.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import json
 import sys
 
 from .operators.report import SALES_EXEMPTION_LIMIT
-from .session import build_session, ensure_checkpoint_dir
+from .session import build_session
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -27,36 +28,27 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--out", required=True)
     run.add_argument("--rates", help="landed rate series (JSON array of {data, valor})")
     run.add_argument("--prices", help="landed index prices (symbol, date, close|adj_close)")
+    run.add_argument("--daily-prices", help="prices of symbols that --prices does not have")
     run.add_argument("--prices-format", default="parquet", choices=["parquet", "csv"])
     run.add_argument("--keys", nargs="*", default=[], help="portfolio key columns")
-    run.add_argument("--strict", action="store_true")
-    run.add_argument("--no-gate", action="store_true")
+    run.add_argument("--incremental", action="store_true", help="decode only new and changed files")
+    run.add_argument("--no-gate", action="store_true", help="go on although checks fail")
     run.add_argument("--csv", action="store_true", help="also write CSV copies of the report")
     run.add_argument("--sales-threshold", type=float, default=SALES_EXEMPTION_LIMIT)
     run.add_argument("--cluster", action="store_true")
-    st = sub.add_parser("stream", help="land new workbooks of a folder incrementally")
-    st.add_argument("--workbooks", required=True)
-    st.add_argument("--out", required=True)
-    st.add_argument("--checkpoint", required=True)
-    st.add_argument("--once", action="store_true", help="process what is there, then stop")
-    st.add_argument("--cluster", action="store_true")
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session(cluster=args.cluster)
-    ensure_checkpoint_dir(spark)
-    if args.command == "stream":
-        from .streaming import start_statement_stream
-        q = start_statement_stream(spark, args.workbooks, args.out, args.checkpoint, once=args.once)
-        q.awaitTermination()
-        return 0
     from .plans.statement_run import run_workbooks
     from .sources import series as SR
     rates = SR.read_landed_rates(spark, args.rates) if args.rates else None
     prices = SR.read_prices(spark, args.prices, args.prices_format) if args.prices else None
-    res = run_workbooks(spark, args.workbooks, args.out, strict=args.strict, keys=args.keys,
+    if args.daily_prices:
+        prices = SR.monthly_then_daily(prices, SR.read_prices(spark, args.daily_prices, args.prices_format))
+    res = run_workbooks(spark, args.workbooks, args.out, keys=args.keys, incremental=args.incremental,
                         gate=not args.no_gate, csv_report=args.csv,
                         sales_threshold=args.sales_threshold, rates=rates, prices=prices)
     summary = {r.table_name: r.row_count for r in res.load_summary.collect()}  # 7 rows

@@ -25,8 +25,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .transforms import traded
+
 P = "_reference_period"
 RESULT_COLUMNS = ("check_name", "table_name", "column_name", "failures")
+RESULT_SCHEMA = "check_name string, table_name string, column_name string, failures bigint"
 
 
 @dataclass(frozen=True)
@@ -40,103 +43,11 @@ class Check:
     name: str = field(default="")
 
 
-def _result(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
-    """``df`` has one row with one BIGINT column ``failures``."""
-    return df.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
-                     F.lit(column).alias("column_name"),
-                     F.col("failures").cast("bigint").alias("failures"))
-
-
-def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Q1 for several columns of one table in one aggregate pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    long = counts.unpivot([], list(columns), "column_name", "failures")
-    return long.select(F.lit("not_null").alias("check_name"), F.lit(table).alias("table_name"),
-                       "column_name", F.col("failures").cast("bigint").alias("failures"))
-
-
-def _duplicated_groups(df: DataFrame, columns: Sequence[str],
-                       non_null: str | None = None) -> DataFrame:
-    """Groups of ``columns`` occurring more than once; with ``non_null``, the
-    group whose ``non_null`` key is NULL is not counted.  Both variants share
-    the same grouped sub-plan, so ``unique(c)`` and
-    ``unique_combination([c])`` on one table reuse one shuffle."""
-    dup = F.col("_group_rows") > 1
-    if non_null is not None:
-        dup = dup & F.col(non_null).isNotNull()
-    return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_group_rows"))
-            .agg(F.count_if(dup).alias("failures")))
-
-
-def unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Q2: non-NULL values occurring more than once."""
-    return _result(_duplicated_groups(df, [column], non_null=column), "unique", table, column)
-
-
-def unique_combination(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Q3 (NULLs form a combination like any value)."""
-    return _result(_duplicated_groups(df, columns), "unique_combination_of_columns",
-                   table, ",".join(columns))
-
-
-def accepted_values(df: DataFrame, table: str, column: str, values: Iterable) -> DataFrame:
-    """Q4."""
-    bad = df.filter(~F.col(column).isin(*values))
-    return _result(bad.agg(F.count_distinct(F.col(column)).alias("failures")),
-                   "accepted_values", table, column)
-
-
-def accepted_range(df: DataFrame, table: str, column: str, min_value: float,
-                   inclusive: bool = True) -> DataFrame:
-    """Q5."""
-    c = F.col(column)
-    ok = c >= F.lit(min_value) if inclusive else c > F.lit(min_value)
-    return _result(df.agg(F.count_if(~ok).alias("failures")), "accepted_range", table, column)
-
-
-def _count_rows(df: DataFrame, check: str, table: str, column: str) -> DataFrame:
-    return _result(df.agg(F.count(F.lit(1)).alias("failures")), check, table, column)
-
-
-def no_odd_lot_suffix(stg_trades: DataFrame) -> DataFrame:
-    """Q6: no trade ticker still ends in ``F`` (a lone ``F`` is allowed)."""
-    t = F.col("ticker")
-    return _count_rows(stg_trades.filter(t.like("%F") & (F.length(t) > 1)),
-                       "no_f_suffix_in_trades", "stg_trades", "ticker")
-
-
-def no_negative_quantity(equity_positions: DataFrame) -> DataFrame:
-    """Q7."""
-    return _count_rows(equity_positions.filter(F.col("total_quantity") < 0),
-                       "no_negative_quantities", "int_all_equity_positions", "total_quantity")
-
-
-def portfolio_value_not_negative(wallet: DataFrame) -> DataFrame:
-    """Q8."""
-    return _count_rows(wallet.filter(F.col("total_portfolio_value") < 0),
-                       "portfolio_value_positive", "fct_monthly_wallet", "total_portfolio_value")
-
-
 # Whole-string match of YYYY-MM (\A...\z: "$" would accept a trailing newline).
 PERIOD_FORMAT = r"\A\d{4}-\d{2}\z"
 
 
-def period_format(marts: dict[str, DataFrame],
-                  tables: Sequence[str] = ("fct_monthly_wallet", "fct_stock_detail",
-                                           "fct_dividend_summary")) -> DataFrame:
-    """Q9: one row per mart; NULL periods pass."""
-    parts = [_count_rows(marts[t].filter(~F.col(P).rlike(PERIOD_FORMAT)),
-                         "reference_period_format", t, P) for t in tables]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def weighted_price_consistent(avg_price: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Q10: weighted price equals invested / shares within the tolerance."""
-    expected = F.try_divide(F.col("total_invested"), F.col("total_shares_bought"))
-    bad = avg_price.filter((F.col("total_shares_bought") > 0) &
-                           (F.abs(F.col("weighted_avg_price") - expected) > tolerance))
-    return _count_rows(bad, "weighted_avg_price_consistent", "int_weighted_avg_price",
-                       "weighted_avg_price")
+PRICE_TOLERANCE = 0.01
 
 
 # --------------------------------------------------------- declared tests ----
@@ -144,6 +55,7 @@ def _nn(table: str, *cols: str) -> Check:
     return Check("not_null", table, cols)
 
 
+# The checks declared for each model.
 GENERIC_CHECKS: tuple[Check, ...] = (
     _nn("stg_stock_positions", "ticker", "quantity", "closing_price", "current_value", P),
     _nn("stg_etf_positions", "ticker", "quantity", "closing_price", P),
@@ -189,90 +101,114 @@ GENERIC_CHECKS: tuple[Check, ...] = (
 )
 
 
-def run_check(tables: dict[str, DataFrame], check: Check, keys: Sequence[str] = ()) -> DataFrame:
-    """One declared check on its own (one pass over its table)."""
-    df = tables[check.table]
-    cols = [*keys, *check.columns] if check.kind in ("unique", "unique_combination") else None
-    if check.kind == "not_null":
-        return not_null(df, check.table, check.columns)
-    if check.kind == "unique":
-        if keys:
-            return unique_combination(df, check.table, cols).withColumn(
-                "check_name", F.lit("unique"))
-        return unique(df, check.table, check.columns[0])
-    if check.kind == "unique_combination":
-        return unique_combination(df, check.table, cols)
-    if check.kind == "accepted_values":
-        return accepted_values(df, check.table, check.columns[0], check.values)
-    if check.kind == "accepted_range":
-        return accepted_range(df, check.table, check.columns[0], check.min_value, check.inclusive)
-    raise ValueError(f"unknown check kind {check.kind}")
+def _duplicates(df: DataFrame, table: str, checks: list[Check], keys: Sequence[str]) -> DataFrame:
+    """Uniqueness checks of one table that group by the same columns, from one
+    grouped pass: groups of two rows or more (``unique`` leaves NULL out)."""
+    columns = checks[0].columns
+    twice = F.col("_group_rows") > 1
+    metrics = [("unique", columns[0], F.count_if(twice & F.col(columns[0]).isNotNull()))
+               if c.kind == "unique" else
+               ("unique_combination_of_columns", ",".join([*keys, *columns]), F.count_if(twice))
+               for c in checks]
+    groups = df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_group_rows"))
+    return _one_pass(groups, table, metrics)
+
 
+# A row-level metric: (check name, table name, column name, aggregate counting failures).
+Metric = tuple[str, str, str, Column]
 
-# A row-level metric: (check name, column name, aggregate counting failures).
-Metric = tuple[str, str, Column]
 
+def _row_metrics(check: Check, among: Column | None = None) -> list[Metric]:
+    """``among``: count only the rows that it holds for."""
+    def count(failing: Column) -> Column:
+        return F.count_if(failing if among is None else among & failing)
 
-def _row_metrics(check: Check) -> list[Metric]:
+    t, c = check.table, check.columns[0]
     if check.kind == "not_null":
-        return [("not_null", c, F.count_if(F.col(c).isNull())) for c in check.columns]
-    c = check.columns[0]
+        return [("not_null", t, c, count(F.col(c).isNull())) for c in check.columns]
     if check.kind == "accepted_range":
         ok = (F.col(c) >= F.lit(check.min_value)) if check.inclusive else \
             (F.col(c) > F.lit(check.min_value))
-        return [("accepted_range", c, F.count_if(~ok))]
+        return [("accepted_range", t, c, count(~ok))]
     if check.kind == "accepted_values":
-        return [("accepted_values", c,
-                 F.count_distinct(F.when(~F.col(c).isin(*check.values), F.col(c))))]
+        other = ~F.col(c).isin(*check.values)
+        return [("accepted_values", t, c,
+                 F.count_distinct(F.when(other if among is None else among & other, F.col(c))))]
     return []
 
 
 def _singular_metrics(table: str) -> list[Metric]:
+    def period_format() -> Metric:
+        return "reference_period_format", table, P, F.count_if(~F.col(P).rlike(PERIOD_FORMAT))
+
     t = F.col("ticker")
+    expected = F.try_divide(F.col("total_invested"), F.col("total_shares_bought"))
     return {
-        "stg_trades": [("no_f_suffix_in_trades", "ticker",
+        "stg_trades": [("no_f_suffix_in_trades", table, "ticker",
                         F.count_if(t.like("%F") & (F.length(t) > 1)))],
-        "int_all_equity_positions": [("no_negative_quantities", "total_quantity",
+        "int_all_equity_positions": [("no_negative_quantities", table, "total_quantity",
                                       F.count_if(F.col("total_quantity") < 0))],
-        "fct_monthly_wallet": [("portfolio_value_positive", "total_portfolio_value",
-                                F.count_if(F.col("total_portfolio_value") < 0)),
-                               ("reference_period_format", P, F.count_if(~F.col(P).rlike(PERIOD_FORMAT)))],
-        "fct_stock_detail": [("reference_period_format", P, F.count_if(~F.col(P).rlike(PERIOD_FORMAT)))],
-        "fct_dividend_summary": [("reference_period_format", P,
-                                  F.count_if(~F.col(P).rlike(PERIOD_FORMAT)))],
+        "fct_monthly_wallet": [("portfolio_value_positive", table, "total_portfolio_value",
+                                F.count_if(F.col("total_portfolio_value") < 0)), period_format()],
+        "fct_stock_detail": [period_format()],
+        "fct_dividend_summary": [period_format()],
         "int_weighted_avg_price": [(
-            "weighted_avg_price_consistent", "weighted_avg_price",
-            F.count_if((F.col("total_shares_bought") > 0) & (F.abs(
-                F.col("weighted_avg_price") -
-                F.try_divide(F.col("total_invested"), F.col("total_shares_bought"))) > 0.01)))],
+            "weighted_avg_price_consistent", table, "weighted_avg_price",
+            F.count_if((F.col("total_shares_bought") > 0) &
+                       (F.abs(F.col("weighted_avg_price") - expected) > PRICE_TOLERANCE)))],
     }.get(table, [])
 
 
-def _one_pass(df: DataFrame, table: str, metrics: list[Metric]) -> DataFrame:
-    """All row-level metrics of one table in a single aggregate, returned as
+def _one_pass(df: DataFrame, metrics: list[Metric]) -> DataFrame:
+    """All row-level metrics over one DataFrame in a single aggregate, returned as
     one result row per metric."""
-    agg = df.agg(*[m.alias(f"_m{i}") for i, (_, _, m) in enumerate(metrics)])
+    agg = df.agg(*[m.alias(f"_m{i}") for i, (_, _, _, m) in enumerate(metrics)])
     rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
                               F.lit(col).alias("column_name"),
                               F.col(f"_m{i}").cast("bigint").alias("failures"))
-                     for i, (name, col, _) in enumerate(metrics)])
+                     for i, (name, table, col, _) in enumerate(metrics)])
     return agg.select(F.inline(rows))
 
 
+def _duplicates(df: DataFrame, table: str, checks: list[Check], keys: Sequence[str]) -> DataFrame:
+    """Uniqueness checks of one table that group by the same columns, from one
+    grouped pass: groups of two rows or more (``unique`` leaves NULL out)."""
+    columns = checks[0].columns
+    twice = F.col("_group_rows") > 1
+    metrics = [("unique", table, columns[0], F.count_if(twice & F.col(columns[0]).isNotNull()))
+               if c.kind == "unique" else
+               ("unique_combination_of_columns", table, ",".join([*keys, *columns]), F.count_if(twice))
+               for c in checks]
+    return _one_pass(df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_group_rows")), metrics)
+
+
 def batched_checks(tables: dict[str, DataFrame], kinds: Sequence[str] | None = None,
-                   singular: bool = True, keys: Sequence[str] = ()) -> DataFrame:
-    """Declared checks (and the singular ones) with one scan per table for
-    every row-level check, plus one grouped pass per uniqueness key set."""
+                   singular: bool | str = True, keys: Sequence[str] = (),
+                   declared: Sequence[Check] = GENERIC_CHECKS) -> DataFrame:
+    """Declared checks (and the singular ones, or the one named) with one scan per
+    table for every row-level check, plus one grouped pass per uniqueness key set.
+    T1 keeps rows of S6 as they are, so both are checked in one pass."""
+    def of(table: str) -> list[Check]:
+        return [c for c in declared if c.table == table and (kinds is None or c.kind in kinds)]
+
     parts: list[DataFrame] = []
+    together = "stg_trades" in tables and "int_trades_clean" in tables
     for table in tables:
-        checks = [c for c in GENERIC_CHECKS if c.table == table and (kinds is None or c.kind in kinds)]
-        metrics = [m for c in checks for m in _row_metrics(c)]
-        if singular:
-            metrics += _singular_metrics(table)
-        if metrics:                      # tables without checks are never built
-            parts.append(_one_pass(tables[table], table, metrics))
-        parts += [run_check(tables, c, keys) for c in checks
-                  if c.kind in ("unique", "unique_combination")]
+        if together and table == "int_trades_clean":
+            continue
+        metrics = [m for c in of(table) for m in _row_metrics(c)]
+        metrics += [m for m in _singular_metrics(table) if singular in (True, m[0])]
+        also = [m for c in of("int_trades_clean") for m in _row_metrics(c, traded())] \
+            if together and table == "stg_trades" else []
+        if metrics or also:              # tables without checks are never built
+            df = tables[table]
+            if also:
+                df = df.withColumn("total_buy_cost", F.col("buy_quantity") * F.col("avg_buy_price"))
+            parts.append(_one_pass(df, metrics + also))
+        unique = [c for c in of(table) if c.kind in ("unique", "unique_combination")]
+        for columns in dict.fromkeys(c.columns for c in unique):
+            parts.append(_duplicates(tables[table], table, [c for c in unique if c.columns == columns],
+                                     keys))
     # every part has RESULT_COLUMNS in order: a positional union is enough
     return reduce(DataFrame.union, [p.select(*RESULT_COLUMNS) for p in parts])
 
@@ -291,15 +227,24 @@ def run_checks(tables: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFr
     return batched_checks(tables, keys=keys)
 
 
+def singular_check(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """One singular check (Q6-Q10) over the models it is declared for."""
+    return batched_checks(tables, kinds=(), singular=name)
+
+
 class QualityGateError(RuntimeError):
     pass
 
 
-def gate(results: DataFrame) -> DataFrame:
-    """Q11: stop the run when any check has failures.  Only the failing
-    rows of the (small, one row per check) result reach the driver."""
-    failing = results.filter(F.col("failures") > 0).collect()
+def stop_on_failures(rows: Iterable) -> None:
+    failing = [r for r in rows if r.failures > 0]
     if failing:
         lines = [f"{r.check_name} {r.table_name}.{r.column_name}: {r.failures}" for r in failing]
         raise QualityGateError("data-quality checks failed:\n" + "\n".join(lines))
+
+
+def gate(results: DataFrame) -> DataFrame:
+    """Q11: stop the run when any check has failures.  Only the failing
+    rows of the (small, one row per check) result reach the driver."""
+    stop_on_failures(results.filter(F.col("failures") > 0).collect())
     return results

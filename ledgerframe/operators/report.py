@@ -38,15 +38,17 @@ def _sum0(c: str | Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0.0))
 
 
-def latest_rows(df: DataFrame, keys: Sequence[str] = (), year: str | None = None) -> DataFrame:
+def latest_rows(df: DataFrame, keys: Sequence[str] = (), year: str | None = None,
+                months: DataFrame | None = None) -> DataFrame:
     """Rows at the latest period (per ``keys``); with ``year``, the last
-    period of that year.  Without keys the latest period is a scalar
-    subquery (one value, planned once); with keys it is a per-key
-    aggregate joined back on the keys."""
+    period of that year; with ``months``, the latest period found there.  Without
+    keys the latest period is a scalar subquery (one value, planned once); with
+    keys it is a per-key aggregate joined back on the keys."""
     scope = df.filter(F.col(P).startswith(f"{year}-")) if year else df
+    months = scope if months is None else months
     if not keys:
-        return scope.filter(F.col(P) == scope.select(F.max(P)).scalar())
-    last = scope.groupBy(*keys).agg(F.max(P).alias("_latest"))
+        return scope.filter(F.col(P) == months.select(F.max(P)).scalar())
+    last = months.groupBy(*keys).agg(F.max(P).alias("_latest"))
     return (scope.join(last, on=list(keys))
             .filter(F.col(P) == F.col("_latest")).drop("_latest"))
 
@@ -136,10 +138,11 @@ def wallet_evolution(wallet: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 # -------------------------------------------------------------- equity -----
-def latest_equity_detail(stock_detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def latest_equity_detail(stock_detail: DataFrame, keys: Sequence[str] = (),
+                         is_latest: bool = False) -> DataFrame:
     """Positions of the latest month and a total row (quantity,
-    invested, value, gain)."""
-    latest = latest_rows(stock_detail, keys).withColumn(
+    invested, value, gain).  ``is_latest``: no other month is in the input."""
+    latest = (stock_detail if is_latest else latest_rows(stock_detail, keys)).withColumn(
         "pct_price_change", F.col("pct_price_change") / 100)
     out = grouped_with_total(
         latest, ["ticker", "asset_type"],
@@ -208,10 +211,11 @@ def monthly_sales_flag(stg_trades: DataFrame, threshold: float = SALES_EXEMPTION
 
 
 # ---------------------------------------------------- treasury / fixed -----
-def latest_treasury(treasury_summary: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def latest_treasury(treasury_summary: DataFrame, keys: Sequence[str] = (),
+                    is_latest: bool = False) -> DataFrame:
     """Latest positions (one per product, indexer, maturity) and totals."""
     out = grouped_with_total(
-        latest_rows(treasury_summary, keys), ["product_name", "index_type", "maturity_date", P],
+        treasury_summary if is_latest else latest_rows(treasury_summary, keys), ["product_name", "index_type", "maturity_date", P],
         ["total_invested", "total_gross", "total_net", "total_current_value", "gain_loss"],
         ["total_quantity"], keys)
     return out.select(*keys, "product_name", "index_type", "maturity_date", P, "total_quantity",
@@ -227,21 +231,23 @@ def treasury_evolution(treasury_summary: DataFrame, keys: Sequence[str] = ()) ->
 
 
 def latest_fixed_income(fixed_income_summary: DataFrame,
-                        keys: Sequence[str] = ()) -> DataFrame:
+                        keys: Sequence[str] = (), is_latest: bool = False) -> DataFrame:
     """Latest positions (one per the eight keys) and the curve-value total."""
     group = ["product_name", "issuer", "code", "index_type", "regime_type", "issue_date",
              "maturity_date", P]
-    out = grouped_with_total(latest_rows(fixed_income_summary, keys), group,
+    rows = fixed_income_summary if is_latest else latest_rows(fixed_income_summary, keys)
+    out = grouped_with_total(rows, group,
                              ["total_curva_value"], ["total_quantity"], keys)
     return out.select(*keys, *group, "total_quantity", "total_curva_value", "is_total")
 
 
 # ----------------------------------------------------------------- tax -----
 def tax_assets(stock_detail: DataFrame, keys: Sequence[str] = (),
-               year: str | None = None) -> DataFrame:
+               year: str | None = None, is_latest: bool = False) -> DataFrame:
     """Holdings at the latest period (or the last period of ``year``)
     at their mean cost, with the total cost."""
-    out = grouped_with_total(latest_rows(stock_detail, keys, year), ["ticker", "asset_type"],
+    rows = stock_detail if is_latest else latest_rows(stock_detail, keys, year)
+    out = grouped_with_total(rows, ["ticker", "asset_type"],
                              ["total_invested"], ["total_quantity", "mean_purchase_price"], keys)
     return out.select(
         *keys, "ticker",
@@ -300,21 +306,25 @@ def build_sections(marts, stg_trades: DataFrame | None = None, keys: Sequence[st
                    tax_year: str | None = None) -> dict[str, DataFrame]:
     """Every report section from a :class:`~ledgerframe.plans.marts.Marts`."""
     trades = stg_trades if stg_trades is not None else marts.staging["stg_trades"]
-    w, d, dv = marts.monthly_wallet, marts.stock_detail, marts.dividend_summary
+    w, dv = marts.monthly_wallet, marts.dividend_summary
+    last = {m: marts.latest(m) for m in ("fct_stock_detail", "fct_treasury_summary",
+                                         "fct_fixed_income_summary")}
     return {
         "latest_kpis": latest_kpis(w, keys),
         "allocation_by_class": allocation_by_class(w, keys),
         "dividends_by_type": dividends_by_type(dv, keys),
         "wallet_evolution": wallet_evolution(w, keys),
-        "latest_equity_detail": latest_equity_detail(d, keys),
+        "latest_equity_detail": latest_equity_detail(last["fct_stock_detail"], keys, is_latest=True),
         "dividends_by_ticker": dividends_by_ticker(dv, keys),
         "dividend_detail": dividend_detail(dv, keys),
         "trades_listing": trades_listing(trades, keys),
         "monthly_trade_volume": monthly_trade_volume(trades, keys),
-        "latest_treasury": latest_treasury(marts.treasury_summary, keys),
+        "latest_treasury": latest_treasury(last["fct_treasury_summary"], keys, is_latest=True),
         "treasury_evolution": treasury_evolution(marts.treasury_summary, keys),
-        "latest_fixed_income": latest_fixed_income(marts.fixed_income_summary, keys),
-        "tax_assets": tax_assets(d, keys, tax_year),
+        "latest_fixed_income": latest_fixed_income(last["fct_fixed_income_summary"], keys,
+                                                   is_latest=True),
+        "tax_assets": tax_assets(marts.stock_detail if tax_year else last["fct_stock_detail"], keys,
+                                 tax_year, is_latest=not tax_year),
         "tax_exempt_income": tax_exempt_income(dv, keys),
         "tax_taxable_income": tax_taxable_income(dv, keys),
         "monthly_sales_flag": monthly_sales_flag(trades, sales_threshold, keys),

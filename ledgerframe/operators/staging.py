@@ -31,6 +31,14 @@ def _keep(raw: DataFrame, key: str, cols: list[Column], keys: Sequence[str]) ->
                .select(*[F.col(k) for k in keys], *cols, *[F.col(c) for c in LINEAGE]))
 
 
+def _date_text(raw: DataFrame, *columns: str) -> list[Column]:
+    """The texts of date cells that are no date, where the landing kept any."""
+    if "_rejected" not in raw.columns:
+        return []
+    text = F.map_filter("_rejected", lambda k, v: k.isin(*columns))
+    return [F.when(F.size(text) > 0, F.to_json(text)).alias("_date_text")]
+
+
 def _positions(raw: DataFrame, subtype_name: str, keys: Sequence[str]) -> DataFrame:
     return _keep(raw, "Codigo_de_Negociacao", [
         _trim("Codigo_de_Negociacao").alias("ticker"),
@@ -69,6 +77,7 @@ def stg_fixed_income(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         _dbl("Quantidade").alias("quantity"),
         _dbl("Preco_Atualizado_CURVA").alias("curva_price"),
         _dbl("Valor_Atualizado_CURVA").alias("curva_value"),
+        *_date_text(raw, "Data_de_Emissao", "Vencimento"),
     ], keys)
 
 
@@ -85,6 +94,7 @@ def stg_treasury_bonds(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         _dbl("Valor_bruto").alias("gross_value"),
         _dbl("Valor_liquido").alias("net_value"),
         _dbl("Valor_Atualizado").alias("current_value"),
+        *_date_text(raw, "Vencimento"),
     ], keys)
 
 

@@ -29,10 +29,15 @@ def _k(keys: Sequence[str]) -> list[str]:
 
 
 # ---------------------------------------------------------------- trades ----
+def traded() -> Column:
+    """T1 keeps lots with a buy or a sell."""
+    return (F.col("buy_quantity") > 0) | (F.col("sell_quantity") > 0)
+
+
 def int_trades_clean(stg_trades: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Lots with a buy or a sell; cost and sale value per lot."""
     return (stg_trades
-            .filter((F.col("buy_quantity") > 0) | (F.col("sell_quantity") > 0))
+            .filter(traded())
             .select(*_k(keys), "ticker", P, "institution", "buy_quantity", "avg_buy_price",
                     "sell_quantity", "avg_sell_price",
                     (F.col("buy_quantity") * F.col("avg_buy_price")).alias("total_buy_cost"),
@@ -209,15 +214,20 @@ def fct_dividend_summary(stg_div: DataFrame, keys: Sequence[str] = ()) -> DataFr
                  F.count(F.lit(1)).alias("num_payments")))
 
 
+def _by(staged: DataFrame, keys: Sequence[str], columns: Sequence[str], aggregates: list[Column]) -> DataFrame:
+    """Groups of ``columns``.  Dates that came as text (``_date_text``, NULL dates)
+    stay apart by that text, which is not a column of the result."""
+    text = [c for c in ("_date_text",) if c in staged.columns]
+    return staged.groupBy(*_k(keys), *columns, *text).agg(*aggregates).drop(*text)
+
+
 def fct_treasury_summary(stg_treasury: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """T12."""
-    return (stg_treasury.groupBy(*_k(keys), "product_name", "index_type", "maturity_date", P)
-            .agg(F.sum("quantity").alias("total_quantity"),
-                 F.sum("invested_value").alias("total_invested"),
-                 F.sum("gross_value").alias("total_gross"),
-                 F.sum("net_value").alias("total_net"),
-                 F.sum("current_value").alias("total_current_value"))
-            .withColumn("gain_loss", F.col("total_current_value") - F.col("total_invested")))
+    return _by(stg_treasury, keys, ["product_name", "index_type", "maturity_date", P], [
+        F.sum("quantity").alias("total_quantity"), F.sum("invested_value").alias("total_invested"),
+        F.sum("gross_value").alias("total_gross"), F.sum("net_value").alias("total_net"),
+        F.sum("current_value").alias("total_current_value"),
+    ]).withColumn("gain_loss", F.col("total_current_value") - F.col("total_invested"))
 
 
 FIXED_INCOME_KEYS = ("product_name", "issuer", "code", "index_type", "regime_type",
@@ -226,9 +236,8 @@ FIXED_INCOME_KEYS = ("product_name", "issuer", "code", "index_type", "regime_typ
 
 def fct_fixed_income_summary(stg_fixed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """NULL keys form their own group, as in SQL."""
-    return (stg_fixed.groupBy(*_k(keys), *FIXED_INCOME_KEYS)
-            .agg(F.sum("quantity").alias("total_quantity"),
-                 F.sum("curva_value").alias("total_curva_value")))
+    return _by(stg_fixed, keys, FIXED_INCOME_KEYS, [
+        F.sum("quantity").alias("total_quantity"), F.sum("curva_value").alias("total_curva_value")])
 
 
 # --------------------------------------------------------------- ordering ----

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.periods import period_from_filename
 from ..functions.text import sanitize_header
@@ -22,6 +22,7 @@ from ..operators import benchmarks as B
 from ..operators import quality as Q
 from ..operators import report as R
 from ..operators import transforms as TR
+from ..sinks.writers import write_shared
 from ..sources import series as SR
 from ..sources import tpch_adapter as A
 from ..sources import workbook as WB
@@ -29,6 +30,7 @@ from .marts import Marts, build_marts
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 4
+P = "_reference_period"
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -112,17 +114,65 @@ def _generic(kind: str) -> Query:
     return lambda spark, d: Q.generic_checks(marts(spark, d).tables(), kind)
 
 
-def _singular(fn_name: str) -> Query:
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        t = marts(spark, d).tables()
-        return {
-            "q6": lambda: Q.no_odd_lot_suffix(t["stg_trades"]),
-            "q7": lambda: Q.no_negative_quantity(t["int_all_equity_positions"]),
-            "q8": lambda: Q.portfolio_value_not_negative(t["fct_monthly_wallet"]),
-            "q9": lambda: Q.period_format(t),
-            "q10": lambda: Q.weighted_price_consistent(t["int_weighted_avg_price"]),
-        }[fn_name]()
-    return run
+def _singular(name: str) -> Query:
+    return lambda spark, d: Q.singular_check(marts(spark, d).tables(), name)
+
+
+def q11_quality_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Every check; the price and position aggregates that all later models share
+    are written once and read back, as in a full run."""
+    m = marts(spark, d)
+    shared = {"int_weighted_avg_price": m.weighted_avg_price,
+              "int_all_equity_positions": m.equity_positions}
+    m = m.with_stored({n: write_shared(df, n) for n, df in shared.items()})
+    return Q.run_checks(m.tables())
+
+
+# Checks over inputs that break them, built from the driver tables: what fails is
+# a share of the rows, so the counts grow with the data.
+LOT_CHECKS = (
+    Q.Check("not_null", "lots", ("quantity",)),
+    Q.Check("unique", "lots", ("ticker",)),
+    Q.Check("unique_combination", "lots", ("ticker", P)),
+    Q.Check("accepted_values", "lots", ("asset_type",), ("R", "A")),
+    Q.Check("accepted_range", "lots", ("quantity",), min_value=25, inclusive=False),
+    Q.Check("accepted_range", "lots", ("discount",), min_value=0.05, inclusive=True),
+)
+
+
+def q12_failing_generic(spark: SparkSession, d: str) -> DataFrame:
+    """Q1-Q5 over line items: missing quantities, repeated keys, a value outside
+    the list, quantities and discounts below the bound."""
+    lots = A.read_table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("ticker"),
+        F.col("l_returnflag").alias("asset_type"),
+        F.when(F.col("l_tax") > 0.01, F.col("l_quantity")).alias("quantity"),
+        F.col("l_discount").alias("discount"), F.col("l_linestatus").alias(P))
+    return Q.batched_checks({"lots": lots}, singular=False, declared=LOT_CHECKS)
+
+
+def q13_failing_singular(spark: SparkSession, d: str) -> DataFrame:
+    """Q6-Q10 over rows that break them: tickers with the odd-lot suffix, negative
+    quantities and values, periods that are no month, prices off by more than
+    a cent."""
+    li, o = A.read_table(spark, d, "lineitem"), A.read_table(spark, d, "orders")
+    off = F.when(F.col("l_returnflag") == "R", 0.02).otherwise(0.005)
+    period = F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")) \
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM"))
+    return reduce(DataFrame.union, [
+        Q.singular_check({"stg_trades": li.select(
+            F.concat("l_returnflag", "l_linestatus").alias("ticker"))}, "no_f_suffix_in_trades"),
+        Q.singular_check({"int_all_equity_positions": li.select(
+            (F.col("l_quantity") - 10).alias("total_quantity"))}, "no_negative_quantities"),
+        Q.singular_check({"fct_monthly_wallet": o.select(
+            (F.col("o_totalprice") - 100_000).alias("total_portfolio_value"))}, "portfolio_value_positive"),
+        Q.singular_check({t: o.select(period.alias(P)) for t in (
+            "fct_monthly_wallet", "fct_stock_detail", "fct_dividend_summary")}, "reference_period_format"),
+        Q.singular_check({"int_weighted_avg_price": li.select(
+            F.col("l_quantity").alias("total_shares_bought"),
+            F.col("l_extendedprice").alias("total_invested"),
+            (F.col("l_extendedprice") / F.col("l_quantity") + off).alias("weighted_avg_price"))},
+            "weighted_avg_price_consistent")])
 
 
 QUERIES.update({
@@ -131,20 +181,19 @@ QUERIES.update({
     "q3_unique_combination": _generic("unique_combination"),
     "q4_accepted_values": _generic("accepted_values"),
     "q5_accepted_range": _generic("accepted_range"),
-    "q6_no_f_suffix": _singular("q6"),
-    "q7_no_negative_quantity": _singular("q7"),
-    "q8_portfolio_value_positive": _singular("q8"),
-    "q9_period_format": _singular("q9"),
-    "q10_price_consistent": _singular("q10"),
-    "q11_quality_gate": lambda spark, d: Q.run_checks(marts(spark, d).tables()),
+    "q6_no_f_suffix": _singular("no_f_suffix_in_trades"),
+    "q7_no_negative_quantity": _singular("no_negative_quantities"),
+    "q8_portfolio_value_positive": _singular("portfolio_value_positive"),
+    "q9_period_format": _singular("reference_period_format"),
+    "q10_price_consistent": _singular("weighted_avg_price_consistent"),
+    "q11_quality_gate": q11_quality_gate,
+    "q12_failing_generic": q12_failing_generic,
+    "q13_failing_singular": q13_failing_singular,
 })
 
 
 # --------------------------------------------------------- benchmarks ----
 
-P = "_reference_period"
-
-
 def periods_of(m: Marts) -> DataFrame:
     """Portfolio periods: the months with staged positions of any class."""
     held = [m.staging[t].select(P) for t in ("stg_stock_positions", "stg_etf_positions",
@@ -231,16 +280,20 @@ QUERIES.update({
     "r1_latest_kpis": _section(lambda m: R.latest_kpis(m.monthly_wallet)),
     "r2_allocation": _section(lambda m: R.allocation_by_class(m.monthly_wallet)),
     "r4_wallet_evolution": _section(lambda m: R.wallet_evolution(m.monthly_wallet)),
-    "r5_equity_detail": _section(lambda m: R.latest_equity_detail(m.stock_detail)),
+    "r5_equity_detail": _section(
+        lambda m: R.latest_equity_detail(m.latest("fct_stock_detail"), is_latest=True)),
     "r6_dividends_by_type": _section(lambda m: R.dividends_by_type(m.dividend_summary)),
     "r7_dividends_by_ticker": _section(lambda m: R.dividends_by_ticker(m.dividend_summary)),
     "r8_dividend_detail": _section(lambda m: R.dividend_detail(m.dividend_summary)),
     "r9_trades_listing": _section(lambda m: R.trades_listing(m.staging["stg_trades"])),
     "r10_trade_volume": _section(lambda m: R.monthly_trade_volume(m.staging["stg_trades"])),
-    "r11_treasury_latest": _section(lambda m: R.latest_treasury(m.treasury_summary)),
+    "r11_treasury_latest": _section(
+        lambda m: R.latest_treasury(m.latest("fct_treasury_summary"), is_latest=True)),
     "r12_treasury_evolution": _section(lambda m: R.treasury_evolution(m.treasury_summary)),
-    "r13_fixed_income_latest": _section(lambda m: R.latest_fixed_income(m.fixed_income_summary)),
-    "r14_tax_assets": _section(lambda m: R.tax_assets(m.stock_detail)),
+    "r13_fixed_income_latest": _section(
+        lambda m: R.latest_fixed_income(m.latest("fct_fixed_income_summary"), is_latest=True)),
+    "r14_tax_assets": _section(
+        lambda m: R.tax_assets(m.latest("fct_stock_detail"), is_latest=True)),
     "r15_tax_exempt": _section(lambda m: R.tax_exempt_income(m.dividend_summary)),
     "r16_tax_taxable": _section(lambda m: R.tax_taxable_income(m.dividend_summary)),
     "r17_monthly_sales_flag": _section(
@@ -316,7 +369,95 @@ def i14_load_summary(spark: SparkSession, d: str) -> DataFrame:
     return WB.load_summary(A.raw_tables(spark, d))
 
 
+def landed_lots(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as sheet rows of position statements: a decimal comma, a dash
+    where there is no price, a column that is not declared, a column that half of
+    the files lack, rows with a single cell."""
+    li = A.read_table(spark, d, "lineitem")
+    sparse = (F.col("l_linenumber") == 7)
+    some = F.col("l_returnflag") != "N"
+    cells = F.map_filter(F.create_map(
+        F.lit("Codigo_de_Negociacao"), F.concat(F.lit("T"), F.col("l_partkey").cast("string")),
+        F.lit("Conta"), F.when(~sparse & some, F.lpad(F.col("l_suppkey").cast("string"), 8, "0")),
+        F.lit("Quantidade"), F.when(~sparse, F.replace(
+            F.col("l_quantity").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(","))),
+        F.lit("Preco_de_Fechamento"), F.when(~sparse, F.when(F.col("l_linestatus") == "F", F.lit("-"))
+                                             .otherwise(F.col("l_extendedprice").cast("decimal(14,2)")
+                                                        .cast("string"))),
+        F.lit("Setor"), F.when(~sparse, F.col("l_returnflag"))),
+        lambda k, v: v.isNotNull())
+    month = F.element_at(F.array(*[F.lit(w) for w in FILE_MONTH_WORDS]), F.month("l_shipdate"))
+    return li.select(
+        F.concat(F.lit("posicao-"), F.year("l_shipdate").cast("string"), F.lit("-"), month, F.lit(".xlsx"))
+        .alias("source_file"),
+        F.lit("raw_stock_positions").alias("table_name"), F.lit("Posição - Ações").alias("sheet_name"),
+        F.col("l_linenumber").cast("int").alias("row_index"), F.lit(5).alias("header_width"),
+        F.lit(None).cast("string").alias("date_epoch"),
+        F.lit(None).cast("map<string,string>").alias("keys"), cells.alias("cells"))
+
+
+def i5_conform_raw(spark: SparkSession, d: str) -> DataFrame:
+    """I5, I6, I9, I11 on whole line items: typed columns, lineage, columns that
+    are missing or not declared, texts that do not parse, sparse rows."""
+    raw = WB.conform_raw(landed_lots(spark, d), "raw_stock_positions")
+    return round_doubles(raw.select(
+        "Codigo_de_Negociacao", "Conta", "Produto", "Quantidade", "Preco_de_Fechamento", "_source_file",
+        P, F.col("_extra_columns").getItem("Setor").alias("extra_setor"),
+        F.col("_rejected").getItem("Preco_de_Fechamento").alias("rejected_price")))
+
+
+def i13_absent_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds that no file holds are typed and empty; rows and columns of each."""
+    landed = landed_lots(spark, d)
+    return reduce(DataFrame.union, [
+        df.agg(F.lit(t).alias("table_name"), F.count("*").alias("row_count"),
+               F.lit(len(df.columns)).alias("columns"))
+        for t, df in WB.land_raw_tables(landed).items()])
+
+
+def t14_ordered_mart(spark: SparkSession, d: str) -> DataFrame:
+    """Place of every treasury row in the mart's reading order, by month."""
+    mart = marts(spark, d).treasury_summary
+    order = Window.partitionBy(P).orderBy("product_name", "index_type", "maturity_date")
+    return mart.select(P, "product_name", "index_type", "maturity_date",
+                       F.row_number().over(order).alias("place"))
+
+
+def b6_absent_series(spark: SparkSession, d: str) -> DataFrame:
+    """The comparison without any rate or price observation is all zeros."""
+    none = F.lit(False)
+    return round_doubles(B.benchmark_comparison(
+        marts(spark, d).monthly_wallet, _rates(spark, d).filter(none),
+        B.month_end_close(_prices(spark, d).filter(none))))
+
+
+def r19_empty_section(spark: SparkSession, d: str) -> DataFrame:
+    """Sections over a month without rows are empty, total rows included."""
+    m = marts(spark, d)
+    nothing = F.col(P) == "no month"
+    empty = {
+        "tax_exempt_income": R.tax_exempt_income(m.dividend_summary.filter(nothing)),
+        "latest_treasury": R.latest_treasury(m.treasury_summary.filter(nothing)),
+        "latest_kpis": R.latest_kpis(m.monthly_wallet.filter(nothing)),
+        "trades_listing": R.trades_listing(m.staging["stg_trades"].filter(nothing)),
+        "tax_taxable_income": R.tax_taxable_income(m.dividend_summary)}
+    return reduce(DataFrame.union, [
+        df.agg(F.lit(n).alias("section"), F.count("*").alias("row_count")) for n, df in empty.items()])
+
+
+def i8_landing_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What the landing of those rows loses, as the gate sees it."""
+    landed = landed_lots(spark, d)
+    return WB.landing_checks(WB.land_raw_tables(landed), landed)
+
+
 QUERIES.update({
+    "i5_conform_raw": i5_conform_raw,
+    "i8_landing_checks": i8_landing_checks,
+    "i13_absent_kinds": i13_absent_kinds,
+    "t14_ordered_mart": t14_ordered_mart,
+    "b6_absent_series": b6_absent_series,
+    "r19_empty_section": r19_empty_section,
     "i2_period_from_name": i2_period_from_name,
     "i8_column_coercion": i8_column_coercion,
     "i9_sparse_rows": i9_sparse_rows,

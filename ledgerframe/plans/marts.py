@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import staging as S
 from ..operators import transforms as T
+from ..operators.report import P, latest_rows
 from .lazy import LazyTables
 
 
@@ -76,6 +77,22 @@ class Marts:
         return self._get("stock_detail", lambda: T.fct_stock_detail(
             self.equity_positions, self.weighted_avg_price, self.keys))
 
+    def latest(self, name: str) -> DataFrame:
+        """One of the position marts, only the rows of its last month.  A stored mart
+        is read there; else the staged rows are cut to their last month first, so
+        that no other month is aggregated."""
+        if self._MODELS[name] in self._overrides:
+            return latest_rows(self._overrides[self._MODELS[name]], self.keys)
+        stg, keys = self.staging, list(self.keys)
+        if name == "fct_treasury_summary":
+            return T.fct_treasury_summary(latest_rows(stg["stg_treasury_bonds"], keys), keys)
+        if name == "fct_fixed_income_summary":
+            return T.fct_fixed_income_summary(latest_rows(stg["stg_fixed_income"], keys), keys)
+        both = [stg["stg_stock_positions"], stg["stg_etf_positions"]]
+        months = both[0].select(*keys, P).union(both[1].select(*keys, P))
+        return T.fct_stock_detail(T.int_all_equity_positions(
+            *[latest_rows(df, keys, months=months) for df in both], keys), self.weighted_avg_price, keys)
+
     @property
     def dividend_summary(self) -> DataFrame:
         return self._get("dividend_summary", lambda: T.fct_dividend_summary(

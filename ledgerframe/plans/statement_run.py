@@ -4,8 +4,10 @@ previous one wrote.
 
 Writing the raw tables and marts and reading them back is also the lineage
 cut: a lost executor recomputes from the last written table, never from the
-workbooks.  Quality gates (Q11) run after staging and after the marts, and
-stop the run on any failure, like tests after each model.
+workbooks.  Quality gates (Q11) run after the landing (nothing may be lost), the
+staging models, the intermediates - before any mart is overwritten - and the
+marts, each model once on what is stored, and stop the run on any failure.  All
+results are written to ``<out_dir>/checks``.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import benchmarks as B
 from ..operators import quality as Q
@@ -22,6 +24,7 @@ from ..operators import transforms as T
 from ..schemas import RAW_SCHEMAS
 from ..sinks import read_table, write_report, write_tables
 from ..sources import workbook as WB
+from ..sources.incremental import land_changes
 from .marts import build_marts
 
 
@@ -58,8 +61,10 @@ def benchmark_sections(wallet: DataFrame, rates: DataFrame | None, prices: DataF
 def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
         keys: Sequence[str] = (), gate: bool = True, csv_report: bool = False,
         sales_threshold: float = R.SALES_EXEMPTION_LIMIT,
-        rates: DataFrame | None = None, prices: DataFrame | None = None) -> RunResult:
+        rates: DataFrame | None = None, prices: DataFrame | None = None,
+        landed: DataFrame | None = None) -> RunResult:
     """Run everything from raw tables already in memory or on storage.
+    ``landed``: the workbook rows they come from, for the landing checks.
     ``rates`` ``(date, rate_pct)`` and ``prices`` ``(symbol, date, close)``
     are the landed benchmark series (see :mod:`ledgerframe.sources.series`)."""
     raw_root, mart_root = f"{out_dir}/raw", f"{out_dir}/marts"
@@ -67,10 +72,22 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     stored_raw = read_raw(spark, raw_root, {t: df.schema for t, df in raw.items()})
     summary = WB.load_summary(stored_raw)                              # I14
 
+    results: list = []
+
+    def check(found: DataFrame | None) -> None:
+        """One row per check: compute once, write all so far, stop on failures."""
+        if found is None:
+            return
+        new = found.select(*Q.RESULT_COLUMNS).collect()
+        results.extend(new)
+        spark.createDataFrame(results, Q.RESULT_SCHEMA).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{out_dir}/checks")
+        if gate:
+            Q.stop_on_failures(new)
+
+    check(WB.landing_checks(stored_raw, landed))
     marts = build_marts(stored_raw, keys)
-    staging_checks = Q.generic_checks(marts.staging, keys=keys)
-    if gate:
-        Q.gate(staging_checks)
+    check(Q.run_checks(marts.staging, keys))
 
     # The weighted price (ticker grain) and the equity positions (ticker x
     # month grain) feed several marts and checks: write them once and let
@@ -81,49 +98,43 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     write_tables(shared, f"{out_dir}/intermediate", partition_by=())
     marts = marts.with_stored({n: read_table(spark, f"{out_dir}/intermediate", n, df.schema)
                                for n, df in shared.items()})
+    models = marts.tables()
+    check(Q.run_checks({n: models[n] for n in models if n.startswith("int_")}, keys))
 
     mart_dfs = dict(marts.mart_tables())
     mart_paths = write_tables(mart_dfs, mart_root,
                               order={m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()})
     stored = {m: read_table(spark, mart_root, m, mart_dfs[m].schema) for m in mart_paths}  # K2
     stored_marts = marts.with_stored(stored)
-    checks = Q.run_checks(stored_marts.tables(), keys)
-    if gate:
-        Q.gate(checks)
+    check(Q.run_checks(stored, keys))
 
     sections = R.build_sections(stored_marts, keys=keys, sales_threshold=sales_threshold)
     sections.update(benchmark_sections(stored["fct_monthly_wallet"], rates, prices, keys))
     report_paths = write_report(sections, f"{out_dir}/report", csv=csv_report)   # K3
-    return RunResult(summary, checks, mart_paths, report_paths)
+    return RunResult(summary, spark.read.schema(Q.RESULT_SCHEMA).parquet(f"{out_dir}/checks"),
+                     mart_paths, report_paths)
 
 
-def run_workbooks(spark: SparkSession, folder: str, out_dir: str, strict: bool = False,
-                  **kw) -> RunResult:
+def run_workbooks(spark: SparkSession, folder: str, out_dir: str, keys: Sequence[str] = (),
+                  incremental: bool = False, **kw) -> RunResult:
     """Entry point A: a folder of monthly statement workbooks.
 
     Every workbook is decoded once: the landed sheet rows are written (by
     raw table) and the seven raw tables are conformed from that copy, which
-    also cuts the lineage back to the files.  Files that cannot be decoded
-    are listed in ``<out_dir>/unreadable_workbooks`` and declared numeric or
-    date columns with values that do not parse in ``<out_dir>/coercion_rejects``
-    (those values are NULL in the raw tables); with ``strict=True`` either
-    stops the run, as the statement loader would."""
-    landed = WB.land_workbooks(WB.list_workbooks(spark, folder))
-    landed_path = f"{out_dir}/landed_rows"
-    landed.write.mode("overwrite").partitionBy("table_name").parquet(landed_path)
-    stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(landed_path)
-    bad = WB.unreadable_workbooks(stored)
-    bad.write.mode("overwrite").parquet(f"{out_dir}/unreadable_workbooks")
-    rejects = WB.coercion_rejects(stored).filter(~F.col("all_parse"))
-    rejects.write.mode("overwrite").parquet(f"{out_dir}/coercion_rejects")
-    if strict:
-        first = spark.read.parquet(f"{out_dir}/unreadable_workbooks").limit(5).collect()
-        if first:
-            raise ValueError("unreadable workbooks: " + "; ".join(
-                f"{r.source_file} ({r.error})" for r in first))
-        first = spark.read.parquet(f"{out_dir}/coercion_rejects").limit(5).collect()
-        if first:
-            raise ValueError("values that do not parse: " + "; ".join(
-                f"{r.source_file} {r.table_name}.{r.column_name} "
-                f"({r.n_values - r.n_parsed} of {r.n_values})" for r in first))
-    return run(spark, WB.land_raw_tables(stored), out_dir, **kw)
+    also cuts the lineage back to the files.  ``incremental`` decodes only the
+    files that are new or changed since the last run (:mod:`..sources.incremental`).
+    With ``keys`` the folder may hold ``key=value`` folders.  Files that cannot be
+    decoded are listed in ``<out_dir>/unreadable_workbooks``, texts that do not
+    parse in ``<out_dir>/rejects``; either stops a gated run, as the statement
+    loader would stop."""
+    files = WB.list_workbooks(spark, folder, nested=bool(keys))
+    if incremental:
+        stored = land_changes(spark, files, f"{out_dir}/landing")
+    else:
+        landed_path = f"{out_dir}/landed_rows"
+        WB.land_workbooks(files).write.mode("overwrite").partitionBy("table_name").parquet(landed_path)
+        stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(landed_path)
+    WB.unreadable_workbooks(stored).write.mode("overwrite").parquet(f"{out_dir}/unreadable_workbooks")
+    raw = WB.land_raw_tables(stored, keys)
+    WB.rejects(raw).write.mode("overwrite").parquet(f"{out_dir}/rejects")
+    return run(spark, raw, out_dir, keys=keys, landed=stored, **kw)

@@ -1,4 +1,4 @@
-"""Spark session defaults and checkpoint-directory handling."""
+"""Spark session defaults."""
 
 from __future__ import annotations
 
@@ -55,15 +55,3 @@ def build_session(master: str | None = None, app_name: str = "ledgerframe",
     for key, value in {**base, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (tests, local runs) fall back to the given directory."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    target = configured or fallback
-    if target:
-        spark.sparkContext.setCheckpointDir(target)
-    return target

@@ -11,6 +11,9 @@ reading order costs no global sort at write time.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,22 +59,27 @@ def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFr
     return reader.parquet(f"{root}/{name}")
 
 
-# Report sections that list source rows (one row per trade lot or per
-# dividend group) grow with the data; every other section is an aggregate
-# per month / ticker / event type.
-LISTING_SECTIONS = frozenset({"trades_listing", "dividend_detail"})
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Write an aggregate that several models read under the cluster's shared folder
+    (``spark.checkpoint.dir``; a temporary one only where that is unset) and read
+    it back."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerframe-")
+    path = f"{root.rstrip('/')}/ledgerframe-models/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_report(sections: dict[str, DataFrame], root: str, csv: bool = False) -> dict[str, str]:
-    """K3: one dataset per report section.  The optional CSV copy of an
-    aggregated section is a single file; listing sections keep their
-    partitioning (one file per task), so no single task writes a whole table."""
+    """K3: one dataset per report section.  The optional CSV copy is made from the
+    Parquet just written, in as many files as that has."""
     paths = {}
     for name, df in sections.items():
         path = f"{root}/{name}"
         df.write.mode("overwrite").parquet(path)
         if csv:
-            out = df if name in LISTING_SECTIONS else df.coalesce(1)
-            out.write.mode("overwrite").option("header", "true").csv(f"{path}_csv")
+            df.sparkSession.read.schema(df.schema).parquet(path) \
+                .write.mode("overwrite").option("header", "true").csv(f"{path}_csv")
         paths[name] = path
     return paths

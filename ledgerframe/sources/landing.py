@@ -4,16 +4,19 @@ Conforms a landed table to the declared schema of its kind: declared columns
 are typed (decimal comma accepted for numbers, serial/``dd/MM/yyyy``/ISO for
 dates), missing ones are NULL, undeclared ones are kept in
 ``_extra_columns``.  Lineage columns come from the data when present,
-otherwise from the file name (``_metadata.file_name``).
+otherwise from the file name (``_metadata.file_name``).  Texts that do not parse
+are kept in ``_rejected``, as in workbook landings.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.periods import period_from_filename
 from ..schemas import RAW_SCHEMAS
-from .workbook import typed_cell
+from .workbook import rejected_cells, typed_cell
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -24,29 +27,34 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return reader.load(path)
 
 
-def conform_landed(df: DataFrame, table: str, extension: str = "csv") -> DataFrame:
+def conform_landed(df: DataFrame, table: str, extension: str = "csv",
+                   keys: Sequence[str] = ()) -> DataFrame:
     schema = RAW_SCHEMAS[table]
-    data_cols = [c for c in df.columns if not c.startswith("_")]
+    data_cols = [c for c in df.columns if not c.startswith("_") and c not in keys]
     cells = F.create_map(*[x for c in data_cols
                            for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]) \
         if data_cols else F.create_map().cast("map<string,string>")
     declared = [f for f in schema.fields if not f.name.startswith("_")]
+    present = [f for f in declared if f.name in data_cols]
     names = {f.name for f in declared}
     extra = [c for c in data_cols if c not in names]
     source = (F.col("_source_file") if "_source_file" in df.columns
               else F.col("_metadata.file_name"))
     period = (F.col("_reference_period") if "_reference_period" in df.columns
               else period_from_filename(source, extension))
-    out = df.select(
-        *[(typed_cell(cells, f.name, f.dataType) if f.name in df.columns
+    return df.select(
+        *[(typed_cell(cells, f.name, f.dataType) if f in present
            else F.lit(None).cast(f.dataType)).alias(f.name) for f in declared],
+        *[(F.col(f"`{k}`") if k in df.columns else F.lit(None)).cast("string").alias(k) for k in keys],
         source.cast("string").alias("_source_file"),
         period.cast("string").alias("_reference_period"),
         (F.create_map(*[x for c in extra for x in (F.lit(c), F.col(f"`{c}`").cast("string"))])
          if extra else F.create_map().cast(T.MapType(T.StringType(), T.StringType())))
-        .alias("_extra_columns"))
-    return out
+        .alias("_extra_columns"),
+        rejected_cells(cells, present).alias("_rejected"))
 
 
-def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
-    return conform_landed(read_landed(spark, path, fmt), table, fmt)
+def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """``keys``: columns of the data or ``key=value`` folders of the path."""
+    return conform_landed(read_landed(spark, path, fmt), table, fmt, keys)

@@ -53,6 +53,16 @@ def conform_prices(prices: DataFrame) -> DataFrame:
                          F.col(close_col).cast("double").alias("close"))
 
 
+def monthly_then_daily(monthly: DataFrame | None, daily: DataFrame) -> DataFrame:
+    """I16: the monthly prices of each symbol that has any close there, the daily
+    ones of every other symbol."""
+    if monthly is None:
+        return daily
+    priced = monthly.filter(F.col("close").isNotNull()).select("symbol").distinct()
+    return monthly.join(priced, "symbol", "left_semi").unionByName(
+        daily.join(priced, "symbol", "left_anti")).select("symbol", "date", "close")
+
+
 def _bounds(periods: DataFrame) -> tuple[Column, Column]:
     """First day of the first period and day 28 of the last one: one scalar
     subquery (a struct) over the period table, read twice.  If any period is

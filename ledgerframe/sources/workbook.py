@@ -10,21 +10,28 @@ Plan::
 
 A workbook is a zip archive, so each file is opened by exactly one task; the
 files themselves are spread over all tasks.  Only the zip/XML decoding runs
-in Python (stdlib, no workbook library); header cleaning, numeric coercion,
-the sparse-row filter, period extraction and typing are Spark expressions.
-No shuffle is needed to land a table: every output row is produced where its
-file is read.
+in Python (stdlib, no workbook library), row by row: a task holds a chunk of
+``CHUNK_ROWS`` sheet rows and the workbook's shared strings, never a whole
+sheet.  Header cleaning, numeric coercion, the sparse-row filter, period
+extraction and typing are Spark expressions.
+
+Nothing is lost in silence: text that does not parse stays in ``_rejected``, a
+second header that cleans to a name already taken keeps its cells under a name
+of its own, a file that cannot be decoded gives no rows at all, and each of
+these is counted by :func:`landing_checks`, which stops a gated run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import posixpath
 import re
 import unicodedata
 import urllib.parse
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 from io import BytesIO
 from xml.etree import ElementTree as ET
 
@@ -58,7 +65,9 @@ BUILTIN_DATE_FORMATS = frozenset(range(14, 23)) | frozenset({45, 46, 47})
 EXCEL_EPOCH = "1899-12-30"
 EXCEL_MAX_SERIAL = 2958465          # 9999-12-31
 UNREADABLE = "_unreadable"          # table_name of a row reporting a file that failed to parse
+CLASH = "_header_clash"             # table_name of a row reporting headers that clean to one name
 # ---------------------------------------------------------------------------
+CHUNK_ROWS = 2000
 
 LANDED_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
@@ -66,6 +75,8 @@ LANDED_SCHEMA = T.StructType([
     T.StructField("sheet_name", T.StringType()),
     T.StructField("row_index", T.IntegerType()),
     T.StructField("header_width", T.IntegerType()),
+    T.StructField("date_epoch", T.StringType()),
+    T.StructField("keys", T.MapType(T.StringType(), T.StringType())),
     T.StructField("cells", T.MapType(T.StringType(), T.StringType())),
 ])
 
@@ -77,22 +88,24 @@ _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
 
 # ------------------------------------------------------- per-file helpers ---
 def file_name_of(path: str) -> str:
-    """Base name of a binaryFile path, URL-decoded and NFC-normalised (a
-    name may arrive decomposed, e.g. ``c`` + combining cedilla)."""
-    return unicodedata.normalize("NFC", posixpath.basename(urllib.parse.unquote(path)))
+    """A binaryFile path, URL-decoded and NFC-normalised (a name may arrive
+    decomposed, e.g. ``c`` + combining cedilla): its base name, after the
+    ``key=value`` folders it lies in, so that the files of two owners differ."""
+    parts = unicodedata.normalize("NFC", urllib.parse.unquote(path)).split("/")
+    return "/".join([*itertools.takewhile(lambda p: "=" in p, reversed(parts[:-1]))][::-1] + parts[-1:])
+
+
+def path_keys(name: str) -> dict[str, str]:
+    """``owner=a/report.xlsx`` -> ``{"owner": "a"}``."""
+    return dict(p.split("=", 1) for p in name.split("/")[:-1])
 
 
 def match_sheets(sheet_names: list[str]) -> dict[str, str]:
-    """For every known sheet kind, the first sheet whose lower-cased
-    name contains the kind's name or is contained in it."""
-    out = {}
-    for kind, table in SHEET_TABLES.items():
-        k = kind.lower()
-        for s in sheet_names:
-            if k in s.lower() or s.lower() in k:
-                out[table] = s
-                break
-    return out
+    """The sheet of each kind.  A sheet and a kind belong together when one
+    name contains the other, in any case; of several sheets the first counts."""
+    related = [(table, sheet) for sheet in sheet_names for kind, table in SHEET_TABLES.items()
+               if kind.lower() in sheet.lower() or sheet.lower() in kind.lower()]
+    return dict(reversed(related))
 
 
 def _col_index(letters: str) -> int:
@@ -140,21 +153,40 @@ def _date_styles(zf: zipfile.ZipFile) -> set[int]:
 
 
 def _serial_to_iso(value: str, epoch: dt.datetime) -> str:
-    """An Excel date serial as ISO text (date, or date and time)."""
-    stamp = epoch + dt.timedelta(days=float(value))
+    """An Excel date serial as ISO text (date, or date and time); a serial beyond
+    the calendar stays as it is."""
+    try:
+        stamp = epoch + dt.timedelta(days=float(value))
+    except OverflowError:
+        return value
     if stamp.hour or stamp.minute or stamp.second:
         return stamp.strftime("%Y-%m-%d %H:%M:%S")
     return stamp.strftime("%Y-%m-%d")
 
 
+def _elements(zf: zipfile.ZipFile, part: str, tag: str) -> Iterator[ET.Element]:
+    """The elements ``tag`` of one part, one at a time; each is dropped from the
+    tree once it has been used."""
+    wanted, open_ = f"{{{_NS['m']}}}{tag}", []
+    with zf.open(part) as f:
+        for event, node in ET.iterparse(f, ("start", "end")):
+            if event == "start":
+                open_.append(node)
+                continue
+            open_.pop()
+            if node.tag == wanted:
+                yield node
+                if open_:
+                    open_[-1].remove(node)
+
+
 def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str],
                 date_styles: frozenset[int] | set[int] = frozenset(),
-                epoch: dt.datetime = dt.datetime(1899, 12, 30)) -> list[dict[int, str]]:
+                epoch: dt.datetime = dt.datetime(1899, 12, 30)) -> Iterator[dict[int, str]]:
     """Rows of a worksheet as ``{column index: text}``, in sheet order;
     numbers in a date format become ISO dates."""
-    rows: list[tuple[int, dict[int, str]]] = []
-    root = ET.fromstring(zf.read(target))
-    for row in root.iter(f"{{{_NS['m']}}}row"):
+    last = 0
+    for row in _elements(zf, target, "row"):
         cells: dict[int, str] = {}
         for pos, c in enumerate(row.findall("m:c", _NS)):
             ref = c.get("r")
@@ -177,10 +209,11 @@ def _read_sheet(zf: zipfile.ZipFile, target: str, shared: list[str],
             is_text = kind in ("s", "inlineStr", "str", "e")
             if value != "" and not (is_text and value in MISSING_TEXT):
                 cells[col] = value
-        r = int(row.get("r")) if row.get("r") else len(rows) + 1
-        rows.append((r, cells))
-    rows.sort(key=lambda x: x[0])
-    return [c for _, c in rows]
+        number = int(row.get("r") or last + 1)
+        if number <= last:
+            raise ValueError(f"row {number} after row {last}")
+        last = number
+        yield cells
 
 
 def _workbook_sheets(zf: zipfile.ZipFile) -> tuple[list[tuple[str, str]], bool]:
@@ -199,72 +232,77 @@ def _workbook_sheets(zf: zipfile.ZipFile) -> tuple[list[tuple[str, str]], bool]:
     return out, date1904
 
 
-def _headers(header_cells: dict[int, str], width: int) -> list[str]:
-    """Header row -> names; blank -> ``Unnamed: i``; repeats get ``.1``,
-    ``.2``; then sanitised (I10)."""
-    names, seen = [], {}
-    for i in range(width):
-        h = header_cells.get(i)             # empty cells are not stored: None
-        h = f"{UNNAMED_PREFIX}: {i}" if h is None else h
-        if h in seen:
-            seen[h] += 1
-            h = f"{h}.{seen[h]}"
-        else:
-            seen[h] = 0
-        names.append(h)
-    return names
+def _headers(header_cells: dict[int, str]) -> tuple[dict[int, str], dict[str, list[str]]]:
+    """Header row -> clean name of each column that has one (I6, I10), and the
+    headers of each clean name that several clean to.  A repeated header gets
+    ``.1``, ``.2``; a clean name already taken gets ``__2``, ``__3``."""
+    names, seen, taken = {}, {}, {}
+    for i, h in sorted(header_cells.items()):
+        if h.startswith(UNNAMED_PREFIX):
+            continue
+        seen[h] = seen.get(h, -1) + 1
+        h = f"{h}.{seen[h]}" if seen[h] else h
+        same = taken.setdefault(sanitize_header_py(h), [])
+        same.append(h)
+        names[i] = sanitize_header_py(h) + (f"__{len(same)}" if len(same) > 1 else "")
+    return names, {c: h for c, h in taken.items() if len(h) > 1}
 
 
 def parse_workbook(name: str, content: bytes) -> Iterator[tuple]:
     """Rows of every matched, non-empty sheet of one workbook."""
+    keys = path_keys(name)
     with zipfile.ZipFile(BytesIO(content)) as zf:
-        try:
-            sst = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in sst.iter(f"{{{_NS['m']}}}si")]
-        except KeyError:
-            shared = []
+        parts = set(zf.namelist())
+        shared = [_text(si) for si in _elements(zf, "xl/sharedStrings.xml", "si")] \
+            if "xl/sharedStrings.xml" in parts else []
         sheets, date1904 = _workbook_sheets(zf)
         epoch = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
         date_styles = _date_styles(zf)
         targets = dict(sheets)
         for table, sheet in match_sheets([s for s, _ in sheets]).items():
             rows = _read_sheet(zf, targets[sheet], shared, date_styles, epoch)
-            if len(rows) < 2:
-                continue                               # header only: empty sheet
-            width = max((max(r) + 1 for r in rows if r), default=0)
-            names = _headers(rows[0], width)
-            keep = [i for i, h in enumerate(names) if not h.startswith(UNNAMED_PREFIX)]
-            clean = {i: sanitize_header_py(names[i]) for i in keep}
-            for idx, r in enumerate(rows[1:], start=1):
-                cells = {}
-                for i in keep:
-                    if i in r and clean[i] not in cells:
-                        cells[clean[i]] = r[i]
-                yield (name, table, sheet, idx, len(keep), cells)
+            names, clashes = _headers(next(rows, {}))
+            for idx, r in enumerate(rows, start=1):
+                if idx == 1:
+                    for clean, headers in clashes.items():
+                        yield (name, CLASH, sheet, 0, 0, str(epoch.date()), keys,
+                               {"table": table, "column": clean, "headers": " | ".join(headers)})
+                yield (name, table, sheet, idx, len(names), str(epoch.date()), keys,
+                       {names[i]: v for i, v in r.items() if i in names})
 
 
 def parse_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``mapInPandas`` body: ``(path, content)`` batches -> landed rows.  A
-    file that cannot be decoded yields one ``_unreadable`` row with the error
-    instead of failing the task (see :func:`unreadable_workbooks`)."""
+    """``mapInPandas`` body: ``(path, content)`` batches -> landed rows, in chunks.
+    A file that cannot be decoded, for whatever reason, yields one ``_unreadable``
+    row with the error; rows it gave before are left out by :func:`readable`."""
     cols = [f.name for f in LANDED_SCHEMA.fields]
     for batch in batches:
-        # one output frame per workbook keeps memory at one file's rows
         for path, content in zip(batch["path"], batch["content"]):
             name = file_name_of(path)
-            try:
-                rows = list(parse_workbook(name, bytes(content)))
-            except (zipfile.BadZipFile, ET.ParseError, KeyError, IndexError, ValueError) as e:
-                rows = [(name, UNREADABLE, None, 0, 0, {"error": f"{type(e).__name__}: {e}"})]
-            if rows:
-                yield pd.DataFrame(rows, columns=cols)
+            rows = parse_workbook(name, bytes(content))
+            while True:
+                chunk, error = [], None
+                try:
+                    for row in itertools.islice(rows, CHUNK_ROWS):
+                        chunk.append(row)
+                except Exception as e:  # noqa: BLE001 - any fault of one file is reported, not fatal
+                    error = (name, UNREADABLE, None, 0, 0, None, path_keys(name),
+                             {"error": f"{type(e).__name__}: {e}"})
+                if error:
+                    yield pd.DataFrame([error], columns=cols)
+                elif chunk:
+                    yield pd.DataFrame(chunk, columns=cols)
+                if error or len(chunk) < CHUNK_ROWS:
+                    break
 
 
 # ------------------------------------------------------------ Spark side ---
-def list_workbooks(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
-    """The workbooks of a folder; none -> ``FileNotFoundError``."""
+def list_workbooks(spark: SparkSession, folder: str, pattern: str = "*.xlsx",
+                   nested: bool = False) -> DataFrame:
+    """The workbooks of a folder (``nested``: and of the folders in it, such as
+    ``owner=a/``); none -> ``FileNotFoundError``."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .option("recursiveFileLookup", "false").load(folder))
+             .option("recursiveFileLookup", str(nested).lower()).load(folder))
     if files.select("path").isEmpty():
         raise FileNotFoundError(f"no {pattern} files in {folder}")
     return files
@@ -281,84 +319,138 @@ def unreadable_workbooks(landed: DataFrame) -> DataFrame:
             .select("source_file", F.col("cells").getItem("error").alias("error")))
 
 
-def _date_cell(text: Column) -> Column:
+def readable(landed: DataFrame) -> DataFrame:
+    """The sheet rows of all files that could be decoded to their end."""
+    bad = unreadable_workbooks(landed).select("source_file").distinct()
+    return landed.filter(~F.col("table_name").isin(UNREADABLE, CLASH)) \
+        .join(bad, "source_file", "left_anti").select(*landed.columns)
+
+
+def _date_cell(text: Column, epoch: Column | None = None) -> Column:
     """A date cell: an Excel serial number, ``dd/MM/yyyy`` or ISO text."""
+    epoch = F.coalesce(epoch, F.lit(EXCEL_EPOCH)) if epoch is not None else F.lit(EXCEL_EPOCH)
     serial = text.try_cast("double")
     in_range = (serial >= 1) & (serial <= EXCEL_MAX_SERIAL)
     return F.coalesce(
-        F.when(in_range, F.date_add(F.lit(EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int"))),
+        F.when(in_range, F.date_add(epoch.cast("date"), F.floor(serial).cast("int"))),
         F.try_to_timestamp(text, F.lit("dd/MM/yyyy")).cast("date"),
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date"),
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast("date"))
 
 
-def typed_cell(cells: Column, name: str, dtype: T.DataType) -> Column:
+def typed_cell(cells: Column, name: str, dtype: T.DataType, epoch: Column | None = None) -> Column:
     """I7/I8 with a declared type: text keeps every character (``00123``
     stays), numbers accept a decimal comma, dates accept serials and text;
-    what does not parse is NULL (and reported by :func:`coercion_rejects`)."""
+    what does not parse is NULL here and kept by :func:`rejected_cells`."""
     raw = cells.getItem(name)
     if isinstance(dtype, T.DoubleType):
         return parse_decimal_comma(raw)
     if isinstance(dtype, T.DateType):
-        return _date_cell(raw)
+        return _date_cell(raw, epoch)
     return raw.cast(dtype)
 
 
+def rejected_cells(cells: Column, fields: Sequence[T.StructField], epoch: Column | None = None) -> Column:
+    """Map of the declared number and date columns whose text does not parse, with
+    that text."""
+    typed = [f for f in fields if isinstance(f.dataType, (T.DoubleType, T.DateType))]
+    if not typed:
+        return F.create_map().cast("map<string,string>")
+    entries = F.create_map(*[x for f in typed for x in (
+        F.lit(f.name), F.when(typed_cell(cells, f.name, f.dataType, epoch).isNull(), cells.getItem(f.name)))])
+    return F.map_filter(entries, lambda k, v: v.isNotNull())
+
+
 def sparse_row_kept(cells: Column, header_width: Column) -> Column:
     """At least ``max(width // 2, 1)`` non-empty cells."""
     filled = F.size(F.map_filter(cells, lambda k, v: v.isNotNull()))
     return filled >= F.greatest(F.floor(header_width / 2).cast("int"), F.lit(1))
 
 
-def conform_raw(landed: DataFrame, table: str) -> DataFrame:
+def conform_raw(landed: DataFrame, table: str, keys: Sequence[str] = ()) -> DataFrame:
     """Landed rows of one kind -> the typed raw table.
 
     Columns missing from a workbook are NULL (schema evolution), columns
-    not declared are kept as ``_extra_columns`` (a string map); a kind with
-    no rows is an empty DataFrame with the full declared schema."""
+    not declared are kept as ``_extra_columns`` and texts that do not parse as
+    ``_rejected`` (string maps); a kind with no rows is an empty DataFrame with
+    the full declared schema.  ``keys`` come from ``key=value`` folders of the
+    file's path, else from a column of that name in the sheet."""
     schema = RAW_SCHEMAS[table]
     declared = [f for f in schema.fields if not f.name.startswith("_")]
-    names = F.array(*[F.lit(f.name) for f in declared])
-    rows = landed.filter((F.col("table_name") == table) &
-                         sparse_row_kept(F.col("cells"), F.col("header_width")))
+    names = F.array(*[F.lit(n) for n in [*(f.name for f in declared), *keys]])
+    cells, epoch = F.col("cells"), F.col("date_epoch")
+    rows = readable(landed).filter((F.col("table_name") == table) &
+                                   sparse_row_kept(cells, F.col("header_width")))
+    base_name = F.substring_index("source_file", "/", -1)
     return rows.select(
-        *[typed_cell(F.col("cells"), f.name, f.dataType).alias(f.name) for f in declared],
+        *[typed_cell(cells, f.name, f.dataType, epoch).alias(f.name) for f in declared],
+        *[F.coalesce(F.col("keys").getItem(k), cells.getItem(k)).alias(k) for k in keys],
         F.col("source_file").alias("_source_file"),
-        period_from_filename(F.col("source_file")).alias("_reference_period"),
-        F.map_filter("cells", lambda k, v: ~F.array_contains(names, k)).alias("_extra_columns"))
+        period_from_filename(base_name).alias("_reference_period"),
+        F.map_filter("cells", lambda k, v: ~F.array_contains(names, k)).alias("_extra_columns"),
+        rejected_cells(cells, declared, epoch).alias("_rejected"))
 
 
-def land_raw_tables(landed: DataFrame) -> dict[str, DataFrame]:
+def land_raw_tables(landed: DataFrame, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
     """All seven raw tables from one landing pass (cache ``landed`` when
     several are written)."""
-    return {table: conform_raw(landed, table) for table in RAW_SCHEMAS}
+    return {table: conform_raw(landed, table, keys) for table in RAW_SCHEMAS}
 
 
 def coercion_rejects(landed: DataFrame) -> DataFrame:
     """I8 report: per file, sheet and declared numeric/date column, how many
     non-empty cells there are and how many parse.  ``all_parse`` is the
-    all-or-nothing decision the statement loader takes for a column."""
-    checks = []
-    for table, schema in RAW_SCHEMAS.items():
-        for f in schema.fields:
-            if isinstance(f.dataType, (T.DoubleType, T.DateType)):
-                checks.append((table, f.name, f.dataType))
-    parts = []
-    for table, name, dtype in checks:
-        cell = F.col("cells").getItem(name)
-        parts.append(
-            landed.filter(F.col("table_name") == table)
-            .groupBy("source_file", "sheet_name", "table_name")
-            .agg(F.count(cell).alias("n_values"),
-                 F.count(typed_cell(F.col("cells"), name, dtype)).alias("n_parsed"))
-            .withColumn("column_name", F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (out.filter(F.col("n_values") > 0)
+    all-or-nothing decision the statement loader takes for a column.  One
+    aggregate over the landed rows for all columns of all tables."""
+    cells, epoch, table = F.col("cells"), F.col("date_epoch"), F.col("table_name")
+    columns = sorted({(f.name, f.dataType.simpleString(), f.dataType) for schema in RAW_SCHEMAS.values()
+                      for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.DateType))},
+                     key=lambda c: c[:2])
+    declared = {(f.name, f.dataType.simpleString()): [t for t, s in RAW_SCHEMAS.items() if f in s.fields]
+                for s in RAW_SCHEMAS.values() for f in s.fields}
+    counts = [x for i, (name, kind, dtype) in enumerate(columns) for x in (
+        F.count(F.when(table.isin(*declared[name, kind]), cells.getItem(name))).alias(f"n{i}"),
+        F.count(F.when(table.isin(*declared[name, kind]), typed_cell(cells, name, dtype, epoch))).alias(f"p{i}"))]
+    agg = readable(landed).groupBy("source_file", "sheet_name", "table_name").agg(*counts)
+    rows = F.array(*[F.struct(F.col(f"n{i}").alias("n_values"), F.col(f"p{i}").alias("n_parsed"),
+                              F.lit(name).alias("column_name")) for i, (name, _, _) in enumerate(columns)])
+    return (agg.select("source_file", "sheet_name", "table_name", F.inline(rows))
+            .filter(F.col("n_values") > 0)
             .withColumn("all_parse", F.col("n_values") == F.col("n_parsed")))
 
 
+def rejects(raw: dict[str, DataFrame]) -> DataFrame:
+    """Every text that did not parse: table, file, column, text."""
+    parts = [df.select(F.lit(t).alias("table_name"), "_source_file",
+                       F.explode("_rejected").alias("column_name", "text"))
+             for t, df in raw.items() if "_rejected" in df.columns]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def landing_checks(raw: dict[str, DataFrame], landed: DataFrame | None = None) -> DataFrame | None:
+    """Losses of the landing as check results (``check_name, table_name,
+    column_name, failures``): texts that do not parse by column, files that cannot
+    be decoded, headers that clean to one name.  NULL without anything to check."""
+    parts = []
+    lost = rejects(raw)
+    if lost is not None:
+        parts.append(lost.groupBy("table_name", "column_name").agg(F.count("*").alias("failures"))
+                     .select(F.lit("text_does_not_parse").alias("check_name"), "table_name",
+                             "column_name", "failures"))
+    if landed is not None:
+        cells = F.col("cells")
+        parts += [
+            unreadable_workbooks(landed).groupBy("source_file").agg(F.count("*").alias("failures"))
+            .select(F.lit("unreadable_workbook").alias("check_name"), F.lit("landing").alias("table_name"),
+                    F.col("source_file").alias("column_name"), "failures"),
+            landed.filter(F.col("table_name") == CLASH)
+            .groupBy(cells.getItem("table").alias("table_name"), cells.getItem("column").alias("column_name"))
+            .agg(F.count("*").alias("failures"))
+            .select(F.lit("headers_clean_to_one_name").alias("check_name"), "table_name", "column_name",
+                    "failures")]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def column_coercion(cells: DataFrame, group: list[str], value: str = "value") -> DataFrame:
     """I8 on long-form text cells: per group, the count of non-NULL values,
     of values that parse as numbers (decimal comma accepted), and whether

@@ -772,3 +772,75 @@ ORACLE["i14_load_summary"] = with_base(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
     for t in ("raw_stock_positions", "raw_etf_positions", "raw_fixed_income",
               "raw_treasury_bonds", "raw_dividends", "raw_trades", "raw_stock_lending")))
+
+# what the checks find in rows that break them
+ORACLE["q12_failing_generic"] = """
+    WITH lots AS (SELECT l_orderkey AS ticker, l_linestatus AS period, l_returnflag AS kind,
+                         CASE WHEN l_tax > 0.01 THEN l_quantity END AS quantity, l_discount AS discount
+                  FROM lineitem)
+    SELECT 'not_null' AS check_name, 'lots' AS table_name, 'quantity' AS column_name,
+           count(*) - count(quantity) AS failures FROM lots
+    UNION ALL SELECT 'unique', 'lots', 'ticker', count(*) FROM
+      (SELECT ticker FROM lots GROUP BY ticker HAVING count(*) >= 2)
+    UNION ALL SELECT 'unique_combination_of_columns', 'lots', 'ticker,_reference_period', count(*) FROM
+      (SELECT ticker FROM lots GROUP BY ticker, period HAVING count(*) >= 2)
+    UNION ALL SELECT 'accepted_values', 'lots', 'asset_type', count(DISTINCT kind) FROM lots
+      WHERE kind <> 'R' AND kind <> 'A'
+    UNION ALL SELECT 'accepted_range', 'lots', 'quantity', count(*) FROM lots WHERE quantity <= 25
+    UNION ALL SELECT 'accepted_range', 'lots', 'discount', count(*) FROM lots WHERE discount < 0.05"""
+ORACLE["q13_failing_singular"] = """
+    WITH months AS (SELECT count(*) AS n FROM orders
+                    WHERE o_orderstatus = 'P' AND o_orderpriority NOT SIMILAR TO '[0-9]{4}-[0-9]{2}')
+    SELECT 'no_f_suffix_in_trades' AS check_name, 'stg_trades' AS table_name, 'ticker' AS column_name,
+           count(*) AS failures FROM lineitem WHERE l_linestatus = 'F'
+    UNION ALL SELECT 'no_negative_quantities', 'int_all_equity_positions', 'total_quantity', count(*)
+      FROM lineitem WHERE l_quantity < 10
+    UNION ALL SELECT 'portfolio_value_positive', 'fct_monthly_wallet', 'total_portfolio_value', count(*)
+      FROM orders WHERE o_totalprice < 100000
+    UNION ALL SELECT 'reference_period_format', t, '_reference_period', n
+      FROM months, (VALUES ('fct_monthly_wallet'), ('fct_stock_detail'), ('fct_dividend_summary')) AS m(t)
+    UNION ALL SELECT 'weighted_avg_price_consistent', 'int_weighted_avg_price', 'weighted_avg_price',
+      count(*) FROM lineitem WHERE l_quantity > 0 AND l_returnflag = 'R'"""
+
+# sheet rows built from line items (decimal comma, dash, sparse rows)
+LANDED_LOTS = f"""
+lots AS (
+  SELECT 'T' || l_partkey AS code, l_linenumber = 7 AS sparse, l_linestatus = 'F' AS dashed,
+         CASE WHEN l_returnflag <> 'N' THEN lpad(CAST(l_suppkey AS VARCHAR), 8, '0') END AS account,
+         l_quantity, round(l_extendedprice, 2) AS price, l_returnflag,
+         'posicao-' || year(l_shipdate) || '-' || {_WORD_LIST}[month(l_shipdate)] || '.xlsx' AS file,
+         year(l_shipdate) || '-' || CASE WHEN month(l_shipdate) = 3 THEN '00'
+                                         ELSE lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') END AS period
+  FROM lineitem
+)"""
+ORACLE["i5_conform_raw"] = f"""
+    WITH {LANDED_LOTS.strip()}
+    SELECT code AS Codigo_de_Negociacao, account AS Conta, CAST(NULL AS VARCHAR) AS Produto,
+           CAST(l_quantity AS DOUBLE) AS Quantidade, CASE WHEN NOT dashed THEN price END AS Preco_de_Fechamento,
+           file AS _source_file, period AS _reference_period, l_returnflag AS extra_setor,
+           CASE WHEN dashed THEN '-' END AS rejected_price
+    FROM lots WHERE NOT sparse"""
+ORACLE["i8_landing_checks"] = f"""
+    WITH {LANDED_LOTS.strip()}
+    SELECT 'text_does_not_parse' AS check_name, 'raw_stock_positions' AS table_name,
+           'Preco_de_Fechamento' AS column_name, count(*) AS failures
+    FROM lots WHERE NOT sparse AND dashed HAVING count(*) > 0"""
+ORACLE["i13_absent_kinds"] = """
+    SELECT t AS table_name, CASE WHEN t = 'raw_stock_positions' THEN
+             (SELECT count(*) FROM lineitem WHERE l_linenumber <> 7) ELSE 0 END AS row_count, c AS columns
+    FROM (VALUES ('raw_stock_positions', 13), ('raw_etf_positions', 13), ('raw_fixed_income', 15),
+                 ('raw_treasury_bonds', 14), ('raw_dividends', 11), ('raw_trades', 13),
+                 ('raw_stock_lending', 14)) AS kinds(t, c)"""
+ORACLE["t14_ordered_mart"] = with_base("""
+    SELECT _reference_period, product_name, index_type, maturity_date, CAST(row_number() OVER (
+             PARTITION BY _reference_period ORDER BY product_name, index_type, maturity_date) AS INTEGER)
+             AS place FROM fct_treasury_summary""")
+ORACLE["b6_absent_series"] = rounded(
+    "SELECT _reference_period, pct_return, 0::DOUBLE AS cdi_cumulative, 0::DOUBLE AS ibov_return, "
+    "0::DOUBLE AS divo11_return FROM fct_monthly_wallet", ["pct_return"])
+ORACLE["r19_empty_section"] = with_base("""
+    SELECT section, CASE WHEN section = 'tax_taxable_income' THEN
+             (SELECT count(DISTINCT ticker) + least(count(*), 1) FROM fct_dividend_summary
+              WHERE event_type ILIKE '%JCP%' OR event_type ILIKE '%Juros%') ELSE 0 END AS row_count
+    FROM (VALUES ('tax_exempt_income'), ('latest_treasury'), ('latest_kpis'), ('trades_listing'),
+                 ('tax_taxable_income')) AS s(section)""")

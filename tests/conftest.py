@@ -8,15 +8,15 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-from ledgerframe.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from ledgerframe.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", conf={"spark.sql.shuffle.partitions": "4",
-                                         "spark.driver.memory": "4g"})
+                                         "spark.driver.memory": "4g",
+                                         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lf-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="lf-ckpt-"))
     yield s
     s.stop()
 

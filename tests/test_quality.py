@@ -43,6 +43,24 @@ def test_clean_data_passes_gate(spark):
 
 def test_period_format_rejects_trailing_newline(spark):
     df = spark.createDataFrame([("2024-01\n",), ("2024-00",), (None,)], "_reference_period string")
-    got = Q.period_format({"fct_monthly_wallet": df, "fct_stock_detail": df,
-                           "fct_dividend_summary": df}).collect()
+    got = Q.singular_check({t: df for t in ("fct_monthly_wallet", "fct_stock_detail",
+                                            "fct_dividend_summary")}, "reference_period_format").collect()
     assert [r.failures for r in got] == [1, 1, 1]
+
+
+def test_clean_trades_are_checked_with_the_staged_ones(spark):
+    m = build_marts(raw_set(spark, raw_trades=[
+        trade("A", 1.0, None, 0.0, 0.0, "2024-01"), trade("B", 0.0, None, 0.0, None, "2024-01"),
+        trade("C", 0.0, None, 1.0, 1.0, "2024-01")]))
+    both = failures(Q.run_checks({t: m.tables()[t] for t in ("stg_trades", "int_trades_clean")}))
+    alone = failures(Q.run_checks({"int_trades_clean": m.tables()["int_trades_clean"]}))
+    assert {k: v for k, v in both.items() if k[1] == "int_trades_clean"} == alone
+    assert alone[("not_null", "int_trades_clean", "avg_buy_price")] == 2
+
+
+def test_unique_checks_of_one_key_share_a_pass(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
+    out = Q.batched_checks({"t": df}, declared=[Q.Check("unique", "t", ("k",)),
+                                                Q.Check("unique_combination", "t", ("k",))])
+    assert failures(out) == {("unique", "t", "k"): 1, ("unique_combination_of_columns", "t", "k"): 2}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1

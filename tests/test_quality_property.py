@@ -18,11 +18,11 @@ vals = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "
 @given(vals)
 def test_generic_check_counts(spark, rows):
     df = spark.createDataFrame(rows, "k string, n int")
-    got = {r.check_name: r.failures for r in (
-        Q.not_null(df, "t", ["k"]).unionByName(Q.unique(df, "t", "k"))
-        .unionByName(Q.unique_combination(df, "t", ["k", "n"]))
-        .unionByName(Q.accepted_values(df, "t", "k", ["a", "b"]))
-        .unionByName(Q.accepted_range(df, "t", "n", 0, inclusive=False))).collect()}
+    declared = [Q.Check("not_null", "t", ("k",)), Q.Check("unique", "t", ("k",)),
+                Q.Check("unique_combination", "t", ("k", "n")),
+                Q.Check("accepted_values", "t", ("k",), ("a", "b")),
+                Q.Check("accepted_range", "t", ("n",), min_value=0, inclusive=False)]
+    got = {r.check_name: r.failures for r in Q.batched_checks({"t": df}, declared=declared).collect()}
     ks = [k for k, _ in rows]
     assert got["not_null"] == sum(k is None for k in ks)
     assert got["unique"] == sum(1 for k, c in Counter(k for k in ks if k is not None).items() if c > 1)

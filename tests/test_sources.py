@@ -42,3 +42,24 @@ def test_rate_json_lines_landing(spark, tmp_dir):
         f.write('{"data": "02/01/2024", "valor": "0.04"}\n{"data": "03/01/2024", "valor": "0.05"}\n')
     rows = series.read_landed_rates(spark, p, json_array=False).collect()
     assert [r.rate_pct for r in rows] == [0.04, 0.05]
+
+
+def test_csv_rejects_and_owner_column(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "pos")
+    os.makedirs(d)
+    with open(os.path.join(d, "rel-2024-junho.csv"), "w") as f:
+        f.write('owner,Codigo_de_Negociacao,Valor_Atualizado\nana,PETR4,"1.234,56"\nbob,VALE3,"5,5"\n')
+    rows = landing.read_raw_table(spark, d, "raw_stock_positions", "csv", keys=["owner"]).collect()
+    assert {r.owner: (r.Valor_Atualizado, r._rejected) for r in rows} \
+        == {"ana": (None, {"Valor_Atualizado": "1.234,56"}), "bob": (5.5, {})}
+    assert all(r._extra_columns == {} for r in rows)
+
+
+def test_monthly_prices_then_daily_ones(spark):
+    monthly = spark.sql("select * from values ('A', date'2024-01-31', 1.0D), ('B', date'2024-01-31', null)"
+                        " as t(symbol, date, close)")
+    daily = spark.sql("select * from values ('A', date'2024-01-02', 9.0D), ('B', date'2024-01-02', 2.0D),"
+                      " ('C', date'2024-01-03', 3.0D) as t(symbol, date, close)")
+    got = sorted(tuple(r) for r in series.monthly_then_daily(monthly, daily).collect())
+    assert [(s, c) for s, _, c in got] == [("A", 1.0), ("B", 2.0), ("C", 3.0)]
+    assert series.monthly_then_daily(None, daily) is daily

@@ -1,4 +1,4 @@
-"""End-to-end run on generated workbooks, and the incremental stream."""
+"""End-to-end run on generated workbooks, and incremental landing."""
 
 import os
 
@@ -6,9 +6,11 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from ledgerframe.operators.quality import QualityGateError
 from ledgerframe.plans import statement_run
 from ledgerframe.sinks import read_table
-from ledgerframe.streaming import start_statement_stream
+from ledgerframe.sources import workbook as WB
+from ledgerframe.sources.incremental import land_changes
 from test_workbook_landing import _june, _march, _plain
 from xlsx_writer import write_xlsx
 
@@ -28,43 +30,101 @@ def test_full_run_writes_marts_and_report(spark, tmp_dir):
     # partition pruning: the mart is stored by period
     assert os.path.isdir(f"{out}/marts/fct_stock_detail/_reference_period=2024-06")
     assert os.path.isdir(f"{out}/report/latest_kpis_csv")
-    rejects = spark.read.parquet(f"{out}/coercion_rejects").collect()
-    assert [(r.table_name, r.column_name) for r in rejects] == [("raw_stock_positions",
-                                                                 "Valor_Atualizado")]
-    with pytest.raises(ValueError, match="do not parse"):
-        statement_run.run_workbooks(spark, src, os.path.join(tmp_dir, "strict"), strict=True)
+    rejects = spark.read.parquet(f"{out}/rejects").collect()
+    assert sorted((r.table_name, r.column_name, r.text) for r in rejects) == [
+        ("raw_stock_positions", "Valor_Atualizado", "-"), ("raw_stock_positions", "Valor_Atualizado", "1.234,56")]
+    with pytest.raises(QualityGateError, match="text_does_not_parse raw_stock_positions.Valor_Atualizado: 2"):
+        statement_run.run_workbooks(spark, src, os.path.join(tmp_dir, "gated"))
+    assert not os.path.exists(os.path.join(tmp_dir, "gated", "marts"))
     failing = {r.check_name for r in res.checks.filter(F.col("failures") > 0).collect()}
     assert "reference_period_format" in failing          # "extrato.xlsx" is not YYYY-MM
 
 
-def test_stream_lands_new_files_once(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "in")
+FIXED = ["Produto", "Instituição", "Emissor", "Código", "Vencimento", "Valor Atualizado CURVA"]
+
+
+def test_lost_values_stop_the_run_and_stay_visible_without_the_gate(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
     os.makedirs(src)
-    _june(src)
-    out, ckpt = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ckpt")
-    q = start_statement_stream(spark, src, out, ckpt, once=True)
-    q.awaitTermination(120)
-    assert spark.read.parquet(f"{out}/raw_stock_positions").count() == 2
-    _march(src)
-    q = start_statement_stream(spark, src, out, ckpt, once=True)
-    q.awaitTermination(120)
-    got = spark.read.parquet(f"{out}/raw_stock_positions")
-    assert {r._reference_period for r in got.collect()} == {"2024-06", "2024-00"}
-    assert got.count() == 4
-    # a second statement for June (another file) keeps the first one's rows
-    write_xlsx(os.path.join(src, "outra-corretora-2024-junho.xlsx"), {
-        "Posição - Ações": [["Código de Negociação", "Quantidade"], ["WEGE3", 1]]})
-    q = start_statement_stream(spark, src, out, ckpt, once=True)
-    q.awaitTermination(120)
-    june = spark.read.parquet(f"{out}/raw_stock_positions").filter("_reference_period = '2024-06'")
-    assert sorted(r.Codigo_de_Negociacao for r in june.collect()) == ["PETR4", "VALE3", "WEGE3"]
-    # a corrupt file is reported, the stream goes on
-    with open(os.path.join(src, "quebrado-2024-agosto.xlsx"), "wb") as f:
-        f.write(b"not a zip")
-    q = start_statement_stream(spark, src, out, ckpt, once=True)
-    q.awaitTermination(120)
-    bad = spark.read.parquet(f"{out}/_unreadable_workbooks").collect()
-    assert [r.source_file for r in bad] == ["quebrado-2024-agosto.xlsx"]
+    write_xlsx(os.path.join(src, "rel-2024-junho.xlsx"), {"Posição - Renda Fixa": [
+        FIXED, ["CDB", "XP", "E", "C", "Liquidez diária", "100,00"], ["CDB", "XP", "E", "C", "A definir", 200.0],
+        ["LCI", "XP", "E", "C", "01/06/2030", "1.234,56"]]})
+    with pytest.raises(QualityGateError, match="Valor_Atualizado_CURVA: 1"):
+        statement_run.run_workbooks(spark, src, out)
+    statement_run.run_workbooks(spark, src, out, gate=False)
+    rows = read_table(spark, f"{out}/marts", "fct_fixed_income_summary").collect()
+    assert sorted((r.product_name, r.total_curva_value) for r in rows if r.maturity_date is None) \
+        == [("CDB", 100.0), ("CDB", 200.0)]
+    raw = read_table(spark, f"{out}/raw", "raw_fixed_income").collect()
+    assert {k: v for r in raw for k, v in r._rejected.items() if k != "Vencimento"} \
+        == {"Valor_Atualizado_CURVA": "1.234,56"}
+    checks = {r.check_name for r in spark.read.parquet(f"{out}/checks").collect() if r.failures}
+    assert "text_does_not_parse" in checks
+
+
+def test_a_bad_intermediate_leaves_the_marts_alone(spark, tmp_dir):
+    from fixtures import pos, raw_set, trade
+
+    good = raw_set(spark, raw_stock_positions=[pos("A", 1, 1.0, 1.0, "2024-01")],
+                   raw_trades=[trade("A", 1.0, 1.0, 0.0, 0.0, "2024-01")])
+    bad = {**good, "raw_stock_positions": raw_set(
+        spark, raw_stock_positions=[pos("A", -5, 1.0, 1.0, "2024-02")])["raw_stock_positions"]}
+    out = os.path.join(tmp_dir, "out")
+    statement_run.run(spark, good, out)
+    with pytest.raises(QualityGateError, match="no_negative_quantities"):
+        statement_run.run(spark, bad, out)
+    assert {r._reference_period for r in read_table(spark, f"{out}/marts", "fct_stock_detail").collect()} \
+        == {"2024-01"}
+
+
+def _positions(folder, name, *rows):
+    os.makedirs(folder, exist_ok=True)
+    return write_xlsx(os.path.join(folder, name), {"Posição - Ações": [
+        ["Código de Negociação", "Quantidade", "Preço de Fechamento", "Valor Atualizado"], *rows]})
+
+
+def test_incremental_landing_equals_a_full_reload(spark, tmp_dir):
+    src, state = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "state")
+
+    def same():
+        files = WB.list_workbooks(spark, src)
+        got = land_changes(spark, files, state)
+        key = lambda df: sorted(map(str, df.select("source_file", "table_name", "row_index",
+                                                   "cells").collect()))
+        assert key(got) == key(WB.land_workbooks(files))
+        return got
+
+    june = _positions(src, "a-2024-junho.xlsx", ["PETR4", 1, 1, 1], ["VALE3", 2, 1, 2])
+    same()
+    old = _positions(src, "b-2024-julho.xlsx", ["WEGE3", 3, 1, 3])
+    os.utime(old, (1_000_000_000, 1_000_000_000))                 # far older than the newest file
+    assert same().count() == 3
+    _positions(src, "a-2024-junho.xlsx", ["PETR4", 99, 1, 99])      # sent again, a row less
+    assert same().count() == 2
+    write_xlsx(june, {"Proventos Recebidos": [["Produto"], ["X"]]})  # a sheet is gone
+    same()
+    os.remove(old)
+    same()
+    same()                                                       # nothing new: nothing decoded
+    assert not [d for d in os.listdir(f"{state}/rows/batch=5") if d.startswith("table_name=")]
+
+
+def test_two_owners_from_folders_equal_two_single_runs(spark, tmp_dir, capsys):
+    from ledgerframe.__main__ import main
+
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    for owner, q in (("ana", 10), ("bob", 3)):
+        _positions(f"{src}/owner={owner}", "rel-2024-junho.xlsx", ["PETR4", q, 2, 2 * q])
+    assert main(["run", "--workbooks", src, "--out", out, "--keys", "owner"]) == 0
+    both = read_table(spark, f"{out}/marts", "fct_stock_detail")
+    assert {r._source_file for r in read_table(spark, f"{out}/raw", "raw_stock_positions").collect()} \
+        == {"owner=ana/rel-2024-junho.xlsx", "owner=bob/rel-2024-junho.xlsx"}
+    for owner in ("ana", "bob"):
+        one = os.path.join(tmp_dir, f"one-{owner}")
+        statement_run.run_workbooks(spark, f"{src}/owner={owner}", one)
+        want = read_table(spark, f"{one}/marts", "fct_stock_detail")
+        got = both.filter(F.col("owner") == owner).select(*want.columns)
+        assert list(map(str, got.collect())) == list(map(str, want.collect()))
 
 
 def test_full_run_with_owner_keys(spark, tmp_dir):

@@ -208,3 +208,84 @@ def test_date_styled_cells_and_1904_workbooks(spark, tmp_dir):
     raw = WB.land_raw_tables(WB.land_workbooks(WB.list_workbooks(spark, tmp_dir)))
     got = {r.Produto: str(r.Pagamento) for r in raw["raw_dividends"].collect()}
     assert got == {"ITSA4": "2024-07-01", "BBAS3": "2024-07-01"}
+
+
+def test_headers_that_clean_to_one_name_keep_both_columns(spark, tmp_dir):
+    write_xlsx(os.path.join(tmp_dir, "a-2024-julho.xlsx"), {"Posição - Ações": [
+        ["Código de Negociação", "Quantidade", "(Quantidade)"], ["PETR4", 10, 50], ["VALE3", None, 70]]})
+    landed = WB.land_workbooks(WB.list_workbooks(spark, tmp_dir)).cache()
+    raw = WB.land_raw_tables(landed)
+    rows = {r.Codigo_de_Negociacao: r for r in raw["raw_stock_positions"].collect()}
+    assert rows["PETR4"].Quantidade == 10.0 and rows["VALE3"].Quantidade is None
+    assert {t: r._extra_columns for t, r in rows.items()} \
+        == {"PETR4": {"Quantidade__2": "50"}, "VALE3": {"Quantidade__2": "70"}}
+    checks = [tuple(r) for r in WB.landing_checks(raw, landed).collect()]
+    assert checks == [("headers_clean_to_one_name", "raw_stock_positions", "Quantidade", 1)]
+
+
+def _damaged(path, part="xl/worksheets/sheet1.xml"):
+    """Overwrite bytes inside the compressed stream of one part."""
+    import zipfile
+
+    with zipfile.ZipFile(path) as z:
+        info = z.getinfo(part)
+    with open(path, "r+b") as f:
+        f.seek(info.header_offset + 30 + len(part) + info.compress_size // 2)
+        f.write(b"\xff" * 40)
+
+
+def test_any_fault_of_a_file_is_reported_and_none_of_its_rows_stay(spark, tmp_dir, monkeypatch):
+    import zipfile
+
+    monkeypatch.setattr(WB, "CHUNK_ROWS", 5)
+    rows = [[f"T{i}", i, i, 10 * i] for i in range(1, 4000)]
+    head = ["Código de Negociação", "Quantidade", "Preço de Fechamento", "Valor Atualizado"]
+    for name in ("good", "stream"):
+        write_xlsx(os.path.join(tmp_dir, f"{name}-2024-julho.xlsx"), {"Posição - Ações": [head, *rows]})
+    _damaged(os.path.join(tmp_dir, "stream-2024-julho.xlsx"))
+    with zipfile.ZipFile(os.path.join(tmp_dir, "empty-2024-julho.xlsx"), "w") as z:
+        z.writestr("x", "no workbook")
+    secret = write_xlsx(os.path.join(tmp_dir, "secret-2024-julho.xlsx"), {"Posição - Ações": [head, *rows]})
+    raw = bytearray(open(secret, "rb").read())
+    for sign, at in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):     # the encryption bit of every entry
+        start = raw.find(sign)
+        while start >= 0:
+            raw[start + at] |= 1
+            start = raw.find(sign, start + 1)
+    open(secret, "wb").write(raw)
+    landed = WB.land_workbooks(WB.list_workbooks(spark, tmp_dir)).cache()
+    bad = {r.source_file.split("-")[0] for r in WB.unreadable_workbooks(landed).collect()}
+    assert bad == {"stream", "empty", "secret"}
+    got = WB.land_raw_tables(landed)["raw_stock_positions"]
+    assert {r._source_file for r in got.select("_source_file").distinct().collect()} == {"good-2024-julho.xlsx"}
+    assert got.count() == len(rows)
+
+
+def test_a_date_beyond_the_calendar_is_rejected_text_not_a_fault(spark, tmp_dir):
+    from xlsx_writer import ExcelDate
+
+    write_xlsx(os.path.join(tmp_dir, "a-2024-julho.xlsx"), {"Proventos Recebidos": [
+        ["Produto", "Pagamento", "Tipo de Evento"], ["ITSA4", ExcelDate(1e12), "Dividendo"]]})
+    row = WB.land_raw_tables(WB.land_workbooks(WB.list_workbooks(spark, tmp_dir)))["raw_dividends"].collect()[0]
+    assert row.Pagamento is None and row._rejected == {"Pagamento": "1000000000000.0"}
+
+
+def test_unstyled_serials_follow_the_workbooks_epoch(spark, tmp_dir):
+    hdr = ["Produto", "Pagamento", "Tipo de Evento"]
+    write_xlsx(os.path.join(tmp_dir, "a-2024-julho.xlsx"),
+               {"Proventos Recebidos": [hdr, ["ITSA4", 44012, "Dividendo"]]}, date1904=True)
+    row = WB.land_raw_tables(WB.land_workbooks(WB.list_workbooks(spark, tmp_dir)))["raw_dividends"].collect()[0]
+    assert str(row.Pagamento) == "2024-07-01"
+
+
+def test_a_large_sheet_is_parsed_row_by_row(tmp_dir):
+    import tracemalloc
+
+    path = write_xlsx(os.path.join(tmp_dir, "big-2024-julho.xlsx"), {"negociações": [
+        TRADE_HEADER, *([f"T{i}", "01/06/2024", "30/06/2024", "XP", i, 0, i, 1.5, 0] for i in range(30_000))]})
+    content = open(path, "rb").read()
+    tracemalloc.start()
+    n = sum(1 for _ in WB.parse_workbook("big-2024-julho.xlsx", content))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 30_000 and peak < 8_000_000
