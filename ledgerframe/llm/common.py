@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,19 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the jobs run inside, so that rows
+    with long texts don't add up to large batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)

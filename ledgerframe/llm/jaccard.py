@@ -15,12 +15,13 @@ feature, which always has enough.  A set that can link into the next band gives
 signatures there too.  So every link shares a non-empty signature, and no
 partition of absent features ever forms a group.
 
-*Links.*  Equal sets are one class from the start.  Classes that share a signature
-are compared with a centre of their group; for groups that are not yet one
-component, other centres follow, then all pairs of classes in different
-components, in blocks.  A pair is first tested by the distance of two histograms
-of shingles (a lower bound of the sets' difference), then exactly on the texts.
-Components of links are found by alternating large-star and small-star steps.
+*Links.*  Equal sets are one class from the start.  Of classes that share a
+signature the smallest is the centre; groups with one centre are one group, and
+every class is compared with its centres.  For groups that are not one component
+then, other centres follow where the group is large, and last the pairs of classes
+in different components, in blocks.  A pair is first tested by the distance of two
+histograms of shingles (a lower bound of the sets' difference), then exactly on the
+texts.  Components of links are found by large-star and small-star steps.
 
 Rows travel in blocks (arrays in binary columns); equal classes of a task are
 merged before the shuffle; the shingles called frequent are found in a bounded
@@ -40,18 +41,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, importable, map_arrow, row_struct, stored, text_or_empty, unpack
+from .common import arrow_rows, col, importable, map_arrow, row_struct, stored, text_or_empty, unpack
 from .textops import FOLDED, Buffer, RangeHash, mixed, slices
 
 SHINGLE = 5
-BINS = 128
 #: Text bytes behind one bucket of signatures, and buckets at most.
-BUCKET_BYTES, MAX_BUCKETS = 24_000_000, 65_536
+BUCKET_BYTES, MAX_BUCKETS = 12_000_000, 65_536
 #: Signatures gathered by a task before they are sent.
-GATHERED = 3_000_000
+GATHERED = 600_000
 SAMPLE_BYTES, FREQUENT = 6_000_000, 0.002
-#: Rounds of centres before all pairs between components, and classes in a block of those.
-CENTRES, BLOCK = 2, 2048
+#: Rounds of other centres for groups of LARGE classes; classes in a block of pairs.
+CENTRES, LARGE, BLOCK = 1, 64, 512
 
 
 # -- sets -------------------------------------------------------------------------
@@ -98,9 +98,29 @@ def classes(of: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return size, name.view(np.int64)
 
 
-def histograms(of: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
-    counts = np.bincount(of * BINS + (key >> np.uint64(57)).astype(np.int64), minlength=n * BINS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BINS)
+def histograms(of: np.ndarray, key: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Counts of each set's shingles in bins by their leading bits, four bits each; a
+    set has as many bins as the power of two below its size.  Empty if a count does
+    not fit."""
+    log = np.maximum(np.frexp(np.maximum(size, 1).astype(np.float64))[1] - 1, 1)
+    bins = 1 << log
+    offset = np.cumsum(bins) - bins
+    counts = np.bincount(offset[of] + (key >> (64 - log).astype(np.uint64)[of]).astype(np.int64),
+                         minlength=int(bins.sum()))
+    fits = np.maximum.reduceat(counts, offset) < 16 if len(bins) else np.zeros(0, bool)
+    packed = (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+    return [packed[o // 2:(o + n) // 2] if ok else b""
+            for o, n, ok in zip(offset.tolist(), bins.tolist(), fits.tolist(), strict=True)]
+
+
+def bin_rows(packed: list[bytes], bins: int) -> np.ndarray:
+    """Histograms of equal length as rows of ``bins`` counts (half of theirs: folded)."""
+    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+    out = np.empty((len(packed), 2 * raw.shape[1]), np.int16)
+    out[:, ::2], out[:, 1::2] = raw & 15, raw >> 4
+    while out.shape[1] > bins:
+        out = out[:, ::2] + out[:, 1::2]
+    return out
 
 
 def most_different(s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -162,9 +182,9 @@ def signatures(of: np.ndarray, key: np.ndarray, size: np.ndarray, frequent: np.n
 
 
 # -- blocks ---------------------------------------------------------------------------------
-DOC = np.dtype([("id", "<i8"), ("xx", "<i8"), ("n", "<i4"), ("class", "<i8"), ("hist", "u1", BINS)])
+DOC = np.dtype([("id", "<i8"), ("xx", "<i8"), ("n", "<i4"), ("class", "<i8"), ("bytes", "<i4")])
 SIG = np.dtype([("sig", "<u4"), ("class", "<i8")])
-MEMBER = np.dtype([("gid", "<i8"), ("class", "<i8")])
+MEMBER = np.dtype([("centre", "<i8"), ("class", "<i8")])
 BLOCKS = "kind string, bucket int, block binary"
 
 
@@ -174,10 +194,21 @@ def block_batch(rows: list[tuple]) -> pa.RecordBatch:
                                        pa.array(block, pa.binary())], names=["kind", "bucket", "block"])
 
 
-def by_bucket(kind: str, a: np.ndarray, bucket: np.ndarray) -> list[tuple]:
+def by_bucket(bucket: np.ndarray):
+    """(bucket, places) of each."""
     order = np.argsort(bucket, kind="stable")
     cuts = np.nonzero(np.diff(bucket[order]))[0] + 1
-    return [(kind, int(bucket[at[0]]), a[at].tobytes()) for at in np.split(order, cuts) if len(at)]
+    return [(int(bucket[at[0]]), at) for at in np.split(order, cuts) if len(at)]
+
+
+def doc_block(docs: np.ndarray, hists: list[bytes]) -> bytes:
+    return len(docs).to_bytes(4, "little") + docs.tobytes() + b"".join(hists)
+
+
+def read_doc_block(block: bytes) -> tuple[np.ndarray, list[bytes]]:
+    docs = np.frombuffer(block, DOC, int.from_bytes(block[:4], "little"), 4)
+    ends = 4 + docs.nbytes + np.cumsum(docs["bytes"].astype(np.int64))
+    return docs, [block[e - n:e] for e, n in zip(ends.tolist(), docs["bytes"].tolist(), strict=True)]
 
 
 def find_signatures(buckets: int, frequent: np.ndarray):
@@ -190,20 +221,23 @@ def find_signatures(buckets: int, frequent: np.ndarray):
         new[1:] = (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])
         out = np.empty(int(new.sum()), SIG)
         out["sig"], out["class"] = sig[new] >> np.uint64(32), name[new]
-        return by_bucket("sig", out, ((sig[new] & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32))
+        bucket = ((sig[new] & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32)
+        return [("sig", b, out[at].tobytes()) for b, at in by_bucket(bucket)]
 
     def run(batches):
         sigs, names, n = [], [], 0
         for b, texts in slices(batches):
             of, key = shingle_sets(texts)
             size, name = classes(of, key, len(texts))
-            docs = np.empty(len(texts), DOC)
-            docs["id"], docs["xx"] = b.column("id").to_numpy(), b.column("xx").to_numpy()
-            docs["n"], docs["class"], docs["hist"] = size, name, histograms(of, key, len(texts))
-            yield block_batch(by_bucket("doc", docs, (docs["xx"] % buckets).astype(np.int32)))
             _, first = np.unique(name, return_index=True)  # equal sets sign once
             sign = np.zeros(len(texts), bool)
-            sign[first] = True
+            sign[first] = size[first] > 0
+            hists = [h if s else b"" for h, s in zip(histograms(of, key, size), sign.tolist(), strict=True)]
+            docs = np.empty(len(texts), DOC)
+            docs["id"], docs["xx"] = b.column("id").to_numpy(), b.column("xx").to_numpy()
+            docs["n"], docs["class"], docs["bytes"] = size, name, [len(h) for h in hists]
+            yield block_batch([("doc", bucket, doc_block(docs[at], [hists[i] for i in at]))
+                               for bucket, at in by_bucket((docs["xx"] % buckets).astype(np.int32))])
             of, key = of[sign[of]], key[sign[of]]
             owner, sig = signatures(of, key, np.where(sign, size, 0), frequent)
             sigs.append(sig)
@@ -219,8 +253,8 @@ def find_signatures(buckets: int, frequent: np.ndarray):
 
 
 def form_groups(table: pa.Table) -> pa.Table:
-    """Different groups of two or more classes with a common signature; document
-    blocks pass through.  A group is named by its members."""
+    """(centre, class) of all classes that share a signature with a smaller one, the
+    smallest being the centre; document blocks pass through."""
     rows, blocks = [], []
     for kind, bucket, block in zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "block")),
                                    strict=True):
@@ -230,45 +264,59 @@ def form_groups(table: pa.Table) -> pa.Table:
             blocks.append(np.frombuffer(block, SIG))
     if blocks:
         a = np.concatenate(blocks)
-        sig, name = a["sig"], a["class"]
-        order = np.lexsort((name, sig))
-        sig, name = sig[order], name[order]
-        new = np.ones(len(sig), bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])
-        sig, name = sig[new], name[new]
+        order = np.lexsort((a["class"], a["sig"]))
+        sig, name = a["sig"][order], a["class"][order]
         opens = np.ones(len(sig), bool)
         opens[1:] = sig[1:] != sig[:-1]
-        group = np.cumsum(opens) - 1
-        count = np.bincount(group)
-        several = count[group] > 1
-        group, name = group[several], name[several]
-        if len(group):
-            _, group = np.unique(group, return_inverse=True)
-            n = int(group[-1]) + 1
-            gid = mixed(summed(mixed(name.view(np.uint64)), group, n)
-                        + np.bincount(group).astype(np.uint64)).view(np.int64)
-            _, first = np.unique(gid, return_index=True)
-            once = np.zeros(n, bool)
-            once[first] = True
-            out = np.empty(int(once[group].sum()), MEMBER)
-            out["gid"], out["class"] = gid[group][once[group]], name[once[group]]
-            rows.append(("group", 0, out.tobytes()))
+        centre = name[np.nonzero(opens)[0]][np.cumsum(opens) - 1]
+        other = name != centre
+        out = np.empty(int(other.sum()), MEMBER)
+        out["centre"], out["class"] = centre[other], name[other]
+        rows.append(("group", 0, np.unique(out).tobytes()))
     return pa.Table.from_batches([block_batch(rows)])
 
 
-def expanded(blocks: DataFrame, kind: str, dtype: np.dtype, schema: str) -> DataFrame:
+def doc_rows_of(blocks: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for block in b.column("block").to_pylist():
-                a = np.frombuffer(block, dtype)
+                docs, hists = read_doc_block(block)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(map(bytes, a[k])), pa.binary()) if a[k].ndim > 1
-                     else pa.array(np.ascontiguousarray(a[k])) for k in dtype.names], names=list(dtype.names))
+                    [*(pa.array(np.ascontiguousarray(docs[k])) for k in ("id", "xx", "n", "class")),
+                     pa.array(hists, pa.binary())], names=["id", "xx", "n", "class", "hist"])
 
-    return map_arrow(blocks.where(F.col("kind") == kind).select("block"), run, schema)
+    return map_arrow(blocks.where("kind = 'doc'").select("block"), run,
+                     "id long, xx long, n int, class long, hist binary")
+
+
+def members_of(blocks: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for block in b.column("block").to_pylist():
+                a = np.frombuffer(block, MEMBER)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a[k])) for k in MEMBER.names],
+                                                 names=list(MEMBER.names))
+
+    return map_arrow(blocks.where("kind = 'group'").select("block"), run, "centre long, class long").distinct()
 
 
 # -- pairs -------------------------------------------------------------------------------------
+def close(hist_a: list[bytes], hist_b: list[bytes], n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether each pair's histograms leave a link possible."""
+    out = np.ones(len(hist_a), bool)
+    most = most_different(n_a.astype(np.int64), n_b.astype(np.int64))
+    size = np.array([(len(x), len(y)) for x, y in zip(hist_a, hist_b, strict=True)], np.int64).reshape(-1, 2)
+    for x, y in np.unique(size, axis=0).tolist():
+        if x and y:
+            every = np.nonzero((size[:, 0] == x) & (size[:, 1] == y))[0]
+            step = max(1, 4_000_000 // max(x, y))
+            for at in (every[lo:lo + step] for lo in range(0, len(every), step)):
+                bins = 2 * min(x, y)
+                a, b = bin_rows([hist_a[i] for i in at], bins), bin_rows([hist_b[i] for i in at], bins)
+                out[at] = np.abs(a - b).sum(axis=1) <= most[at]
+    return out
+
+
 def near_enough(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes whose sizes and histograms leave a link possible."""
     left = sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("hist").alias("h_a"))
@@ -278,13 +326,9 @@ def near_enough(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            h = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
-                 for c in ("h_a", "h_b")]
-            most = most_different(*(b.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b")))
-            ok = np.nonzero(np.abs(h[0] - h[1]).sum(axis=1) <= most)[0]
-            yield b.select(["a", "b"]).take(pa.array(ok))
+            ok = close(*(b.column(c).to_pylist() for c in ("h_a", "h_b")),
+                       *(b.column(c).to_numpy() for c in ("n_a", "n_b")))
+            yield b.select(["a", "b"]).take(pa.array(np.nonzero(ok)[0]))
 
     return map_arrow(sized.select("a", "b", "n_a", "n_b", "h_a", "h_b"), run, "a long, b long")
 
@@ -324,50 +368,68 @@ def check_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def pairs_between(table: pa.Table) -> pa.Table:
     """Pairs of classes of one group, in different components, that sizes and
-    histograms leave possible.  Several groups come at once; of a large one, two
+    histograms leave possible; a pair that several groups hold is given by the one
+    with the smallest centre.  Several groups come at once; of a large one, two
     blocks."""
-    gid, name, comp, n, block, low, high = (table.column(c).to_numpy() for c in (
-        "gid", "class", "comp", "n", "block", "low", "high"))
-    hist = np.frombuffer(b"".join(table.column("hist").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
-    order = np.lexsort((name, gid))
-    cuts = np.nonzero(np.diff(gid[order]))[0] + 1
-    a, b = [], []
-    for at in np.split(order, cuts):
-        for i, x in enumerate(at[:-1]):
-            rest = at[i + 1:]
-            rest = rest[(comp[rest] != comp[x]) & (4 * n[rest] >= 3 * n[x]) & (4 * n[x] >= 3 * n[rest])]
-            if low[x] != high[x]:  # pairs within a block have their own task
-                rest = rest[block[rest] != block[x]]
-            if len(rest):
-                rest = rest[np.abs(hist[rest] - hist[x]).sum(axis=1)
-                            <= most_different(n[rest].astype(np.int64), n[x])]
-                a += [name[x]] * len(rest)
-                b += name[rest].tolist()
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    centre, name, comp, n, block, low, high = (table.column(c).to_numpy() for c in (
+        "centre", "class", "comp", "n", "block", "low", "high"))
+    hist, centres = table.column("hist").to_pylist(), table.column("centres").to_pylist()
+    order = np.lexsort((n, centre))
+    found = [np.zeros((0, 2), np.int64)]
+    for at in np.split(order, np.nonzero(np.diff(centre[order]))[0] + 1):
+        stop = np.searchsorted(n[at], n[at] * 4 // 3, "right")  # sizes that can link, in order of size
+        for lo in range(0, len(at), 256):
+            rows = np.arange(lo, min(lo + 256, len(at)))
+            i = np.repeat(rows, stop[rows] - rows)
+            j = i + np.arange(len(i)) - np.searchsorted(i, i)
+            x, y = at[i], at[j]
+            on = (comp[x] != comp[y]) & ((low[x] == high[x]) | (block[x] != block[y]))
+            x, y = x[on], y[on]
+            for k in range(0, len(x), 50_000):
+                a, b = x[k:k + 50_000], y[k:k + 50_000]
+                ok = close([hist[i] for i in a], [hist[i] for i in b], n[a], n[b])
+                a, b = a[ok], b[ok]
+                own = np.array([min(set(centres[i]).intersection(centres[j])) == c for i, j, c in zip(
+                    a.tolist(), b.tolist(), centre[a].tolist(), strict=True)], bool)
+                a, b = name[a[own]], name[b[own]]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
 # -- components ----------------------------------------------------------------------------------
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(class, comp) of every linked class; comp is the smallest class reached.
-    Large-star and small-star steps until nothing changes."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    Large-star and small-star steps until all edges form stars.  ``known``:
+    components found before, of other links; only theirs are joined then."""
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if known is not None:
+        for end in ("u", "v"):
+            edges = edges.join(known.select(F.col("class").alias(end), "comp"), end, "left") \
+                .withColumn(end, F.coalesce("comp", end)).select("u", "v")
+    edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                    .where("u <> v").distinct(), "links")
-    seen = None
     while True:
+        ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            edges.select("v", F.lit(0), F.lit(1)))
+        mixed_ends = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")) \
+            .where((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))
+        if not mixed_ends.limit(1).count():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = stored(small, "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
-    return edges.select(F.col("u").alias("class"), F.col("v").alias("comp")) \
-        .unionByName(edges.select(F.col("v").alias("class"), F.col("v").alias("comp"))).distinct()
+    stars = edges.select(F.col("u").alias("class"), F.col("v").alias("comp"))
+    if known is not None:  # a class of a known component follows that
+        moved = known.join(stars.select(F.col("class").alias("comp"), F.col("comp").alias("to")), "comp", "left") \
+            .select("class", F.coalesce("to", "comp").alias("comp"))
+        stars = moved.unionByName(stars.join(known.select("class"), "class", "left_anti"))
+    return stars.unionByName(stars.select(F.col("comp").alias("class"), "comp")).distinct()
 
 
 def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
@@ -385,6 +447,8 @@ def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
     return marks
 
 
+#: Rows of an Arrow batch that holds texts.
+TEXT_ROWS = 500
 #: Rows of (id, hash, class) that may be broadcast to fetch texts: some 10 MB.
 MAX_BROADCAST = 300_000
 
@@ -400,64 +464,71 @@ def texts_of(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     return stored(found.groupBy("class").agg(F.max("text").alias("text")), "texts")
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (smallest id reachable
-    by links), class_id (equal sets share it; NULL for an empty set)."""
-    spark = docs.sparkSession
-    importable(spark)
-    text = text_or_empty(text_col)
-    nothing = F.lit(-2 ** 63)
-    rows = docs.select(F.coalesce(col(id_col).cast("long"), nothing).alias("id"),
-                       F.xxhash64(text).alias("xx"), text.alias("text"))
+def _link(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of all documents (id, xx, n, class, hist), and (class, comp) of every
+    linked class."""
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     buckets = int(min(MAX_BUCKETS, max(16, total // BUCKET_BYTES)))
     blocks = map_arrow(rows, find_signatures(buckets, frequent_shingles(rows, total)), BLOCKS)
     found = stored(blocks.groupBy("bucket").applyInArrow(form_groups, BLOCKS), "groups")
-    doc_rows = expanded(found, "doc", DOC, "id long, xx long, n int, class long, hist binary")
-    members = stored(expanded(found, "group", MEMBER, "gid long, class long").distinct(), "members")
-    sets = doc_rows.groupBy("class").agg(F.min(F.struct("id", "xx", "n", "hist")).alias("r")) \
-        .join(members.select("class").distinct(), "class", "left_semi").select("class", "r.*")
-    sets = stored(sets, "sets")
-
-    links, tested = None, None
-
-    def test(pairs: DataFrame) -> None:
-        """Test pairs (a < b) not tested before, and add those that link."""
-        nonlocal links, tested
+    doc_rows = doc_rows_of(found)
+    members = stored(members_of(found), "members")
+    in_groups = members.select("class").union(members.select("centre")).distinct()
+    sets = doc_rows.groupBy("class").agg(
+        F.min(F.struct((F.length("hist") == 0).alias("bare"), "id", "xx", "n", "hist")).alias("r"))
+    sets = stored(sets.join(in_groups, "class", "left_semi").select("class", "r.id", "r.xx", "r.n", "r.hist"),
+                  "sets")
+    comps, tested = None, None
+
+    def test(pairs: DataFrame, possible: bool = False) -> None:
+        """Test pairs not tested before, and join the components of those that link.
+        ``possible``: sizes and histograms have been compared."""
+        nonlocal comps, tested
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        near = stored(near_enough(pairs, sets), "near")
-        new = stored(check_links(near, texts_of(near, sets, rows)), "linked")
-        links = new if links is None else links.unionByName(new)
+        near = pairs if possible else stored(near_enough(pairs, sets), "near")
+        found = check_links(near, texts_of(near, sets, rows))
+        comps = stored(components(stored(found, "linked"), comps), "components")
         tested = pairs if tested is None else tested.unionByName(pairs)
 
-    sizes = members.groupBy("gid").agg(F.count("*").alias("size"), F.min("class").alias("centre"))
-    test(members.join(sizes, "gid").where(F.col("class") != F.col("centre"))
-         .select(F.col("centre").alias("a"), F.col("class").alias("b")))
-    several = stored(members.join(sizes.where("size > 2").select("gid", "size"), "gid"), "several")
+    test(members.select(F.col("centre").alias("a"), F.col("class").alias("b")))
+    sizes = members.groupBy("centre").agg(F.count("*").alias("size")).where("size > 1")
+    several = stored(members.join(sizes, "centre"), "several")  # pairs with the centre are done
     for turn in range(CENTRES + 1):
-        comps = components(links)
         named = several.join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-        split = named.groupBy("gid").agg(
+        split = named.groupBy("centre").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min_by(F.struct("class", "comp"), F.xxhash64("class", F.lit(turn))).alias("centre"))
-        named = stored(named.join(split.where("low <> high").select("gid", "centre"), "gid"), "split")
-        if turn < CENTRES:
-            if not named.where(F.col("size") > BLOCK // 64).limit(1).count():
-                continue
-            test(named.where((F.col("size") > BLOCK // 64) & (F.col("comp") != F.col("centre.comp")))
-                 .select(F.col("centre.class").alias("a"), F.col("class").alias("b")))
+            F.min_by(F.struct("class", "comp"), F.xxhash64("class", F.lit(turn))).alias("next"))
+        named = stored(named.join(split.where("low <> high").select("centre", "next"), "centre"), "split")
+        large = named.where((F.col("size") >= LARGE) & (F.col("comp") != F.col("next.comp")))
+        if turn == CENTRES or not large.limit(1).count():
+            break
+        test(large.select(F.col("next.class").alias("a"), F.col("class").alias("b")))
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    blocked = (named.join(sets.select("class", "n", "hist"), "class")
+    # a class has at most as many centres as signatures
+    held = named.groupBy("class").agg(F.collect_set("centre").alias("centres"))
+    blocked = (named.join(held, "class").join(sets.select("class", "n", "hist"), "class")
                .withColumn("block", F.pmod(F.xxhash64("class"), parts).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-               .select("gid", "class", "comp", "n", "hist", "block",
+               .select("centre", "class", "comp", "n", "hist", "centres", "block",
                        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                       F.when(parts > 1, F.col("gid")).otherwise(F.pmod("gid", F.lit(4 * buckets)))
-                       .alias("task")))
-    test(blocked.groupBy("task", "low", "high").applyInArrow(pairs_between, "a long, b long"))
+                       F.when((parts > 1) | (F.col("size") >= LARGE), F.col("centre"))
+                       .otherwise(F.pmod(F.xxhash64("centre"), F.lit(4 * buckets))).alias("task")))
+    test(blocked.groupBy("task", "low", "high").applyInArrow(pairs_between, "a long, b long"), possible=True)
+    return doc_rows, comps
+
 
-    comps = components(links)
+def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (smallest id reachable
+    by links), class_id (equal sets share it; NULL for an empty set)."""
+    spark = docs.sparkSession
+    importable(spark)
+    text = text_or_empty(text_col)
+    nothing = F.lit(-2 ** 63)
+    rows = docs.select(F.coalesce(col(id_col).cast("long"), nothing).alias("id"),
+                       F.xxhash64(text).alias("xx"), text.alias("text"))
+    with arrow_rows(spark, TEXT_ROWS):
+        doc_rows, comps = _link(rows)
     named = doc_rows.select(F.when(F.col("id") != nothing, F.col("id")).alias("id"), "n",
                             F.when(F.col("n") > 0, F.col("class")).alias("class"))
     empty = named.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "class")

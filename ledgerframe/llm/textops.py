@@ -24,7 +24,7 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Bytes handled at once.
-STEP_BYTES = 1_500_000
+STEP_BYTES = 1_000_000
 
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -82,12 +82,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 40
     """(rows, their texts) of about STEP_BYTES bytes and ``most`` rows; a longer
     text comes alone."""
     for batch in batches:
-        texts = batch.column(text).cast(pa.binary()).to_pylist()
-        lo, size = 0, 0
-        for at, t in enumerate(texts):
-            if at > lo and (size + len(t) > STEP_BYTES or at - lo >= most):
-                yield batch.slice(lo, at - lo), texts[lo:at]
-                lo, size = at, 0
+        column = batch.column(text).cast(pa.binary())
+        lo, size, texts = 0, 0, []
+        for at in range(batch.num_rows):
+            t = column[at].as_py()
+            if texts and (size + len(t) > STEP_BYTES or len(texts) >= most):
+                yield batch.slice(lo, at - lo), texts
+                lo, size, texts = at, 0, []
+            texts.append(t)
             size += len(t)
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
+        if texts:
+            yield batch.slice(lo), texts

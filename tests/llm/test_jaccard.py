@@ -91,11 +91,24 @@ def test_linked_sets_always_share_a_signature():
 def test_histograms_bound_the_difference():
     rng = random.Random(5)
     texts = [prose(rng, 200)]
-    texts += [variant(rng, texts[0], k) for k in range(0, 40)]
+    texts += [variant(rng, texts[0], k) for k in range(0, 40)] + [prose(rng, n) for n in range(1, 300, 7)]
     of, key = J.shingle_sets([t.encode() for t in texts])
-    hist = J.histograms(of, key, len(texts)).astype(int)
+    size = np.bincount(of, minlength=len(texts))
+    hist = J.histograms(of, key, size)
     for i in range(1, len(texts)):
-        assert np.abs(hist[0] - hist[i]).sum() <= len(shingles(texts[0]) ^ shingles(texts[i]))
+        bins = 2 * min(len(hist[0]), len(hist[i]))
+        a, b = (J.bin_rows([hist[k]], bins).astype(int) for k in (0, i))
+        assert a.sum() == size[0] and b.sum() == size[i]
+        assert np.abs(a - b).sum() <= len(shingles(texts[0]) ^ shingles(texts[i]))
+        if links(shingles(texts[0]), shingles(texts[i])):
+            assert J.close([hist[0]], [hist[i]], size[:1], size[i:i + 1]).all()
+    assert not J.close(hist[:1], hist[-1:], size[:1], size[-1:]).any()
+
+
+def test_a_histogram_that_does_not_fit_is_never_a_reason():
+    key = np.arange(40, dtype=np.uint64)
+    assert J.histograms(np.zeros(40, int), key, np.array([40])) == [b""]
+    assert J.close([b""], [b"\1\1"], np.array([40]), np.array([4])).all()
 
 
 def test_linked_equals_brute_force():
@@ -147,14 +160,29 @@ def test_pairs_between_blocks_meet_once():
         for high in range(low, blocks):
             at = np.nonzero((block == low) | (block == high))[0]
             tables.append(J.pairs_between(pa.table({
-                "gid": np.zeros(len(at), int), "class": at, "comp": at % 50, "n": np.full(len(at), 10),
-                "hist": pa.array([bytes(J.BINS)] * len(at), pa.binary()), "block": block[at],
+                "centre": np.zeros(len(at), int), "class": at, "comp": at % 50, "n": np.full(len(at), 10),
+                "hist": pa.array([bytes(4)] * len(at), pa.binary()), "block": block[at],
+                "centres": [[0]] * len(at),
                 "low": np.full(len(at), low), "high": np.full(len(at), high)})))
     got = [tuple(p) for t in tables for p in zip(*t.to_pydict().values(), strict=True)]
     assert len(got) == len(set(got))
     assert set(got) == {(i, j) for i in range(n) for j in range(i + 1, n) if i % 50 != j % 50}
 
 
+def test_a_pair_of_several_groups_is_given_once():
+    import pyarrow as pa
+
+    groups = {1: [10, 11, 12], 2: [10, 11, 13], 5: [11, 12, 13]}
+    rows = [(c, m) for c, ms in groups.items() for m in ms]
+    held = {m: [c for c, ms in groups.items() if m in ms] for _, m in rows}
+    got = J.pairs_between(pa.table({
+        "centre": [c for c, _ in rows], "class": [m for _, m in rows], "comp": [m for _, m in rows],
+        "n": [10] * len(rows), "hist": pa.array([bytes(4)] * len(rows), pa.binary()),
+        "centres": [held[m] for _, m in rows], "block": [0] * len(rows), "low": [0] * len(rows),
+        "high": [0] * len(rows)})).to_pydict()
+    assert sorted(zip(got["a"], got["b"])) == [(10, 11), (10, 12), (10, 13), (11, 12), (11, 13), (12, 13)]
+
+
 def test_components_of_links(spark):
     rng = random.Random(9)
     edges = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(50)] + [(7, 7)]
