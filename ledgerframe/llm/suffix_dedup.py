@@ -41,13 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, importable, map_arrow, stored, text_or_empty
+from .common import arrow_rows, col, importable, map_arrow, stored, text_or_empty
 from .textops import Buffer, RangeHash, mixed, slices
 
 LENGTH, K = 100, 24
 WINDOWS = LENGTH - K + 1
 #: Records gathered by a task before it settles and sends them.
-GATHERED = 1_500_000
+GATHERED = 600_000
 #: Text bytes behind one bucket of documents or segments, and buckets at most.
 BUCKET_BYTES, MAX_BUCKETS = 6_000_000, 65_536
 #: Different segments of one minimizer in a shard.
@@ -484,15 +484,16 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     buckets = int(min(MAX_BUCKETS, max(16, total // BUCKET_BYTES)))
     rows = rows.withColumn("db", F.pmod(F.xxhash64("id", "xx"), F.lit(buckets)).cast("int"))
-    common = common_strings(rows, total)
-    blocks = map_arrow(rows.select("id", "xx", "db", "text"), find_segments(buckets, common),
-                       "bucket int, settled boolean, block binary")
-    found = stored(blocks.groupBy("bucket").applyInArrow(settle_bucket(split), FOUND), "segments")
     keyed = rows.select("doc_id", "id", "xx", "db", "text").groupBy("db")
-    cuts = rows.select("id", "xx", "db", "text").groupBy("db").cogroup(
-        found.where("kind = 'fetch'").groupBy("db")).applyInArrow(
-        cut_segments, "shard int, part int, block binary, bytes binary")
-    judged = stored(cuts.groupBy("shard", "part").applyInArrow(judge_shard(buckets), FOUND), "shards")
+    with arrow_rows(spark, 500):
+        blocks = map_arrow(rows.select("id", "xx", "db", "text"),
+                           find_segments(buckets, common_strings(rows, total)),
+                           "bucket int, settled boolean, block binary")
+        found = stored(blocks.groupBy("bucket").applyInArrow(settle_bucket(split), FOUND), "segments")
+        cuts = rows.select("id", "xx", "db", "text").groupBy("db").cogroup(
+            found.where("kind = 'fetch'").groupBy("db")).applyInArrow(
+            cut_segments, "shard int, part int, block binary, bytes binary")
+        judged = stored(cuts.groupBy("shard", "part").applyInArrow(judge_shard(buckets), FOUND), "shards")
     merged = judged.where("kind = 'window'").groupBy("db").applyInArrow(merge_shards, FOUND)
     ranges = found.where("kind = 'range'").unionByName(judged.where("kind = 'range'")) \
         .unionByName(merged)
