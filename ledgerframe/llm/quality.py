@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 from .common import col, importable, map_arrow, stored, text_or_empty
 from .textops import Buffer, RangeHash, mixed, slices
 
-MAX_LABELLED = 3000
+MAX_LABELLED = 2000
 RANK = 64
 NEIGHBOURS = 25
 SHARPNESS = 12.0
 THRESHOLD = 0.3
-PAIR_DIMS, SHAPE_DIMS, REPEAT_DIMS = 4096, 1024, 64
+PAIR_DIMS, SHAPE_DIMS, REPEAT_DIMS = 2048, 1024, 64
 DIMS = PAIR_DIMS + SHAPE_DIMS + REPEAT_DIMS
 
 _PAIR = (mixed(np.arange(65536, dtype=np.uint64)) % np.uint64(PAIR_DIMS)).astype(np.int64)
@@ -82,7 +82,8 @@ def term_counts(texts: list[bytes]) -> np.ndarray:
 def weights(counts: np.ndarray) -> np.ndarray:
     """Logarithm of the counts per thousand terms."""
     total = np.maximum(counts[:, :PAIR_DIMS + SHAPE_DIMS + 1].sum(axis=1, keepdims=True), 1)
-    return np.log1p(counts * (1000 / total))
+    out = counts * (1000 / total).astype(np.float32)
+    return np.log1p(out, out=out)
 
 
 @dataclass
@@ -118,7 +119,8 @@ def fit(counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Model:
         return Model(np.ones(DIMS, np.float32), np.zeros((DIMS, 1), np.float32),
                      np.zeros((0, 1), np.float32), labels, prior)
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    a = weights(counts) * idf
+    a = weights(counts)
+    a *= idf
     found = np.random.default_rng(5).standard_normal((DIMS, min(rank + 16, *a.shape))).astype(np.float32)
     for _ in range(5):
         found, _ = np.linalg.qr(a.T @ (a @ found))
@@ -156,8 +158,10 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     got = stored(map_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
                                       "label int, counts binary"), "labelled-terms")
     got = got.orderBy(F.xxhash64("doc_id"), F.xxhash64("counts")).limit(most).toPandas()
-    counts = np.frombuffer(b"".join(got["counts"]), np.uint16).reshape(len(got), DIMS)
-    return fit(counts.astype(np.float32), got["label"].to_numpy(np.float64))
+    labels_, counts = got["label"].to_numpy(np.float64), np.empty((len(got), DIMS), np.float32)
+    for row, block in zip(counts, got.pop("counts"), strict=True):
+        row[:] = np.frombuffer(block, np.uint16)
+    return fit(counts, labels_)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",
