@@ -8,7 +8,7 @@ Layers (each a set of pure ``DataFrame -> DataFrame`` functions):
                   report sections and data-quality checks.
 * ``plans``     - composition of the operators into marts and a full run.
 * ``sinks``     - partitioned Parquet writers for raw tables, marts, report.
-* ``streaming`` - incremental landing of statement files with Structured Streaming.
+* ``llm``       - training-data operators; nothing else imports them.
 """
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"
