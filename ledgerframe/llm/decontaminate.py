@@ -3,26 +3,31 @@
 Words are cut at white space, stripped of ASCII punctuation and folded; numbers,
 names (capitalised words that do not open a sentence) and units next to a number
 become typed placeholders, so a question with other numbers, names or units keeps its
-template.  Windows of ``WINDOW`` template tokens (shorter items: the whole item),
-at least ``LITERALS`` of them literal, are joined by hash.  Matches on the same
-diagonal of a document and an item form runs; a run that covers ``NEEDED`` tokens
-(or all but two of a shorter item) is a hit if its slots are consistent: equal
-item values stand for equal document values and the other way round.
+template.  Windows of ``WINDOW`` tokens (shorter items: the whole item) are joined
+by two hashes: of their plain words, whatever these are, and of their template
+where at least ``LITERALS`` tokens are literal.  Where a document and an item share
+one, they are compared token by token; windows whose tokens are equal or slots of
+one type, at least ``LITERALS`` of them equal, form runs.  A run that covers
+``NEEDED`` tokens (or all but two of a shorter item) is a hit if its slots are
+consistent: equal item values stand for equal document values and the other way
+round.  Items of fewer than ``SHORTEST`` tokens are hits where they stand word for
+word.
 
 The windows of the benchmark are broadcast while they number at most
 ``MAX_BROADCAST``; every document is then judged where it is read, without a
 shuffle.  Beyond that, windows of both sides meet in a shuffled hash join and the
 runs are formed per document.
 
-Defined cases: NULL or empty texts and items of fewer than ``SHORTEST`` tokens match
-nothing; repeated documents are judged one by one, repeated items each count; an
+Defined cases: NULL or empty texts and items match nothing; an item of few words
+is held by every text with these words in a row, so a one-word item by each text
+with that word; repeated documents are judged one by one, repeated items each count; an
 empty table of documents or items gives no hits; extra columns are not read;
 texts of any length are read whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,10 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, importable, map_arrow, stored, text_or_empty
-from .textops import FOLDED, Buffer, RangeHash, mixed, slices
+from .textops import FOLDED, Buffer, RangeHash, mixed, powers, slices
 
 WINDOW, NEEDED, LITERALS, SHORTEST = 8, 13, 4, 6
 MAX_BROADCAST = 2_000_000
+#: Tokens compared at once.
+STEP = 1_000_000
 #: Units of measure, which count as such next to a number.
 CURRENCY = "$ € £".split()
 UNITS = ("% $ € £ mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec second seconds min minute minutes "
@@ -57,6 +64,11 @@ _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 58, 59, 63]] = True
 
 
+def counted(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place."""
+    return np.concatenate([[0], np.cumsum(flags)])
+
+
 def hash_of(word: str) -> int:
     raw = np.frombuffer(word.encode(), np.uint8)
     return int(RangeHash(raw, FOLDED)(np.array([0]), np.array([len(raw)]))[0])
@@ -106,19 +118,30 @@ def tokens(texts: list[bytes]) -> Tokens:
     return Tokens(token, value, number | name | unit, of, nth)
 
 
+def rolling(token: np.ndarray) -> Callable[[np.ndarray, int], np.ndarray]:
+    """Hashes of the runs of ``length`` tokens that start at given places."""
+    n = len(token)
+    forward, back = powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mixed(token) * forward[:n], out=sums[1:])
+    return lambda at, length: mixed((sums[at + length] - sums[at]) * back[at] + np.uint64(length))
+
+
 def windows(t: Tokens, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of ``length`` tokens with enough literals, and the
-    token each one starts at."""
+    """Hashes of the windows of ``length`` tokens and the token each one starts at:
+    of their words, and of their template where it has enough literals.  A window
+    without slots has one hash, its words being its template."""
     n = len(t.of) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    at = np.arange(n)
-    literal = np.concatenate([[0], np.cumsum(~t.slot)])
-    at = at[(t.of[:n] == t.of[length - 1:]) & (literal[length:] - literal[:n] >= LITERALS)]
-    key = np.full(len(at), length, np.uint64)
-    for k in range(length):
-        key = mixed(key + t.token[at + k])
-    return key, at
+    at = np.nonzero(t.of[:n] == t.of[length - 1:])[0]
+    slots = counted(t.slot)
+    slots = slots[at + length] - slots[at]
+    if length < SHORTEST:
+        return rolling(t.value)(at, length), at
+    plain, template = at[slots > 0], at[length - slots >= LITERALS]
+    return (np.concatenate([rolling(t.value)(plain, length), rolling(t.token)(template, length)]),
+            np.concatenate([plain, template]))
 
 
 @dataclass
@@ -129,18 +152,18 @@ class Benchmark:
     item: np.ndarray
     at: np.ndarray  # place in the item
     lengths: tuple[int, ...]  # window lengths in use
-    size: dict[int, int]
-    value: dict[int, np.ndarray]
-    slot: dict[int, np.ndarray]
+    size: np.ndarray
+    first: np.ndarray  # place of each item in ``tokens``
+    tokens: Tokens
 
 
-def index_items(ids: list, texts: list[bytes]) -> Benchmark:
+def index_items(texts: list[bytes]) -> Benchmark:
     """Index of the items; each row is an item of its own, by its number."""
     t = tokens(texts)
     counts = np.bincount(t.of, minlength=len(texts))
-    own = np.where(counts >= WINDOW, WINDOW, counts)
+    own = np.minimum(counts, WINDOW)
     key, item, at, lengths = [], [], [], []
-    for length in sorted(set(own[own >= SHORTEST].tolist())):
+    for length in sorted(set(own[own > 0].tolist())):
         k, a = windows(t, length)
         right = own[t.of[a]] == length
         key.append(k[right])
@@ -149,15 +172,12 @@ def index_items(ids: list, texts: list[bytes]) -> Benchmark:
         lengths.append(length)
     key, item, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (key, item, at))
     order = np.argsort(key, kind="stable")
-    first = np.cumsum(counts) - counts
-    cut = {i: slice(first[i], first[i] + counts[i]) for i in range(len(texts))}
-    return Benchmark(key[order].astype(np.uint64), item[order], at[order], tuple(lengths),
-                     {i: int(counts[i]) for i in cut}, {i: t.value[c] for i, c in cut.items()},
-                     {i: t.slot[c] for i, c in cut.items()})
+    return Benchmark(key[order].astype(np.uint64), item[order], at[order], tuple(lengths), counts,
+                     np.cumsum(counts) - counts, t)
 
 
-def needed(size: int) -> int:
-    return max(min(size, SHORTEST), min(NEEDED, size - 2))
+def needed(size: np.ndarray) -> np.ndarray:
+    return np.maximum(np.minimum(size, SHORTEST), np.minimum(NEEDED, size - 2))
 
 
 def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
@@ -166,11 +186,10 @@ def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
     return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
-def hits(texts: list[bytes], bench: Benchmark) -> Iterator[tuple[int, int, int, int]]:
-    """(number of the text, number of the item, tokens covered, slots refilled) of
-    the best consistent run of each pair."""
-    t = tokens(texts)
-    doc, item, diag, at, size = ([] for _ in range(5))
+def diagonals(t: Tokens, bench: Benchmark) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, item, and the token at which the item would start, of all pairs that
+    share a window there."""
+    doc, item, diag = ([np.zeros(0, np.int64)] for _ in range(3))
     for length in bench.lengths:
         key, a = windows(t, length)
         lo = np.searchsorted(bench.key, key)
@@ -182,30 +201,65 @@ def hits(texts: list[bytes], bench: Benchmark) -> Iterator[tuple[int, int, int,
         doc.append(t.of[a])
         item.append(bench.item[row])
         diag.append(a - bench.at[row])
-        at.append(a)
-        size.append(np.full(len(a), length))
-    if not doc or not sum(map(len, doc)):
-        return
-    doc, item, diag, at, size = map(np.concatenate, (doc, item, diag, at, size))
-    order = np.lexsort((at, diag, item, doc))
-    doc, item, diag, at, size = doc[order], item[order], diag[order], at[order], size[order]
+    doc, item, diag = map(np.concatenate, (doc, item, diag))
+    order = np.lexsort((diag, item, doc))
+    doc, item, diag = doc[order], item[order], diag[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diag[1:] != diag[:-1]) \
-        | (at[1:] > at[:-1] + size[:-1])
+    new[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(diag) != 0)
+    return doc[new], item[new], diag[new]
+
+
+def runs(t: Tokens, bench: Benchmark, doc: np.ndarray, item: np.ndarray, diag: np.ndarray) \
+        -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(text, item, tokens of the text, tokens of the item) of every run that is long
+    enough.  A run consists of windows in which each token is equal or a slot of one
+    type, at least LITERALS of them equal (of an item below SHORTEST: all)."""
+    b = bench.tokens
+    counts = np.bincount(t.of)
+    first = np.cumsum(counts) - counts
+    size = bench.size[item]
+    lo = np.maximum(diag, first[doc])
+    n = np.minimum(diag + size, first[doc] + counts[doc]) - lo
+    step = np.cumsum(n) // STEP
+    for part in np.split(np.arange(len(doc)), np.nonzero(np.diff(step))[0] + 1):
+        end = np.cumsum(n[part])
+        c = np.repeat(part, n[part])
+        here = np.repeat(lo[part] - (end - n[part]), n[part]) + np.arange(len(c))
+        there = here - diag[c] + bench.first[item[c]]
+        same = t.value[here] == b.value[there]
+        fits = same | t.slot[here] & b.slot[there] & (t.token[here] == b.token[there])
+        width = np.minimum(size, WINDOW)[c]
+        at = np.nonzero(np.arange(len(c)) + width <= np.repeat(end, n[part]))[0]
+        width = width[at]
+        same, fits = counted(same), counted(fits)
+        least = np.where(size[c[at]] < SHORTEST, width, LITERALS)
+        good = (fits[at + width] - fits[at] == width) & (same[at + width] - same[at] >= least)
+        at, width = at[good], width[good]
+        new = np.ones(len(at), bool)
+        new[1:] = (c[at[1:]] != c[at[:-1]]) | (at[1:] > at[:-1] + width[:-1])
+        starts = np.nonzero(new)[0]
+        ends = np.append(starts[1:], len(at))[:len(starts)] - 1
+        starts, ends = at[starts], at[ends] + width[ends]
+        long = ends - starts >= needed(size[c[starts]])
+        for x, y in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+            yield int(doc[c[x]]), int(item[c[x]]), here[x:y], there[x:y]
+
+
+def hits(texts: list[bytes], bench: Benchmark) -> Iterator[tuple[int, int, int, int]]:
+    """(number of the text, number of the item, tokens covered, slots refilled) of
+    the best consistent run of each pair."""
+    t, b = tokens(texts), bench.tokens
+    found = diagonals(t, bench)
+    if not len(found[0]):
+        return
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    starts = np.nonzero(new)[0]
-    for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(doc)], strict=True):
-        covered = int(at[hi - 1] + size[hi - 1] - at[lo])
-        i = int(item[lo])
-        pair = int(doc[lo]), i
-        if covered < needed(bench.size[i]) or covered <= best.get(pair, (0, 0))[0]:
+    for d, i, here, there in runs(t, bench, *found):
+        if len(here) <= best.get((d, i), (0, 0))[0]:
             continue
-        here = np.arange(at[lo], at[lo] + covered)
-        there = here - diag[lo]
-        slot = t.slot[here]
-        mine, theirs = t.value[here][slot], bench.value[i][there][slot]
-        if consistent(theirs, mine):
-            best[pair] = covered, int((mine != theirs).sum())
+        mine, theirs = t.value[here], b.value[there]
+        slot = t.slot[here] & b.slot[there]
+        if consistent(theirs[slot], mine[slot]):
+            best[d, i] = len(here), int((mine != theirs).sum())
     for (d, i), (covered, refilled) in sorted(best.items()):
         yield d, i, covered, refilled
 
@@ -222,7 +276,7 @@ def small_enough(items: DataFrame, most: int) -> bool:
 
 def collected(items: DataFrame) -> tuple[list, Benchmark]:
     rows = items.orderBy("item_id", "text").collect()
-    return [r[0] for r in rows], index_items([r[0] for r in rows], [r[1].encode() for r in rows])
+    return [r[0] for r in rows], index_items([r[1].encode() for r in rows])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -265,19 +319,28 @@ def _find_by_join(rows: DataFrame, items: DataFrame, schema: str) -> DataFrame:
     def emit(batches):
         for b, texts in slices(batches):
             t = tokens(texts)
-            for length in range(SHORTEST, WINDOW + 1):
+            for length in lengths:
                 key, a = windows(t, length)
-                key, of = key.view(np.int64), t.of[a]
-                once = np.unique(np.stack([of, key]), axis=1)
+                once = np.unique(np.stack([t.of[a], key.view(np.int64)]), axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("uid").take(pa.array(once[0])), pa.array(once[1])], names=["uid", "key"])
 
+    def emit_items(batches):
+        for b, texts in slices(batches):
+            bench = index_items(texts)
+            once = np.unique(np.stack([bench.item, bench.key.view(np.int64)]), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("uid").take(pa.array(once[0])), pa.array(once[1]),
+                 pa.array(np.minimum(bench.size, WINDOW)[once[0]], pa.int32())],
+                names=["item_uid", "key", "length"])
+
     items = stored(items.withColumn("uid", F.monotonically_increasing_id()), "items")
     rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "item-docs")
+    theirs = stored(map_arrow(items.select("uid", "text"), emit_items,
+                              "item_uid long, key long, length int"), "item-windows")
+    lengths = sorted(r[0] for r in theirs.select("length").distinct().collect())
     ours = map_arrow(rows.select("uid", "text"), emit, "uid long, key long")
-    theirs = map_arrow(items.select("uid", "text"), emit, "uid long, key long") \
-        .withColumnRenamed("uid", "item_uid")
-    pairs = ours.join(theirs, "key").select("uid", "item_uid").distinct()
+    pairs = ours.join(theirs.drop("length"), "key").select("uid", "item_uid").distinct()
     joined = pairs.join(rows, "uid").join(items.select(
         F.col("uid").alias("item_uid"), "item_id", F.col("text").alias("item_text")), "item_uid")
 
@@ -286,7 +349,7 @@ def _find_by_join(rows: DataFrame, items: DataFrame, schema: str) -> DataFrame:
             out = []
             for k, (text, item) in enumerate(zip(b.column("text").to_pylist(),
                                                  b.column("item_text").to_pylist(), strict=True)):
-                out += [(k, c, r) for _, _, c, r in hits([text.encode()], index_items([0], [item.encode()]))]
+                out += [(k, c, r) for _, _, c, r in hits([text.encode()], index_items([item.encode()]))]
             if out:
                 at, covered, refilled = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(

@@ -79,3 +79,30 @@ def test_empty_tables(tables):
     assert C.find_leaks(docs.limit(0), items).count() == 0
     assert C.find_leaks(docs, items.limit(0)).count() == 0
     assert C.drop_leaks(docs, items.limit(0)).count() == docs.count()
+
+
+SERIES = "What number comes next in the series 2 4 8 16 32 64 128 256"
+CITIES = "Which of Paris London Rome Madrid Vienna Lisbon Athens Dublin Warsaw Oslo is the largest city"
+
+
+def found(item, doc):
+    return [h[1:] for h in C.hits([doc.encode()], C.index_items([item.encode()]))]
+
+
+@pytest.mark.parametrize("item", [SERIES, CITIES, "What does the word entropy mean today", "Who wrote Faust",
+                                  "2 4 8 16 32 64", "Anna Boris Clara Dora Emil Franz Gerda Hans Ida", "E = mc2"])
+def test_verbatim_items_count_whatever_their_words(item):
+    n = len(C.tokens([item.encode()]).of)
+    for doc in (item, f"he asked {item} and left", f"Then. {item}!", f"so {item.lower()} it is"):
+        assert found(item, doc) == [(0, n, 0)], doc
+    assert found(item, "he asked what number of words in which city") == []
+
+
+@pytest.mark.parametrize("most", [C.MAX_BROADCAST, 0])
+def test_verbatim_short_and_slot_dense_items_in_tables(spark, most):
+    items = [SERIES, CITIES, "Who wrote Faust", "7 11 13"]
+    docs = [(i, f"he asked {t} and left") for i, t in enumerate(items)] + [(9, "who wrote it in 7 11 12 days")]
+    got = rows_of(C.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(list(enumerate(items)), "item_id long, text string"),
+                               most=most))
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(4)}
