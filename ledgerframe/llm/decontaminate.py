@@ -1,11 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words are cut at white space, stripped of ASCII punctuation and folded; numbers,
-names (capitalised words that do not open a sentence) and units next to a number
+Words are cut at white space, stripped of ASCII punctuation and possessive endings
+and folded; a number is cut from the unit glued to it.  Numbers (with decimals,
+fractions, times), names (capitalised words of any script) and units next to a number
 become typed placeholders, so a question with other numbers, names or units keeps its
-template.  Windows of ``WINDOW`` tokens (shorter items: the whole item) are joined
-by two hashes: of their plain words, whatever these are, and of their template
-where at least ``LITERALS`` tokens are literal.  Where a document and an item share
+template.  A capitalised word that opens a sentence has two readings, word and name.
+Windows of ``WINDOW`` tokens (shorter items: the whole item) are joined
+by two hashes: of their plain words, whatever these are, and of both readings of
+their template where at least ``LITERALS`` tokens are literal.  Where a document and an item share
 one, they are compared token by token; windows whose tokens are equal or slots of
 one type, at least ``LITERALS`` of them equal, form runs.  A run that covers
 ``NEEDED`` tokens (or all but two of a shorter item) is a hit if its slots are
@@ -50,6 +52,9 @@ UNITS = ("% $ € £ mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec second
          "mile miles meter meters metre metres kilometer kilometers gram grams kilogram kilograms "
          "pound pounds ounce ounces liter liters litre litres dollar dollars euro euros cent cents "
          "percent degree degrees mph kmh").split()
+#: Ends that are not part of a name, and signs before a number besides the ASCII ones.
+POSSESSIVE = [x.encode() for x in ("'s", "’s")]
+SIGNS = [x.encode() for x in "€£¥−"]
 NUM, NAME, UNIT = (np.uint64(x) for x in (11, 13, 17))
 
 _PUNCT = np.zeros(256, bool)
@@ -60,6 +65,15 @@ _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _LOWER = np.zeros(256, bool)
 _LOWER[97:123] = True
+#: Bytes of names: letters, apostrophes and hyphens, and all of other characters.
+_LETTER = _UPPER | _LOWER
+_LETTER[[39, 45, *range(128, 256)]] = True
+#: Bytes of numbers, with decimals, fractions, times and ranges.
+_NUMERIC = _DIGIT.copy()
+_NUMERIC[[44, 45, 46, 47, 58]] = True
+#: 2 upper case, 1 lower case, by code point; all cased scripts lie below.
+_CASE = np.array([2 if c.isupper() or c.istitle() else int(c.islower()) for c in map(chr, range(0x1F000))],
+                 np.uint8)
 _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 58, 59, 63]] = True
 
@@ -84,38 +98,90 @@ class Tokens:
     token: np.ndarray  # hash of the literal, or a placeholder
     value: np.ndarray  # hash of the word itself
     slot: np.ndarray  # whether the token is a placeholder
+    opening: np.ndarray  # whether it is a literal that may be a name
     of: np.ndarray  # number of the text
     nth: np.ndarray  # place in the text
 
+    def named(self) -> np.ndarray:
+        """The tokens with every possible name as a placeholder."""
+        return np.where(self.opening, NAME, self.token)
+
+
+def cased(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether an upper-case or a lower-case character starts at each byte."""
+    upper, lower = _UPPER[buf], _LOWER[buf]
+    at = np.nonzero(buf >= 0xC2)[0]
+    if len(at):
+        lead = buf[at].astype(np.int64)
+        b1, b2, b3 = (buf[np.minimum(at + k, len(buf) - 1)].astype(np.int64) & 63 for k in (1, 2, 3))
+        point = np.where(lead < 0xE0, (lead & 31) << 6 | b1, np.where(
+            lead < 0xF0, (lead & 15) << 12 | b1 << 6 | b2, (lead & 7) << 18 | b1 << 12 | b2 << 6 | b3))
+        point = np.minimum(point, len(_CASE) - 1)
+        upper[at], lower[at] = _CASE[point] == 2, _CASE[point] == 1
+    return upper, lower
+
+
+def ends_with(buf: np.ndarray, first: np.ndarray, last: np.ndarray, end: bytes) -> np.ndarray:
+    out = last - first > len(end)
+    for k, c in enumerate(reversed(end), 1):
+        out &= (buf[last - k] | 32 if 65 <= c & 223 <= 90 else buf[last - k]) == c
+    return out
+
+
+def starts_with(buf: np.ndarray, first: np.ndarray, last: np.ndarray, start: bytes) -> np.ndarray:
+    out = last - first > len(start)
+    for k, c in enumerate(start):
+        out &= buf[np.minimum(first + k, len(buf) - 1)] == c
+    return out
+
 
 def tokens(texts: list[bytes]) -> Tokens:
     b = Buffer(texts)
     start, end, of = b.words()
     buf = b.buf
+    newline = counted((buf == 10) | (buf == 13))
+    opens = np.ones(len(start), bool)
+    opens[1:] = (of[1:] != of[:-1]) | _STOP[buf[end[:-1] - 1]] | (newline[start[1:]] > newline[end[:-1]])
     first, last = start.copy(), end.copy()
     for _ in range(8):  # "$" and "%" alone stay as words
         first += (last - first > 1) & _PUNCT[buf[np.minimum(first, len(buf) - 1)]]
         last -= (last - first > 1) & _PUNCT[buf[last - 1]]
+    for mark in POSSESSIVE:  # the owner's name is the word
+        last -= len(mark) * ends_with(buf, first, last, mark)
+    for sign in SIGNS:
+        signed = starts_with(buf, first, last, sign)
+        first += len(sign) * (signed & _DIGIT[buf[np.minimum(first + len(sign), len(buf) - 1)]])
+    # a number and what is glued to it are two words
+    numeric = counted(_NUMERIC[buf])
+    digit = _DIGIT[buf[np.minimum(first, len(buf) - 1)]]
+    glued = digit & (numeric[last] - numeric[first] < last - first)
+    if glued.any():
+        other = np.nonzero(~_NUMERIC[buf])[0]
+        split = np.where(glued, other[np.minimum(np.searchsorted(other, first), len(other) - 1)], last)
+        word = np.repeat(np.arange(len(of)), 1 + glued)
+        second = np.zeros(len(word), bool)
+        second[1:] = word[1:] == word[:-1]
+        first, last = np.where(second, split[word], first[word]), np.where(second, last[word], split[word])
+        for _ in range(8):
+            last -= (last - first > 1) & ~second & _PUNCT[buf[last - 1]]
+        of, opens = of[word], opens[word] & ~second
     value = mixed(RangeHash(buf, FOLDED)(first, last))
     n = last - first
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[buf])])
-    dots = np.concatenate([[0], np.cumsum((buf == 44) | (buf == 46))])
-    n_digits = digits[last] - digits[first]
-    number = (n_digits > 0) & (n_digits + dots[last] - dots[first] == n)
-    newline = np.concatenate([[0], np.cumsum((buf == 10) | (buf == 13))])
-    opens = np.ones(len(start), bool)
-    opens[1:] = (of[1:] != of[:-1]) | _STOP[buf[end[:-1] - 1]] | (newline[start[1:]] > newline[end[:-1]])
-    lower = np.concatenate([[0], np.cumsum(_LOWER[buf])])
-    name = ~opens & _UPPER[buf[first]] & (lower[last] - lower[first] == n - 1) & (n > 1)
-    after = np.zeros(len(start), bool)
+    at = np.minimum(first, len(buf) - 1)
+    number = _DIGIT[buf[at]] & (numeric[last] - numeric[first] == n)
+    upper, lower = cased(buf)
+    lower, letters = counted(lower), counted(_LETTER[buf])
+    name = upper[at] & (letters[last] - letters[first] == n) & (lower[last] > lower[first])
+    opening, name = name & opens, name & ~opens
+    after = np.zeros(len(first), bool)
     after[1:] = number[:-1] & (of[1:] == of[:-1])
-    before = np.zeros(len(start), bool)
+    before = np.zeros(len(first), bool)
     before[:-1] = number[1:] & (of[1:] == of[:-1])
     unit = np.isin(value, _UNIT) & after | np.isin(value, _CURRENCY) & before
     token = np.where(number, NUM, np.where(name, NAME, np.where(unit, UNIT, value)))
     counts = np.bincount(of, minlength=len(texts))
     nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return Tokens(token, value, number | name | unit, of, nth)
+    return Tokens(token, value, number | name | unit, opening, of, nth)
 
 
 def rolling(token: np.ndarray) -> Callable[[np.ndarray, int], np.ndarray]:
@@ -129,19 +195,20 @@ def rolling(token: np.ndarray) -> Callable[[np.ndarray, int], np.ndarray]:
 
 def windows(t: Tokens, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the windows of ``length`` tokens and the token each one starts at:
-    of their words, and of their template where it has enough literals.  A window
-    without slots has one hash, its words being its template."""
+    of their words, and of both readings of their template where it has enough
+    literals.  A window without slots has one hash, its words being its template."""
     n = len(t.of) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     at = np.nonzero(t.of[:n] == t.of[length - 1:])[0]
-    slots = counted(t.slot)
-    slots = slots[at + length] - slots[at]
     if length < SHORTEST:
         return rolling(t.value)(at, length), at
-    plain, template = at[slots > 0], at[length - slots >= LITERALS]
-    return (np.concatenate([rolling(t.value)(plain, length), rolling(t.token)(template, length)]),
-            np.concatenate([plain, template]))
+    slots, opening = counted(t.slot), counted(t.opening)
+    slots, opening = slots[at + length] - slots[at], opening[at + length] - opening[at]
+    readings = [(t.value, at[slots > 0]), (t.token, at[length - slots >= LITERALS]),
+                (t.named(), at[(opening > 0) & (length - slots - opening >= LITERALS)])]
+    return (np.concatenate([rolling(token)(a, length) for token, a in readings]),
+            np.concatenate([a for _, a in readings]))
 
 
 @dataclass
@@ -215,6 +282,8 @@ def runs(t: Tokens, bench: Benchmark, doc: np.ndarray, item: np.ndarray, diag: n
     enough.  A run consists of windows in which each token is equal or a slot of one
     type, at least LITERALS of them equal (of an item below SHORTEST: all)."""
     b = bench.tokens
+    mine, theirs = t.named(), b.named()
+    slot, slots = t.slot | t.opening, b.slot | b.opening
     counts = np.bincount(t.of)
     first = np.cumsum(counts) - counts
     size = bench.size[item]
@@ -227,7 +296,7 @@ def runs(t: Tokens, bench: Benchmark, doc: np.ndarray, item: np.ndarray, diag: n
         here = np.repeat(lo[part] - (end - n[part]), n[part]) + np.arange(len(c))
         there = here - diag[c] + bench.first[item[c]]
         same = t.value[here] == b.value[there]
-        fits = same | t.slot[here] & b.slot[there] & (t.token[here] == b.token[there])
+        fits = same | slot[here] & slots[there] & (mine[here] == theirs[there])
         width = np.minimum(size, WINDOW)[c]
         at = np.nonzero(np.arange(len(c)) + width <= np.repeat(end, n[part]))[0]
         width = width[at]
@@ -257,7 +326,7 @@ def hits(texts: list[bytes], bench: Benchmark) -> Iterator[tuple[int, int, int,
         if len(here) <= best.get((d, i), (0, 0))[0]:
             continue
         mine, theirs = t.value[here], b.value[there]
-        slot = t.slot[here] & b.slot[there]
+        slot = (t.slot | t.opening)[here] & (b.slot | b.opening)[there]
         if consistent(theirs[slot], mine[slot]):
             best[d, i] = len(here), int((mine != theirs).sum())
     for (d, i), (covered, refilled) in sorted(best.items()):

@@ -106,3 +106,23 @@ def test_verbatim_short_and_slot_dense_items_in_tables(spark, most):
                                spark.createDataFrame(list(enumerate(items)), "item_id long, text string"),
                                most=most))
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(4)}
+
+
+def test_retold_names_that_open_sentences_and_glued_numbers():
+    apples = "Anna has 3 apples. Boris has 5 apples. Clara has 7 apples. How many apples do they have together?"
+    told = "Maria has 3 apples. Peter has 5 apples. Tina has 7 apples. How many apples do they have together?"
+    assert found(apples, "Here: " + told) == [(0, 19, 3)]
+    pens = "A shop sells pens at 45km distance and a van drives 30kg of pens to the next town in 10:30 hours"
+    assert found(pens, pens.replace("45", "50").replace("30kg", "20 lb").replace("10:30", "3/4"))
+    own = "we heard that Anna's brother gave McDonald and José some of Émile's old books before the long winter came"
+    other = own.replace("Anna's", "Zoë’s").replace("McDonald", "O'Brien").replace("José", "Łukasz") \
+        .replace("Émile's", "DeShawn's")
+    assert found(own, other) == [(0, 19, 4)]
+
+
+def test_typed_placeholders_of_glued_and_unicode_words():
+    t = C.tokens(["He paid €50 for 45km, 3/4 of José’s 10:30pm trip.\nMcDonald's USA 1,5kg".encode()])
+    kinds = {int(C.NUM): "num", int(C.NAME): "name", int(C.UNIT): "unit"}
+    assert [kinds.get(int(x), "-") for x in t.token] == \
+        ["-", "-", "num", "-", "num", "unit", "num", "-", "name", "num", "-", "-", "-", "-", "num", "unit"]
+    assert t.opening.nonzero()[0].tolist() == [0, 12]
