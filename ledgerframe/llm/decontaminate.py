@@ -5,15 +5,14 @@ and folded; a number is cut from the unit glued to it.  Numbers (with decimals,
 fractions, times), names (capitalised words of any script) and units next to a number
 become typed placeholders, so a question with other numbers, names or units keeps its
 template.  A capitalised word that opens a sentence has two readings, word and name.
-Windows of ``WINDOW`` tokens (shorter items: the whole item) are joined
-by two hashes: of their plain words, whatever these are, and of both readings of
-their template where at least ``LITERALS`` tokens are literal.  Where a document and an item share
-one, they are compared token by token; windows whose tokens are equal or slots of
-one type, at least ``LITERALS`` of them equal, form runs.  A run that covers
-``NEEDED`` tokens (or all but two of a shorter item) is a hit if its slots are
-consistent: equal item values stand for equal document values and the other way
-round.  Items of fewer than ``SHORTEST`` tokens are hits where they stand word for
-word.
+Windows of ``WINDOW`` tokens (shorter items: the whole item) are joined by two
+hashes: of their plain words, whatever these are, and of both readings of their
+template where at least ``LITERALS`` tokens are literal.  Where a document and an
+item share one, they are compared token by token; windows whose tokens are equal or
+slots of one type, at least ``LITERALS`` of them equal, form runs.  A run of which
+``NEEDED`` tokens (or all but two of a shorter item) are consistent is a hit: a name
+of the item stands for one value of the document, numbers and units for any.  Items
+of fewer than ``SHORTEST`` tokens are hits where they stand word for word.
 
 The windows of the benchmark are broadcast while they number at most
 ``MAX_BROADCAST``; every document is then judged where it is read, without a
@@ -29,6 +28,7 @@ texts of any length are read whole.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import col, importable, map_arrow, stored, text_or_empty
 from .textops import FOLDED, Buffer, RangeHash, mixed, powers, slices
 
-WINDOW, NEEDED, LITERALS, SHORTEST = 8, 13, 4, 6
+WINDOW, NEEDED, LITERALS, SHORTEST, SLIPS = 8, 13, 4, 6, 4
 MAX_BROADCAST = 2_000_000
 #: Tokens compared at once.
 STEP = 1_000_000
@@ -253,6 +253,31 @@ def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
     return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def consistent_part(item: np.ndarray, doc: np.ndarray, name: np.ndarray) -> slice:
+    """The part of a run in which a name of the item has one value in the document:
+    all of it if at most one of SLIPS names departs from the usual value, else the
+    longest part where none does.  Numbers and units may take any value."""
+    at = np.nonzero(name)[0]
+    theirs, mine = item[at], doc[at]
+    if consistent(theirs, mine):
+        return slice(0, len(item))
+    times = Counter(zip(theirs.tolist(), mine.tolist(), strict=True))
+    usual: dict[int, int] = {}
+    for (a, _), n in times.items():
+        usual[a] = max(n, usual.get(a, 0))
+    if (len(at) - sum(usual.values())) * SLIPS <= len(at):
+        return slice(0, len(item))
+    best, start, last = slice(0, 0), 0, {}
+    for k, a, b in [*zip(at.tolist(), theirs.tolist(), mine.tolist(), strict=True), (len(item), None, None)]:
+        before, value = last.get(a, (-1, b))
+        if a is None or value != b and before >= start:
+            if k - start > best.stop - best.start:
+                best = slice(start, k)
+            start = max(start, before + 1)
+        last[a] = k, b
+    return best
+
+
 def diagonals(t: Tokens, bench: Benchmark) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, item, and the token at which the item would start, of all pairs that
     share a window there."""
@@ -316,19 +341,21 @@ def runs(t: Tokens, bench: Benchmark, doc: np.ndarray, item: np.ndarray, diag: n
 
 def hits(texts: list[bytes], bench: Benchmark) -> Iterator[tuple[int, int, int, int]]:
     """(number of the text, number of the item, tokens covered, slots refilled) of
-    the best consistent run of each pair."""
+    the longest consistent part of a run of each pair."""
     t, b = tokens(texts), bench.tokens
     found = diagonals(t, bench)
     if not len(found[0]):
         return
+    names = b.named() == NAME
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for d, i, here, there in runs(t, bench, *found):
         if len(here) <= best.get((d, i), (0, 0))[0]:
             continue
         mine, theirs = t.value[here], b.value[there]
-        slot = (t.slot | t.opening)[here] & (b.slot | b.opening)[there]
-        if consistent(theirs[slot], mine[slot]):
-            best[d, i] = len(here), int((mine != theirs).sum())
+        part = consistent_part(theirs, mine, names[there])
+        covered = part.stop - part.start
+        if covered >= needed(bench.size[i]) and covered > best.get((d, i), (0, 0))[0]:
+            best[d, i] = covered, int((mine[part] != theirs[part]).sum())
     for (d, i), (covered, refilled) in sorted(best.items()):
         yield d, i, covered, refilled
 

@@ -126,3 +126,28 @@ def test_typed_placeholders_of_glued_and_unicode_words():
     assert [kinds.get(int(x), "-") for x in t.token] == \
         ["-", "-", "num", "-", "num", "unit", "num", "-", "name", "num", "-", "-", "-", "-", "num", "unit"]
     assert t.opening.nonzero()[0].tolist() == [0, 12]
+
+
+def test_numbers_may_coincide_and_part_of_a_run_counts():
+    item = "There are 120 people in a train which after 45 km stops where 30 others leave it for good"
+    for a, b, c in (("80", "60", "60"), ("7", "7", "7")):
+        told = item.replace("120", a).replace("45", b).replace("30", c)
+        assert found(item, told) == [(0, 19, 3)]
+    twice = item.replace("30", "45")
+    assert found(twice, twice.replace("45", "50", 1).replace("45", "60")) == [(0, 19, 2)]
+    named = "so Anna met Boris at the old mill by the river and then Boris sold her a loaf of bread"
+    assert found(named, named.replace("Anna", "Ida").replace("Boris", "Ida")) == [(0, 20, 3)]
+    tail = named + " while Anna and Boris were waiting for Boris"
+    other = named + " while Clara and Dora were waiting for Emil"
+    assert found(tail, other) == [(0, 21, 0)]
+    mixed_up = "we saw that Anna met Boris and Anna saw Boris when Anna left Boris and Boris saw Anna"
+    assert found(mixed_up, "we saw that Ida met Emil and Olga saw Hans when Rosa left Karl and Ivan saw Nina") == []
+
+
+def test_longest_consistent_part():
+    import numpy as np
+    a = np.array
+    every = np.ones(6, bool)
+    assert C.consistent_part(a([1, 2, 1, 2, 3, 4]), a([5, 6, 5, 6, 5, 5]), every) == slice(0, 6)
+    assert C.consistent_part(a([1, 2, 1, 2, 1, 2]), a([5, 6, 7, 8, 7, 8]), every) == slice(2, 6)
+    assert C.consistent_part(a([1, 2, 1, 2, 1, 2]), a([5, 6, 7, 8, 7, 8]), ~every) == slice(0, 6)
