@@ -8,7 +8,8 @@ its kind, rises when a checksum confirms it and when one of the kind's words
 stands in the ``CONTEXT`` characters before it.
 
 Matches are leftmost and non-overlapping for each kind; a match that fails its
-check is dropped and the search goes on behind it.  Every pattern is written so
+check is dropped and the search goes on behind it (``iban``: behind its first four
+characters).  Every pattern is written so
 that a run of characters is read a bounded number of times, whole texts of any
 length included.
 
@@ -47,7 +48,17 @@ NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Lengths of ISO 13616 by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_OF = {c: re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){%d}%s(?![A-Za-z0-9])" % (
+    (n - 4) // 4, r" ?[A-Z0-9]{%d}" % (n % 4) if n % 4 else ""))
+    for n, codes in IBAN_LENGTHS.items() for c in codes.split()}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
 
@@ -88,6 +99,18 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", done)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Each head is read to the length of its country (of no known one: as far as
+    groups go), so that words behind it do not count as groups of it."""
+    done = 0
+    for head in IBAN_HEAD.finditer(text):
+        if head.start() >= done:
+            m = IBAN_OF.get(head[0][:2], IBAN).match(text, head.start())
+            if m and mod97(m[0]):
+                yield m.start(), m.end()
+                done = m.end()
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, confirmed by a checksum)."""
     if "@" in text:
@@ -105,9 +128,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in PHONE.finditer(text):
             if 9 <= sum(map(str.isdigit, m[0])) <= 15:
                 yield "phone", m.start(), m.end(), False
-    for m in IBAN.finditer(text):
-        if mod97(m[0]):
-            yield "iban", m.start(), m.end(), True
+    for start, end in ibans(text):
+        yield "iban", start, end, True
     for m in SSN.finditer(text):
         yield "ssn", m.start(), m.end(), False
 

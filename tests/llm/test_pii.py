@@ -56,3 +56,16 @@ def test_report_over_edge_rows(spark, edge_docs, no_docs):
     assert got[4]["spans"] == got[5]["spans"] == ""
     assert len(rows_of(pii.find_pii(docs))) == docs.count()
     assert pii.pii_report(no_docs).count() == 0
+
+
+def test_words_behind_an_iban_are_not_part_of_it():
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034",
+             "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "AT611904300234573201"]
+    for iban in ibans:
+        for tail in (" BIC CAIXESBB", " CODE", " BANK OF 1234 ABCD", ".", "", " " + ibans[0], ", DE12 3456 7890 1234"):
+            got = [(s["start"], s["end"]) for s in pii.spans("IBAN " + iban + tail) if s["kind"] == "iban"]
+            assert got[0] == (5, 5 + len(iban)), iban + tail
+            assert len(got) == 1 + tail.endswith(ibans[0])
+    head = "bank REFS AB12 CDEF GHIJ "
+    assert [s["start"] for s in pii.spans(head + ibans[1]) if s["kind"] == "iban"] == [len(head)]
+    assert not [s for s in pii.spans("IBAN ES91 2100 0418 4502 0005 1333 BIC") if s["kind"] == "iban"]
