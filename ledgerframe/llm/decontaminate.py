@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, importable, map_arrow, stored, text_or_empty
+from .common import col, importable, map_arrow, row_struct, stored, text_or_empty, unpack
 from .textops import FOLDED, Buffer, RangeHash, mixed, powers, slices
 
 WINDOW, NEEDED, LITERALS, SHORTEST, SLIPS = 8, 13, 4, 6, 4
@@ -461,10 +461,13 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id
                most: int = MAX_BROADCAST) -> DataFrame:
     """``docs`` without the documents that hold an item."""
     items = read_items(benchmark, item_text_col, item_col)
-    if not small_enough(items, most):
-        leaks = find_leaks(docs, benchmark, text_col, id_col, item_col, item_text_col, most) \
-            .select(F.col("doc_id").alias(id_col)).distinct()
-        return docs.join(leaks, id_col, "left_anti").select(*[col(c) for c in docs.columns])
+    if not small_enough(items, most):  # rows go by a stored number, ids may be NULL or shared
+        rows = stored(docs.select(row_struct(docs).alias("row"),
+                                  F.monotonically_increasing_id().alias("uid")), "leak-docs")
+        texts = rows.select(F.col("uid").alias("doc_id"), F.col("row").getField(text_col).alias("text"))
+        leaks = find_leaks(texts, benchmark, "text", "doc_id", item_col, item_text_col, most) \
+            .select(F.col("doc_id").alias("uid")).distinct()
+        return unpack(rows.join(leaks, "uid", "left_anti"), "row", docs.columns)
     spark = docs.sparkSession
     importable(spark)
     shared = spark.sparkContext.broadcast(collected(items)[1])

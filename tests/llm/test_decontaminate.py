@@ -151,3 +151,13 @@ def test_longest_consistent_part():
     assert C.consistent_part(a([1, 2, 1, 2, 3, 4]), a([5, 6, 5, 6, 5, 5]), every) == slice(0, 6)
     assert C.consistent_part(a([1, 2, 1, 2, 1, 2]), a([5, 6, 7, 8, 7, 8]), every) == slice(2, 6)
     assert C.consistent_part(a([1, 2, 1, 2, 1, 2]), a([5, 6, 7, 8, 7, 8]), ~every) == slice(0, 6)
+
+
+@pytest.mark.parametrize("most", [C.MAX_BROADCAST, 0])
+def test_rows_go_one_by_one_whatever_their_ids(spark, most):
+    rows = [(None, "x " + ITEM, 1), (None, "clean", 2), (7, TOLD, 3), (7, "clean too", 4), (7, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    left = C.drop_leaks(docs, items, most=most)
+    assert left.columns == docs.columns
+    assert sorted(r["row"] for r in rows_of(left)) == [2, 4, 5]
