@@ -426,7 +426,8 @@ def merge_shards(table: pa.Table) -> pa.Table:
 
 
 # -- (6) result -------------------------------------------------------------------------
-def cut_documents(docs: pa.Table, ranges: pa.Table) -> pa.Table:
+def cut_documents(docs: pa.Table, ranges: pa.Table, texts: bool = False) -> pa.Table:
+    """The removed spans of each row; with ``texts`` the text that is left instead."""
     a = unpacked(ranges.column("block").to_pylist(), RANGE) if len(ranges) else unpacked([], RANGE)
     a = in_text_order(a)
     pair = np.nonzero(np.diff(a["id"]) | np.diff(a["xx"]))[0] + 1
@@ -444,8 +445,13 @@ def cut_documents(docs: pa.Table, ranges: pa.Table) -> pa.Table:
             spans = list(zip(lo[first].tolist(), hi[np.append(first[1:], len(at)) - 1].tolist(), strict=True))
         edges = [0, *[e for s in spans for e in s], len(raw)]
         kept = b"".join(raw[lo:hi] for lo, hi in zip(edges[::2], edges[1::2], strict=True))
+        if texts:
+            rows.append(kept.decode("utf-8", "replace"))
+            continue
         rows.append((len(raw), len(raw) - len(kept), [{"start": s, "end": e} for s, e in spans],
                      hashlib.sha256(kept).hexdigest()))
+    if texts:
+        return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array(rows, pa.string())})
     n, gone, spans, sha = zip(*rows, strict=True) if rows else ((), (), (), ())
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     return pa.table({"doc_id": docs.column("doc_id"), "n_bytes": pa.array(n, pa.int64()),
@@ -471,10 +477,8 @@ def common_strings(rows: DataFrame, total: int) -> np.ndarray:
     return marks
 
 
-def repeated_ranges(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    split: int = SPLIT) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, spans array<struct<start,
-    end>> (maximal removed runs, bytes), kept_sha256."""
+def _cut(docs: DataFrame, text_col: str, id_col: str, split: int, cut, columns: str) -> DataFrame:
+    """doc_id and ``columns`` of every row, by ``cut`` of rows and their ranges."""
     spark = docs.sparkSession
     importable(spark)
     text = text_or_empty(text_col)
@@ -498,9 +502,18 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     ranges = found.where("kind = 'range'").unionByName(judged.where("kind = 'range'")) \
         .unionByName(merged)
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return keyed.cogroup(ranges.groupBy("db")).applyInArrow(
-        cut_documents, f"doc_id {id_type}, n_bytes long, n_removed long, "
-                       "spans array<struct<start:int,end:int>>, kept_sha256 string")
+    return keyed.cogroup(ranges.groupBy("db")).applyInArrow(cut, f"doc_id {id_type}, {columns}")
+
+
+def repeated_ranges(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                    split: int = SPLIT) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, spans array<struct<start,
+    end>> (maximal removed runs, bytes), kept_sha256."""
+    def cut(rows, ranges):
+        return cut_documents(rows, ranges)
+
+    return _cut(docs, text_col, id_col, split, cut, "n_bytes long, n_removed long, "
+                "spans array<struct<start:int,end:int>>, kept_sha256 string")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
@@ -512,19 +525,7 @@ def report(docs: DataFrame, **options) -> DataFrame:
 def drop_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id and the text without the removed bytes (a character cut in two becomes
     the replacement character)."""
-    spans = repeated_ranges(docs, text_col, id_col)
+    def cut(rows, ranges):
+        return cut_documents(rows, ranges, texts=True)
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for raw, cut in zip(b.column("text").cast(pa.binary()).to_pylist(),
-                                b.column("spans").to_pylist(), strict=True):
-                edges = [0, *[e for s in cut for e in (s["start"], s["end"])], len(raw)]
-                out.append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
-                           .decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())],
-                                             names=["doc_id", "text"])
-
-    joined = docs.select(col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")) \
-        .join(spans.select("doc_id", "spans"), "doc_id")
-    return map_arrow(joined, run, f"doc_id {joined.schema['doc_id'].dataType.simpleString()}, text string")
+    return _cut(docs, text_col, id_col, SPLIT, cut, "text string")

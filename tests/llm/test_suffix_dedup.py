@@ -133,3 +133,14 @@ def test_texts_without_repeats_and_empty_table(spark, no_docs):
     out = {r["doc_id"]: r["text"] for r in rows_of(X.drop_repeats(docs))}
     assert out == {1: "bx", 2: "short", 3: ""}
     assert X.report(no_docs).count() == 0
+
+
+def test_text_output_has_each_row_once_whatever_its_id(spark):
+    rng = random.Random(12)
+    shared = prose(rng, 40)
+    texts = [(None, "a " + shared), (None, "b " + prose(rng, 30)), (5, "c " + shared + " end"), (5, "d " + shared),
+             (6, "e " + shared), (6, "e " + shared), (7, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = [(str(r["doc_id"]), r["kept_sha256"]) for r in rows_of(X.report(docs))]
+    got = [(str(r["doc_id"]), hashlib.sha256(r["text"].encode()).hexdigest()) for r in rows_of(X.drop_repeats(docs))]
+    assert len(got) == len(texts) and sorted(got) == sorted(want)
