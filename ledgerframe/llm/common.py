@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,14 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def sampled_texts(rows: DataFrame, every: int) -> tuple[list[bytes], np.ndarray]:
+    """The texts whose hash is a multiple of ``every``, once each, and how many rows
+    have them."""
+    found = rows.where((F.pmod("xx", F.lit(every)) == 0) & (F.octet_length("text") <= 65_536)) \
+        .groupBy("xx").agg(F.max("text").alias("text"), F.count("*").alias("n")).collect()
+    return [r["text"].encode() for r in found], np.array([r["n"] for r in found], np.int64)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Arrow batches of at most ``rows`` rows for the jobs run inside, so that rows

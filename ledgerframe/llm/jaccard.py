@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, col, importable, map_arrow, row_struct, stored, text_or_empty, unpack
+from .common import arrow_rows, col, importable, map_arrow, row_struct, sampled_texts, stored, text_or_empty, \
+    unpack
 from .textops import FOLDED, Buffer, RangeHash, mixed, slices
 
 SHINGLE = 5
@@ -434,16 +435,15 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
     """Marks of shingles found in a ``FREQUENT`` share of a bounded sample of
-    documents (texts up to 64 KB, about SAMPLE_BYTES in all)."""
-    every = max(1, total // SAMPLE_BYTES)
-    texts = [r[0].encode() for r in rows.where(
-        (F.pmod("xx", F.lit(every)) == 0) & (F.octet_length("text") <= 65_536)).select("text").collect()]
+    documents (texts up to 64 KB, about SAMPLE_BYTES in all; copies of a text come as
+    one with their number)."""
+    texts, times = sampled_texts(rows, max(1, total // SAMPLE_BYTES))
     marks = np.zeros(1 << 20, bool)
     if texts:
         of, key = shingle_sets(texts)
         once = np.unique(of << 20 | (key >> np.uint64(44)).astype(np.int64))
-        counts = np.bincount(once & ((1 << 20) - 1), minlength=1 << 20)
-        marks[counts >= max(4, FREQUENT * len(texts) + 4 * np.sqrt(counts.mean()))] = True
+        counts = np.bincount(once & ((1 << 20) - 1), times[once >> 20], minlength=1 << 20)
+        marks[counts >= max(4, FREQUENT * times.sum() + 4 * np.sqrt(counts.mean()))] = True
     return marks
 
 

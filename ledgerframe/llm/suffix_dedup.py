@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, col, importable, map_arrow, stored, text_or_empty
+from .common import arrow_rows, col, importable, map_arrow, sampled_texts, stored, text_or_empty
 from .textops import Buffer, RangeHash, mixed, slices
 
 LENGTH, K = 100, 24
@@ -461,19 +461,17 @@ def cut_documents(docs: pa.Table, ranges: pa.Table, texts: bool = False) -> pa.T
 
 def common_strings(rows: DataFrame, total: int) -> np.ndarray:
     """Marks of the strings found in a ``COMMON`` share of a bounded sample of
-    documents (texts up to 64 KB, about SAMPLE_BYTES in all)."""
-    every = max(1, total // SAMPLE_BYTES)
-    texts = [r[0].encode() for r in rows.where(
-        (F.pmod("xx", F.lit(every)) == 0) & (F.octet_length("text") <= 65_536)).select("text").collect()]
+    documents (texts up to 64 KB, about SAMPLE_BYTES in all; copies of a text come as
+    one with their number)."""
+    texts, times = sampled_texts(rows, max(1, total // SAMPLE_BYTES))
     marks = np.zeros(1 << 20, bool)
-    seen = []
-    for t in texts:
+    counts = np.zeros(1 << 20, np.int64)
+    for t, n in zip(texts, times.tolist(), strict=True):
         if len(t) >= K:
             raw = np.frombuffer(t, np.uint8)
-            seen.append(np.unique(string_hashes(raw, RangeHash(raw)) >> np.uint64(44)))
-    if seen:
-        counts = np.bincount(np.concatenate(seen).astype(np.int64), minlength=1 << 20)
-        marks[counts >= max(8, COMMON * len(texts) + 4 * np.sqrt(counts.mean()))] = True
+            counts[np.unique(string_hashes(raw, RangeHash(raw)) >> np.uint64(44)).astype(np.int64)] += n
+    if counts.any():
+        marks[counts >= max(8, COMMON * times.sum() + 4 * np.sqrt(counts.mean()))] = True
     return marks
 
 

@@ -204,3 +204,14 @@ def test_components_of_links(spark):
 def test_empty_table(no_docs):
     assert J.near_duplicates(no_docs).count() == 0
     assert J.drop_near_duplicates(no_docs).count() == 0
+
+
+def test_sampled_texts_come_once_with_their_number(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerframe.llm.common import sampled_texts
+    docs = spark.createDataFrame([("hot",)] * 300 + [("b",), ("c" * 70_000,)], "text string") \
+        .withColumn("xx", F.xxhash64("text"))
+    texts, times = sampled_texts(docs, 1)
+    assert dict(zip(texts, times.tolist(), strict=True)) == {b"hot": 300, b"b": 1}
+    assert [len(x) for x in sampled_texts(docs.limit(0), 1)] == [0, 0]
