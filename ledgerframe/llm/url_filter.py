@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import col, stored
 
-#: Training rows at most: the labelled URLs with the smallest hashes.
+#: Training rows at most: the labelled URLs with the smallest hashes, each URL once.
 MAX_TRAINING = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEXICAL = ["url_chars", "host_chars", "path_chars", "query_chars", "depth", "labels", "digit_ratio",
@@ -105,7 +105,21 @@ def suffix_statistics(features: DataFrame) -> DataFrame:
 
 
 def training_sample(labelled: DataFrame, limit: int = MAX_TRAINING) -> DataFrame:
-    return labelled.orderBy(F.xxhash64("url"), "url").limit(limit)
+    """Labelled URLs once each, those with the smallest hashes of every label, with a
+    ``weight``: how many rows they stand for.  A label gets half the places at least,
+    as far as it has URLs."""
+    urls = stored(labelled.groupBy("url", "label").agg(F.count("*").alias("n_rows")), "url-labelled")
+    found = {r["label"]: r["n"] for r in urls.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    picked = None
+    for label, n in sorted(found.items()):
+        most = min(n, max(limit // 2, limit - sum(found.values()) + n))
+        part = urls.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(most) \
+            .withColumn("weight", F.col("n_rows") * F.lit(n / most))
+        picked = part if picked is None else picked.unionByName(part)
+    if picked is None:
+        return labelled.limit(0).withColumn("weight", F.lit(1.0))
+    rows = labelled.join(F.broadcast(picked.select("url", "weight")), "url").dropDuplicates(["url"])
+    return rows.orderBy(F.xxhash64("url"), "url")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str = "url",
@@ -134,7 +148,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
     if len(seen) < 2:
         judged = features.withColumn("allowed", F.lit(seen[0] if seen else 1.0))
     else:
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, predictionCol="allowed",
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, predictionCol="allowed", weightCol="weight",
                               maxBins=32, stepSize=0.3).fit(vector.transform(taught).coalesce(1))
         judged = model.transform(vector.transform(features))
     method = F.when(F.col("allowed") > 0.5, "allow").otherwise("block")

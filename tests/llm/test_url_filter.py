@@ -72,3 +72,15 @@ def test_no_python_in_the_plan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = U.judge_urls(df, URL_RULES)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_training_sample_has_each_url_once_and_every_label(spark):
+    urls = [f"http://h{i}.example.net/" for i in range(60)]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    low, *rest = [r["url"] for r in rows_of(pages.orderBy(U.F.xxhash64("url")))]
+    rows = [(low, 1.0)] * 200 + [(u, 1.0) for u in rest[:50]] + [(u, 0.0) for u in rest[50:]]
+    got = rows_of(U.training_sample(spark.createDataFrame(rows, "url string, label double"), 20))
+    assert len(got) == len({r["url"] for r in got}) == 20
+    assert [sum(r["label"] == x for r in got) for x in (0.0, 1.0)] == [9, 11]
+    assert {r["url"]: round(r["weight"], 6) for r in got}[low] == round(200 * 51 / 11, 6)
+    assert rows_of(U.training_sample(spark.createDataFrame(rows[:1], "url string, label double").limit(0))) == []
