@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, jaccard, pii, quality, sharding, suffix_dedup, \
-    url_filter
+from . import alignment, bpe, chat, decontaminate, divergence, exact_dedup, exact_topk, jaccard, pii, \
+    quality, sharding, suffix_dedup, url_filter
 from .common import table
 
 #: The rules that every URL is judged by.
@@ -16,11 +16,11 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
-def tokenizer_path() -> str:
-    """The installed vocabulary file that the queries use."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """An installed vocabulary file that the queries use."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,10 +69,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.Alignment(table(spark, sf_dir, "documents"), tokenizer_path(),
+                               tokenizer_path("piece_bpe_32k.model")).report()
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_dedup, op2_decontaminate, op3_chat_format, op4_quality,
                            op5_bpe, op6_jaccard, op7_pii, op8_sharding, op9_url_filter,
-                           op10_suffix_dedup)}
+                           op10_suffix_dedup, op11_alignment, op12_exact_topk, op13_divergence)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
@@ -98,4 +111,58 @@ ORACLE: dict[str, str] = {
           FROM written GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
                sha256(loss) AS loss_sha256, formatted_chars FROM whole""",
+    "op12_exact_topk": """
+        WITH whole AS (
+          SELECT row_number() OVER () AS r, vec_id,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL)) = 0
+            AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT q.r, q.vec_id AS query_id, c.vec_id,
+                 list_inner_product(q.v, c.v)::BIGINT AS score
+          FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.r <> c.r),
+        ranked AS (
+          SELECT query_id, vec_id, score, row_number() OVER (
+            PARTITION BY r ORDER BY score DESC, vec_id ASC NULLS LAST)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_divergence": r"""
+        WITH docs AS (
+          SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 coalesce(text, '') AS body FROM documents),
+        words AS (
+          SELECT r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+          FROM (SELECT r, lang, source,
+                       unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM docs)),
+        vocab AS (
+          SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        langs AS (SELECT lang, count(*) AS v, sum(total)::HUGEINT AS n FROM vocab GROUP BY lang),
+        grps AS (SELECT DISTINCT lang, source FROM docs),
+        cnt AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN vocab USING (lang, term)
+                GROUP BY ALL),
+        sizes AS (SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n
+                  FROM grps LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+        share AS (
+          SELECT g.lang, g.source, t.term, coalesce(c.c, 0) AS c,
+                 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 2)) // (g.n + 2 * l.v) AS p,
+                 1 + (1000000000::HUGEINT * (t.total + 2)) // (l.n + 2 * l.v) AS q
+          FROM sizes g JOIN vocab t USING (lang) JOIN langs l USING (lang)
+          LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+        pairs AS (
+          SELECT a.lang, a.source, b.source AS item,
+                 coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::BIGINT AS value
+          FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN share x ON x.lang = a.lang AND x.source = a.source
+          LEFT JOIN share y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+          GROUP BY ALL),
+        terms AS (
+          SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+          FROM share WHERE c > 0 AND p > q),
+        ranked AS (
+          SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (
+            PARTITION BY lang, source ORDER BY value DESC, item ASC)::INTEGER AS rank FROM pairs
+          UNION ALL
+          SELECT lang, source, 'term', item, value, row_number() OVER (
+            PARTITION BY lang, source ORDER BY value DESC, item ASC)::INTEGER FROM terms)
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }

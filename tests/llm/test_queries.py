@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES) <= set(E.queries())
     assert "pipeline" in E.queries()
 
@@ -21,7 +21,7 @@ def test_every_operator_is_registered_once():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cur = con.execute(queries.ORACLE[name])
     cols = sorted(d[0] for d in cur.description)
