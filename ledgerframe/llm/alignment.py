@@ -10,11 +10,11 @@ both have an end cut the tokens into groups; two tokens are linked when their ra
 overlap.  (The installed sentencepiece names the immutable proto plainly ``proto``; it
 carries the same spans.)
 
-Neither tokenizer merges across a space between printable ASCII characters: A splits
+Neither tokenizer merges across a single space between other characters: A splits
 there before it merges, and no piece of B has a space after another character.  Texts
-are therefore cut there into chunks that are tokenized once each and remembered, whole
-words most of the time.  Where a file allows such merges (checked when it is loaded) a
-text is one chunk.
+are therefore cut there into chunks, whole words most of the time, and a block of texts
+tokenizes each chunk once.  Where a file allows such merges (checked when it is loaded)
+a text is one chunk.
 
 Plan: a task turns about ``BLOCK_BYTES`` of texts into one row: the pairs of ids its
 links hold with their counts, and each document as a list of chunks.  Spark adds the
@@ -33,9 +33,11 @@ empty result; other columns, whatever their names, are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,10 +50,12 @@ from .common import arrow_rows, col, importable, stored, text_or_empty
 
 #: About so many bytes of texts share one row of pairs; a longer text has its own.
 BLOCK_BYTES = 4_000_000
-#: Chunks a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 150_000, 256
-#: A chunk starts at a space between two printable ASCII characters.
-CHUNK = re.compile(r"(?<=[!-~])(?= [!-~])")
+#: Characters of chunks tokenized together, about.
+LINE = 2_000
+#: A chunk starts at one space between two other characters.
+CHUNK = re.compile(r"(?<=\S)(?= \S)")
+#: Chunks that may follow each other in one line.
+WHOLE = re.compile(r" \S(?:.*\S)?", re.DOTALL)
 #: sentencepiece's space mark and byte tokens.
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -82,8 +86,66 @@ def refined_ends(coarse: np.ndarray, size: np.ndarray) -> np.ndarray:
     return base + total
 
 
+def _flat(lists, n: int = -1) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, n)
+
+
+def _starts(sizes) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(np.fromiter(sizes, np.int64))])
+
+
+class Tokens:
+    """The tokens of some lines, one after the other: ids, ends in bytes, and how many
+    tokens and bytes lie before each line."""
+
+    def __init__(self, tool: Aligner, lines: list[str], ours: list, theirs: list[list[tuple]]):
+        raw = [line.encode() for line in lines]
+        self.bytes = _starts(map(len, raw))
+        self.a_first, self.b_first = _starts(len(x) for x in ours), _starts(map(len, theirs))
+        self.a_ids = _flat((x.ids for x in ours), self.a_first[-1])
+        # character offsets of A as bytes of all lines: a character starts at every byte
+        # that continues none
+        buf = np.frombuffer(b"".join(raw), np.uint8)
+        of_char = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+        spans = _flat(itertools.chain.from_iterable(x.offsets for x in ours), 2 * self.a_first[-1])
+        spans = of_char[spans.reshape(-1, 2) + np.repeat(_starts(map(len, lines))[:-1],
+                                                         np.diff(self.a_first))[:, None]]
+        self.a_ends = refined_ends(spans, tool.a_size[self.a_ids])
+        # B's spans lie in the text, without the space that it adds
+        rows = _flat(itertools.chain.from_iterable(theirs), 3 * self.b_first[-1]).reshape(-1, 3)
+        self.b_ids = rows[:, 0].copy()
+        spans = rows[:, 1:] + 1 + np.repeat(self.bytes[:-1], np.diff(self.b_first))[:, None]
+        spans[self.b_first[:-1], 0] = self.bytes[:-1]
+        self.b_ends = refined_ends(spans, tool.b_size[self.b_ids])
+
+
+class Links:
+    """Groups and links of chunks that lie one after the other in some tokens, which
+    both end with every chunk."""
+
+    def __init__(self, tool: Aligner, tokens: Tokens, ends: np.ndarray):
+        a, a_ends, b, b_ends = tokens.a_ids, tokens.a_ends, tokens.b_ids, tokens.b_ends
+        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        cuts = np.union1d(a_ends, b_ends)       # each stretch between cuts is one link
+        self.pairs = a[np.searchsorted(a_ends, cuts)] << ID_BITS | b[np.searchsorted(b_ends, cuts)]
+        upto = [np.searchsorted(x, ends, side="right") for x in (a_ends, b_ends, both, cuts)]
+        self.sizes = np.diff(np.array(upto), prepend=0)        # n_a, n_b, n_groups, n_links of each chunk
+        # written groups: an id ends with ',' inside its group, A's last with '|', B's with ';'
+        a_group, b_group = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
+        a_text = tool.a_text[(both[a_group] == a_ends).astype(int), a]
+        b_text = tool.b_text[(both[b_group] == b_ends).astype(int), b]
+        by_group = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        written = np.concatenate([a_text, b_text])[by_group]
+        width = written.dtype.itemsize
+        letters = np.frombuffer(written.tobytes(), np.uint8)
+        kept = letters[letters != 0].tobytes()
+        at = np.concatenate([[0], np.cumsum((letters != 0).reshape(-1, width).sum(axis=1))])
+        at = at[np.concatenate([[0], upto[0] + upto[1]])]
+        self.groups = [kept[i:j] for i, j in itertools.pairwise(at.tolist())]
+
+
 class Aligner:
-    """Both tokenizers and the chunks a worker has seen."""
+    """Both tokenizers."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -115,62 +177,55 @@ class Aligner:
         self.splits = split_a and split_b
         self.a_size = np.array([len(b) for b in self.a_bytes])
         self.b_size = np.array([len(b) for b in self.b_bytes])
-        self.known: dict[str, tuple] = {}
+        self.a_text = np.array([[b"%d%s" % (i, end) for i in range(len(self.a_bytes))] for end in (b",", b"|")])
+        self.b_text = np.array([[b"%d%s" % (i, end) for i in range(len(self.b_bytes))] for end in (b",", b";")])
 
     def chunks(self, text: str) -> list[str]:
         """A space and the text, cut where neither tokenizer merges."""
         return CHUNK.split(" " + text) if self.splits else [" " + text]
 
-    def align(self, chunks: list[str]) -> list[tuple]:
-        """(A ids, A ends, B ids, B ends) of each chunk, ends in bytes; None where the
-        joined tokens are not the chunk."""
-        out = []
-        ours = self.a.encode_batch(chunks, add_special_tokens=False)
-        theirs = self.b.encode([c[1:] for c in chunks], return_type="proto", num_threads=1)
-        for chunk, a, b in zip(chunks, ours, theirs, strict=True):
-            raw = chunk.encode()
-            a_ids, b_ids = np.array(a.ids, np.int64), np.array([p.id for p in b.pieces], np.int64)
-            if b"".join([self.a_bytes[i] for i in a_ids]) != raw \
-                    or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
-                out.append(None)
+    def tokens(self, lines: list[str]) -> tuple[Tokens, list[bool]]:
+        """The tokens of the lines that both tokenizers give back byte for byte, and
+        which those are.  A line is a space and a text."""
+        ours = self.a.encode_batch(lines, add_special_tokens=False)
+        theirs = [[(p.id, p.begin, p.end) for p in t.pieces] for t in self.b.encode(
+            [line[1:] for line in lines], return_type="proto", num_threads=1)]
+        good = []
+        for line, a, b in zip(lines, ours, theirs, strict=True):
+            raw = line.encode()
+            good.append(b"".join(map(self.a_bytes.__getitem__, a.ids)) == raw
+                        and b"".join([self.b_bytes[i] for i, _, _ in b]) == raw)
+        return Tokens(self, *(list(itertools.compress(x, good)) for x in (lines, ours, theirs))), good
+
+    def links(self, chunks: list[str]) -> Iterator[tuple[list[int], Links]]:
+        """(numbers of chunks, their links), a few lines at a time.  Chunks that neither
+        tokenizer would merge are put into one line; those missing in the end are not
+        given back by a tokenizer."""
+        lines: list[list[int]] = [[]]
+        length, whole = 0, False
+        for i, c in enumerate(chunks):
+            joins = WHOLE.fullmatch(c) is not None
+            if lines[-1] and (not joins or not whole or length > LINE):
+                lines.append([])
+                length = 0
+            lines[-1].append(i)
+            length, whole = length + len(c), joins and self.splits
+        waiting = [line for line in lines if line][::-1]
+        while waiting:
+            some, length = [], 0
+            while waiting and length < LINE * 100:
+                some.append(waiting.pop())
+                length += sum(len(chunks[i]) for i in some[-1])
+            tokens, good = self.tokens(["".join([chunks[i] for i in line]) for line in some])
+            if not all(good):
+                # alone, the chunks of a bad line that are good themselves
+                kept = list(itertools.compress(some, good))
+                parts = [[i] for line, g in zip(some, good, strict=True) if not g and len(line) > 1 for i in line]
+                waiting += [line for line in kept + parts][::-1]
                 continue
-            spans = np.array(a.offsets, np.int64).reshape(-1, 2)
-            if len(raw) != len(chunk):       # character offsets as byte offsets
-                spans = np.concatenate([[0], np.cumsum([len(c.encode()) for c in chunk])])[spans]
-            a_ends = refined_ends(spans, self.a_size[a_ids])
-            # B's spans lie in the text, without the space that it adds
-            spans = np.array([(p.begin, p.end) for p in b.pieces], np.int64).reshape(-1, 2) + 1
-            if len(spans):
-                spans[0, 0] = 0
-            out.append((a_ids, a_ends, b_ids, refined_ends(spans, self.b_size[b_ids])))
-        return out
-
-    def links(self, chunks: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, groups, pairs) of each chunk, those seen before from
-        memory.  ``pairs`` has ``a << 32 | b`` of every link."""
-        new = [c for c in chunks if c not in self.known]
-        found = dict(zip(new, map(_linked, self.align(new)), strict=True)) if new else {}
-        out = [found[c] if c in found else self.known[c] for c in chunks]
-        if len(self.known) + len(found) > REMEMBERED:
-            self.known.clear()
-        self.known.update((c, v) for c, v in found.items() if len(c) <= LONGEST)
-        return out
-
-
-def _linked(aligned: tuple | None) -> tuple | None:
-    if aligned is None:
-        return None
-    a, a_ends, b, b_ends = aligned
-    both = np.intersect1d(a_ends, b_ends)
-    cuts = np.union1d(a_ends, b_ends)       # each stretch between cuts is one link
-    pairs = a[np.searchsorted(a_ends, cuts)] << ID_BITS | b[np.searchsorted(b_ends, cuts)]
-    a_cut, b_cut = np.searchsorted(a_ends, both) + 1, np.searchsorted(b_ends, both) + 1
-    a_text, b_text = list(map(str, a)), list(map(str, b))
-    groups, i, j = [], 0, 0
-    for x, y in zip(a_cut, b_cut, strict=True):
-        groups.append(",".join(a_text[i:x]) + "|" + ",".join(b_text[j:y]))
-        i, j = x, y
-    return len(a), len(b), len(both), ";".join(groups).encode(), pairs
+            used = [i for line in some for i in line]
+            ends = _starts(len(chunks[i].encode()) for i in used)[1:]
+            yield used, Links(self, tokens, ends)
 
 
 _ALIGNERS: dict[int, Aligner] = {}
@@ -201,34 +256,37 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]
 
 
 class Block:
-    """The chunks of some texts, each aligned once."""
+    """The chunks of some texts, each aligned once.  ``docs`` has the chunks of each text
+    as numbers in the order they were aligned in; none for a text without tokens."""
 
     def __init__(self, tool: Aligner, texts: list[str]):
-        number: dict[str, int] = {}
-        self.docs = [np.array([number.setdefault(c, len(number)) for c in tool.chunks(t)] if t else [], np.int64)
-                     for t in texts]
-        found = tool.links(list(number))
-        bad = np.array([f is None for f in found], bool)
-        self.docs = [d if len(d) and not bad[d].any() else d[:0] for d in self.docs]
-        nothing = (0, 0, 0, b"", np.zeros(0, np.int64))
-        n_a, n_b, n_groups, self.groups, pairs = zip(*[f or nothing for f in found], strict=True) \
-            if found else ((), (), (), (), ())
-        self.sizes = np.array([n_a, n_b, n_groups], np.int64)
-        self.first = np.concatenate([[0], np.cumsum([len(p) for p in pairs])]).astype(np.int64)
-        used = np.bincount(np.concatenate(self.docs), minlength=len(found)) if found else np.zeros(0, np.int64)
-        flat = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
-        self.pairs, self.at = np.unique(flat, return_inverse=True)
-        self.times = np.bincount(self.at, weights=np.repeat(used, np.diff(self.first)),
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        docs = [np.array([number[c] for c in tool.chunks(t)] if t else [], np.int64) for t in texts]
+        place, self.groups = np.full(len(number), -1), []
+        sizes, pairs = [np.zeros((4, 0), np.int64)], [np.zeros(0, np.int64)]
+        for used, links in tool.links(list(number)):
+            place[used] = np.arange(len(used)) + len(self.groups)
+            self.groups += links.groups
+            sizes.append(links.sizes)
+            pairs.append(links.pairs)
+        self.docs = [place[d] for d in docs]
+        self.docs = [d if (d >= 0).all() else d[:0] for d in self.docs]
+        self.sizes = np.concatenate(sizes, axis=1)
+        self.first = _starts(self.sizes[3])
+        used = np.bincount(np.concatenate([*self.docs, np.zeros(0, np.int64)]), minlength=len(self.groups))
+        self.pairs, self.at = np.unique(np.concatenate(pairs), return_inverse=True)
+        self.times = np.bincount(self.at, weights=np.repeat(used, self.sizes[3]),
                                  minlength=len(self.pairs)).astype(np.int64)
 
     def documents(self) -> dict[str, list]:
         out = {k: [] for k in ("n_a", "n_b", "n_groups", "groups_sha256")}
         for d in self.docs:
-            n_a, n_b, n_groups = self.sizes[:, d].sum(axis=1).tolist() if len(d) else (0, 0, 0)
+            n_a, n_b, n_groups, _ = self.sizes[:, d].sum(axis=1).tolist()
             out["n_a"].append(n_a)
             out["n_b"].append(n_b)
             out["n_groups"].append(n_groups)
-            text = b";".join([self.groups[i] for i in d])
+            text = b"".join([self.groups[i] for i in d.tolist()])[:-1]
             out["groups_sha256"].append(hashlib.sha256(text).hexdigest() if len(d) else "")
         return out
 
@@ -286,6 +344,8 @@ def _count(block: pa.Table, known: pa.Table) -> pa.Table:
     return pa.concat_tables(parts)
 
 
+TOKENS = pa.struct([("a_ids", pa.list_(pa.int32())), ("b_ids", pa.list_(pa.int32())),
+                    ("cuts", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("byte", pa.int32())])))])
 REPORT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
@@ -313,27 +373,17 @@ class Alignment:
         def run(batches):
             tool = aligner(*data.value)
             for batch in batches:
-                rows = {"a_ids": [], "b_ids": [], "cuts": []}
+                rows = []
                 for text in batch.column("text").to_pylist():
-                    chunks = tool.chunks(text) if text else []
-                    parts = tool.align(chunks) if chunks else []
-                    if any(p is None for p in parts):
-                        parts = []
-                    lengths = np.cumsum([0, *[p[1][-1] for p in parts]])
-                    a_ids, a_ends, b_ids, b_ends = (
-                        np.concatenate([p[k] + (lengths[i] if k % 2 else 0) for i, p in enumerate(parts)])
-                        if parts else np.zeros(0, np.int64) for k in range(4))
-                    both = np.intersect1d(a_ends, b_ends)
-                    rows["a_ids"].append(a_ids.tolist())
-                    rows["b_ids"].append(b_ids.tolist())
-                    rows["cuts"].append([{"a": int(x), "b": int(y), "byte": int(z)} for x, y, z in zip(
-                        np.searchsorted(a_ends, both) + 1, np.searchsorted(b_ends, both) + 1, both, strict=True)])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(rows["a_ids"], pa.list_(pa.int32())),
-                     pa.array(rows["b_ids"], pa.list_(pa.int32())),
-                     pa.array(rows["cuts"], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()),
-                                                                ("byte", pa.int32())])))],
-                    names=["doc_id", "a_ids", "b_ids", "cuts"])
+                    t, _ = tool.tokens([" " + text] if text else [])
+                    both = np.intersect1d(t.a_ends, t.b_ends)
+                    cuts = zip(np.searchsorted(t.a_ends, both) + 1, np.searchsorted(t.b_ends, both) + 1, both,
+                               strict=True)
+                    rows.append({"a_ids": t.a_ids.tolist(), "b_ids": t.b_ids.tolist(),
+                                 "cuts": [{"a": int(x), "b": int(y), "byte": int(z)} for x, y, z in cuts]})
+                whole = pa.array(rows, TOKENS)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *whole.flatten()],
+                                                 names=["doc_id", "a_ids", "b_ids", "cuts"])
 
         return self.rows.mapInArrow(run, f"doc_id {self.id_type}, a_ids array<int>, b_ids array<int>, "
                                          "cuts array<struct<a:int,b:int,byte:int>>")

@@ -91,30 +91,36 @@ def test_long_texts_nulls_and_empty_tables(spark, edge_docs, no_docs):
     assert A.Alignment(no_docs, *FILES).tokens().count() == 0
 
 
-def test_small_blocks_and_a_forgetful_worker_change_nothing(tool, monkeypatch):
+def test_small_blocks_and_lines_change_nothing(tool, monkeypatch):
     rng = random.Random(4)
     texts = [prose(rng, 50) for _ in range(20)] + ODD
     whole_block = A.Block(tool, texts).documents()
-    monkeypatch.setattr(A, "REMEMBERED", 10)
+    monkeypatch.setattr(A, "LINE", 5)
     parts = [A.Block(tool, [t]).documents() for t in texts]
     assert whole_block == {k: [p[k][0] for p in parts] for k in whole_block}
 
 
 def test_chunks_change_no_token(tool):
     rng = random.Random(6)
-    letters = ["a", "B", "1", " ", " ", " ", "\n", "é", "日", "'s", ".", "▁", "\t", "  ", "😀", " ", "-", "\x1c", " "]
+    letters = ["a", "B", "1", " ", " ", " ", "\n", "é", "日", "'s", ".", "▁", "\t", "  ", "😀", "\u00a0", "-", "\x1c",
+               "\u2003", "\u0300", "\u200b"]
     assert tool.splits
-    for _ in range(2_000):
-        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 25)))
-        parts = tool.align(tool.chunks(text))
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 25))) for _ in range(3_000)]
+    lines, good = tool.tokens([" " + t for t in texts])
+    at, seen = 0, 0
+    block = A.Block(tool, texts)
+    for text, ok, chunks, digest in zip(texts, good, block.docs, block.documents()["groups_sha256"], strict=True):
         a, ae, b, be = whole(text)
-        if not a:
-            assert any(p is None for p in parts), text
+        assert ok == bool(a) == bool(len(chunks)) == bool(digest), text
+        if not ok:
             continue
-        at = np.cumsum([0, *[p[1][-1] for p in parts]])
-        assert [int(i) for p in parts for i in p[0]] == a and [int(i) for p in parts for i in p[2]] == b, text
-        assert [int(e + o) for p, o in zip(parts, at) for e in p[1]] == ae, text
-        assert [int(e + o) for p, o in zip(parts, at) for e in p[3]] == be, text
+        i, j, k, m = (*lines.a_first[at:at + 2], *lines.b_first[at:at + 2])
+        assert lines.a_ids[i:j].tolist() == a and lines.b_ids[k:m].tolist() == b, text
+        assert (lines.a_ends[i:j] - lines.bytes[at]).tolist() == ae, text
+        assert (lines.b_ends[k:m] - lines.bytes[at]).tolist() == be, text
+        assert digest == brute([text])[0][6], text
+        at, seen = at + 1, seen + len(tool.chunks(text))
+    assert seen > 1.2 * at
 
 
 def test_files_that_merge_across_spaces_are_read_whole(tool):
