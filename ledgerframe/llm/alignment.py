@@ -16,8 +16,8 @@ are therefore cut there into chunks, whole words most of the time, and a block o
 tokenizes each chunk once.  Where a file allows such merges (checked when it is loaded)
 a text is one chunk.
 
-Plan: a task turns about ``BLOCK_BYTES`` of texts into one row: the pairs of ids its
-links hold with their counts, and each document as a list of chunks.  Spark adds the
+Plan: a task turns about ``BLOCK_BYTES`` of texts into one row with the pairs of ids its
+links hold and their counts, and a row for each document, a list of chunks.  Spark adds the
 pairs up over the corpus, finds each B id's highest count (at most one row for each id
 of B's vocabulary, so it is broadcast), and joins the counts back to the blocks by
 pair.  A block holds each of its pairs once, so a pair that every document holds is one
@@ -297,26 +297,26 @@ def _ints(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32)))
 
 
-def _one(array: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
-
-
 def _blocks(data, id_type: pa.DataType):
-    """``mapInArrow`` body: one row for each block of texts."""
+    """``mapInArrow`` body: for each block of texts one row with its pairs and one row
+    for each document."""
     def run(batches):
         tool, number = aligner(*data.value), TaskContext.get().partitionId() << 32
         for ids, texts in _texts(batches):
             block = Block(tool, texts)
-            docs = block.documents()
-            docs = pa.StructArray.from_arrays(
-                [pa.array(ids, id_type), *[pa.array(docs[k], pa.int64()) for k in ("n_a", "n_b", "n_groups")],
-                 pa.array(docs["groups_sha256"], pa.string()), _ints(block.docs)],
-                names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "chunks"])
+            docs, n = block.documents(), len(ids)
+            own = {"pair": pa.array(block.pairs), "times": pa.array(block.times),
+                   "first": pa.array(block.first.astype(np.int32)), "at": pa.array(block.at.astype(np.int32))}
+            # the arrays of the block stand in the first row, the documents in the others
+            own = {k: pa.ListArray.from_arrays(pa.array([0] + [len(v)] * (n + 1), pa.int32()), v)
+                   for k, v in own.items()}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), _one(pa.array(block.pairs)), _one(pa.array(block.times)),
-                 _one(pa.array(block.first.astype(np.int32))), _one(pa.array(block.at.astype(np.int32))),
-                 _one(docs)],
-                names=["block", "pair", "times", "first", "at", "docs"])
+                [pa.array([number] * (n + 1), pa.int64()), pa.array([False] + [True] * n),
+                 pa.array([None, *ids], id_type),
+                 *[pa.array([0, *docs[k]], pa.int64()) for k in ("n_a", "n_b", "n_groups")],
+                 pa.array(["", *docs["groups_sha256"]], pa.string()), _ints([np.zeros(0), *block.docs]),
+                 *own.values()],
+                names=["block", "is_doc", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "chunks", *own])
             number += 1
     return run
 
@@ -325,23 +325,20 @@ def _count(block: pa.Table, known: pa.Table) -> pa.Table:
     """Cogroup body: one block and the corpus counts of its pairs -> its documents."""
     order = np.argsort(known.column("pair").to_numpy())
     n, best = known.column("n").to_numpy()[order], known.column("best").to_numpy(zero_copy_only=False)[order]
-    parts = []
-    for row in range(block.num_rows):
-        first, at = (block.column(c)[row].values.to_numpy() for c in ("first", "at"))
-        docs = block.column("docs")[row].values
-        # running sums over the links of all chunks give each chunk's, and those each document's
-        sums = [np.concatenate([[0], np.cumsum(x[at])]) for x in (np.ones(len(n), np.int64), best.astype(np.int64), n)]
-        of_chunk = [s[first[1:]] - s[first[:-1]] for s in sums]
-        chunks = docs.field("chunks")
-        ends = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
-        listed = chunks.flatten().to_numpy()
-        totals = []
-        for x in of_chunk:
-            run = np.concatenate([[0], np.cumsum(x[listed])]) if len(listed) else np.zeros(1, np.int64)
-            totals.append(pa.array(run[ends[1:]] - run[ends[:-1]], pa.int64()))
-        parts.append(pa.table([docs.field("doc_id"), docs.field("n_a"), docs.field("n_b"), docs.field("n_groups"),
-                               *totals, docs.field("groups_sha256")], names=REPORT))
-    return pa.concat_tables(parts)
+    is_doc = block.column("is_doc").to_numpy(zero_copy_only=False)
+    row = block.slice(int(np.flatnonzero(~is_doc)[0]), 1)
+    first, at = (row.column(c)[0].values.to_numpy() for c in ("first", "at"))
+    docs = block.filter(pa.array(is_doc)).combine_chunks()
+    chunks = docs.column("chunks").combine_chunks()
+    ends = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
+    listed = chunks.flatten().to_numpy()
+    totals = []
+    # running sums over the links of all chunks give each chunk's, and those each document's
+    for x in (np.ones(len(n), np.int64), best.astype(np.int64), n):
+        upto = np.concatenate([[0], np.cumsum(x[at])])
+        upto = np.concatenate([[0], np.cumsum((upto[first[1:]] - upto[first[:-1]])[listed])])
+        totals.append(pa.array(upto[ends[1:]] - upto[ends[:-1]], pa.int64()))
+    return pa.table([*[docs.column(c) for c in REPORT[:4]], *totals, docs.column("groups_sha256")], names=REPORT)
 
 
 TOKENS = pa.struct([("a_ids", pa.list_(pa.int32())), ("b_ids", pa.list_(pa.int32())),
@@ -394,9 +391,9 @@ class Alignment:
 
             made = self.rows.mapInArrow(
                 _blocks(self.data, to_arrow_type(self.rows.schema["doc_id"].dataType)),
-                "block long, pair array<long>, times array<long>, first array<int>, at array<int>, "
-                f"docs array<struct<doc_id:{self.id_type},n_a:long,n_b:long,n_groups:long,"
-                "groups_sha256:string,chunks:array<int>>>")
+                f"block long, is_doc boolean, doc_id {self.id_type}, n_a long, n_b long, n_groups long, "
+                "groups_sha256 string, chunks array<int>, "
+                "pair array<long>, times array<long>, first array<int>, at array<int>")
             with arrow_rows(self.spark, 500):
                 self._blocks = stored(made, "alignment")
         return self._blocks
@@ -404,7 +401,7 @@ class Alignment:
     def pair_counts(self) -> DataFrame:
         """a_id, b_id, n (links corpus-wide), best (n is the highest of its B id)."""
         if self._counts is None:
-            entries = self.blocks().select(F.explode(F.arrays_zip("pair", "times")).alias("e"))
+            entries = self.blocks().where("not is_doc").select(F.explode(F.arrays_zip("pair", "times")).alias("e"))
             # pairs of texts that hold no link count 0 times: they are left out
             counts = entries.where("e.times > 0").groupBy(F.col("e.pair").alias("pair")) \
                 .agg(F.sum("e.times").alias("n"))
@@ -422,10 +419,10 @@ class Alignment:
         blocks = self.blocks()
         pair = F.shiftleft(F.col("a_id").cast("long"), ID_BITS).bitwiseOR(F.col("b_id").cast("long"))
         counts = self.pair_counts().select(pair.alias("pair"), "n", "best")
-        used = blocks.select(F.col("block").alias("of"), F.explode("pair").alias("pair"))
+        used = blocks.where("not is_doc").select(F.col("block").alias("of"), F.explode("pair").alias("pair"))
         known = used.join(counts, "pair", "left").select(
             "of", "pair", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("best", F.lit(False)).alias("best"))
-        return blocks.select("block", "first", "at", "docs").groupBy("block") \
+        return blocks.drop("pair", "times").groupBy("block") \
             .cogroup(known.groupBy("of")).applyInArrow(
                 _count, f"doc_id {self.id_type}, n_a long, n_b long, n_groups long, n_links long, "
                         "n_best long, count_sum long, groups_sha256 string")
