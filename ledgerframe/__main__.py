@@ -1,6 +1,7 @@
 """Command line: run the statement job.
 
-    python -m ledgerframe run --workbooks DIR --out DIR [--rates FILE.json]
+    python -m ledgerframe run (--workbooks DIR [--nested] | --tables DIR [--tables-format csv|parquet])
+        --out DIR [--rates FILE.json]
         [--prices PATH] [--daily-prices PATH] [--prices-format parquet|csv]
         [--keys owner] [--incremental] [--no-gate] [--csv]
         [--sales-threshold 20000] [--cluster]
@@ -24,7 +25,11 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m ledgerframe")
     sub = p.add_subparsers(dest="command", required=True)
     run = sub.add_parser("run", help="land workbooks and build marts, checks and report")
-    run.add_argument("--workbooks", required=True)
+    source = run.add_mutually_exclusive_group(required=True)
+    source.add_argument("--workbooks", help="folder of .xlsx statements")
+    source.add_argument("--tables", help="folder with one folder of files for each raw table")
+    run.add_argument("--tables-format", default="csv", choices=["csv", "parquet"])
+    run.add_argument("--nested", action="store_true", help="also workbooks in folders below")
     run.add_argument("--out", required=True)
     run.add_argument("--rates", help="landed rate series (JSON array of {data, valor})")
     run.add_argument("--prices", help="landed index prices (symbol, date, close|adj_close)")
@@ -42,15 +47,19 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session(cluster=args.cluster)
-    from .plans.statement_run import run_workbooks
+    from .plans.statement_run import run_tables, run_workbooks
     from .sources import series as SR
     rates = SR.read_landed_rates(spark, args.rates) if args.rates else None
     prices = SR.read_prices(spark, args.prices, args.prices_format) if args.prices else None
     if args.daily_prices:
         prices = SR.monthly_then_daily(prices, SR.read_prices(spark, args.daily_prices, args.prices_format))
-    res = run_workbooks(spark, args.workbooks, args.out, keys=args.keys, incremental=args.incremental,
-                        gate=not args.no_gate, csv_report=args.csv,
-                        sales_threshold=args.sales_threshold, rates=rates, prices=prices)
+    common = dict(keys=args.keys, gate=not args.no_gate, csv_report=args.csv,
+                  sales_threshold=args.sales_threshold, rates=rates, prices=prices)
+    if args.tables:
+        res = run_tables(spark, args.tables, args.out, args.tables_format, **common)
+    else:
+        res = run_workbooks(spark, args.workbooks, args.out, incremental=args.incremental,
+                            nested=args.nested, **common)
     summary = {r.table_name: r.row_count for r in res.load_summary.collect()}  # 7 rows
     print(json.dumps({"raw_rows": summary, "marts": res.marts, "report": sorted(res.report)}))
     return 0

@@ -101,19 +101,6 @@ GENERIC_CHECKS: tuple[Check, ...] = (
 )
 
 
-def _duplicates(df: DataFrame, table: str, checks: list[Check], keys: Sequence[str]) -> DataFrame:
-    """Uniqueness checks of one table that group by the same columns, from one
-    grouped pass: groups of two rows or more (``unique`` leaves NULL out)."""
-    columns = checks[0].columns
-    twice = F.col("_group_rows") > 1
-    metrics = [("unique", columns[0], F.count_if(twice & F.col(columns[0]).isNotNull()))
-               if c.kind == "unique" else
-               ("unique_combination_of_columns", ",".join([*keys, *columns]), F.count_if(twice))
-               for c in checks]
-    groups = df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_group_rows"))
-    return _one_pass(groups, table, metrics)
-
-
 # A row-level metric: (check name, table name, column name, aggregate counting failures).
 Metric = tuple[str, str, str, Column]
 

@@ -23,6 +23,7 @@ from ..operators import quality as Q
 from ..operators import report as R
 from ..operators import transforms as TR
 from ..sinks.writers import write_shared
+from ..sources import landing as LA
 from ..sources import series as SR
 from ..sources import tpch_adapter as A
 from ..sources import workbook as WB
@@ -451,7 +452,54 @@ def i8_landing_checks(spark: SparkSession, d: str) -> DataFrame:
     return WB.landing_checks(WB.land_raw_tables(landed), landed)
 
 
+#: Headers of two files as they stand there: other order, accents, a column more.
+HEADERS = (["Código de Negociação", "Quantidade", "Preço de Fechamento"],
+           ["Preço de Fechamento", "Setor", "Unnamed: 2", "Quantidade", "Código de Negociação"])
+
+
+def i4_landed_by_header(spark: SparkSession, d: str) -> DataFrame:
+    """Whole line items as rows of two files whose columns differ in
+    order and number; every cell goes by the name its own header gives it."""
+    li = A.read_table(spark, d, "lineitem")
+    code = F.concat(F.lit("T"), F.col("l_partkey").cast("string"))
+    quantity = F.col("l_quantity").cast("decimal(12,2)").cast("string")
+    price = F.replace(F.col("l_extendedprice").cast("decimal(14,2)").cast("string"), F.lit("."), F.lit(","))
+    first = F.col("l_linenumber") % 2 == 0
+    names = [F.array(*[F.lit(c) for c in LA.clean_headers(h)[0]]) for h in HEADERS]
+    values = [F.array(code, quantity, price), F.array(price, F.col("l_returnflag"), F.lit("x"), quantity, code)]
+    landed = li.select(
+        F.when(first, "a-2024-junho.csv").otherwise("b-2024-agosto.csv").alias("source_file"),
+        F.lit("raw_stock_positions").alias("table_name"), F.lit(None).cast("string").alias("sheet_name"),
+        F.when(first, 3).otherwise(4).alias("header_width"), F.lit(None).cast("string").alias("date_epoch"),
+        F.lit(None).cast("map<string,string>").alias("keys"),
+        LA.by_header(F.when(first, names[0]).otherwise(names[1]),
+                     F.when(first, values[0]).otherwise(values[1])).alias("cells"))
+    raw = WB.conform_raw(landed, "raw_stock_positions", extension="csv")
+    return round_doubles(raw.select(
+        "Codigo_de_Negociacao", "Quantidade", "Preco_de_Fechamento", "_source_file", P,
+        F.col("_extra_columns").getItem("Setor").alias("extra_setor"),
+        F.size("_extra_columns").alias("n_extra"), F.size("_rejected").alias("n_rejected")))
+
+
+def i11_missing_key(spark: SparkSession, d: str) -> DataFrame:
+    """Of the landed line items, the files of one year name their key column
+    otherwise; each is reported with the rows that staging would leave out."""
+    landed = landed_lots(spark, d)
+    other = F.col("source_file").like("posicao-1995-%")
+    renamed = F.transform_keys("cells", lambda k, _: F.when(k == "Codigo_de_Negociacao", F.lit("Ativo")).otherwise(k))
+    landed = landed.withColumn("cells", F.when(other, renamed).otherwise(F.col("cells")))
+    return WB.missing_key_columns(landed).select("source_file", "table_name", "column_name", "rows")
+
+
+def i11_column_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of every landed file, with their numbers of values."""
+    return WB.column_manifest(landed_lots(spark, d)).select("source_file", "column_name", "n_values")
+
+
 QUERIES.update({
+    "i4_landed_by_header": i4_landed_by_header,
+    "i11_missing_key": i11_missing_key,
+    "i11_column_manifest": i11_column_manifest,
     "i5_conform_raw": i5_conform_raw,
     "i8_landing_checks": i8_landing_checks,
     "i13_absent_kinds": i13_absent_kinds,

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +23,8 @@ from ..operators import quality as Q
 from ..operators import report as R
 from ..operators import transforms as T
 from ..schemas import RAW_SCHEMAS
-from ..sinks import read_table, write_report, write_tables
+from ..sinks import exists, read_table, replace, write_report, write_tables
+from ..sources import landing as LA
 from ..sources import workbook as WB
 from ..sources.incremental import land_changes
 from .marts import build_marts
@@ -80,8 +82,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
             return
         new = found.select(*Q.RESULT_COLUMNS).collect()
         results.extend(new)
-        spark.createDataFrame(results, Q.RESULT_SCHEMA).coalesce(1) \
-            .write.mode("overwrite").parquet(f"{out_dir}/checks")
+        so_far = spark.createDataFrame(results, Q.RESULT_SCHEMA).coalesce(1)
+        replace(spark, f"{out_dir}/checks", lambda to: so_far.write.parquet(to))
         if gate:
             Q.stop_on_failures(new)
 
@@ -116,25 +118,51 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
 
 
 def run_workbooks(spark: SparkSession, folder: str, out_dir: str, keys: Sequence[str] = (),
-                  incremental: bool = False, **kw) -> RunResult:
+                  incremental: bool = False, nested: bool = False, **kw) -> RunResult:
     """Entry point A: a folder of monthly statement workbooks.
 
     Every workbook is decoded once: the landed sheet rows are written (by
     raw table) and the seven raw tables are conformed from that copy, which
     also cuts the lineage back to the files.  ``incremental`` decodes only the
     files that are new or changed since the last run (:mod:`..sources.incremental`).
-    With ``keys`` the folder may hold ``key=value`` folders.  Files that cannot be
+    With ``keys`` (or ``nested``) files of folders below count too, ``key=value`` or
+    others such as ``2023/``.  Files that cannot be
     decoded are listed in ``<out_dir>/unreadable_workbooks``, texts that do not
-    parse in ``<out_dir>/rejects``; either stops a gated run, as the statement
-    loader would stop."""
-    files = WB.list_workbooks(spark, folder, nested=bool(keys))
+    parse in ``<out_dir>/rejects``, sheets without their key column in
+    ``<out_dir>/missing_keys``; each stops a gated run, as the statement loader would
+    stop.  ``<out_dir>/columns`` names the columns of every sheet."""
+    files = WB.list_workbooks(spark, folder, nested=nested or bool(keys))
     if incremental:
         stored = land_changes(spark, files, f"{out_dir}/landing")
     else:
         landed_path = f"{out_dir}/landed_rows"
-        WB.land_workbooks(files).write.mode("overwrite").partitionBy("table_name").parquet(landed_path)
+        rows = WB.land_workbooks(files)
+        replace(spark, landed_path, lambda to: rows.write.partitionBy("table_name").parquet(to))
         stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(landed_path)
-    WB.unreadable_workbooks(stored).write.mode("overwrite").parquet(f"{out_dir}/unreadable_workbooks")
-    raw = WB.land_raw_tables(stored, keys)
-    WB.rejects(raw).write.mode("overwrite").parquet(f"{out_dir}/rejects")
+    return _run_landed(spark, stored, WB.land_raw_tables(stored, keys), out_dir, keys, **kw)
+
+
+def run_tables(spark: SparkSession, folder: str, out_dir: str, fmt: str = "csv", keys: Sequence[str] = (),
+               options: dict | None = None, **kw) -> RunResult:
+    """Entry point B: a folder with one folder of CSV or Parquet files for each raw
+    table (``raw_trades/`` ...; absent ones are empty kinds).  Files are read by their
+    own headers (:mod:`..sources.landing`); their losses are checked, listed and gated as
+    those of workbooks."""
+    there = [t for t in RAW_SCHEMAS if exists(spark, f"{folder}/{t}")]
+    if not there:
+        raise FileNotFoundError(f"no folder of a raw table in {folder}")
+    landed = reduce(DataFrame.unionByName, [
+        LA.land_table(spark, f"{folder}/{t}", t, fmt, nested=bool(keys), **(options or {})) for t in there])
+    path = f"{out_dir}/landed_rows"
+    replace(spark, path, lambda to: landed.write.partitionBy("table_name").parquet(to))
+    stored = spark.read.schema(WB.LANDED_SCHEMA).parquet(path)
+    raw = {t: WB.conform_raw(stored, t, keys, extension=fmt, own_lineage=True) for t in RAW_SCHEMAS}
+    return _run_landed(spark, stored, raw, out_dir, keys, **kw)
+
+
+def _run_landed(spark: SparkSession, stored: DataFrame, raw: dict[str, DataFrame], out_dir: str,
+                keys: Sequence[str], **kw) -> RunResult:
+    for name, df in (("unreadable_workbooks", WB.unreadable_workbooks(stored)), ("rejects", WB.rejects(raw)),
+                     ("columns", WB.column_manifest(stored)), ("missing_keys", WB.missing_key_columns(stored))):
+        replace(spark, f"{out_dir}/{name}", lambda to, df=df: df.write.parquet(to))
     return run(spark, raw, out_dir, keys=keys, landed=stored, **kw)

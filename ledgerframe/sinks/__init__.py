@@ -1,5 +1,5 @@
 """Sinks: partitioned Parquet tables for raw data, marts and report sections."""
 
-from .writers import read_table, write_report, write_table, write_tables
+from .writers import exists, read_table, recover, replace, write_report, write_table, write_tables
 
-__all__ = ["read_table", "write_report", "write_table", "write_tables"]
+__all__ = ["exists", "read_table", "recover", "replace", "write_report", "write_table", "write_tables"]

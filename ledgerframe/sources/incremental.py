@@ -9,6 +9,7 @@ named.  The current rows therefore equal those of a full reload.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
@@ -30,13 +31,18 @@ def _last_manifest(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
         else (last, all_.where(F.col("version") == last).drop("version"))
 
 
+@F.pandas_udf(T.StringType())
+def _names(path: pd.Series, root: pd.Series) -> pd.Series:
+    """The name of each file, as the parser gives it."""
+    return pd.Series([WB.file_name_of(*p) for p in zip(path, root)], dtype=object)
+
+
 def land_changes(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
     """Decode the files that the last manifest does not know as they are, and
     return the landed rows of all files that are there now."""
     version, known = _last_manifest(spark, root)
     batch, identity = version + 1, ["path", "modificationTime", "length"]
-    name_of = F.udf(WB.file_name_of, "string")  # a few names, as the parser gives them
-    here = files.select(*identity, name_of("path").alias("source_file"))
+    here = files.select(*identity, _names("path", "root").alias("source_file"))
     new = files.join(known.select(*identity), identity, "left_anti")
     WB.land_workbooks(new).write.mode("overwrite").partitionBy("table_name") \
         .parquet(f"{root}/rows/batch={batch}")

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.numeric import parse_decimal_comma
 from ..functions.periods import period_from_filename
-from ..functions.text import sanitize_header_py
+from ..functions.text import blank_key, sanitize_header_py
 from ..schemas import RAW_SCHEMAS
 
 # --- fixed values: statement sheet names and their raw tables ---------------
@@ -67,6 +67,13 @@ EXCEL_MAX_SERIAL = 2958465          # 9999-12-31
 UNREADABLE = "_unreadable"          # table_name of a row reporting a file that failed to parse
 CLASH = "_header_clash"             # table_name of a row reporting headers that clean to one name
 # ---------------------------------------------------------------------------
+# The column that names a row of each kind: staging leaves out rows without it.
+KEY_COLUMNS = {
+    "raw_stock_positions": "Codigo_de_Negociacao", "raw_etf_positions": "Codigo_de_Negociacao",
+    "raw_trades": "Codigo_de_Negociacao", "raw_fixed_income": "Produto", "raw_treasury_bonds": "Produto",
+    "raw_dividends": "Produto", "raw_stock_lending": "Produto",
+}
+BEYOND = "_cell_"                   # cells further right than their header: name and position
 CHUNK_ROWS = 2000
 
 LANDED_SCHEMA = T.StructType([
@@ -87,17 +94,23 @@ _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
 
 
 # ------------------------------------------------------- per-file helpers ---
-def file_name_of(path: str) -> str:
-    """A binaryFile path, URL-decoded and NFC-normalised (a name may arrive
-    decomposed, e.g. ``c`` + combining cedilla): its base name, after the
-    ``key=value`` folders it lies in, so that the files of two owners differ."""
-    parts = unicodedata.normalize("NFC", urllib.parse.unquote(path)).split("/")
-    return "/".join([*itertools.takewhile(lambda p: "=" in p, reversed(parts[:-1]))][::-1] + parts[-1:])
+def file_name_of(path: str, root: str = "") -> str:
+    """The name a file is known by: its path below ``root`` (the landing folder, see
+    :func:`landing_root`), URL-decoded and NFC-normalised (a name may arrive
+    decomposed, e.g. ``c`` + combining cedilla), so that no two files of a landing
+    share a name.  ``key=value`` folders that end the root belong to the name.  A path
+    that is not below the root keeps its base name and the ``key=value`` folders it
+    lies in."""
+    path, root = (unicodedata.normalize("NFC", urllib.parse.unquote(p)) for p in (path, root))
+    parts = path.split("/")
+    above = root.split("/") if root and path.startswith(root + "/") else parts[:-1]
+    keys = [*itertools.takewhile(lambda p: "=" in p, reversed(above))][::-1]
+    return "/".join(keys + parts[len(above):])
 
 
 def path_keys(name: str) -> dict[str, str]:
-    """``owner=a/report.xlsx`` -> ``{"owner": "a"}``."""
-    return dict(p.split("=", 1) for p in name.split("/")[:-1])
+    """``owner=a/2023/report.xlsx`` -> ``{"owner": "a"}``."""
+    return dict(p.split("=", 1) for p in name.split("/")[:-1] if "=" in p)
 
 
 def match_sheets(sheet_names: list[str]) -> dict[str, str]:
@@ -277,8 +290,8 @@ def parse_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     row with the error; rows it gave before are left out by :func:`readable`."""
     cols = [f.name for f in LANDED_SCHEMA.fields]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            name = file_name_of(path)
+        for path, root, content in zip(batch["path"], batch["root"], batch["content"]):
+            name = file_name_of(path, root)
             rows = parse_workbook(name, bytes(content))
             while True:
                 chunk, error = [], None
@@ -297,20 +310,28 @@ def parse_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 # ------------------------------------------------------------ Spark side ---
+def landing_root(spark: SparkSession, folder: str) -> str:
+    """A landing folder as Spark writes the paths of its files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return str(fs.makeQualified(path).toString()).rstrip("/")
+
+
 def list_workbooks(spark: SparkSession, folder: str, pattern: str = "*.xlsx",
                    nested: bool = False) -> DataFrame:
     """The workbooks of a folder (``nested``: and of the folders in it, such as
-    ``owner=a/``); none -> ``FileNotFoundError``."""
+    ``owner=a/`` or ``2023/``); none -> ``FileNotFoundError``.  ``root`` is the folder
+    that the files are named from."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", str(nested).lower()).load(folder))
     if files.select("path").isEmpty():
         raise FileNotFoundError(f"no {pattern} files in {folder}")
-    return files
+    return files.withColumn("root", F.lit(landing_root(spark, folder)))
 
 
 def land_workbooks(files: DataFrame) -> DataFrame:
     """I4: one row per data row of every matched sheet."""
-    return files.select("path", "content").mapInPandas(parse_workbooks, LANDED_SCHEMA)
+    return files.select("path", "root", "content").mapInPandas(parse_workbooks, LANDED_SCHEMA)
 
 
 def unreadable_workbooks(landed: DataFrame) -> DataFrame:
@@ -367,26 +388,32 @@ def sparse_row_kept(cells: Column, header_width: Column) -> Column:
     return filled >= F.greatest(F.floor(header_width / 2).cast("int"), F.lit(1))
 
 
-def conform_raw(landed: DataFrame, table: str, keys: Sequence[str] = ()) -> DataFrame:
+def conform_raw(landed: DataFrame, table: str, keys: Sequence[str] = (), extension: str = "xlsx",
+                own_lineage: bool = False) -> DataFrame:
     """Landed rows of one kind -> the typed raw table.
 
     Columns missing from a workbook are NULL (schema evolution), columns
     not declared are kept as ``_extra_columns`` and texts that do not parse as
     ``_rejected`` (string maps); a kind with no rows is an empty DataFrame with
     the full declared schema.  ``keys`` come from ``key=value`` folders of the
-    file's path, else from a column of that name in the sheet."""
+    file's path, else from a column of that name in the sheet.  ``extension`` is that
+    of the files; with ``own_lineage`` columns named like the lineage columns are them."""
     schema = RAW_SCHEMAS[table]
     declared = [f for f in schema.fields if not f.name.startswith("_")]
-    names = F.array(*[F.lit(n) for n in [*(f.name for f in declared), *keys]])
+    lineage = ["_source_file", "_reference_period"] if own_lineage else []
+    names = F.array(*[F.lit(n) for n in [*(f.name for f in declared), *keys, *lineage]])
     cells, epoch = F.col("cells"), F.col("date_epoch")
     rows = readable(landed).filter((F.col("table_name") == table) &
                                    sparse_row_kept(cells, F.col("header_width")))
-    base_name = F.substring_index("source_file", "/", -1)
+    source, given = F.col("source_file"), lambda name: cells.getItem(name) if own_lineage else F.lit(None)
+    source = F.coalesce(given("_source_file"), source)
+    period = F.coalesce(given("_reference_period"),
+                        period_from_filename(F.substring_index(source, "/", -1), extension))
     return rows.select(
         *[typed_cell(cells, f.name, f.dataType, epoch).alias(f.name) for f in declared],
         *[F.coalesce(F.col("keys").getItem(k), cells.getItem(k)).alias(k) for k in keys],
-        F.col("source_file").alias("_source_file"),
-        period_from_filename(base_name).alias("_reference_period"),
+        source.alias("_source_file"),
+        period.alias("_reference_period"),
         F.map_filter("cells", lambda k, v: ~F.array_contains(names, k)).alias("_extra_columns"),
         rejected_cells(cells, declared, epoch).alias("_rejected"))
 
@@ -427,10 +454,32 @@ def rejects(raw: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
+def column_manifest(landed: DataFrame) -> DataFrame:
+    """Which columns each sheet of each file has: source_file, table_name, sheet_name,
+    column_name, n_values.  One aggregate over the landed rows."""
+    return readable(landed).select("source_file", "table_name", "sheet_name",
+                                   F.explode(F.map_keys("cells")).alias("column_name")) \
+        .groupBy("source_file", "table_name", "sheet_name", "column_name").agg(F.count("*").alias("n_values"))
+
+
+def missing_key_columns(landed: DataFrame) -> DataFrame:
+    """Sheets whose rows would all be dropped by staging: none has a value in the key
+    column of its kind (another header, or an empty column).  source_file, table_name,
+    sheet_name, column_name, rows."""
+    key, table = F.col("cells")[F.col("key")], F.col("table_name")
+    of_kind = F.coalesce(*[F.when(table == t, F.lit(c)) for t, c in KEY_COLUMNS.items()])
+    return (readable(landed).filter(sparse_row_kept(F.col("cells"), F.col("header_width")))
+            .withColumn("key", of_kind).filter("key is not null")
+            .groupBy("source_file", "table_name", "sheet_name", F.col("key").alias("column_name"))
+            .agg(F.count("*").alias("rows"), F.count_if(~blank_key(key)).alias("named"))
+            .filter("named = 0").drop("named"))
+
+
 def landing_checks(raw: dict[str, DataFrame], landed: DataFrame | None = None) -> DataFrame | None:
     """Losses of the landing as check results (``check_name, table_name,
     column_name, failures``): texts that do not parse by column, files that cannot
-    be decoded, headers that clean to one name.  NULL without anything to check."""
+    be decoded, headers that clean to one name, rows of sheets without their key column,
+    rows with cells beyond their header.  NULL without anything to check."""
     parts = []
     lost = rejects(raw)
     if lost is not None:
@@ -447,7 +496,13 @@ def landing_checks(raw: dict[str, DataFrame], landed: DataFrame | None = None) -
             .groupBy(cells.getItem("table").alias("table_name"), cells.getItem("column").alias("column_name"))
             .agg(F.count("*").alias("failures"))
             .select(F.lit("headers_clean_to_one_name").alias("check_name"), "table_name", "column_name",
-                    "failures")]
+                    "failures"),
+            missing_key_columns(landed).groupBy("table_name", "column_name").agg(F.sum("rows").alias("failures"))
+            .select(F.lit("missing_key_column").alias("check_name"), "table_name", "column_name", "failures"),
+            landed.filter(F.exists(F.map_keys(cells), lambda k: k.startswith(BEYOND)))
+            .groupBy("table_name").agg(F.count("*").alias("failures"))
+            .select(F.lit("row_longer_than_header").alias("check_name"), "table_name",
+                    F.lit("").alias("column_name"), "failures")]
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 

@@ -844,3 +844,25 @@ ORACLE["r19_empty_section"] = with_base("""
               WHERE event_type ILIKE '%JCP%' OR event_type ILIKE '%Juros%') ELSE 0 END AS row_count
     FROM (VALUES ('tax_exempt_income'), ('latest_treasury'), ('latest_kpis'), ('trades_listing'),
                  ('tax_taxable_income')) AS s(section)""")
+ORACLE["i4_landed_by_header"] = """
+    SELECT 'T' || l_partkey AS Codigo_de_Negociacao, CAST(l_quantity AS DOUBLE) AS Quantidade,
+           CAST(round(l_extendedprice, 2) AS DOUBLE) AS Preco_de_Fechamento,
+           CASE WHEN l_linenumber % 2 = 0 THEN 'a-2024-junho.csv' ELSE 'b-2024-agosto.csv' END AS _source_file,
+           CASE WHEN l_linenumber % 2 = 0 THEN '2024-06' ELSE '2024-08' END AS _reference_period,
+           CASE WHEN l_linenumber % 2 = 1 THEN l_returnflag END AS extra_setor,
+           CAST(l_linenumber % 2 AS INTEGER) AS n_extra, 0 AS n_rejected
+    FROM lineitem"""
+ORACLE["i11_missing_key"] = f"""
+    WITH {LANDED_LOTS.strip()}
+    SELECT file AS source_file, 'raw_stock_positions' AS table_name, 'Codigo_de_Negociacao' AS column_name,
+           count(*) AS rows
+    FROM lots WHERE NOT sparse AND file LIKE 'posicao-1995-%' GROUP BY file"""
+ORACLE["i11_column_manifest"] = f"""
+    WITH {LANDED_LOTS.strip()},
+    cells AS (
+      SELECT file, 'Codigo_de_Negociacao' AS c, count(*) AS n FROM lots GROUP BY file
+      UNION ALL SELECT file, 'Conta', count(account) FROM lots WHERE NOT sparse GROUP BY file
+      UNION ALL SELECT file, 'Quantidade', count(*) FROM lots WHERE NOT sparse GROUP BY file
+      UNION ALL SELECT file, 'Preco_de_Fechamento', count(*) FROM lots WHERE NOT sparse GROUP BY file
+      UNION ALL SELECT file, 'Setor', count(*) FROM lots WHERE NOT sparse GROUP BY file)
+    SELECT file AS source_file, c AS column_name, n AS n_values FROM cells WHERE n > 0"""

@@ -175,3 +175,90 @@ def test_partition_values_stay_text(spark, tmp_dir):
     back = spark.read.parquet(path)
     assert dict(back.dtypes)["_reference_period"] == "string"
     assert {r._reference_period for r in back.collect()} == {"202406", "2024-06"}
+
+
+def test_nested_folders_keep_owner_and_incremental_equals_full(spark, tmp_dir):
+    src, state = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "state")
+
+    def land():
+        files = WB.list_workbooks(spark, src, nested=True)
+        got = land_changes(spark, files, state)
+        key = lambda df: sorted(map(str, df.select("source_file", "row_index", "keys", "cells").collect()))
+        assert key(got) == key(WB.land_workbooks(files))
+        return WB.conform_raw(got, "raw_stock_positions", ["owner"]).collect()
+
+    for owner in "ab":
+        _positions(f"{src}/owner={owner}/2023", "x-2023-junho.xlsx", [f"T{owner}", 1, 1, 1])
+    assert {(r.owner, r.Codigo_de_Negociacao, r._source_file) for r in land()} == {
+        (o, f"T{o}", f"owner={o}/2023/x-2023-junho.xlsx") for o in "ab"}
+    _positions(f"{src}/owner=a/2023", "x-2023-junho.xlsx", ["NEW", 5, 1, 5])     # one of them is sent again
+    assert {(r.owner, r.Codigo_de_Negociacao) for r in land()} == {("a", "NEW"), ("b", "Tb")}
+
+
+def test_a_workbook_without_its_key_column_stops_the_run(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    _positions(src, "a-2024-junho.xlsx", ["PETR4", 1, 1, 1])
+    write_xlsx(os.path.join(src, "b-2024-julho.xlsx"), {"Posição - Ações": [
+        ["Ativo", "Quantidade", "Valor Atualizado"], ["VALE3", 1, 2], ["WEGE3", 2, 2]]})
+    with pytest.raises(QualityGateError, match="missing_key_column raw_stock_positions.Codigo_de_Negociacao: 2"):
+        statement_run.run_workbooks(spark, src, out)
+    assert [(r.source_file, r.column_name, r.rows) for r in spark.read.parquet(f"{out}/missing_keys").collect()] \
+        == [("b-2024-julho.xlsx", "Codigo_de_Negociacao", 2)]
+    assert ("b-2024-julho.xlsx", "Ativo", 2) in {
+        (r.source_file, r.column_name, r.n_values) for r in spark.read.parquet(f"{out}/columns").collect()}
+
+
+def _csv(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_a_run_over_csv_tables_equals_one_over_workbooks(spark, tmp_dir):
+    src, tables = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "tables")
+    _positions(src, "a-2024-junho.xlsx", ["PETR4", 3, 2, 6], ["VALE3", 1, 5, 5])
+    write_xlsx(os.path.join(src, "b-2024-julho.xlsx"), {"Posição - Ações": [
+        ["Valor Atualizado", "Código de Negociação", "Preço de Fechamento", "Quantidade"], [8, "PETR4", 2, 4]]})
+    _csv(f"{tables}/raw_stock_positions", "a-2024-junho.csv",
+         "Código de Negociação,Quantidade,Preço de Fechamento,Valor Atualizado\nPETR4,3,2,6\nVALE3,1,5,5\n")
+    _csv(f"{tables}/raw_stock_positions", "b-2024-julho.csv",
+         "Valor Atualizado,Código de Negociação,Preço de Fechamento,Quantidade\n8,PETR4,2,4\n")
+    outs = [os.path.join(tmp_dir, n) for n in ("x", "y")]
+    statement_run.run_workbooks(spark, src, outs[0])
+    statement_run.run_tables(spark, tables, outs[1])
+    for mart in ("fct_stock_detail", "fct_monthly_wallet"):
+        one, two = (sorted(map(str, read_table(spark, f"{o}/marts", mart).collect())) for o in outs)
+        assert one == two and one
+    _csv(f"{tables}/raw_trades", "t-2024-julho.csv", "Ativo,Quantidade (Compra)\nPETR4,3\n")
+    with pytest.raises(QualityGateError, match="missing_key_column raw_trades"):
+        statement_run.run_tables(spark, tables, outs[1])
+    with pytest.raises(FileNotFoundError):
+        statement_run.run_tables(spark, src, outs[1])
+
+
+def test_a_run_killed_in_a_write_leaves_the_old_table(spark, tmp_dir):
+    from ledgerframe.sinks import replace, write_table
+
+    path = os.path.join(tmp_dir, "marts", "t")
+    old = spark.createDataFrame([("a", "2024-01")], "v string, _reference_period string")
+    new = spark.createDataFrame([("b", "2024-02")], old.schema)
+
+    def values():
+        return {r.v for r in read_table(spark, f"{tmp_dir}/marts", "t", old.schema).collect()}
+
+    write_table(old, path)
+
+    def stops(to):                                   # part of the new table is written, then the run ends
+        new.write.parquet(to)
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        replace(spark, path, stops)
+    assert values() == {"a"} and len(os.listdir(f"{tmp_dir}/marts")) == 2
+    os.rename(path, path + ".old")                   # it ends between the two renames
+    assert values() == {"a"}
+    os.rename(path, path + ".old")
+    write_table(new, path)
+    assert values() == {"b"} and os.listdir(f"{tmp_dir}/marts") == ["t"]
+    write_table(spark.read.parquet(path).select("v", "_reference_period"), path)    # reads what it replaces
+    assert values() == {"b"}

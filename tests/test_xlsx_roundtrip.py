@@ -40,7 +40,7 @@ def test_cells_round_trip(rows):
     got = list(parse_workbook("x-2024-junho.xlsx", io.BytesIO(content).getvalue()))
     names = [sanitize_header_py(h) for h in HEADER]
     assert len(got) == len(rows)
-    for (_, table, sheet, idx, width, cells), row in zip(got, rows):
+    for (_, table, sheet, _, width, _, _, cells), row in zip(got, rows):
         assert table == "raw_stock_positions" and sheet == "Posição - Ações" and width == 3
         want = {n: _expected(v) for n, v in zip(names, row) if _expected(v) is not None}
         assert cells == want
