@@ -84,39 +84,63 @@ def index_returns(month_close: DataFrame) -> DataFrame:
                                   (F.try_divide(F.col("close"), base) - 1) * 100)
 
 
-def _closes_by_symbol(month_close: DataFrame, symbols: dict[str, str]) -> DataFrame:
-    """One row per month: each symbol's close and whether the symbol has a
-    row that month (a month whose closes were all NULL still counts)."""
-    return month_close.groupBy(P).agg(*[
-        x for s, c in symbols.items()
-        for x in (F.max(F.when(F.col("symbol") == s, F.col("close"))).alias(f"_close_{c}"),
-                  F.max(F.when(F.col("symbol") == s, F.lit(1))).alias(f"_has_{c}"))])
-
-
-def price_series(month_close: DataFrame, symbols: dict[str, str]) -> Column:
-    """All price months in one sorted array (a scalar subquery): month grain, so
-    some twelve elements a year however many observations there are."""
-    closes = _closes_by_symbol(month_close, symbols)
-    return closes.agg(F.sort_array(F.collect_list(F.struct(P, *[
-        F.col(f"{x}_{c}") for c in symbols.values() for x in ("_close", "_has")]))).alias("s")).scalar()
+def _by_symbol(rows: DataFrame, group: str, name: str) -> DataFrame:
+    """One row per month: a map of the symbols that have a row and their closes."""
+    return rows.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct("symbol", "close"))).alias(name))
+
+
+def base_closes(month_close: DataFrame) -> DataFrame:
+    """As-of side of the returns: ``(symbol, _start, close)`` with a symbol's close in its
+    first price month at or after the month ``_start``, for every month after the
+    symbol's first one up to its last.  A price month is the base of the months that
+    follow the price month before it, so the as-of join becomes an equi-join on the
+    start month; a symbol has one row for each month it spans."""
+    before = F.lag(P).over(Window.partitionBy("symbol").orderBy(P))
+    months = F.sequence(F.add_months(period_first_day("_before"), 1), period_first_day(P),
+                        F.expr("interval 1 month"))
+    return (month_close.withColumn("_before", before).filter(F.col("_before").isNotNull())
+            .select("symbol", "close", F.explode(months).alias("_month"))
+            .select("symbol", period_of("_month").alias("_start"), "close"))
+
+
+def _with_closes(rows: DataFrame, month_close: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """Adds to month rows with ``_start`` (the portfolio's first period) the closes of
+    their month and the base closes of their start, each a map by symbol, by two
+    month-grain joins.  A start at or before a symbol's first price month has that
+    month's close as its base (``_first``: one entry for each symbol)."""
+    listed = month_close.filter(F.col("symbol").isin(*symbols))
+    first = listed.groupBy("symbol").agg(F.min_by(F.struct(P, "close"), P).alias("f")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct("symbol", "f")))).scalar()
+    return (rows.join(_by_symbol(listed, P, "_closes"), P, "left")
+            .join(_by_symbol(base_closes(listed), "_start", "_bases"), "_start", "left")
+            .withColumn("_first", first))
+
+
+def _raw_return(symbol: Column) -> Column:
+    """Return of one symbol since its base, NULL where there is no price."""
+    first = F.try_element_at("_first", symbol)
+    base = F.when(F.col("_start") <= first[P], first["close"]).otherwise(F.try_element_at("_bases", symbol))
+    return F.when(F.col("_valid"), (F.try_divide(F.try_element_at("_closes", symbol), base) - 1) * 100)
 
 
 def _with_index_returns(rows: DataFrame, month_close: DataFrame,
                         symbols: dict[str, str]) -> DataFrame:
     """Adds one raw return column per symbol to month rows that carry
-    ``_start`` (the portfolio's first period) and ``_valid``.  A symbol's base is
-    its close in its first price month at or after ``_start``; the close of the
-    row's own month and the base both come from the one price series."""
-    rows = rows.withColumn("_series", price_series(month_close, symbols))
-    now = F.get(F.filter("_series", lambda x: x[P] == F.col(P)), F.lit(0))
-
-    def base(c: str) -> Column:
-        return F.get(F.filter("_series", lambda x: (x[P] >= F.col("_start")) & (x[f"_has_{c}"] == 1)),
-                     F.lit(0))[f"_close_{c}"]
-
-    return rows.withColumns({c: F.when(
-        F.col("_valid"), (F.try_divide(now[f"_close_{c}"], base(c)) - 1) * 100)
-        for c in symbols.values()}).drop("_series")
+    ``_start`` and ``_valid``."""
+    return _with_closes(rows, month_close, list(symbols)) \
+        .withColumns({c: _raw_return(F.lit(s)) for s, c in symbols.items()}) \
+        .drop("_closes", "_bases", "_first")
+
+
+def index_returns_long(month_close: DataFrame, periods: DataFrame, symbols: Sequence[str],
+                       keys: Sequence[str] = ()) -> DataFrame:
+    """B4 + B5 in long form for any list of symbols: ``(keys, period, symbol,
+    return_pct)``, the last known return carried forward, 0 before the first one."""
+    rows = _with_closes(_portfolio_months(periods, keys), month_close, symbols)
+    each = rows.withColumn("symbol", F.explode(F.array(*[F.lit(s) for s in symbols])))
+    return each.select(*keys, P, "symbol", F.coalesce(
+        F.last(_raw_return(F.col("symbol")), ignorenulls=True).over(_running([*keys, "symbol"])),
+        F.lit(0.0)).alias("return_pct"))
 
 
 def _portfolio_months(periods: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:

@@ -249,6 +249,13 @@ def b5_index_returns(spark: SparkSession, d: str) -> DataFrame:
     return round_doubles(_indices(spark, d, marts(spark, d)))
 
 
+def b5_index_returns_long(spark: SparkSession, d: str) -> DataFrame:
+    """B4, B5 in long form for every symbol that has prices, and one that has none."""
+    m = marts(spark, d)
+    return round_doubles(B.index_returns_long(B.month_end_close(_prices(spark, d)), periods_of(m), [
+        *B.SYMBOL_COLUMNS, "DIVO11.PRE", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "NONE"]))
+
+
 def b7_performance(spark: SparkSession, d: str) -> DataFrame:
     m = marts(spark, d)
     return round_doubles(B.benchmark_comparison(
@@ -261,6 +268,7 @@ QUERIES.update({
     "b3_month_end_close": b3_month_end_close,
     "b4_index_returns": b4_index_returns,
     "b5_index_returns": b5_index_returns,
+    "b5_index_returns_long": b5_index_returns_long,
     "b7_performance": b7_performance,
 })
 

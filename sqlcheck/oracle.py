@@ -555,6 +555,16 @@ ORACLE.update({
     "b3_month_end_close": rounded("SELECT * FROM month_close", ["close"], BENCH),
     "b4_index_returns": rounded("SELECT * FROM index_returns", ["close", "return_pct"], BENCH),
     "b5_index_returns": rounded("SELECT * FROM indices", ["ibov_return", "divo11_return"], BENCH),
+    "b5_index_returns_long": rounded("""
+        SELECT p._reference_period, s.symbol,
+               coalesce(last_value(r.return_pct IGNORE NULLS) OVER (
+                 PARTITION BY s.symbol ORDER BY p._reference_period
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS return_pct
+        FROM periods p
+        CROSS JOIN (VALUES ('^BVSP'), ('DIVO11.SA'), ('DIVO11.PRE'), ('3-MEDIUM'), ('4-NOT SPECIFIED'),
+                           ('5-LOW'), ('NONE')) AS s(symbol)
+        LEFT JOIN index_returns r ON r.symbol = s.symbol AND r._reference_period = p._reference_period""",
+                                     ["return_pct"], BENCH),
     "b7_performance": rounded("SELECT * FROM performance", [
         "pct_return", "cdi_cumulative", "ibov_return", "divo11_return"], BENCH),
 })

@@ -130,3 +130,31 @@ def test_first_month_with_only_null_closes_is_still_the_base(spark):
     assert [got[p].ibov_return for p in ("2024-01", "2024-02", "2024-03")] == [0.0, 0.0, 0.0]
     # the other symbol starts later and has its own base
     assert got["2024-03"].divo11_return == pytest.approx(10.0)
+
+
+def test_long_returns_have_a_base_for_every_start(spark):
+    """Owners that start before, between and after price months, against a plain loop."""
+    months = [f"2023-{m:02d}" for m in range(1, 13)]
+    price = {"A": {"2023-03": 10.0, "2023-04": None, "2023-07": 20.0, "2023-11": 5.0},
+             "B": {"2023-01": 1.0}, "C": {"2023-06": None, "2023-08": 4.0, "2023-09": 6.0}}
+    closes = spark.createDataFrame([(s, m, c) for s, of in price.items() for m, c in of.items()],
+                                   "symbol string, _reference_period string, close double")
+    starts = {"x": 0, "y": 3, "z": 4, "w": 11}
+    periods = spark.createDataFrame([(o, m) for o, i in starts.items() for m in months[i:]],
+                                    "owner string, _reference_period string")
+    want = {}
+    for o, i in starts.items():
+        for s in [*price, "none"]:
+            of, last = price.get(s, {}), 0.0
+            base = next((of[m] for m in sorted(of) if m >= months[i]), None)
+            for m in months[i:]:
+                if base and of.get(m) is not None:
+                    last = (of[m] / base - 1) * 100
+                want[o, m, s] = round(last, 9)
+    got = {(r.owner, r._reference_period, r.symbol): round(r.return_pct, 9) for r in B.index_returns_long(
+        closes, periods, [*price, "none"], ["owner"]).collect()}
+    assert got == want
+    wide = B.forward_fill_returns(B.index_returns_for_periods(
+        closes, periods, ["owner"], {"A": "a", "C": "c"}), ["owner"], {"A": "a", "C": "c"}).collect()
+    assert {(r.owner, r._reference_period): (round(r.a, 9), round(r.c, 9)) for r in wide} \
+        == {(o, m): (want[o, m, "A"], want[o, m, "C"]) for o, m, s in want if s == "A"}
