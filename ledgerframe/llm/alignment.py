@@ -32,6 +32,7 @@ empty result; other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import itertools
 import json
@@ -303,8 +304,13 @@ def _blocks(data, id_type: pa.DataType):
     def run(batches):
         tool, number = aligner(*data.value), TaskContext.get().partitionId() << 32
         for ids, texts in _texts(batches):
-            block = Block(tool, texts)
-            docs, n = block.documents(), len(ids)
+            # spans are many small tuples without cycles: no use in searching them for any
+            gc.disable()
+            try:
+                block = Block(tool, texts)
+                docs, n = block.documents(), len(ids)
+            finally:
+                gc.enable()
             own = {"pair": pa.array(block.pairs), "times": pa.array(block.times),
                    "first": pa.array(block.first.astype(np.int32)), "at": pa.array(block.at.astype(np.int32))}
             # the arrays of the block stand in the first row, the documents in the others
