@@ -15,12 +15,14 @@ _FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one
-    only where that is unset (tests, local runs)."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only
+    in local mode.  Executors of a cluster could not read each other's folders."""
     named = spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = tempfile.mkdtemp(prefix="ledgerframe-shared-")
