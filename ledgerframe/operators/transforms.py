@@ -24,10 +24,18 @@ P = "_reference_period"
 ASSET_CLASSES = ("equity", "treasury", "fixed_income")
 
 
+#: The file that a row comes from, where staging carries it.
+FILE = "_source_file"
+
+
 def _k(keys: Sequence[str]) -> list[str]:
     return list(keys)
 
 
+def _lineage(df: DataFrame) -> list[str]:
+    return [FILE] if FILE in df.columns else []
+
+
 # ---------------------------------------------------------------- trades ----
 def traded() -> Column:
     """T1 keeps lots with a buy or a sell."""
@@ -44,41 +52,59 @@ def int_trades_clean(stg_trades: DataFrame, keys: Sequence[str] = ()) -> DataFra
                     (F.col("sell_quantity") * F.col("avg_sell_price")).alias("total_sell_value")))
 
 
-def int_weighted_avg_price(trades_clean: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Whole-history weighted average purchase price per ticker (sells
-    never reduce it)."""
+def purchases(trades_clean: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """What T2 adds up: shares and cost of every lot bought at a price."""
     bought = trades_clean.filter((F.col("buy_quantity") > 0) & (F.col("avg_buy_price") > 0))
+    return bought.select(*_k(keys), "ticker", F.col("buy_quantity").alias("total_shares_bought"),
+                         F.col("total_buy_cost").alias("total_invested"), *_lineage(bought))
+
+
+def weighted_price(bought: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """T2 of :func:`purchases`, or of sums of them."""
     return (bought.groupBy(*_k(keys), "ticker")
-            .agg(F.sum("buy_quantity").alias("total_shares_bought"),
-                 F.sum("total_buy_cost").alias("total_invested"))
+            .agg(F.sum("total_shares_bought").alias("total_shares_bought"),
+                 F.sum("total_invested").alias("total_invested"))
             .select("*", safe_ratio(F.col("total_invested"), F.col("total_shares_bought"))
                     .alias("weighted_avg_price")))
 
 
+def int_weighted_avg_price(trades_clean: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Whole-history weighted average purchase price per ticker (sells
+    never reduce it)."""
+    return weighted_price(purchases(trades_clean, keys), keys)
+
+
 # ------------------------------------------------------------- positions ----
-def int_all_equity_positions(stg_stock: DataFrame, stg_etf: DataFrame,
-                             keys: Sequence[str] = ()) -> DataFrame:
-    """Stocks and ETFs stacked, then per ticker x type x month: quantity,
-    quantity-weighted close, current value."""
-    def tagged(df: DataFrame, subtype: str, asset_type: str) -> DataFrame:
-        return df.select(*_k(keys), "ticker", "product_name", "institution",
-                         F.col(subtype).alias("asset_subtype"),
-                         F.lit(asset_type).alias("asset_type"),
-                         "quantity", "closing_price", "current_value", P)
-
-    stocks = tagged(stg_stock, "stock_type", "stock")
-    etfs = tagged(stg_etf, "etf_type", "etf")
-    return (stocks.unionByName(etfs)
-            .groupBy(*_k(keys), "ticker", "asset_type", P)
-            .agg(F.sum("quantity").alias("total_quantity"),
-                 F.sum(F.col("closing_price") * F.col("quantity")).alias("_close_x_qty"),
-                 F.sum("current_value").alias("total_current_value"))
+def holdings(stg_stock: DataFrame, stg_etf: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """What T3 adds up: stocks and ETFs stacked."""
+    def tagged(df: DataFrame, asset_type: str) -> DataFrame:
+        return df.select(*_k(keys), "ticker", F.lit(asset_type).alias("asset_type"), P,
+                         F.col("quantity").alias("total_quantity"),
+                         (F.col("closing_price") * F.col("quantity")).alias("close_x_quantity"),
+                         F.col("current_value").alias("total_current_value"), *_lineage(df))
+
+    return tagged(stg_stock, "stock").unionByName(tagged(stg_etf, "etf"))
+
+
+def positions(held: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """T3 of :func:`holdings`, or of sums of them."""
+    return (held.groupBy(*_k(keys), "ticker", "asset_type", P)
+            .agg(F.sum("total_quantity").alias("total_quantity"),
+                 F.sum("close_x_quantity").alias("_close_x_qty"),
+                 F.sum("total_current_value").alias("total_current_value"))
             .select(*_k(keys), "ticker", "asset_type", P, "total_quantity",
                     safe_ratio(F.col("_close_x_qty"), F.col("total_quantity"))
                     .alias("avg_closing_price"),
                     "total_current_value"))
 
 
+def int_all_equity_positions(stg_stock: DataFrame, stg_etf: DataFrame,
+                             keys: Sequence[str] = ()) -> DataFrame:
+    """Stocks and ETFs stacked, then per ticker x type x month: quantity,
+    quantity-weighted close, current value."""
+    return positions(holdings(stg_stock, stg_etf, keys), keys)
+
+
 def _class_rows(equity: DataFrame, stg_treasury: DataFrame, stg_fixed: DataFrame,
                 keys: Sequence[str], equity_invested: Column | None = None) -> DataFrame:
     """Long form ``(keys, period, asset_class, value, invested)`` of the three
@@ -205,13 +231,22 @@ def fct_stock_detail(equity_positions: DataFrame, avg_price: DataFrame,
 
 
 # ----------------------------------------------------------------- income ----
+def payments(stg_div: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """What T11 adds up: income and shares of every payment."""
+    return stg_div.select(*_k(keys), ticker_from_product("product_name").alias("ticker"), P, "event_type",
+                          F.col("net_value").alias("total_income"), F.col("quantity").alias("total_shares"),
+                          F.lit(1).cast("long").alias("num_payments"), *_lineage(stg_div))
+
+
+def dividend_summary(paid: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """T11 of :func:`payments`, or of sums of them."""
+    return (paid.groupBy(*_k(keys), "ticker", P, "event_type")
+            .agg(*[F.sum(c).alias(c) for c in ("total_income", "total_shares", "num_payments")]))
+
+
 def fct_dividend_summary(stg_div: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Income per ticker x month x event type."""
-    return (stg_div.withColumn("ticker", ticker_from_product("product_name"))
-            .groupBy(*_k(keys), "ticker", P, "event_type")
-            .agg(F.sum("net_value").alias("total_income"),
-                 F.sum("quantity").alias("total_shares"),
-                 F.count(F.lit(1)).alias("num_payments")))
+    return dividend_summary(payments(stg_div, keys), keys)
 
 
 def _by(staged: DataFrame, keys: Sequence[str], columns: Sequence[str], aggregates: list[Column]) -> DataFrame:

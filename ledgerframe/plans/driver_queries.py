@@ -27,6 +27,7 @@ from ..sources import landing as LA
 from ..sources import series as SR
 from ..sources import tpch_adapter as A
 from ..sources import workbook as WB
+from . import maintained as MT
 from .marts import Marts, build_marts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,7 +505,43 @@ def i11_column_manifest(spark: SparkSession, d: str) -> DataFrame:
     return WB.column_manifest(landed_lots(spark, d)).select("source_file", "column_name", "n_values")
 
 
+#: Files that were sent wrong first and again later.
+RESENT = "statement-1995-%"
+
+
+def _maintained(spark: SparkSession, d: str) -> Marts:
+    """The models over sums by landing: all files in the first, where those of one year
+    have every measure doubled and a file of its own that is gone since; that year's
+    files again in the second.  What is named at the end are the right sums."""
+    m = marts(spark, d)
+    again, batches = F.col(MT.FILE).like(RESENT), {}
+    for name, right in MT.sums_by_file(m.staging).items():
+        measures = MT.PARTS[name].measures
+        wrong = right.withColumns({c: F.when(again, F.col(c) * 2).otherwise(F.col(c)) for c in measures})
+        gone = right.where(again).withColumn(MT.FILE, F.concat(F.lit("gone-"), MT.FILE))
+        first, zero = wrong.unionByName(gone), F.lit(0).cast("long")
+        batches[name] = first.withColumn("batch", zero).unionByName(
+            right.where(again).withColumn("batch", zero + 1))
+    files = reduce(DataFrame.union, [b.select(F.col(MT.FILE).alias("source_file"), "batch")
+                                     for b in batches.values()])
+    manifest = files.where(~F.col("source_file").startswith("gone-")) \
+        .groupBy("source_file").agg(F.max("batch").alias("batch"))
+    return build_marts(A.raw_tables(spark, d), sums={n: MT.named(b, manifest) for n, b in batches.items()})
+
+
+def t15_maintained_wallet(spark: SparkSession, d: str) -> DataFrame:
+    """T9 from sums of two landings, the second of which corrects the first."""
+    return round_doubles(_maintained(spark, d).monthly_wallet)
+
+
+def t15_maintained_detail(spark: SparkSession, d: str) -> DataFrame:
+    """T10 from the same sums."""
+    return round_doubles(_maintained(spark, d).stock_detail)
+
+
 QUERIES.update({
+    "t15_maintained_wallet": t15_maintained_wallet,
+    "t15_maintained_detail": t15_maintained_detail,
     "i4_landed_by_header": i4_landed_by_header,
     "i11_missing_key": i11_missing_key,
     "i11_column_manifest": i11_column_manifest,

@@ -25,6 +25,7 @@ from ..operators import staging as S
 from ..operators import transforms as T
 from ..operators.report import P, latest_rows
 from .lazy import LazyTables
+from .maintained import PARTS
 
 
 class Marts:
@@ -32,8 +33,12 @@ class Marts:
     tables.  Each model is built on first access; accessing one model builds
     only the models it depends on."""
 
-    def __init__(self, raw, keys: Sequence[str] = (), **overrides: DataFrame):
+    def __init__(self, raw, keys: Sequence[str] = (), sums: dict[str, DataFrame] | None = None,
+                 **overrides: DataFrame):
+        """``sums``: sums that stand in for the rows that the models add up
+        (:mod:`.maintained`)."""
         self.keys = tuple(keys)
+        self.sums = dict(sums or {})
         self.staging = S.stage_all(raw, self.keys)
         self._overrides = overrides
 
@@ -45,6 +50,10 @@ class Marts:
             cache[name] = build()
         return cache[name]
 
+    def part(self, name: str) -> DataFrame:
+        """The rows that a model adds up, or maintained sums of them."""
+        return self.sums[name] if name in self.sums else PARTS[name].rows(self.staging, self.keys)
+
     @property
     def trades_clean(self) -> DataFrame:
         return self._get("trades_clean",
@@ -53,24 +62,22 @@ class Marts:
     @property
     def weighted_avg_price(self) -> DataFrame:
         return self._get("weighted_avg_price",
-                         lambda: T.int_weighted_avg_price(self.trades_clean, self.keys))
+                         lambda: T.weighted_price(self.part("purchases"), self.keys))
 
     @property
     def equity_positions(self) -> DataFrame:
-        return self._get("equity_positions", lambda: T.int_all_equity_positions(
-            self.staging["stg_stock_positions"], self.staging["stg_etf_positions"], self.keys))
+        return self._get("equity_positions", lambda: T.positions(self.part("holdings"), self.keys))
 
     @property
     def monthly_value(self) -> DataFrame:
         return self._get("monthly_value", lambda: T.int_monthly_portfolio_value(
-            self.equity_positions, self.staging["stg_treasury_bonds"],
-            self.staging["stg_fixed_income"], self.keys))
+            self.equity_positions, self.part("treasury"), self.part("fixed_income"), self.keys))
 
     @property
     def monthly_wallet(self) -> DataFrame:
         return self._get("monthly_wallet", lambda: T.fct_monthly_wallet(
-            self.equity_positions, self.weighted_avg_price, self.staging["stg_treasury_bonds"],
-            self.staging["stg_fixed_income"], self.keys))
+            self.equity_positions, self.weighted_avg_price, self.part("treasury"),
+            self.part("fixed_income"), self.keys))
 
     @property
     def stock_detail(self) -> DataFrame:
@@ -95,18 +102,18 @@ class Marts:
 
     @property
     def dividend_summary(self) -> DataFrame:
-        return self._get("dividend_summary", lambda: T.fct_dividend_summary(
-            self.staging["stg_dividends"], self.keys))
+        return self._get("dividend_summary", lambda: T.dividend_summary(
+            self.part("payments"), self.keys))
 
     @property
     def treasury_summary(self) -> DataFrame:
         return self._get("treasury_summary", lambda: T.fct_treasury_summary(
-            self.staging["stg_treasury_bonds"], self.keys))
+            self.part("treasury"), self.keys))
 
     @property
     def fixed_income_summary(self) -> DataFrame:
         return self._get("fixed_income_summary", lambda: T.fct_fixed_income_summary(
-            self.staging["stg_fixed_income"], self.keys))
+            self.part("fixed_income"), self.keys))
 
     _MODELS = {
         "int_trades_clean": "trades_clean",
@@ -147,13 +154,13 @@ class Marts:
         """The same models with some marts replaced by stored tables (read
         back after writing), keyed by relation name."""
         m = Marts.__new__(Marts)
-        m.keys, m.staging = self.keys, self.staging
+        m.keys, m.staging, m.sums = self.keys, self.staging, self.sums
         m._overrides = {**self._overrides,
                         **{self._MODELS[k]: v for k, v in stored.items()}}
         m.__dict__["_cache"] = {}   # models derived from replaced ones are rebuilt on access
         return m
 
 
-def build_marts(raw, keys: Sequence[str] = ()) -> Marts:
+def build_marts(raw, keys: Sequence[str] = (), sums: dict[str, DataFrame] | None = None) -> Marts:
     """All models over a mapping of raw tables (lazy; see :class:`Marts`)."""
-    return Marts(raw, keys)
+    return Marts(raw, keys, sums)

@@ -27,6 +27,7 @@ from ..sinks import exists, read_table, replace, write_report, write_tables
 from ..sources import landing as LA
 from ..sources import workbook as WB
 from ..sources.incremental import land_changes
+from .maintained import maintain
 from .marts import build_marts
 
 
@@ -64,9 +65,10 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
         keys: Sequence[str] = (), gate: bool = True, csv_report: bool = False,
         sales_threshold: float = R.SALES_EXEMPTION_LIMIT,
         rates: DataFrame | None = None, prices: DataFrame | None = None,
-        landed: DataFrame | None = None) -> RunResult:
+        landed: DataFrame | None = None, sums: dict[str, DataFrame] | None = None) -> RunResult:
     """Run everything from raw tables already in memory or on storage.
-    ``landed``: the workbook rows they come from, for the landing checks.
+    ``landed``: the workbook rows they come from, for the landing checks.  ``sums``:
+    maintained sums of them (:mod:`.maintained`) that the models read in their place.
     ``rates`` ``(date, rate_pct)`` and ``prices`` ``(symbol, date, close)``
     are the landed benchmark series (see :mod:`ledgerframe.sources.series`)."""
     raw_root, mart_root = f"{out_dir}/raw", f"{out_dir}/marts"
@@ -88,7 +90,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
             Q.stop_on_failures(new)
 
     check(WB.landing_checks(stored_raw, landed))
-    marts = build_marts(stored_raw, keys)
+    marts = build_marts(stored_raw, keys, sums)
     check(Q.run_checks(marts.staging, keys))
 
     # The weighted price (ticker grain) and the equity positions (ticker x
@@ -124,7 +126,8 @@ def run_workbooks(spark: SparkSession, folder: str, out_dir: str, keys: Sequence
     Every workbook is decoded once: the landed sheet rows are written (by
     raw table) and the seven raw tables are conformed from that copy, which
     also cuts the lineage back to the files.  ``incremental`` decodes only the
-    files that are new or changed since the last run (:mod:`..sources.incremental`).
+    files that are new or changed since the last run (:mod:`..sources.incremental`) and
+    adds only their rows up for the models (:mod:`.maintained`).
     With ``keys`` (or ``nested``) files of folders below count too, ``key=value`` or
     others such as ``2023/``.  Files that cannot be
     decoded are listed in ``<out_dir>/unreadable_workbooks``, texts that do not
@@ -134,6 +137,7 @@ def run_workbooks(spark: SparkSession, folder: str, out_dir: str, keys: Sequence
     files = WB.list_workbooks(spark, folder, nested=nested or bool(keys))
     if incremental:
         stored = land_changes(spark, files, f"{out_dir}/landing")
+        kw["sums"] = maintain(spark, f"{out_dir}/landing", keys)
     else:
         landed_path = f"{out_dir}/landed_rows"
         rows = WB.land_workbooks(files)

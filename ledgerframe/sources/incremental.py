@@ -49,8 +49,16 @@ def land_changes(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
     here.join(known.select(*identity, "batch"), identity, "left") \
         .withColumn("batch", F.coalesce("batch", F.lit(batch))) \
         .write.mode("overwrite").parquet(f"{root}/manifest/version={batch}")
-    _, now = _last_manifest(spark, root)
-    schema = T.StructType([*WB.LANDED_SCHEMA.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(schema).parquet(f"{root}/rows")
-    return rows.join(now.select("source_file", "batch"), ["source_file", "batch"], "left_semi") \
+    return batches(spark, root).join(manifest(spark, root), ["source_file", "batch"], "left_semi") \
         .select(*WB.LANDED_SCHEMA.names)
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """(source_file, batch): the batch that holds the rows of each file there is now."""
+    return _last_manifest(spark, root)[1].select("source_file", "batch")
+
+
+def batches(spark: SparkSession, root: str) -> DataFrame:
+    """The landed rows of every batch, old ones too, with its number."""
+    schema = T.StructType([*WB.LANDED_SCHEMA.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{root}/rows")

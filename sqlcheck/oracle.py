@@ -876,3 +876,7 @@ ORACLE["i11_column_manifest"] = f"""
       UNION ALL SELECT file, 'Preco_de_Fechamento', count(*) FROM lots WHERE NOT sparse GROUP BY file
       UNION ALL SELECT file, 'Setor', count(*) FROM lots WHERE NOT sparse GROUP BY file)
     SELECT file AS source_file, c AS column_name, n AS n_values FROM cells WHERE n > 0"""
+
+# maintained by landing, the models are those of all right rows
+ORACLE["t15_maintained_wallet"] = ORACLE["t9_monthly_wallet"]
+ORACLE["t15_maintained_detail"] = ORACLE["t10_stock_detail"]
