@@ -13,8 +13,12 @@ failures BIGINT)``; ``failures`` counts what a failing test would return:
 
 All row-level checks of one table (not-null, ranges, accepted values and the
 singular invariants) run as a single aggregate pass over that table, and
-each uniqueness key set as one grouped pass; nothing is collected until
-:func:`gate` reads the small result (one row per check).
+each uniqueness key set as one grouped pass; a table with one key set and no
+accepted values needs that grouped pass only, whose groups carry the row counts.
+Nothing is collected until :func:`gate` reads the small result (one row per check).
+
+Row checks of a table that is being written cost no pass at all: :class:`Watch`
+counts them while the rows go by (``Observation``).
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, functions as F
 
 from .transforms import traded
 
@@ -157,24 +161,63 @@ def _one_pass(df: DataFrame, metrics: list[Metric]) -> DataFrame:
     return agg.select(F.inline(rows))
 
 
-def _duplicates(df: DataFrame, table: str, checks: list[Check], keys: Sequence[str]) -> DataFrame:
+def _duplicates(df: DataFrame, table: str, checks: list[Check], keys: Sequence[str],
+                rows: Sequence[Metric] = ()) -> DataFrame:
     """Uniqueness checks of one table that group by the same columns, from one
-    grouped pass: groups of two rows or more (``unique`` leaves NULL out)."""
+    grouped pass: groups of two rows or more (``unique`` leaves NULL out).  ``rows``:
+    row-level metrics that are counts, added up by group in the same pass."""
     columns = checks[0].columns
     twice = F.col("_group_rows") > 1
-    metrics = [("unique", table, columns[0], F.count_if(twice & F.col(columns[0]).isNotNull()))
+    metrics = [(name, t, col, F.coalesce(F.sum(f"_group_{i}"), F.lit(0)))
+               for i, (name, t, col, _) in enumerate(rows)]
+    metrics += [("unique", table, columns[0], F.count_if(twice & F.col(columns[0]).isNotNull()))
                if c.kind == "unique" else
                ("unique_combination_of_columns", table, ",".join([*keys, *columns]), F.count_if(twice))
                for c in checks]
-    return _one_pass(df.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("_group_rows")), metrics)
+    groups = df.groupBy(*keys, *columns).agg(
+        F.count(F.lit(1)).alias("_group_rows"),
+        *[m.alias(f"_group_{i}") for i, (_, _, _, m) in enumerate(rows)])
+    return _one_pass(groups, metrics)
+
+
+class Watch:
+    """Row count and row-level checks of one table, counted while it is written.
+
+    ``write_table(..., watch=Watch(name))`` counts in the last operator of the write, so in
+    its result stage: Spark adds the metrics of a result task once, however often a lost
+    executor makes it run.  Checks that count distinct values, and uniqueness, are not
+    additive and stay with :func:`batched_checks`."""
+
+    def __init__(self, table: str, declared: Sequence[Check] = GENERIC_CHECKS):
+        self.table = table
+        self.metrics = [m for c in declared if c.table == table and c.kind != "accepted_values"
+                        for m in _row_metrics(c)] + _singular_metrics(table)
+        self._seen = Observation()
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"),
+                          *[m.alias(f"_m{i}") for i, (_, _, _, m) in enumerate(self.metrics)])
+
+    @property
+    def rows(self) -> int:
+        """Rows written (waits for the write)."""
+        return self._seen.get["rows"]
+
+    def results(self) -> list[Row]:
+        """The checks' rows (RESULT_COLUMNS)."""
+        return [Row(check_name=name, table_name=t, column_name=col, failures=self._seen.get[f"_m{i}"])
+                for i, (name, t, col, _) in enumerate(self.metrics)]
 
 
 def batched_checks(tables: dict[str, DataFrame], kinds: Sequence[str] | None = None,
                    singular: bool | str = True, keys: Sequence[str] = (),
-                   declared: Sequence[Check] = GENERIC_CHECKS) -> DataFrame:
+                   declared: Sequence[Check] = GENERIC_CHECKS,
+                   watched: Sequence[str] = ()) -> DataFrame | None:
     """Declared checks (and the singular ones, or the one named) with one scan per
-    table for every row-level check, plus one grouped pass per uniqueness key set.
-    T1 keeps rows of S6 as they are, so both are checked in one pass."""
+    table for every row-level check, plus one grouped pass per uniqueness key set (see
+    above for when one pass does both).  T1 keeps rows of S6 as they are, so both are
+    checked in one pass.  ``watched``: tables whose rows a :class:`Watch` has counted.
+    None if nothing is left to check."""
     def of(table: str) -> list[Check]:
         return [c for c in declared if c.table == table and (kinds is None or c.kind in kinds)]
 
@@ -183,21 +226,26 @@ def batched_checks(tables: dict[str, DataFrame], kinds: Sequence[str] | None = N
     for table in tables:
         if together and table == "int_trades_clean":
             continue
-        metrics = [m for c in of(table) for m in _row_metrics(c)]
-        metrics += [m for m in _singular_metrics(table) if singular in (True, m[0])]
+        counts = [] if table in watched else [
+            *[m for c in of(table) if c.kind != "accepted_values" for m in _row_metrics(c)],
+            *[m for m in _singular_metrics(table) if singular in (True, m[0])]]
+        metrics = counts + [m for c in of(table) if c.kind == "accepted_values" for m in _row_metrics(c)]
         also = [m for c in of("int_trades_clean") for m in _row_metrics(c, traded())] \
             if together and table == "stg_trades" else []
+        unique = [c for c in of(table) if c.kind in ("unique", "unique_combination")]
+        if not also and metrics == counts and len({c.columns for c in unique}) == 1:
+            parts.append(_duplicates(tables[table], table, unique, keys, counts))
+            continue
         if metrics or also:              # tables without checks are never built
             df = tables[table]
             if also:
                 df = df.withColumn("total_buy_cost", F.col("buy_quantity") * F.col("avg_buy_price"))
             parts.append(_one_pass(df, metrics + also))
-        unique = [c for c in of(table) if c.kind in ("unique", "unique_combination")]
         for columns in dict.fromkeys(c.columns for c in unique):
             parts.append(_duplicates(tables[table], table, [c for c in unique if c.columns == columns],
                                      keys))
     # every part has RESULT_COLUMNS in order: a positional union is enough
-    return reduce(DataFrame.union, [p.select(*RESULT_COLUMNS) for p in parts])
+    return reduce(DataFrame.union, [p.select(*RESULT_COLUMNS) for p in parts]) if parts else None
 
 
 def generic_checks(tables: dict[str, DataFrame], kind: str | None = None,
@@ -208,10 +256,11 @@ def generic_checks(tables: dict[str, DataFrame], kind: str | None = None,
     return batched_checks(tables, kinds, singular=False, keys=keys)
 
 
-def run_checks(tables: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], keys: Sequence[str] = (),
+               watched: Sequence[str] = ()) -> DataFrame | None:
     """Q11 input: every generic and singular check over the given models,
     batched per table."""
-    return batched_checks(tables, keys=keys)
+    return batched_checks(tables, keys=keys, watched=watched)
 
 
 def singular_check(tables: dict[str, DataFrame], name: str) -> DataFrame:

@@ -5,9 +5,11 @@ previous one wrote.
 Writing the raw tables and marts and reading them back is also the lineage
 cut: a lost executor recomputes from the last written table, never from the
 workbooks.  Quality gates (Q11) run after the landing (nothing may be lost), the
-staging models, the intermediates - before any mart is overwritten - and the
-marts, each model once on what is stored, and stop the run on any failure.  All
-results are written to ``<out_dir>/checks``.
+staging models, the intermediates and the marts, each model once on what is stored,
+and stop the run on any failure.  Marts are written beside the old ones and take
+their places only after they passed.  Row counts (I14) and row checks of what a run
+writes are observed by the writes, without a scan.  All results are written to
+``<out_dir>/checks``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from ..operators import quality as Q
 from ..operators import report as R
 from ..operators import transforms as T
 from ..schemas import RAW_SCHEMAS
-from ..sinks import exists, read_table, replace, write_report, write_tables
+from ..sinks import exists, publish, read_table, replace, stage_table, write_report, write_tables
 from ..sources import landing as LA
 from ..sources import workbook as WB
 from ..sources.incremental import land_changes
@@ -72,17 +74,20 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     ``rates`` ``(date, rate_pct)`` and ``prices`` ``(symbol, date, close)``
     are the landed benchmark series (see :mod:`ledgerframe.sources.series`)."""
     raw_root, mart_root = f"{out_dir}/raw", f"{out_dir}/marts"
-    write_tables(raw, raw_root)                                        # K1
+    landing = {t: Q.Watch(t) for t in raw}
+    write_tables(raw, raw_root, watch=landing)                         # K1
     stored_raw = read_raw(spark, raw_root, {t: df.schema for t, df in raw.items()})
-    summary = WB.load_summary(stored_raw)                              # I14
+    summary = spark.createDataFrame([(t, w.rows) for t, w in landing.items()],
+                                    WB.SUMMARY_SCHEMA).coalesce(1)     # I14
 
     results: list = []
 
-    def check(found: DataFrame | None) -> None:
+    def check(found: DataFrame | None, observed: Sequence[Q.Watch] = ()) -> None:
         """One row per check: compute once, write all so far, stop on failures."""
-        if found is None:
+        new = [r for w in observed for r in w.results()]
+        new += found.select(*Q.RESULT_COLUMNS).collect() if found is not None else []
+        if not new:
             return
-        new = found.select(*Q.RESULT_COLUMNS).collect()
         results.extend(new)
         so_far = spark.createDataFrame(results, Q.RESULT_SCHEMA).coalesce(1)
         replace(spark, f"{out_dir}/checks", lambda to: so_far.write.parquet(to))
@@ -91,7 +96,9 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
 
     check(WB.landing_checks(stored_raw, landed))
     marts = build_marts(stored_raw, keys, sums)
-    check(Q.run_checks(marts.staging, keys))
+    models = marts.tables()
+    row_local = [n for n in models if n.startswith("stg_") or n == "int_trades_clean"]
+    check(Q.run_checks({n: models[n] for n in row_local}, keys))
 
     # The weighted price (ticker grain) and the equity positions (ticker x
     # month grain) feed several marts and checks: write them once and let
@@ -99,18 +106,24 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     # the position and trade tables.
     shared = {"int_weighted_avg_price": marts.weighted_avg_price,
               "int_all_equity_positions": marts.equity_positions}
-    write_tables(shared, f"{out_dir}/intermediate", partition_by=())
+    watches = {n: Q.Watch(n) for n in shared}
+    write_tables(shared, f"{out_dir}/intermediate", partition_by=(), watch=watches)
     marts = marts.with_stored({n: read_table(spark, f"{out_dir}/intermediate", n, df.schema)
                                for n, df in shared.items()})
     models = marts.tables()
-    check(Q.run_checks({n: models[n] for n in models if n.startswith("int_")}, keys))
+    check(Q.run_checks({n: models[n] for n in models if n.startswith("int_") and n not in row_local}, keys,
+                       watched=list(shared)), list(watches.values()))
 
     mart_dfs = dict(marts.mart_tables())
-    mart_paths = write_tables(mart_dfs, mart_root,
-                              order={m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()})
+    order = {m: [*keys, *cols[1:]] for m, cols in T.MART_ORDER.items()}
+    watches = {m: Q.Watch(m) for m in mart_dfs}
+    staged = {m: stage_table(df, f"{mart_root}/{m}", sort_within=order.get(m, ()), watch=watches[m])
+              for m, df in mart_dfs.items()}
+    check(Q.run_checks({m: spark.read.schema(mart_dfs[m].schema).parquet(to) for m, to in staged.items()},
+                       keys, watched=list(staged)), list(watches.values()))
+    mart_paths = {m: publish(spark, f"{mart_root}/{m}", to) for m, to in staged.items()}
     stored = {m: read_table(spark, mart_root, m, mart_dfs[m].schema) for m in mart_paths}  # K2
     stored_marts = marts.with_stored(stored)
-    check(Q.run_checks(stored, keys))
 
     sections = R.build_sections(stored_marts, keys=keys, sales_threshold=sales_threshold)
     sections.update(benchmark_sections(stored["fct_monthly_wallet"], rates, prices, keys))

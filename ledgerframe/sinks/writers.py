@@ -49,14 +49,27 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str
     under a name that :func:`recover` knows.  Leftovers of such runs are removed here.
     (One writer at a time, as for any overwrite; on an object store, whose renames
     copy, the old table is missing while they do.)"""
+    new = _beside(spark, path)
+    write(new)
+    return publish(spark, path, new)
+
+
+def _beside(spark: SparkSession, path: str) -> str:
+    """A new folder beside a table; those that ended runs left are removed."""
     fs, make = _files(spark, path)
     recover(spark, path)
-    target, old, new = make(path), make(path + OLD), f"{path}{NEW}{uuid.uuid4().hex}"
+    target = make(path)
     if target.getParent() is not None and fs.exists(target.getParent()):
         for left in fs.listStatus(target.getParent()):
             if left.getPath().getName().startswith(target.getName() + NEW):
                 fs.delete(left.getPath(), True)
-    write(new)
+    return f"{path}{NEW}{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, path: str, new: str) -> str:
+    """Let the complete table at ``new`` (of :func:`stage_table`) take the place of ``path``."""
+    fs, make = _files(spark, path)
+    target, old = make(path), make(path + OLD)
     if fs.exists(target):
         fs.delete(old, True)
         if not fs.rename(target, old):
@@ -67,10 +80,11 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str
     return path
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (P,),
-                sort_within: Sequence[str] = (), full_refresh: bool = True) -> str:
-    """Write one table; ``full_refresh`` replaces it (:func:`replace`), otherwise only
-    the partitions present in ``df`` are overwritten."""
+Watcher = Callable[[DataFrame], DataFrame]
+
+
+def _writer(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[str],
+            watch: Watcher | None, mode: str) -> Callable[[str], None]:
     # (rows are only clustered inside each written partition; no global sort)
     parts = [c for c in partition_by if c in df.columns]
     out = df
@@ -81,24 +95,47 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (P,),
         out = out.hint("rebalance", *parts)
     if sort_within:
         out = out.sortWithinPartitions(*[c for c in sort_within if c in df.columns])
+    if watch is not None:
+        out = watch(out)
 
     def write(to: str) -> None:
         writer = out.write.mode("overwrite")
         if parts:
             writer = writer.partitionBy(*parts)
-        writer.option("partitionOverwriteMode", "static" if full_refresh else "dynamic").parquet(to)
+        writer.option("partitionOverwriteMode", mode).parquet(to)
+
+    return write
+
 
+def stage_table(df: DataFrame, path: str, partition_by: Sequence[str] = (P,),
+                sort_within: Sequence[str] = (), watch: Watcher | None = None) -> str:
+    """Write a complete copy of a table beside ``path`` and return where it is: it can be
+    read and checked before :func:`publish` lets readers see it.  A copy that is never
+    published is removed by the next run."""
+    new = _beside(df.sparkSession, path)
+    _writer(df, partition_by, sort_within, watch, "static")(new)
+    return new
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (P,),
+                sort_within: Sequence[str] = (), full_refresh: bool = True,
+                watch: Watcher | None = None) -> str:
+    """Write one table; ``full_refresh`` replaces it (:func:`replace`), otherwise only
+    the partitions present in ``df`` are overwritten.  ``watch`` sees the rows as they
+    are written (:class:`..operators.quality.Watch`)."""
     if full_refresh:
-        return replace(df.sparkSession, path, write)
-    write(recover(df.sparkSession, path))
+        return replace(df.sparkSession, path, _writer(df, partition_by, sort_within, watch, "static"))
+    _writer(df, partition_by, sort_within, watch, "dynamic")(recover(df.sparkSession, path))
     return path
 
 
 def write_tables(tables, root: str, order: dict | None = None,
-                 full_refresh: bool = True, partition_by: Sequence[str] = (P,)) -> dict[str, str]:
-    order = order or {}
+                 full_refresh: bool = True, partition_by: Sequence[str] = (P,),
+                 watch: dict[str, Watcher] | None = None) -> dict[str, str]:
+    order, watch = order or {}, watch or {}
     return {name: write_table(tables[name], f"{root}/{name}", partition_by=partition_by,
-                              sort_within=order.get(name, ()), full_refresh=full_refresh)
+                              sort_within=order.get(name, ()), full_refresh=full_refresh,
+                              watch=watch.get(name))
             for name in tables}
 
 

@@ -536,6 +536,9 @@ def column_coercion_wide(df: DataFrame, group: list[str], columns: list[str]) ->
                         .otherwise(F.lit("text"))))
 
 
+SUMMARY_SCHEMA = "table_name string, row_count bigint"
+
+
 def load_summary(raw: dict[str, DataFrame]) -> DataFrame:
     """Row count per raw table (one aggregate per table, unioned)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(t))

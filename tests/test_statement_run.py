@@ -262,3 +262,49 @@ def test_a_run_killed_in_a_write_leaves_the_old_table(spark, tmp_dir):
     assert values() == {"b"} and os.listdir(f"{tmp_dir}/marts") == ["t"]
     write_table(spark.read.parquet(path).select("v", "_reference_period"), path)    # reads what it replaces
     assert values() == {"b"}
+
+
+def test_a_bad_mart_is_never_published(spark, tmp_dir):
+    from fixtures import pos, raw_set, trade
+
+    good = raw_set(spark, raw_stock_positions=[pos("A", 1, 1.0, 1.0, "2024-01")],
+                   raw_trades=[trade("A", 1.0, 1.0, 0.0, 0.0, "2024-01")])
+    bad = raw_set(spark, raw_stock_positions=[pos("A", 2, 1.0, 2.0, "2024-13"), pos("A", 2, 1.0, 2.0, "later")],
+                  raw_trades=[trade("A", 1.0, 1.0, 0.0, 0.0, "2024-01")])
+    out = os.path.join(tmp_dir, "out")
+
+    def months(mart):
+        return {r._reference_period for r in read_table(spark, f"{out}/marts", mart).collect()}
+
+    statement_run.run(spark, good, out)
+    with pytest.raises(QualityGateError, match="reference_period_format fct_"):
+        statement_run.run(spark, bad, out)
+    assert months("fct_stock_detail") == months("fct_monthly_wallet") == {"2024-01"}
+    checks = {(r.check_name, r.table_name): r.failures for r in spark.read.parquet(f"{out}/checks").collect()}
+    assert checks["reference_period_format", "fct_stock_detail"] == 1
+    statement_run.run(spark, good, out)                     # copies that were not published are gone
+    assert not [d for d in os.listdir(f"{out}/marts") if ".new-" in d]
+
+
+def test_observed_counts_equal_a_scan(spark, tmp_dir):
+    """Row counts and row checks seen by a write are those of the stored table, on rows
+    that fail, on NULLs and on an empty table."""
+    from ledgerframe.operators import quality as Q
+    from ledgerframe.sinks import write_table
+    from ledgerframe.sources import workbook as WB
+
+    rows = spark.range(1000).selectExpr(
+        "if(id % 7 = 0, null, concat('T', id % 50)) as ticker",
+        "if(id % 3 = 0, '2024-01', if(id % 11 = 0, null, 'x')) as _reference_period",
+        "cast(if(id % 5 = 0, null, id - 20) as double) as total_quantity",
+        "cast(id % 4 as double) as current_closing_price", "cast(id as double) as total_current_value")
+    for name, df in (("some", rows), ("none", rows.where("total_current_value < 0"))):
+        path, watch = os.path.join(tmp_dir, name), Q.Watch("fct_stock_detail")
+        write_table(df, path, sort_within=["ticker"], watch=watch)
+        back = spark.read.schema(df.schema).parquet(path)
+        seen = [tuple(r[c] for c in Q.RESULT_COLUMNS) for r in watch.results()]
+        left = Q.run_checks({"fct_stock_detail": back}, watched=["fct_stock_detail"]).collect()
+        scan = Q.run_checks({"fct_stock_detail": back}).collect()
+        assert sorted([*seen, *map(tuple, left)]) == sorted(map(tuple, scan)) and len(seen) == 8
+        assert [watch.rows] == [r.row_count for r in WB.load_summary({"t": back}).collect()]
+    assert {f for *_, f in seen} == {0}
