@@ -6,8 +6,10 @@
    digest held by more than ``support`` of the rows is among them.
 3. The proposals are counted exactly; those that do hold ``support`` of the rows
    are the winners.  At most ``1 / support`` rows, so they can be broadcast.
-4. Rows of a winner that do not stay are settled map-side.  All other rows
-   (each remaining group is below ``support`` of the input) go through one
+4. The report settles all rows of a winner map-side: rows are numbered once, in the
+   stored digests, and of the rows with the winning id the one with the largest
+   number stays, so rows that repeat id and text together meet in no task.  All other
+   rows (each remaining group is below ``support`` of the input) go through one
    ordinary shuffle on the digest.
 
 Only DataFrame functions are used; whole texts are never shuffled for the
@@ -50,20 +52,30 @@ def heavy_digests(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
 def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                      support: float = SUPPORT) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = stored(digests(docs, text_col, id_col), "digests")
-    marked = rows.join(F.broadcast(stored(heavy_digests(rows, support), "heavy")), "sha", "left")
-    settled = F.col("heavy_size").isNotNull() & ~F.col("id").eqNullSafe(F.col("top_id"))
-    dropped = marked.where(settled).select(
+    rows = stored(digests(docs, text_col, id_col)
+                  .withColumn("number", F.monotonically_increasing_id()), "digests")
+    heavy = stored(_with_stay(rows, stored(heavy_digests(rows, support), "heavy")), "winners")
+    marked = rows.join(F.broadcast(heavy), "sha", "left")
+    settled = marked.where(F.col("heavy_size").isNotNull()).select(
         F.col("id").alias("doc_id"), F.col("top_id").alias("keep_id"),
-        F.col("heavy_size").alias("group_size"), F.lit(False).alias("kept"),
+        F.col("heavy_size").alias("group_size"), (F.col("number") == F.col("stay")).alias("kept"),
         F.col("sha").alias("text_sha256"))
     same = Window.partitionBy("sha")
-    shuffled = marked.where(~settled).select(
+    shuffled = marked.where(F.col("heavy_size").isNull()).select(
         F.col("id").alias("doc_id"), F.max("id").over(same).alias("keep_id"),
-        F.coalesce("heavy_size", F.count("*").over(same)).alias("group_size"),
+        F.count("*").over(same).alias("group_size"),
         (F.row_number().over(same.orderBy(F.col("id").desc_nulls_last())) == 1).alias("kept"),
         F.col("sha").alias("text_sha256"))
-    return dropped.unionByName(shuffled)
+    return settled.unionByName(shuffled)
+
+
+def _with_stay(rows: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``heavy`` with the number of the row that stays (``stay``), found by partial
+    aggregation; as many rows as ``heavy``."""
+    last = (rows.join(F.broadcast(heavy), "sha")
+            .where(F.col("id").eqNullSafe(F.col("top_id")))
+            .groupBy("sha").agg(F.max("number").alias("stay")))
+    return heavy.join(last, "sha")
 
 
 def drop_exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",

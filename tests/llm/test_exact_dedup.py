@@ -3,6 +3,8 @@ from collections import defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerframe.llm import exact_dedup as D
 
 from .conftest import rows_of
@@ -60,3 +62,20 @@ def test_empty_table(no_docs):
 def test_no_python_in_the_plan(edge_docs):
     plan = D.exact_duplicates(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("hot_id", [7, None])
+def test_rows_that_repeat_id_and_text_are_settled_without_a_shuffle(spark, hot_id):
+    """A third of the rows is one row repeated: one stays, and the shuffled part of the
+    report holds none of them."""
+    rows = [(hot_id, "hot")] * 300 + [(i, f"text {i % 400}") for i in range(10, 610)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    report = D.exact_duplicates(docs, support=0.1)
+    got = rows_of(report)
+    hot = [r for r in got if r["text_sha256"] == sha("hot")]
+    assert len(got) == 900 and len(hot) == 300 and sum(r["kept"] for r in hot) == 1
+    assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in hot} == {(hot_id, hot_id, 300)}
+    assert sum(r["kept"] for r in got) == 401
+    numbered = D.digests(docs).withColumn("number", F.monotonically_increasing_id())
+    found = D.heavy_digests(numbered, 0.1)
+    assert found.count() == D._with_stay(numbered, found).count() == 1
