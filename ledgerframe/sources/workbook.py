@@ -36,7 +36,7 @@ from io import BytesIO
 from xml.etree import ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.numeric import parse_decimal_comma
 from ..functions.periods import period_from_filename
@@ -418,10 +418,29 @@ def conform_raw(landed: DataFrame, table: str, keys: Sequence[str] = (), extensi
         rejected_cells(cells, declared, epoch).alias("_rejected"))
 
 
-def land_raw_tables(landed: DataFrame, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+class RawTables(dict):
+    """Raw tables by name, all of one landing: ``landed`` is what they are conformed
+    from, so that the losses of all kinds can be counted in one pass over it."""
+
+    def __init__(self, tables: dict[str, DataFrame], landed: DataFrame):
+        super().__init__(tables)
+        self.landed = landed
+
+
+def land_raw_tables(landed: DataFrame, keys: Sequence[str] = ()) -> RawTables:
     """All seven raw tables from one landing pass (cache ``landed`` when
     several are written)."""
-    return {table: conform_raw(landed, table, keys) for table in RAW_SCHEMAS}
+    return RawTables({table: conform_raw(landed, table, keys) for table in RAW_SCHEMAS}, landed)
+
+
+def typed_columns() -> list[tuple[str, T.DataType, list[str]]]:
+    """The declared number and date columns: name, type, and the raw tables with them."""
+    found: dict[tuple[str, str], tuple[str, T.DataType, list[str]]] = {}
+    for table, schema in RAW_SCHEMAS.items():
+        for f in schema.fields:
+            if isinstance(f.dataType, (T.DoubleType, T.DateType)):
+                found.setdefault((f.name, f.dataType.simpleString()), (f.name, f.dataType, []))[2].append(table)
+    return [found[k] for k in sorted(found)]
 
 
 def coercion_rejects(landed: DataFrame) -> DataFrame:
@@ -430,14 +449,10 @@ def coercion_rejects(landed: DataFrame) -> DataFrame:
     all-or-nothing decision the statement loader takes for a column.  One
     aggregate over the landed rows for all columns of all tables."""
     cells, epoch, table = F.col("cells"), F.col("date_epoch"), F.col("table_name")
-    columns = sorted({(f.name, f.dataType.simpleString(), f.dataType) for schema in RAW_SCHEMAS.values()
-                      for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.DateType))},
-                     key=lambda c: c[:2])
-    declared = {(f.name, f.dataType.simpleString()): [t for t, s in RAW_SCHEMAS.items() if f in s.fields]
-                for s in RAW_SCHEMAS.values() for f in s.fields}
-    counts = [x for i, (name, kind, dtype) in enumerate(columns) for x in (
-        F.count(F.when(table.isin(*declared[name, kind]), cells.getItem(name))).alias(f"n{i}"),
-        F.count(F.when(table.isin(*declared[name, kind]), typed_cell(cells, name, dtype, epoch))).alias(f"p{i}"))]
+    columns = typed_columns()
+    counts = [x for i, (name, dtype, tables) in enumerate(columns) for x in (
+        F.count(F.when(table.isin(*tables), cells.getItem(name))).alias(f"n{i}"),
+        F.count(F.when(table.isin(*tables), typed_cell(cells, name, dtype, epoch))).alias(f"p{i}"))]
     agg = readable(landed).groupBy("source_file", "sheet_name", "table_name").agg(*counts)
     rows = F.array(*[F.struct(F.col(f"n{i}").alias("n_values"), F.col(f"p{i}").alias("n_parsed"),
                               F.lit(name).alias("column_name")) for i, (name, _, _) in enumerate(columns)])
@@ -462,47 +477,77 @@ def column_manifest(landed: DataFrame) -> DataFrame:
         .groupBy("source_file", "table_name", "sheet_name", "column_name").agg(F.count("*").alias("n_values"))
 
 
+def _key_column(table: Column) -> Column:
+    """The key column of a row's kind, NULL for other rows."""
+    return F.coalesce(*[F.when(table == t, F.lit(c)) for t, c in KEY_COLUMNS.items()])
+
+
 def missing_key_columns(landed: DataFrame) -> DataFrame:
     """Sheets whose rows would all be dropped by staging: none has a value in the key
     column of its kind (another header, or an empty column).  source_file, table_name,
     sheet_name, column_name, rows."""
-    key, table = F.col("cells")[F.col("key")], F.col("table_name")
-    of_kind = F.coalesce(*[F.when(table == t, F.lit(c)) for t, c in KEY_COLUMNS.items()])
+    key = F.col("cells")[F.col("key")]
     return (readable(landed).filter(sparse_row_kept(F.col("cells"), F.col("header_width")))
-            .withColumn("key", of_kind).filter("key is not null")
+            .withColumn("key", _key_column(F.col("table_name"))).filter("key is not null")
             .groupBy("source_file", "table_name", "sheet_name", F.col("key").alias("column_name"))
             .agg(F.count("*").alias("rows"), F.count_if(~blank_key(key)).alias("named"))
             .filter("named = 0").drop("named"))
 
 
+def _losses(landed: DataFrame, parsed: bool) -> DataFrame:
+    """Check results of the landed rows: one aggregate by file, kind and sheet counts all
+    of them in one pass; which files can be decoded is settled on its few rows.
+    ``parsed``: texts that do not parse as well."""
+    cells, table, epoch = F.col("cells"), F.col("table_name"), F.col("date_epoch")
+    clash, kept, key = table == CLASH, F.col("kept"), _key_column(table)
+    columns = typed_columns() if parsed else []
+    rows = landed.select(
+        "source_file", "table_name", "sheet_name", "date_epoch", "cells",
+        sparse_row_kept(cells, F.col("header_width")).alias("kept"),
+        F.exists(F.map_keys(cells), lambda k: k.startswith(BEYOND)).alias("longer"),
+        F.when(clash, cells.getItem("table")).alias("clash_table"),
+        F.when(clash, cells.getItem("column")).alias("clash_column"))
+    agg = rows.groupBy("source_file", "table_name", "sheet_name", "clash_table", "clash_column").agg(
+        F.count("*").alias("rows"), F.count_if("longer").alias("longer"),
+        F.count_if(kept).alias("kept"), F.count_if(kept & ~blank_key(cells[key])).alias("named"),
+        *[F.count_if(table.isin(*tables) & kept & cells.getItem(name).isNotNull()
+                     & typed_cell(cells, name, dtype, epoch).isNull()).alias(f"r{i}")
+          for i, (name, dtype, tables) in enumerate(columns)])
+    unreadable = table == UNREADABLE
+    good = ~unreadable & ~clash & (F.col("source_file").isNull() | ~F.col("bad"))
+
+    def loss(name: str, of: Column, column: Column, failures: Column) -> Column:
+        return F.struct(F.lit(name).alias("check_name"), of.alias("table_name"), column.alias("column_name"),
+                        failures.alias("failures"))
+
+    found = F.array(
+        loss("unreadable_workbook", F.lit("landing"), F.col("source_file"), F.when(unreadable, F.col("rows"))),
+        loss("headers_clean_to_one_name", F.col("clash_table"), F.col("clash_column"), F.when(clash, F.col("rows"))),
+        loss("missing_key_column", table, key, F.when(good & key.isNotNull() & (F.col("named") == 0), kept)),
+        loss("row_longer_than_header", table, F.lit(""), F.col("longer")),
+        *[loss("text_does_not_parse", table, F.lit(name), F.when(good, F.col(f"r{i}")))
+          for i, (name, _, _) in enumerate(columns)])
+    return (agg.withColumn("bad", F.max(unreadable).over(Window.partitionBy("source_file")))
+            .select(F.inline(found)).filter("failures > 0")
+            .groupBy("check_name", "table_name", "column_name").agg(F.sum("failures").alias("failures")))
+
+
 def landing_checks(raw: dict[str, DataFrame], landed: DataFrame | None = None) -> DataFrame | None:
     """Losses of the landing as check results (``check_name, table_name,
     column_name, failures``): texts that do not parse by column, files that cannot
     be decoded, headers that clean to one name, rows of sheets without their key column,
-    rows with cells beyond their header.  NULL without anything to check."""
+    rows with cells beyond their header.  NULL without anything to check.  Raw tables
+    conformed from ``landed`` itself are checked in the one pass over its rows."""
     parts = []
-    lost = rejects(raw)
+    together = landed is not None and isinstance(raw, RawTables) and raw.landed is landed \
+        and raw.keys() == RAW_SCHEMAS.keys()
+    lost = None if together else rejects(raw)
     if lost is not None:
         parts.append(lost.groupBy("table_name", "column_name").agg(F.count("*").alias("failures"))
                      .select(F.lit("text_does_not_parse").alias("check_name"), "table_name",
                              "column_name", "failures"))
     if landed is not None:
-        cells = F.col("cells")
-        parts += [
-            unreadable_workbooks(landed).groupBy("source_file").agg(F.count("*").alias("failures"))
-            .select(F.lit("unreadable_workbook").alias("check_name"), F.lit("landing").alias("table_name"),
-                    F.col("source_file").alias("column_name"), "failures"),
-            landed.filter(F.col("table_name") == CLASH)
-            .groupBy(cells.getItem("table").alias("table_name"), cells.getItem("column").alias("column_name"))
-            .agg(F.count("*").alias("failures"))
-            .select(F.lit("headers_clean_to_one_name").alias("check_name"), "table_name", "column_name",
-                    "failures"),
-            missing_key_columns(landed).groupBy("table_name", "column_name").agg(F.sum("rows").alias("failures"))
-            .select(F.lit("missing_key_column").alias("check_name"), "table_name", "column_name", "failures"),
-            landed.filter(F.exists(F.map_keys(cells), lambda k: k.startswith(BEYOND)))
-            .groupBy("table_name").agg(F.count("*").alias("failures"))
-            .select(F.lit("row_longer_than_header").alias("check_name"), "table_name",
-                    F.lit("").alias("column_name"), "failures")]
+        parts.append(_losses(landed, parsed=together))
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 

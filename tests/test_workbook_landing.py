@@ -289,3 +289,41 @@ def test_a_large_sheet_is_parsed_row_by_row(tmp_dir):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == 30_000 and peak < 8_000_000
+
+
+def _losing_rows(spark, folder):
+    """Landed rows of every kind of loss: what each check counts is known."""
+    stock, trades = "raw_stock_positions", "raw_trades"
+    rows = [
+        ("a", stock, "s", 1, 3, None, {}, {"Codigo_de_Negociacao": "A", "Quantidade": "1,5", "Setor": "x"}),
+        ("a", stock, "s", 2, 3, None, {}, {"Codigo_de_Negociacao": "B", "Quantidade": "-"}),
+        ("a", stock, "s", 3, 4, None, {}, {"Quantidade": "-"}),                             # sparse
+        ("a", trades, "t", 1, 3, None, {}, {"Codigo_de_Negociacao": "A", "Periodo_Inicial": "soon", "_cell_9": "x"}),
+        ("b", stock, "s", 1, 3, None, {}, {"Codigo_de_Negociacao": " ", "Quantidade": "-"}),  # no key in the sheet
+        ("b", stock, "s", 2, 3, None, {}, {"Quantidade": "2"}),
+        ("c", stock, "s", 1, 3, None, {}, {"Quantidade": "-", "_cell_7": "x"}),             # of an unreadable file
+        ("c", WB.UNREADABLE, None, 0, 0, None, {}, {"error": "E"}),
+        (None, trades, None, 1, 2, None, {}, {"Codigo_de_Negociacao": "A", "Quantidade_Compra": "many"}),
+        ("b", WB.CLASH, "s", 0, 0, None, {}, {"table": stock, "column": "Preco", "headers": "x"}),
+        ("b", WB.CLASH, "s", 0, 0, None, {}, {"table": stock, "column": "Preco", "headers": "y"})]
+    spark.createDataFrame(rows, WB.LANDED_SCHEMA).write.parquet(folder)
+    return spark.read.schema(WB.LANDED_SCHEMA).parquet(folder)
+
+
+def test_losses_of_all_kinds_are_counted_in_one_pass(spark, tmp_dir):
+    landed = _losing_rows(spark, os.path.join(tmp_dir, "landed"))
+    raw = WB.land_raw_tables(landed)
+    found = WB.landing_checks(raw, landed)
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("headers_clean_to_one_name", "raw_stock_positions", "Preco", 2),
+        ("missing_key_column", "raw_stock_positions", "Codigo_de_Negociacao", 2),
+        ("row_longer_than_header", "raw_stock_positions", "", 1),
+        ("row_longer_than_header", "raw_trades", "", 1),
+        ("text_does_not_parse", "raw_stock_positions", "Quantidade", 2),
+        ("text_does_not_parse", "raw_trades", "Periodo_Inicial", 1),
+        ("text_does_not_parse", "raw_trades", "Quantidade_Compra", 1),
+        ("unreadable_workbook", "landing", "c", 1)]
+    # tables that do not say where they come from give the same
+    assert sorted(map(tuple, WB.landing_checks(dict(raw), landed).collect())) \
+        == sorted(map(tuple, found.collect()))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
