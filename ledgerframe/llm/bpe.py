@@ -34,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import col, map_arrow, text_or_empty
+from .common import CACHES, col, map_arrow, text_or_empty
 
 #: Fixed value: the pre-token pattern of byte-level BPE (use_regex).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -362,6 +362,7 @@ class Codec:
 
 
 _CODECS: dict[bytes, Codec] = {}
+CACHES.append(_CODECS)
 
 
 def codec(tokenizer_json: bytes) -> Codec:

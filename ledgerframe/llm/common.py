@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +95,34 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+#: What a worker process keeps from task to task and can build again.
+CACHES: list[dict] = []
+
+
+def give_back(caches: bool = False) -> None:
+    """Return freed memory of this worker process to the system: workers outlive their
+    tasks, and the allocators would hold the largest task's memory.  ``caches``: what
+    other operators keep goes as well."""
+    if caches:
+        for kept in CACHES:
+            kept.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
+def map_arrow(df: DataFrame, run, schema: str, alone: bool = False) -> DataFrame:
+    """``mapInArrow`` whose tasks return their memory; ``alone``: they begin without the
+    caches of other operators."""
     importable(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        if alone:
+            give_back(caches=True)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)

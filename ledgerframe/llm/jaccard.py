@@ -41,15 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, col, importable, map_arrow, row_struct, sampled_texts, stored, text_or_empty, \
-    unpack
+from .common import arrow_rows, col, give_back, importable, map_arrow, row_struct, sampled_texts, stored, \
+    text_or_empty, unpack
 from .textops import FOLDED, Buffer, RangeHash, mixed, slices
 
 SHINGLE = 5
 #: Text bytes behind one bucket of signatures, and buckets at most.
 BUCKET_BYTES, MAX_BUCKETS = 12_000_000, 65_536
 #: Signatures gathered by a task before they are sent.
-GATHERED = 600_000
+GATHERED = 300_000
 SAMPLE_BYTES, FREQUENT = 6_000_000, 0.002
 #: Rounds of other centres for groups of LARGE classes; classes in a block of pairs.
 CENTRES, LARGE, BLOCK = 1, 64, 512
@@ -274,6 +274,8 @@ def form_groups(table: pa.Table) -> pa.Table:
         out = np.empty(int(other.sum()), MEMBER)
         out["centre"], out["class"] = centre[other], name[other]
         rows.append(("group", 0, np.unique(out).tobytes()))
+        del a, order, sig, name, opens, centre, other, out, blocks
+    give_back()
     return pa.Table.from_batches([block_batch(rows)])
 
 
@@ -372,6 +374,7 @@ def pairs_between(table: pa.Table) -> pa.Table:
     histograms leave possible; a pair that several groups hold is given by the one
     with the smallest centre.  Several groups come at once; of a large one, two
     blocks."""
+    give_back()
     centre, name, comp, n, block, low, high = (table.column(c).to_numpy() for c in (
         "centre", "class", "comp", "n", "block", "low", "high"))
     hist, centres = table.column("hist").to_pylist(), table.column("centres").to_pylist()
@@ -469,7 +472,7 @@ def _link(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     linked class."""
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     buckets = int(min(MAX_BUCKETS, max(16, total // BUCKET_BYTES)))
-    blocks = map_arrow(rows, find_signatures(buckets, frequent_shingles(rows, total)), BLOCKS)
+    blocks = map_arrow(rows, find_signatures(buckets, frequent_shingles(rows, total)), BLOCKS, alone=True)
     found = stored(blocks.groupBy("bucket").applyInArrow(form_groups, BLOCKS), "groups")
     doc_rows = doc_rows_of(found)
     members = stored(members_of(found), "members")

@@ -215,3 +215,22 @@ def test_sampled_texts_come_once_with_their_number(spark):
     texts, times = sampled_texts(docs, 1)
     assert dict(zip(texts, times.tolist(), strict=True)) == {b"hot": 300, b"b": 1}
     assert [len(x) for x in sampled_texts(docs.limit(0), 1)] == [0, 0]
+
+
+def test_tasks_begin_without_other_caches_and_give_memory_back(spark, monkeypatch):
+    from ledgerframe.llm import bpe, common
+
+    class Frame:
+        sparkSession = spark
+
+        def mapInArrow(self, task, schema):
+            return task
+
+    calls = []
+    real = common.give_back
+    monkeypatch.setattr(common, "give_back", lambda caches=False: (calls.append(caches), real(caches)))
+    monkeypatch.setitem(bpe._CODECS, b"vocabulary", object())
+    task = common.map_arrow(Frame(), lambda batches: ((b, len(bpe._CODECS)) for b in batches), "x long")
+    assert list(task([1, 2])) == [(1, 1), (2, 1)] and calls == [False]
+    task = common.map_arrow(Frame(), lambda batches: ((b, len(bpe._CODECS)) for b in batches), "x long", alone=True)
+    assert list(task([1, 2])) == [(1, 0), (2, 0)] and calls == [False, True, False]
