@@ -100,9 +100,9 @@ CACHES: list[dict] = []
 
 
 def give_back(caches: bool = False) -> None:
-    """Return freed memory of this worker process to the system: workers outlive their
-    tasks, and the allocators would hold the largest task's memory.  ``caches``: what
-    other operators keep goes as well."""
+    """Return freed memory of this process to the system: workers outlive their tasks, the
+    driver its sample or model, and the allocators would hold the largest one's memory.
+    ``caches``: what other operators keep goes as well."""
     if caches:
         for kept in CACHES:
             kept.clear()

@@ -441,12 +441,15 @@ def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
     documents (texts up to 64 KB, about SAMPLE_BYTES in all; copies of a text come as
     one with their number)."""
     texts, times = sampled_texts(rows, max(1, total // SAMPLE_BYTES))
-    marks = np.zeros(1 << 20, bool)
-    if texts:
-        of, key = shingle_sets(texts)
+    marks, counts = np.zeros(1 << 20, bool), np.zeros(1 << 20)
+    sample = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(times)], names=["text", "n"])
+    for b, some in slices([sample]):  # this runs on the driver: the arrays of one step at a time
+        of, key = shingle_sets(some)
         once = np.unique(of << 20 | (key >> np.uint64(44)).astype(np.int64))
-        counts = np.bincount(once & ((1 << 20) - 1), times[once >> 20], minlength=1 << 20)
+        counts += np.bincount(once & ((1 << 20) - 1), b.column("n").to_numpy()[once >> 20], minlength=1 << 20)
+    if texts:
         marks[counts >= max(4, FREQUENT * times.sum() + 4 * np.sqrt(counts.mean()))] = True
+    give_back()
     return marks
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, importable, map_arrow, stored, text_or_empty
+from .common import col, give_back, importable, map_arrow, stored, text_or_empty
 from .textops import Buffer, RangeHash, mixed, slices
 
 MAX_LABELLED = 2000
@@ -161,7 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     labels_, counts = got["label"].to_numpy(np.float64), np.empty((len(got), DIMS), np.float32)
     for row, block in zip(counts, got.pop("counts"), strict=True):
         row[:] = np.frombuffer(block, np.uint16)
-    return fit(counts, labels_)
+    model = fit(counts, labels_)
+    del got, counts, row, block
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",

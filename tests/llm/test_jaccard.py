@@ -217,6 +217,27 @@ def test_sampled_texts_come_once_with_their_number(spark):
     assert [len(x) for x in sampled_texts(docs.limit(0), 1)] == [0, 0]
 
 
+def test_frequent_shingles_are_counted_in_small_steps(monkeypatch):
+    """The sample is counted on the driver: its arrays must not grow with the sample."""
+    from ledgerframe.llm import textops
+    rng = random.Random(3)
+    texts = [(("often seen words of all texts " if i % 3 else "") + " ".join(
+        str(rng.random()) for _ in range(200))).encode() for i in range(1200)]
+    times = np.array([1 + i % 4 for i in range(len(texts))], np.int64)
+    monkeypatch.setattr(J, "sampled_texts", lambda rows, every: (texts, times))
+    assert sum(map(len, texts)) > 4 * textops.STEP_BYTES
+    marks = []
+    for step in (textops.STEP_BYTES, 10 ** 9):
+        monkeypatch.setattr(textops, "STEP_BYTES", step)
+        monkeypatch.setattr(textops, "_POWERS", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+        marks.append(J.frequent_shingles(None, 1))
+        if len(marks) == 1:
+            assert len(textops._POWERS[0]) < 1.1 * step
+    assert marks[0].any() and (marks[0] == marks[1]).all()
+    monkeypatch.setattr(J, "sampled_texts", lambda rows, every: ([], np.zeros(0, np.int64)))
+    assert not J.frequent_shingles(None, 1).any()
+
+
 def test_tasks_begin_without_other_caches_and_give_memory_back(spark, monkeypatch):
     from ledgerframe.llm import bpe, common
 
