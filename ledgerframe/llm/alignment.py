@@ -5,7 +5,8 @@ tokenizer B (a ``sentencepiece`` model, which adds the space) the text.  The byt
 of their tokens come from the tokenizers' own spans: the character offsets of A and the
 begin and end of B's pieces are coarse cuts, exact wherever a span is as wide as the
 token's bytes; tokens that share a character (its bytes fall on several tokens of A, or
-on byte-fallback tokens of B) are refined by the token's decoded bytes.  Offsets where
+on byte-fallback tokens of B) are refined by the token's decoded bytes.  Whether tokens
+give their texts back is seen on the decoded bytes of many lines at once.  Offsets where
 both have an end cut the tokens into groups; two tokens are linked when their ranges
 overlap.  (The installed sentencepiece names the immutable proto plainly ``proto``; it
 carries the same spans.)
@@ -36,6 +37,7 @@ import gc
 import hashlib
 import itertools
 import json
+import operator
 import os
 import re
 from collections import defaultdict
@@ -47,6 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import gather
 from .common import arrow_rows, col, importable, stored, text_or_empty
 
 #: About so many bytes of texts share one row of pairs; a longer text has its own.
@@ -55,12 +58,15 @@ BLOCK_BYTES = 4_000_000
 LINE = 2_000
 #: A chunk starts at one space between two other characters.
 CHUNK = re.compile(r"(?<=\S)(?= \S)")
+#: White space, as the patterns have it.
+WHITE = [chr(i) for i in range(0x3001) if chr(i).isspace()]
 #: Chunks that may follow each other in one line.
 WHOLE = re.compile(r" \S(?:.*\S)?", re.DOTALL)
 #: sentencepiece's space mark and byte tokens.
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 NORMAL_PIECE, BYTE_TYPE = 1, 6
+ID_AND_END = operator.attrgetter("id", "end")
 ID_BITS = 32
 
 
@@ -97,27 +103,42 @@ def _starts(sizes) -> np.ndarray:
 
 class Tokens:
     """The tokens of some lines, one after the other: ids, ends in bytes, and how many
-    tokens and bytes lie before each line."""
+    tokens and bytes lie before each line.  Without ends if not all lines are ``spelled``."""
 
-    def __init__(self, tool: Aligner, lines: list[str], ours: list, theirs: list[list[tuple]]):
+    def __init__(self, tool: Aligner, lines: list[str], ours: list, theirs: list):
         raw = [line.encode() for line in lines]
         self.bytes = _starts(map(len, raw))
-        self.a_first, self.b_first = _starts(len(x) for x in ours), _starts(map(len, theirs))
+        self.buf = np.frombuffer(b"".join(raw), np.uint8)
+        pieces = [t.pieces for t in theirs]
+        self.a_first, self.b_first = _starts(map(len, ours)), _starts(map(len, pieces))
         self.a_ids = _flat((x.ids for x in ours), self.a_first[-1])
+        rows = _flat(map(ID_AND_END, itertools.chain.from_iterable(pieces)), 2 * self.b_first[-1]).reshape(-1, 2)
+        self.b_ids = rows[:, 0].copy()
+        self.spelled = self._spell(*tool.a_spelling, self.a_ids, self.a_first) \
+            and self._spell(*tool.b_spelling, self.b_ids, self.b_first)
+        if not self.spelled:
+            return
         # character offsets of A as bytes of all lines: a character starts at every byte
         # that continues none
-        buf = np.frombuffer(b"".join(raw), np.uint8)
-        of_char = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+        self.chars = np.append(np.flatnonzero((self.buf & 0xC0) != 0x80), len(self.buf))
         spans = _flat(itertools.chain.from_iterable(x.offsets for x in ours), 2 * self.a_first[-1])
-        spans = of_char[spans.reshape(-1, 2) + np.repeat(_starts(map(len, lines))[:-1],
-                                                         np.diff(self.a_first))[:, None]]
+        spans = self.chars[spans.reshape(-1, 2) + np.repeat(_starts(map(len, lines))[:-1],
+                                                            np.diff(self.a_first))[:, None]]
         self.a_ends = refined_ends(spans, tool.a_size[self.a_ids])
-        # B's spans lie in the text, without the space that it adds
-        rows = _flat(itertools.chain.from_iterable(theirs), 3 * self.b_first[-1]).reshape(-1, 3)
-        self.b_ids = rows[:, 0].copy()
-        spans = rows[:, 1:] + 1 + np.repeat(self.bytes[:-1], np.diff(self.b_first))[:, None]
-        spans[self.b_first[:-1], 0] = self.bytes[:-1]
-        self.b_ends = refined_ends(spans, tool.b_size[self.b_ids])
+        # B's spans lie in the text, without the space that it adds, each from the end of
+        # the one before
+        ends = rows[:, 1] + 1 + np.repeat(self.bytes[:-1], np.diff(self.b_first))
+        begins = np.concatenate([[0], ends[:-1]])[:len(ends)]
+        begins[self.b_first[:-1]] = self.bytes[:-1]
+        self.b_ends = refined_ends(np.stack([begins, ends], axis=1), tool.b_size[self.b_ids])
+
+    def _spell(self, letters: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray,
+               first: np.ndarray) -> bool:
+        """Whether the ids spell every line byte for byte: all lines together, and each as
+        many bytes as it has."""
+        upto = np.concatenate([[0], np.cumsum(size[ids])])
+        return np.array_equal(upto[first], self.bytes) \
+            and np.array_equal(gather(letters, start[ids], size[ids]), self.buf)
 
 
 class Links:
@@ -126,8 +147,10 @@ class Links:
 
     def __init__(self, tool: Aligner, tokens: Tokens, ends: np.ndarray):
         a, a_ends, b, b_ends = tokens.a_ids, tokens.a_ends, tokens.b_ids, tokens.b_ends
-        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        cuts = np.union1d(a_ends, b_ends)       # each stretch between cuts is one link
+        every = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")    # two runs in order
+        again = every[1:] == every[:-1]
+        both = every[1:][again]
+        cuts = every[np.concatenate([[True], ~again])[:len(every)]]     # each stretch between cuts is one link
         self.pairs = a[np.searchsorted(a_ends, cuts)] << ID_BITS | b[np.searchsorted(b_ends, cuts)]
         upto = [np.searchsorted(x, ends, side="right") for x in (a_ends, b_ends, both, cuts)]
         self.sizes = np.diff(np.array(upto), prepend=0)        # n_a, n_b, n_groups, n_links of each chunk
@@ -178,24 +201,34 @@ class Aligner:
         self.splits = split_a and split_b
         self.a_size = np.array([len(b) for b in self.a_bytes])
         self.b_size = np.array([len(b) for b in self.b_bytes])
+        self.a_spelling, self.b_spelling = (
+            (np.frombuffer(b"".join(x), np.uint8), np.cumsum(n) - n, n)
+            for x, n in ((self.a_bytes, self.a_size), (self.b_bytes, self.b_size)))
         self.a_text = np.array([[b"%d%s" % (i, end) for i in range(len(self.a_bytes))] for end in (b",", b"|")])
         self.b_text = np.array([[b"%d%s" % (i, end) for i in range(len(self.b_bytes))] for end in (b",", b";")])
 
     def chunks(self, text: str) -> list[str]:
         """A space and the text, cut where neither tokenizer merges."""
-        return CHUNK.split(" " + text) if self.splits else [" " + text]
+        if not self.splits:
+            return [" " + text]
+        for s in WHITE:
+            if s in text and (s + " " in text or " " + s in text or text[0] == s or text[-1] == s):
+                return CHUNK.split(" " + text)
+        return [" " + word for word in text.split(" ")]  # every space is such a cut
 
     def tokens(self, lines: list[str]) -> tuple[Tokens, list[bool]]:
         """The tokens of the lines that both tokenizers give back byte for byte, and
         which those are.  A line is a space and a text."""
         ours = self.a.encode_batch(lines, add_special_tokens=False)
-        theirs = [[(p.id, p.begin, p.end) for p in t.pieces] for t in self.b.encode(
-            [line[1:] for line in lines], return_type="proto", num_threads=1)]
+        theirs = self.b.encode([line[1:] for line in lines], return_type="proto", num_threads=1)
+        found = Tokens(self, lines, ours, theirs)
+        if found.spelled:
+            return found, [True] * len(lines)
         good = []
         for line, a, b in zip(lines, ours, theirs, strict=True):
             raw = line.encode()
             good.append(b"".join(map(self.a_bytes.__getitem__, a.ids)) == raw
-                        and b"".join([self.b_bytes[i] for i, _, _ in b]) == raw)
+                        and b"".join([self.b_bytes[p.id] for p in b.pieces]) == raw)
         return Tokens(self, *(list(itertools.compress(x, good)) for x in (lines, ours, theirs))), good
 
     def links(self, chunks: list[str]) -> Iterator[tuple[list[int], Links]]:
@@ -203,6 +236,7 @@ class Aligner:
         tokenizer would merge are put into one line; those missing in the end are not
         given back by a tokenizer."""
         lines: list[list[int]] = [[]]
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         length, whole = 0, False
         for i, c in enumerate(chunks):
             joins = WHOLE.fullmatch(c) is not None
@@ -216,7 +250,7 @@ class Aligner:
             some, length = [], 0
             while waiting and length < LINE * 100:
                 some.append(waiting.pop())
-                length += sum(len(chunks[i]) for i in some[-1])
+                length += int(sizes[some[-1]].sum())
             tokens, good = self.tokens(["".join([chunks[i] for i in line]) for line in some])
             if not all(good):
                 # alone, the chunks of a bad line that are good themselves
@@ -225,8 +259,7 @@ class Aligner:
                 waiting += [line for line in kept + parts][::-1]
                 continue
             used = [i for line in some for i in line]
-            ends = _starts(len(chunks[i].encode()) for i in used)[1:]
-            yield used, Links(self, tokens, ends)
+            yield used, Links(self, tokens, tokens.chars[np.cumsum(sizes[used])])
 
 
 _ALIGNERS: dict[int, Aligner] = {}
@@ -263,7 +296,8 @@ class Block:
     def __init__(self, tool: Aligner, texts: list[str]):
         number: dict[str, int] = defaultdict()
         number.default_factory = number.__len__
-        docs = [np.array([number[c] for c in tool.chunks(t)] if t else [], np.int64) for t in texts]
+        cut = (tool.chunks(t) if t else [] for t in texts)
+        docs = [np.fromiter(map(number.__getitem__, c), np.int64, len(c)) for c in cut]
         place, self.groups = np.full(len(number), -1), []
         sizes, pairs = [np.zeros((4, 0), np.int64)], [np.zeros(0, np.int64)]
         for used, links in tool.links(list(number)):

@@ -123,6 +123,32 @@ def test_chunks_change_no_token(tool):
     assert seen > 1.2 * at
 
 
+def test_plain_texts_are_cut_and_checked_without_patterns_and_lists(tool, monkeypatch):
+    """Texts whose spaces are all single need no pattern, lines that come back no list of
+    bytes for each token; the cuts are those of the pattern."""
+    white = [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    assert white == A.WHITE
+    texts = ["plain text", "x", "two\nlines of text", *ODD]
+    texts += [t for w in white for t in (f"a{w}b c", f"a{w} b", f"a {w}b", f"{w}a b", f"a b{w}", w)]
+    assert [tool.chunks(t) for t in texts] == [A.CHUNK.split(" " + t) for t in texts]
+
+    class Unused:
+        def split(self, text):
+            raise AssertionError(text)
+
+        def __getitem__(self, i):
+            raise AssertionError(i)
+
+    monkeypatch.setattr(A, "CHUNK", Unused())
+    assert tool.chunks("two\nlines of text") == [" two\nlines", " of", " text"]
+    monkeypatch.setattr(tool, "a_bytes", Unused())
+    tokens, good = tool.tokens([" two\nlines of text", " naïve 日本語 text", " x"])
+    assert good == [True] * 3 and tokens.a_first[-1] == len(tokens.a_ends)
+    a, ae, b, be = whole("two\nlines of text")
+    assert (tokens.a_ids[:len(a)].tolist(), tokens.a_ends[:len(a)].tolist()) == (a, ae)
+    assert (tokens.b_ids[:len(b)].tolist(), tokens.b_ends[:len(b)].tolist()) == (b, be)
+
+
 def test_files_that_merge_across_spaces_are_read_whole(tool):
     data = json.loads(open(FILES[0]).read())
     data["pre_tokenizer"]["use_regex"] = False
