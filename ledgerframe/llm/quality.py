@@ -157,16 +157,19 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     # a repeated doc_id could bring more rows than labels were chosen
     got = stored(map_arrow(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
                                       "label int, counts binary"), "labelled-terms")
-    got = got.orderBy(F.xxhash64("doc_id"), F.xxhash64("counts")).limit(most).toPandas()
-    labels_, counts = got["label"].to_numpy(np.float64), np.empty((len(got), DIMS), np.float32)
-    for row, block in zip(counts, got.pop("counts"), strict=True):
-        row[:] = np.frombuffer(block, np.uint16)
-    model = fit(counts, labels_)
-    del got, counts, row, block
+    model = fit(*_read_terms(got.orderBy(F.xxhash64("doc_id"), F.xxhash64("counts")).limit(most).toPandas()))
     give_back()
     return model
 
 
+def _read_terms(got: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Term counts and labels of the rows."""
+    labels, counts = got["label"].to_numpy(np.float64), np.empty((len(got), DIMS), np.float32)
+    for row, block in zip(counts, got.pop("counts"), strict=True):
+        row[:] = np.frombuffer(block, np.uint16)
+    return counts, labels
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id",
           threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted."""
